@@ -293,3 +293,78 @@ def build_versions(
         F.when(has_next, F.lit(inactive)).otherwise(F.lit(active)).alias(flag_name),
         *extra,
     )
+
+
+# ---------------------------------------------------------------- H6 (incremental)
+
+
+def merge_versions(
+    history: DataFrame,
+    batch: DataFrame,
+    key: Sequence[str],
+    tracked: Sequence[str],
+    batch_start: str = "batch_date",
+    start_name: str = "effective_start_date",
+    end_name: str = "effective_end_date",
+    flag_name: str = "is_active",
+    active: str = "Y",
+    inactive: str = "N",
+) -> DataFrame:
+    """Apply one load to a type-2 history (MERGE semantics, loads in date order).
+
+    ``history`` has the key, the tracked columns and the interval/flag columns;
+    ``batch`` has the key, the tracked columns and ``batch_start`` (one row per
+    key).  For a key whose tracked values differ NULL-safely from its current
+    version, or which is new, the current version is closed at the batch start
+    and the batch row becomes the new current version.  Keys absent from the
+    batch, and keys whose values did not change, are left as they are; closed
+    versions pass through untouched.
+
+    Only current versions meet the batch in a join (one row per key on both
+    sides), so a key with a long history never makes a join partition heavier.
+    """
+    key, tracked = list(key), list(tracked)
+    cols = key + tracked
+    flag_is_active = F.col(flag_name) == F.lit(active)
+    closed = history.where(~flag_is_active | F.col(flag_name).isNull())
+    current = history.where(flag_is_active)
+
+    b = batch.select(
+        *[qcol(k).alias(f"_bk{i}") for i, k in enumerate(key)],
+        *[qcol(c).alias(f"_bt{i}") for i, c in enumerate(tracked)],
+        qcol(batch_start).alias("_bstart"),
+    )
+    on = [qcol(k) == F.col(f"_bk{i}") for i, k in enumerate(key)]
+    same = F.lit(True)
+    for i, c in enumerate(tracked):
+        same = same & qcol(c).eqNullSafe(F.col(f"_bt{i}"))
+
+    cur_b = current.join(b, on, "left")
+    touched = F.col("_bk0").isNotNull() & ~same
+    out_cols = [c for c in history.columns]
+    current_out = cur_b.select(
+        *[qcol(c) for c in out_cols if c not in (end_name, flag_name)],
+        F.when(touched, F.col("_bstart").cast(history.schema[end_name].dataType)).otherwise(qcol(end_name)).alias(end_name),
+        F.when(touched, F.lit(inactive)).otherwise(qcol(flag_name)).alias(flag_name),
+    ).select(*[qcol(c) for c in out_cols])
+
+    changed_or_new = b.join(
+        current.select(*[qcol(c) for c in cols]),
+        [F.col(f"_bk{i}") == qcol(k) for i, k in enumerate(key)],
+        "left",
+    ).where(F.col(f"{_q(key[0])}").isNull() | ~same)
+    new_rows = changed_or_new.select(
+        *[F.col(f"_bk{i}").alias(k) for i, k in enumerate(key)],
+        *[F.col(f"_bt{i}").alias(c) for i, c in enumerate(tracked)],
+        F.col("_bstart").cast(history.schema[start_name].dataType).alias(start_name),
+        F.lit(None).cast(history.schema[end_name].dataType).alias(end_name),
+        F.lit(active).alias(flag_name),
+    )
+    extra = [c for c in out_cols if c not in cols + [start_name, end_name, flag_name]]
+    if extra:
+        new_rows = new_rows.select(*new_rows.columns, *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in extra])
+    return closed.unionByName(current_out).unionByName(new_rows.select(*[qcol(c) for c in out_cols]))
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -77,9 +77,19 @@ LEGACY_TYPE_NAMES = {
 }
 
 
+_SIMPLE_DDL = {
+    "string": T.StringType, "int": T.IntegerType, "integer": T.IntegerType, "bigint": T.LongType,
+    "long": T.LongType, "smallint": T.ShortType, "short": T.ShortType, "tinyint": T.ByteType, "byte": T.ByteType,
+    "double": T.DoubleType, "float": T.FloatType, "real": T.FloatType, "boolean": T.BooleanType,
+    "date": T.DateType, "timestamp": T.TimestampType, "timestamp_ntz": T.TimestampNTZType, "binary": T.BinaryType,
+}
+
+
 def _parse_type(name: str) -> T.DataType:
     if name in LEGACY_TYPE_NAMES:
         return LEGACY_TYPE_NAMES[name]
+    if name.strip().lower() in _SIMPLE_DDL:
+        return _SIMPLE_DDL[name.strip().lower()]()
     cls = getattr(T, name, None) if name.endswith("Type") else None  # e.g. "LongType", "DateType"
     if isinstance(cls, type) and issubclass(cls, T.AtomicType):
         return cls()
@@ -99,6 +109,9 @@ def parse_expected_schema(fields: Sequence[Mapping] | T.StructType | str) -> T.S
         text = fields.strip()
         if text.startswith("{"):
             return T.StructType.fromJson(json.loads(text))
+        flat = _parse_flat_ddl(text)
+        if flat is not None:
+            return flat
         parsed = T._parse_datatype_string(text)
         if not isinstance(parsed, T.StructType):
             raise ValueError(f"schema DDL must describe a struct, got {parsed.simpleString()}")
@@ -111,6 +124,20 @@ def parse_expected_schema(fields: Sequence[Mapping] | T.StructType | str) -> T.S
     return T.StructType(out)
 
 
+def _parse_flat_ddl(text: str) -> T.StructType | None:
+    """``name type [NOT NULL], ...`` with simple types, parsed without a session; None otherwise."""
+    fields = []
+    for part in text.split(","):
+        words = part.split()
+        nullable = True
+        if len(words) >= 4 and [w.upper() for w in words[-2:]] == ["NOT", "NULL"]:
+            nullable, words = False, words[:-2]
+        if len(words) != 2 or words[1].lower() not in _SIMPLE_DDL:
+            return None
+        fields.append(T.StructField(words[0].strip("`"), _SIMPLE_DDL[words[1].lower()](), nullable))
+    return T.StructType(fields)
+
+
 @dataclass(frozen=True)
 class Rule:
     """A business rule: rows for which ``violation`` is true break it.
