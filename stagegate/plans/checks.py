@@ -9,6 +9,7 @@ Only counts and at most ``n`` sample rows ever reach the driver.
 
 from __future__ import annotations
 
+import threading
 import traceback
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -65,25 +66,80 @@ class TableProfile:
         self.exprs: dict[str, Column] = {}
         self._values: dict | None = None
         self._fused_error: BaseException | None = None
+        self._lock = threading.Lock()
 
     def need(self, name: str, expr: Column) -> None:
         self.exprs[name] = expr
 
     def run(self) -> None:
-        if self._values is not None or not self.exprs:
-            return
-        try:
-            row = self.df.agg(*[e.alias(f"_p{i}") for i, e in enumerate(self.exprs.values())]).first()
-            self._values = {n: row[f"_p{i}"] for i, n in enumerate(self.exprs)}
-        except Exception as exc:  # fall back to one aggregate per value
-            self._fused_error = exc
-            self._values = {}
+        with self._lock:
+            if self._values is not None:
+                return
+            if not self.exprs:
+                self._values = {}
+                return
+            try:
+                row = self.df.agg(*[e.alias(f"_p{i}") for i, e in enumerate(self.exprs.values())]).first()
+                self._values = {n: row[f"_p{i}"] for i, n in enumerate(self.exprs)}
+            except Exception as exc:  # fall back to one aggregate per value
+                self._fused_error = exc
+                self._values = {}
 
     def get(self, name: str):
         self.run()
-        if name not in self._values:
-            self._values[name] = self.df.agg(self.exprs[name].alias("_v")).first()["_v"]
-        return self._values[name]
+        with self._lock:
+            if name not in self._values:
+                self._values[name] = self.df.agg(self.exprs[name].alias("_v")).first()["_v"]
+            return self._values[name]
+
+
+class KeyProfile:
+    """Per-key aggregates of one table shared by several key-level checks.
+
+    The table is grouped by the business key once; each registered check is a
+    predicate over that per-key table.  One action returns, for every check,
+    the number of keys breaking it and the first ``n`` of them in key order:
+    the branches are scalar subqueries and ordered limits over the same grouped
+    plan, so Spark reuses its exchange and the table is shuffled once.
+    """
+
+    def __init__(self, df: DataFrame, key: Sequence[str], n: int):
+        self.df, self.key, self.n = df, list(key), n
+        self.aggs: dict[str, Column] = {}
+        self.checks: dict[str, tuple[Column, list[str]]] = {}
+        self._result: dict[str, tuple[int, list[str]]] | None = None
+        self._lock = threading.Lock()
+
+    def need(self, name: str, aggs: dict[str, Column], predicate: Column, sample_columns: Sequence[str]) -> None:
+        self.aggs.update(aggs)
+        self.checks[name] = (predicate, list(sample_columns))
+
+    def _run(self) -> dict[str, tuple[int, list[str]]]:
+        kp = self.df.groupBy(*[qcol(k).alias(k) for k in self.key]).agg(*[e.alias(n) for n, e in self.aggs.items()])
+        names = list(self.checks)
+        totals = [kp.where(self.checks[c][0]).select(F.count(F.lit(1))).scalar().alias(f"_t{i}") for i, c in enumerate(names)]
+        branches = None
+        for i, c in enumerate(names):
+            pred, cols = self.checks[c]
+            b = (
+                kp.where(pred)
+                .orderBy(*[qcol(k) for k in self.key])
+                .limit(self.n)
+                .select(F.lit(i).alias("_q"), F.to_json(F.struct(*[qcol(x) for x in self.key + cols])).alias("_s"))
+            )
+            branches = b if branches is None else branches.unionByName(b)
+        rows = branches.select("_q", "_s", *totals).collect()
+        out = {c: (0, []) for c in names}
+        if rows:
+            for i, c in enumerate(names):
+                out[c] = (int(rows[0][f"_t{i}"]), [r["_s"] for r in rows if r["_q"] == i])
+        return out
+
+    def get(self, name: str) -> tuple[int, list[str]]:
+        with self._lock:
+            if self._result is None:
+                self._result = self._run()
+            return self._result[name]
 
 
 @dataclass
@@ -94,6 +150,7 @@ class StageContext:
     right: DataFrame  # staging (S->S) or target (S->T)
     left_profile: TableProfile
     right_profile: TableProfile
+    key_profile: KeyProfile | None = None
 
 
 def _json_rows(df: DataFrame) -> Column:
@@ -163,7 +220,10 @@ def check_nulls(ctx: StageContext) -> CheckResult:
 
 def check_duplicates(ctx: StageContext) -> CheckResult:
     key = list(ctx.spec.key)
-    total, samples = sampled(V.duplicate_keys(ctx.right, key), key, ctx.spec.sample_size)
+    if ctx.key_profile is not None and "duplicates" in ctx.key_profile.checks:
+        total, samples = ctx.key_profile.get("duplicates")
+    else:
+        total, samples = sampled(V.duplicate_keys(ctx.right, key), key, ctx.spec.sample_size)
     return CheckResult(
         "primary_key_val",
         _status(total == 0),
@@ -252,8 +312,11 @@ def check_active_flag(ctx: StageContext) -> CheckResult:
     if not spec.active_flag:
         return CheckResult("scd_type2_active_flag", FAIL, None, details="no active flag column configured")
     key = list(spec.key)
-    viol = V.active_flag_violations(ctx.right, key, spec.active_flag, spec.active_values)
-    total, samples = sampled(viol, key, spec.sample_size)
+    if ctx.key_profile is not None and "active_flag" in ctx.key_profile.checks:
+        total, samples = ctx.key_profile.get("active_flag")
+    else:
+        viol = V.active_flag_violations(ctx.right, key, spec.active_flag, spec.active_values)
+        total, samples = sampled(viol, key, spec.sample_size)
     return CheckResult(
         "scd_type2_active_flag",
         _status(total == 0),
@@ -349,6 +412,18 @@ def plan_profiles(ctx: StageContext, checks) -> None:
     if check_rules in checks:
         for name, e in V.rule_exprs(right, spec.rules).items():
             ctx.right_profile.need(f"_rule:{name}", e)
+    # duplicate keys and active-flag counts both group the target by key: share that shuffle
+    flag_ok = check_active_flag in checks and spec.active_flag and spec.active_flag in right.columns
+    if check_duplicates in checks and flag_ok and all(k in right.columns for k in spec.key):
+        kp = KeyProfile(right, spec.key, spec.sample_size)
+        kp.need("duplicates", {"n_rows": F.count(F.lit(1))}, F.col("n_rows") > 1, ["n_rows"])
+        kp.need(
+            "active_flag",
+            {"active_count": F.count_if(_is_active(qcol(spec.active_flag), spec.active_values))},
+            F.col("active_count") != 1,
+            ["active_count"],
+        )
+        ctx.key_profile = kp
 
 
 def run_check(fn, ctx: StageContext) -> CheckResult:

@@ -7,6 +7,8 @@ DataFrame of result rows (``RESULT_SCHEMA``): a few counts and at most
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,24 @@ from ..spec import DatasetSpec, Mode, Stage, parse_mode
 from .checks import RESULT_SCHEMA, SUCCESS, CheckResult, StageContext, TableProfile, plan_profiles, run_check, stage_checks
 
 
-def run_stage(spec: DatasetSpec, stage: Stage, left: DataFrame, right: DataFrame) -> list[CheckResult]:
-    """All checks of one stage, in the fixed order of that stage."""
+def run_stage(
+    spec: DatasetSpec, stage: Stage, left: DataFrame, right: DataFrame, parallelism: int = 4
+) -> list[CheckResult]:
+    """All checks of one stage, in the fixed order of that stage.
+
+    Checks are independent Spark jobs, so up to ``parallelism`` of them are
+    submitted at once from driver threads; Spark schedules their tasks side by
+    side.  Shared per-table aggregates are computed once (the first check that
+    needs one runs it, the others wait for its value).
+    """
     ctx = StageContext(spec, stage, left, right, TableProfile(left), TableProfile(right))
     checks = stage_checks(spec, stage)
     plan_profiles(ctx, checks)
-    return [run_check(fn, ctx) for fn in checks]
+    if parallelism <= 1:
+        return [run_check(fn, ctx) for fn in checks]
+    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="stagegate-check") as pool:
+        futures = [pool.submit(run_check, fn, ctx) for fn in checks]
+        return [f.result() for f in futures]
 
 
 def run_suite(
@@ -29,6 +43,7 @@ def run_suite(
     source: DataFrame | None = None,
     staging: DataFrame | None = None,
     target: DataFrame | None = None,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Run the stages of ``mode`` and return their result rows.
 
@@ -42,7 +57,7 @@ def run_suite(
         left, right = (source, staging) if stage is Stage.SOURCE_TO_STAGING else (staging, target)
         if left is None or right is None:
             raise ValueError(f"stage {stage.value} needs both layers; got {'left' if left is None else 'right'} missing")
-        for seq, r in enumerate(run_stage(spec, stage, left, right), start=1):
+        for seq, r in enumerate(run_stage(spec, stage, left, right, parallelism), start=1):
             rows.append((spec.name, stage.value, seq, r.check, r.status, r.violation_count, r.metrics, r.samples, r.details))
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
