@@ -101,11 +101,17 @@ def _unique_pairs(kcols, unique_keys, s_rows, o_rows) -> DataFrame:
     return s.join(o, [F.col(f"s.{k}") == F.col(f"o.{k}") for k in kcols])
 
 
+def _encoded(value) -> F.Column:
+    # NULL becomes '' and every value gets a '#' prefix: never NULL, so the join
+    # below is a plain equi-join on the grouping columns and reuses their partitioning
+    return F.coalesce(F.concat(F.lit("#"), value), F.lit(""))
+
+
 def _value_counts(rows: DataFrame, multi_keys: DataFrame, kcols, plan: ConsistencyPlan, side: str) -> DataFrame:
-    """(key, column index, canonical value) → row count, for multi keys only."""
+    """(key, column index, encoded canonical value) → row count, for multi keys only."""
     alias_rows = rows.join(multi_keys.select(*kcols), kcols, "left_semi").alias(side)
     cells = [
-        F.struct(F.lit(i).alias("_ci"), (p.left_string if side == "s" else p.right_string).alias("_v"))
+        F.struct(F.lit(i).alias("_ci"), _encoded(p.left_string if side == "s" else p.right_string).alias("_v"))
         for i, p in enumerate(plan.compared)
     ]
     long = alias_rows.select(*[F.col(f"{side}.{k}").alias(k) for k in kcols], F.inline(F.array(*cells)))
@@ -113,13 +119,10 @@ def _value_counts(rows: DataFrame, multi_keys: DataFrame, kcols, plan: Consisten
 
 
 def _multi_matches(kcols, multi_keys, s_rows, o_rows, plan) -> DataFrame:
-    """Per (key, column index): number of NULL-safe equal pairs."""
+    """(key, column index, value) rows present on both sides with the number of equal pairs ``_eq``."""
     vs = _value_counts(s_rows, multi_keys, kcols, plan, "s")
-    vo = _value_counts(o_rows, multi_keys, kcols, plan, "o").select(
-        *[F.col(k).alias(f"_o{k}") for k in kcols], F.col("_ci").alias("_oci"), F.col("_v").alias("_ov"), "_co"
-    )
-    cond = [F.col(k) == F.col(f"_o{k}") for k in kcols] + [F.col("_ci") == F.col("_oci"), F.col("_v").eqNullSafe(F.col("_ov"))]
-    return vs.join(vo, cond).groupBy(*kcols, "_ci").agg(F.sum(F.col("_cs") * F.col("_co")).alias("_equal"))
+    vo = _value_counts(o_rows, multi_keys, kcols, plan, "o")
+    return vs.join(vo, kcols + ["_ci", "_v"]).select(*kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
 
 
 def consistency_summary(source: DataFrame, other: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -137,34 +140,38 @@ def consistency_summary(source: DataFrame, other: DataFrame, key: Sequence[str],
         return spark.createDataFrame([], schema)
     kcols, names, kc, unique_keys, multi_keys, s_rows, o_rows = _parts(source, other, plan)
 
+    n = len(names)
+
+    def per_column(df: DataFrame, mis: list, pairs) -> DataFrame:
+        cells = [F.struct(F.lit(i).alias("_ci"), mis[i].cast("bigint").alias("_mis"), pairs.cast("bigint").alias("_pairs")) for i in range(n)]
+        return df.select(F.inline(F.array(*cells)))
+
+    # unique keys: one pass over the 1:1 joined rows
     joined = _unique_pairs(kcols, unique_keys, s_rows, o_rows)
     u = joined.agg(
-        F.count(F.lit(1)).alias("_pairs"),
+        F.count(F.lit(1)).alias("_p"),
         *[F.count_if(differs(p)).alias(f"_d{i}") for i, p in enumerate(plan.compared)],
     )
-    unique_long = u.select(
-        "_pairs",
-        F.inline(F.array(*[F.struct(F.lit(i).alias("_ci"), F.col(f"_d{i}").alias("_mis")) for i in range(len(names))])),
+    unique_part = per_column(u, [F.col(f"_d{i}") for i in range(n)], F.col("_p"))
+    # multi keys: every pair counts as a mismatch here, minus the equal pairs below
+    mp = multi_keys.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).alias("_mp"))
+    multi_part = per_column(mp, [F.col("_mp")] * n, F.col("_mp"))
+    equal_part = _multi_matches(kcols, multi_keys, s_rows, o_rows, plan).select(
+        "_ci", (-F.col("_eq")).cast("bigint").alias("_mis"), F.lit(0).cast("bigint").alias("_pairs")
     )
-
-    multi_pairs = multi_keys.select(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).cast("bigint")).scalar()
-    equal_by_col = _multi_matches(kcols, multi_keys, s_rows, o_rows, plan).groupBy("_ci").agg(
-        F.sum("_equal").alias("_meq")
-    )
-    # every piece below is at most one row per compared column
-    combined = (
-        unique_long.withColumn("_mpairs", multi_pairs)
-        .join(equal_by_col, "_ci", "left")
+    # three independent branches of one plan, then at most 3·n + (equal rows) tiny rows to add up
+    labels = F.array(*[F.lit(x) for x in names])
+    return (
+        unique_part.unionByName(multi_part)
+        .unionByName(equal_part)
+        .groupBy("_ci")
+        .agg(F.sum("_mis").cast("bigint").alias("mismatches"), F.sum("_pairs").alias("_psum"))
         .select(
-            "_ci",
-            (F.col("_mis") + F.col("_mpairs") - F.coalesce(F.col("_meq"), F.lit(0))).cast("bigint").alias("mismatches"),
-            (F.col("_pairs") + F.col("_mpairs")).cast("bigint").alias("pairs"),
+            F.element_at(labels, F.col("_ci") + 1).alias("column_name"),
+            "mismatches",
+            F.col("_psum").cast("bigint").alias("pairs"),
         )
     )
-    labels = F.array(*[F.lit(n) for n in names])
-    return combined.orderBy("_ci").select(
-        F.element_at(labels, F.col("_ci") + 1).alias("column_name"), "mismatches", "pairs"
-    )
 
 
 def inconsistent_keys(source: DataFrame, other: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -182,7 +189,7 @@ def inconsistent_keys(source: DataFrame, other: DataFrame, key: Sequence[str], c
     ).withColumn("mismatches", F.lit(1).cast("bigint"))
 
     per_col = multi_keys.select(*kcols, (F.col("_m") * F.col("_n")).alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("_ci"))
-    eq = _multi_matches(kcols, multi_keys, s_rows, o_rows, plan)
+    eq = _multi_matches(kcols, multi_keys, s_rows, o_rows, plan).groupBy(*kcols, "_ci").agg(F.sum("_eq").alias("_equal"))
     multi_part = (
         per_col.join(eq, kcols + ["_ci"], "left")
         .select(*kcols, "_ci", (F.col("_p") - F.coalesce(F.col("_equal"), F.lit(0))).cast("bigint").alias("mismatches"))

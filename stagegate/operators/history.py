@@ -245,15 +245,18 @@ def build_versions(
     key, tiebreak = list(key), list(tiebreak)
     order = key + [start] + tiebreak
     carry = [start] + tiebreak
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(spark)
 
+    # Without an explicit count AQE sizes the ranges from the shuffle statistics
+    # (coalescing keeps ranges contiguous, so the order is preserved).
+    by_range = [qcol(c) for c in order]
+    ranged = df.repartitionByRange(num_partitions, *by_range) if num_partitions else df.repartitionByRange(*by_range)
     # Materialise the ranges once (reliable checkpoint in the session's checkpoint
     # folder): two independent range exchanges may sample different bounds, and
     # the per-range pass and the head table below must see the same ranges.  The
     # range id is kept as data, so nothing downstream depends on physical layout.
     ordered = (
-        df.repartitionByRange(n, *[qcol(c) for c in order])
+        ranged
         .sortWithinPartitions(*[qcol(c) for c in order])
         .withColumn("_pid", F.spark_partition_id())
         .checkpoint(eager=True)

@@ -16,24 +16,37 @@ from ..spec import DatasetSpec, Mode, Stage, parse_mode
 from .checks import RESULT_SCHEMA, SUCCESS, CheckResult, StageContext, TableProfile, plan_profiles, run_check, stage_checks
 
 
-def run_stage(
-    spec: DatasetSpec, stage: Stage, left: DataFrame, right: DataFrame, parallelism: int = 4
-) -> list[CheckResult]:
-    """All checks of one stage, in the fixed order of that stage.
+def _contexts(spec: DatasetSpec, stages, layers) -> list[tuple[StageContext, list]]:
+    out = []
+    for stage in stages:
+        left, right = layers[stage]
+        ctx = StageContext(spec, stage, left, right, TableProfile(left), TableProfile(right))
+        checks = stage_checks(spec, stage)
+        plan_profiles(ctx, checks)
+        out.append((ctx, checks))
+    return out
+
+
+def _run_all(planned: list[tuple[StageContext, list]], parallelism: int) -> list[list[CheckResult]]:
+    """Run every check of every planned stage; results keep the stage's check order.
 
     Checks are independent Spark jobs, so up to ``parallelism`` of them are
-    submitted at once from driver threads; Spark schedules their tasks side by
-    side.  Shared per-table aggregates are computed once (the first check that
-    needs one runs it, the others wait for its value).
+    submitted at once from driver threads and Spark schedules their tasks side
+    by side.  Shared per-table aggregates are computed once (the first check
+    that needs one runs it, the others wait for its value).
     """
-    ctx = StageContext(spec, stage, left, right, TableProfile(left), TableProfile(right))
-    checks = stage_checks(spec, stage)
-    plan_profiles(ctx, checks)
     if parallelism <= 1:
-        return [run_check(fn, ctx) for fn in checks]
+        return [[run_check(fn, ctx) for fn in checks] for ctx, checks in planned]
     with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="stagegate-check") as pool:
-        futures = [pool.submit(run_check, fn, ctx) for fn in checks]
-        return [f.result() for f in futures]
+        futures = [[pool.submit(run_check, fn, ctx) for fn in checks] for ctx, checks in planned]
+        return [[f.result() for f in fs] for fs in futures]
+
+
+def run_stage(
+    spec: DatasetSpec, stage: Stage, left: DataFrame, right: DataFrame, parallelism: int = 4
+) -> list[CheckResult]:
+    """All checks of one stage, in the fixed order of that stage."""
+    return _run_all(_contexts(spec, [stage], {stage: (left, right)}), parallelism)[0]
 
 
 def run_suite(
@@ -49,16 +62,21 @@ def run_suite(
 
     source→staging compares ``source`` with ``staging``; staging→target compares
     ``staging`` with ``target``.  Missing layers for a requested stage raise
-    ``ValueError`` before any job runs.
+    ``ValueError`` before any job runs.  The checks of all stages share one pool
+    of ``parallelism`` driver threads.
     """
     mode = parse_mode(mode)
-    rows = []
+    layers = {}
     for stage in mode.stages:
         left, right = (source, staging) if stage is Stage.SOURCE_TO_STAGING else (staging, target)
         if left is None or right is None:
             raise ValueError(f"stage {stage.value} needs both layers; got {'left' if left is None else 'right'} missing")
-        for seq, r in enumerate(run_stage(spec, stage, left, right, parallelism), start=1):
-            rows.append((spec.name, stage.value, seq, r.check, r.status, r.violation_count, r.metrics, r.samples, r.details))
+        layers[stage] = (left, right)
+    planned = _contexts(spec, mode.stages, layers)
+    rows = []
+    for (ctx, _), results in zip(planned, _run_all(planned, parallelism)):
+        for seq, r in enumerate(results, start=1):
+            rows.append((spec.name, ctx.stage.value, seq, r.check, r.status, r.violation_count, r.metrics, r.samples, r.details))
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 

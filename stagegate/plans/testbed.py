@@ -12,6 +12,8 @@ The SQL strings here are the DuckDB oracles of the suite-level queries.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,9 +140,12 @@ def suite_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda name: seeded.table(spark, sf_dir, name)
     orders, events = t("orders"), t("events")
     stg, tgt = seeded.staging(orders), seeded.target(orders)
-    a = run_suite(spark, orders_spec(t("customer")), Mode.BOTH, source=orders, staging=stg, target=tgt)
-    b = run_suite(spark, EVENTS_SPEC, Mode.STAGING_TO_TARGET, staging=scd2_staging(events), target=seeded.scd2(events))
-    return a.unionByName(b)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        a = pool.submit(run_suite, spark, orders_spec(t("customer")), Mode.BOTH, source=orders, staging=stg, target=tgt)
+        b = pool.submit(
+            lambda: run_suite(spark, EVENTS_SPEC, Mode.STAGING_TO_TARGET, staging=scd2_staging(events), target=seeded.scd2(events))
+        )
+        return a.result().unionByName(b.result())
 
 
 # number of schema issues each layer has against its declared schema
