@@ -316,8 +316,8 @@ def merge_versions(
     """Apply one load to a type-2 history (MERGE semantics, loads in date order).
 
     ``history`` has the key, the tracked columns and the interval/flag columns;
-    ``batch`` has the key, the tracked columns and ``batch_start`` (one row per
-    key).  For a key whose tracked values differ NULL-safely from its current
+    ``batch`` has the key, the tracked columns and ``batch_start``; a key with
+    several rows in one batch keeps only its latest.  For a key whose tracked values differ NULL-safely from its current
     version, or which is new, the current version is closed at the batch start
     and the batch row becomes the new current version.  Keys absent from the
     batch, and keys whose values did not change, are left as they are; closed
@@ -332,6 +332,8 @@ def merge_versions(
     closed = history.where(~flag_is_active | F.col(flag_name).isNull())
     current = history.where(flag_is_active)
 
+    # one row per key: the latest by batch start (ties broken on the tracked values)
+    batch = latest_per_key(batch.select(*[qcol(c) for c in cols], qcol(batch_start)), key, [batch_start])
     b = batch.select(
         *[qcol(k).alias(f"_bk{i}") for i, k in enumerate(key)],
         *[qcol(c).alias(f"_bt{i}") for i, c in enumerate(tracked)],

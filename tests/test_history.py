@@ -74,3 +74,11 @@ def test_batch_stamp_and_counts(spark):
     hist = H.append_batch(H.stamp_batch(df, "2025-12-15"), H.stamp_batch(df.limit(1), dt.date(2025, 12, 16)))
     got = {r["batch_date"]: r["n_rows"] for r in H.batch_counts(hist).collect()}
     assert got == {dt.date(2025, 12, 15): 2, dt.date(2025, 12, 16): 1}
+
+
+def test_merge_batch_with_repeated_key_keeps_latest(spark):
+    d1, d2, d3 = dt.date(2025, 1, 1), dt.date(2025, 1, 2), dt.date(2025, 1, 3)
+    hist = H.scd2_load(spark.createDataFrame([(1, 10)], "k int, a int"), d1)
+    batch = spark.createDataFrame([(1, 20, d2), (1, 30, d3)], "k int, a int, batch_date date")
+    rows = sorted((r["a"], r["effective_end_date"], r["is_active"]) for r in H.merge_versions(hist, batch, ["k"], ["a"]).collect())
+    assert rows == [(10, d3, "N"), (30, None, "Y")]
