@@ -315,22 +315,26 @@ def merge_versions(
 ) -> DataFrame:
     """Apply one load to a type-2 history (MERGE semantics, loads in date order).
 
-    ``history`` has the key, the tracked columns and the interval/flag columns;
-    ``batch`` has the key, the tracked columns and ``batch_start``; a key with
-    several rows in one batch keeps only its latest.  For a key whose tracked values differ NULL-safely from its current
-    version, or which is new, the current version is closed at the batch start
-    and the batch row becomes the new current version.  Keys absent from the
-    batch, and keys whose values did not change, are left as they are; closed
-    versions pass through untouched.
-
-    Only current versions meet the batch in a join (one row per key on both
-    sides), so a key with a long history never makes a join partition heavier.
+    ``history`` has the key, the tracked columns and the interval/flag columns,
+    with at most one active version per key (as ``build_versions`` and this
+    function produce).  ``batch`` has the key, the tracked columns and
+    ``batch_start``; a key with several rows in one batch keeps only its latest.
+    For a key whose tracked values differ NULL-safely from its current version,
+    or which is new, the current version is closed at the batch start and the
+    batch row becomes the new current version.  Keys absent from the batch, and
+    keys whose values did not change, are left as they are; closed versions pass
+    through untouched.
+
+    Only current versions meet the batch, in one full outer join with one row
+    per key on each side: a key with a long history never makes a join
+    partition heavier, and each side is shuffled once.
     """
     key, tracked = list(key), list(tracked)
     cols = key + tracked
+    types = {f.name: f.dataType for f in history.schema.fields}
     flag_is_active = F.col(flag_name) == F.lit(active)
     closed = history.where(~flag_is_active | F.col(flag_name).isNull())
-    current = history.where(flag_is_active)
+    current = history.where(flag_is_active).withColumn("_cur", F.lit(True))
 
     # one row per key: the latest by batch start (ties broken on the tracked values)
     batch = latest_per_key(batch.select(*[qcol(c) for c in cols], qcol(batch_start)), key, [batch_start])
@@ -338,38 +342,44 @@ def merge_versions(
         *[qcol(k).alias(f"_bk{i}") for i, k in enumerate(key)],
         *[qcol(c).alias(f"_bt{i}") for i, c in enumerate(tracked)],
         qcol(batch_start).alias("_bstart"),
+        F.lit(True).alias("_new"),
     )
-    on = [qcol(k) == F.col(f"_bk{i}") for i, k in enumerate(key)]
+    joined = current.join(b, [qcol(k) == F.col(f"_bk{i}") for i, k in enumerate(key)], "full_outer")
+
     same = F.lit(True)
     for i, c in enumerate(tracked):
         same = same & qcol(c).eqNullSafe(F.col(f"_bt{i}"))
-
-    cur_b = current.join(b, on, "left")
-    touched = F.col("_bk0").isNotNull() & ~same
-    out_cols = [c for c in history.columns]
-    current_out = cur_b.select(
-        *[qcol(c) for c in out_cols if c not in (end_name, flag_name)],
-        F.when(touched, F.col("_bstart").cast(history.schema[end_name].dataType)).otherwise(qcol(end_name)).alias(end_name),
-        F.when(touched, F.lit(inactive)).otherwise(qcol(flag_name)).alias(flag_name),
-    ).select(*[qcol(c) for c in out_cols])
-
-    changed_or_new = b.join(
-        current.select(*[qcol(c) for c in cols]),
-        [F.col(f"_bk{i}") == qcol(k) for i, k in enumerate(key)],
-        "left",
-    ).where(F.col(f"{_q(key[0])}").isNull() | ~same)
-    new_rows = changed_or_new.select(
-        *[F.col(f"_bk{i}").alias(k) for i, k in enumerate(key)],
-        *[F.col(f"_bt{i}").alias(c) for i, c in enumerate(tracked)],
-        F.col("_bstart").cast(history.schema[start_name].dataType).alias(start_name),
-        F.lit(None).cast(history.schema[end_name].dataType).alias(end_name),
-        F.lit(active).alias(flag_name),
+    has_cur = F.coalesce(F.col("_cur"), F.lit(False))
+    has_new = F.coalesce(F.col("_new"), F.lit(False))
+    closes = has_cur & has_new & ~same
+    opens = has_new & (~has_cur | ~same)
+
+    out_cols = list(history.columns)
+    cur_version = F.struct(
+        *[
+            (
+                F.when(closes, F.col("_bstart").cast(types[c])).otherwise(qcol(c))
+                if c == end_name
+                else F.when(closes, F.lit(inactive)).otherwise(qcol(c))
+                if c == flag_name
+                else qcol(c)
+            ).alias(c)
+            for c in out_cols
+        ]
     )
-    extra = [c for c in out_cols if c not in cols + [start_name, end_name, flag_name]]
-    if extra:
-        new_rows = new_rows.select(*new_rows.columns, *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in extra])
-    return closed.unionByName(current_out).unionByName(new_rows.select(*[qcol(c) for c in out_cols]))
-
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    def new_value(c: str):
+        if c in key:
+            return F.col(f"_bk{key.index(c)}").cast(types[c])
+        if c in tracked:
+            return F.col(f"_bt{tracked.index(c)}").cast(types[c])
+        if c == start_name:
+            return F.col("_bstart").cast(types[c])
+        if c == flag_name:
+            return F.lit(active).cast(types[c])
+        return F.lit(None).cast(types[c])  # end date and untracked columns
+
+    new_version = F.struct(*[new_value(c).alias(c) for c in out_cols])
+    versions = F.array(F.when(has_cur, cur_version), F.when(opens, new_version))
+    merged = joined.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("_v")).select("_v.*")
+    return closed.unionByName(merged)
