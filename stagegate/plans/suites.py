@@ -17,10 +17,17 @@ from .checks import RESULT_SCHEMA, SUCCESS, CheckResult, StageContext, TableProf
 
 
 def _contexts(spec: DatasetSpec, stages, layers) -> list[tuple[StageContext, list]]:
+    """Plan every stage before running any: a layer used by two stages (staging in
+    ``both``) gets one profile, so all its aggregates come from a single scan."""
+    profiles: dict[int, TableProfile] = {}
+
+    def profile(df: DataFrame) -> TableProfile:
+        return profiles.setdefault(id(df), TableProfile(df))
+
     out = []
     for stage in stages:
         left, right = layers[stage]
-        ctx = StageContext(spec, stage, left, right, TableProfile(left), TableProfile(right))
+        ctx = StageContext(spec, stage, left, right, profile(left), profile(right))
         checks = stage_checks(spec, stage)
         plan_profiles(ctx, checks)
         out.append((ctx, checks))
