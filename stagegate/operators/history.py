@@ -221,6 +221,22 @@ def _next_in_partition(order: list[str], key: list[str], carry_names: list[str])
     return run
 
 
+def ordered_ranges(df: DataFrame, order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` cut into contiguous ranges of ``order``, sorted within each, with the range id ``_pid``.
+
+    Without an explicit count AQE sizes the ranges from the shuffle statistics
+    (coalescing keeps ranges contiguous, so the order is preserved).  The result
+    is materialised once (reliable checkpoint in the session's checkpoint folder):
+    two independent range exchanges may sample different bounds, and every
+    consumer must see the same ranges.  The range id is kept as data, so nothing
+    downstream depends on physical layout.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    by_range = [qcol(c) for c in order]
+    ranged = df.repartitionByRange(num_partitions, *by_range) if num_partitions else df.repartitionByRange(*by_range)
+    return ranged.sortWithinPartitions(*by_range).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+
+
 def build_versions(
     df: DataFrame,
     key: Sequence[str],
@@ -241,26 +257,10 @@ def build_versions(
     ``flag_name`` is ``active`` for the last version, ``inactive`` otherwise.
     ``next_columns`` (a subset of ``tiebreak``) are also emitted as ``next_<c>``.
     """
-    spark = df.sparkSession
     key, tiebreak = list(key), list(tiebreak)
     order = key + [start] + tiebreak
     carry = [start] + tiebreak
-    ensure_checkpoint_dir(spark)
-
-    # Without an explicit count AQE sizes the ranges from the shuffle statistics
-    # (coalescing keeps ranges contiguous, so the order is preserved).
-    by_range = [qcol(c) for c in order]
-    ranged = df.repartitionByRange(num_partitions, *by_range) if num_partitions else df.repartitionByRange(*by_range)
-    # Materialise the ranges once (reliable checkpoint in the session's checkpoint
-    # folder): two independent range exchanges may sample different bounds, and
-    # the per-range pass and the head table below must see the same ranges.  The
-    # range id is kept as data, so nothing downstream depends on physical layout.
-    ordered = (
-        ranged
-        .sortWithinPartitions(*[qcol(c) for c in order])
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    ordered = ordered_ranges(df, order, num_partitions)
     fields = list(ordered.schema.fields)
     types = {f.name: f.dataType for f in fields}
     out_schema = T.StructType(

@@ -82,3 +82,13 @@ def test_merge_batch_with_repeated_key_keeps_latest(spark):
     batch = spark.createDataFrame([(1, 20, d2), (1, 30, d3)], "k int, a int, batch_date date")
     rows = sorted((r["a"], r["effective_end_date"], r["is_active"]) for r in H.merge_versions(hist, batch, ["k"], ["a"]).collect())
     assert rows == [(10, d3, "N"), (30, None, "Y")]
+
+
+def test_hot_key_is_spread_over_ranges(spark):
+    # one key holds a third of all rows; the ranges stay balanced (no task gets the whole key)
+    df = spark.range(0, 30000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "id AS t")
+    counts = [r["n"] for r in H.ordered_ranges(df, ["k", "t"], 12).groupBy("_pid").agg(F.count("*").alias("n")).collect()]
+    assert len(counts) >= 10
+    assert max(counts) < 2.5 * (30000 / len(counts))
+    hot_ranges = H.ordered_ranges(df, ["k", "t"], 12).where("k = 0").select("_pid").distinct().count()
+    assert hot_ranges >= 3
