@@ -20,7 +20,7 @@ from stagegate.operators import consistency as C
 from stagegate.operators import history as H
 from stagegate.operators import schema as S
 from stagegate.operators import violations as V
-from stagegate.plans import testbed as demo
+from stagegate.plans import testbed
 from stagegate.sources import seeded
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -28,7 +28,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: both stages of the orders pipeline plus the type-2 history suite, as result rows."""
-    return demo.suite_results(spark, SMOKE_DIR)
+    return testbed.suite_results(spark, SMOKE_DIR)
 
 
 # ---------------------------------------------------------------- Spark side
@@ -55,7 +55,7 @@ def _status(ok) -> F.Column:
 
 
 def q_schemachk(spark, d):
-    return S.schema_issues(_stg(spark, d).schema, demo.STAGING_EXPECTED, spark=spark)
+    return S.schema_issues(_stg(spark, d).schema, testbed.STAGING_EXPECTED, spark=spark)
 
 
 def q_count_val(spark, d):
@@ -99,7 +99,7 @@ def q_count_val_latest_batch(spark, d):
 
 
 def q_scd_type2_record_count(spark, d):
-    r = V.row_counts(demo.scd2_staging(_t(spark, d, "events")), _scd(spark, d))
+    r = V.row_counts(testbed.scd2_staging(_t(spark, d, "events")), _scd(spark, d))
     return r.select(
         F.col("source_count").alias("staging_count"),
         "target_count",
@@ -120,7 +120,7 @@ def q_referential_integrity(spark, d):
 
 
 def q_transformation_rules(spark, d):
-    return V.rule_violation_counts(_tgt(spark, d), demo.TARGET_RULES)
+    return V.rule_violation_counts(_tgt(spark, d), testbed.TARGET_RULES)
 
 
 def q_scd2_build(spark, d):
@@ -137,27 +137,27 @@ def q_scd1_latest(spark, d):
 
 def q_scd1_apply_changes(spark, d):
     base = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    changes = demo.price_changes(_stg(spark, d))
+    changes = testbed.price_changes(_stg(spark, d))
     return H.apply_changes(base, changes, ["o_orderkey"])
 
 
 def q_scd2_load(spark, d):
     base = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return H.scd2_load(base, "2025-12-17", changes=demo.price_changes(_stg(spark, d)), key=["o_orderkey"])
+    return H.scd2_load(base, "2025-12-17", changes=testbed.price_changes(_stg(spark, d)), key=["o_orderkey"])
 
 
 def q_scd2_merge(spark, d):
-    return demo.orders_scd2_incremental(_tgt(spark, d))
+    return testbed.orders_scd2_incremental(_tgt(spark, d))
 
 
 def q_suite_results(spark, d):
-    return demo.suite_results(spark, d).select("dataset", "stage", "check", "status", "violation_count")
+    return testbed.suite_results(spark, d).select("dataset", "stage", "check", "status", "violation_count")
 
 
 def q_suite_summary(spark, d):
     from stagegate.plans.suites import summarize
 
-    return summarize(demo.suite_results(spark, d))
+    return summarize(testbed.suite_results(spark, d))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -255,7 +255,7 @@ def oracle_sql() -> dict[str, str]:
         for c in cols
     )
     return {
-        "schemachk": demo.SCHEMACHK_ORACLE,
+        "schemachk": testbed.SCHEMACHK_ORACLE,
         "count_val": _with(_STG)
         + """SELECT a.source_count, b.target_count,
        CASE WHEN a.source_count = b.target_count THEN 'Success' ELSE 'Fail' END AS status
@@ -321,7 +321,7 @@ FROM orders o LEFT JOIN chg c ON o.o_orderkey = c.o_orderkey""",
        CASE WHEN c.o_orderkey IS NOT NULL THEN c.o_totalprice ELSE o.o_totalprice END AS o_totalprice,
        DATE '2025-12-17' AS effective_start_date, CAST(NULL AS DATE) AS effective_end_date, 'Y' AS is_active
 FROM orders o LEFT JOIN chg c ON o.o_orderkey = c.o_orderkey""",
-        "scd2_merge": _with(_TGT) + demo.SCD2_MERGE_ORACLE,
-        "suite_results": demo.suite_oracle(_STG, _TGT, _SCD, _SCD2_STG),
-        "suite_summary": demo.summary_oracle(_STG, _TGT, _SCD, _SCD2_STG),
+        "scd2_merge": _with(_TGT) + testbed.SCD2_MERGE_ORACLE,
+        "suite_results": testbed.suite_oracle(_STG, _TGT, _SCD, _SCD2_STG),
+        "suite_summary": testbed.summary_oracle(_STG, _TGT, _SCD, _SCD2_STG),
     }
