@@ -1,6 +1,6 @@
 """Command line: validate one dataset from the two JSON config files.
 
-    python -m stagegate --file-config file_config.json --schema-config schema_config.json \\
+    python -m stagegate --file-config datasets.json --schema-config schemas.json \\
         --dataset orders_data --mode both [--output results_path]
 
 Prints the result rows and the summary; with ``--output`` the result rows are

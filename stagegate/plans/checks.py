@@ -26,8 +26,23 @@ from ..operators import violations as V
 from ..operators.schema import compare_schemas
 from ..spec import DatasetSpec, ScdType, Stage
 
+# Result statuses ("Error" is ours: a check that raised).
 SUCCESS, FAIL, ERROR = "Success", "Fail", "Error"
 
+# The check names reported in results.
+SCHEMA = "schemachk"
+COUNT = "count_val"
+NULLS = "null_val"
+DUPLICATES = "primary_key_val"
+COMPLETENESS = "data_completeness"
+CONSISTENCY = "data_consistency"
+LATEST_BATCH = "count_val_latest_batch"
+SCD2_COUNT = "scd_type2_record_count"
+ACTIVE_FLAG = "scd_type2_active_flag"
+HISTORY = "scd_type2_history"
+REFERENTIAL = "referential_integrity"
+RULES = "transformation_rules"
+
 RESULT_SCHEMA = T.StructType(
     [
         T.StructField("dataset", T.StringType(), False),
@@ -182,11 +197,11 @@ def _status(ok: bool) -> str:
 def check_schema(ctx: StageContext) -> CheckResult:
     expected = ctx.spec.expected_schema_for(ctx.stage)
     if expected is None:
-        return CheckResult("schemachk", SUCCESS, 0, details="no expected schema declared")
+        return CheckResult(SCHEMA, SUCCESS, 0, details="no expected schema declared")
     issues = compare_schemas(ctx.right.schema, expected, ctx.spec.check_nullable)
     msgs = [i.message() for i in issues]
     return CheckResult(
-        "schemachk",
+        SCHEMA,
         _status(not issues),
         len(issues),
         {"issues": len(issues)},
@@ -198,7 +213,7 @@ def check_schema(ctx: StageContext) -> CheckResult:
 def check_count(ctx: StageContext) -> CheckResult:
     s, t = ctx.left_profile.get("_count"), ctx.right_profile.get("_count")
     return CheckResult(
-        "count_val", _status(s == t), abs(s - t), {"source_count": s, "target_count": t}, details=f"source={s}, target={t}"
+        COUNT, _status(s == t), abs(s - t), {"source_count": s, "target_count": t}, details=f"source={s}, target={t}"
     )
 
 
@@ -210,7 +225,7 @@ def check_nulls(ctx: StageContext) -> CheckResult:
     bad = {c: n for c, n in counts.items() if n > 0}
     parts = [f"{c}: {n}" for c, n in bad.items()] + [f"{c}: missing column" for c in missing]
     return CheckResult(
-        "null_val",
+        NULLS,
         _status(not bad and not missing),
         sum(counts.values()) + len(missing),
         counts,
@@ -225,7 +240,7 @@ def check_duplicates(ctx: StageContext) -> CheckResult:
     else:
         total, samples = sampled(V.duplicate_keys(ctx.right, key), key, ctx.spec.sample_size)
     return CheckResult(
-        "primary_key_val",
+        DUPLICATES,
         _status(total == 0),
         total,
         {"duplicate_keys": total},
@@ -238,7 +253,7 @@ def check_completeness(ctx: StageContext) -> CheckResult:
     key = list(ctx.spec.key)
     total, samples = sampled(V.missing_keys(ctx.left, ctx.right, key), key, ctx.spec.sample_size)
     return CheckResult(
-        "data_completeness",
+        COMPLETENESS,
         _status(total == 0),
         total,
         {"missing_keys": total},
@@ -270,7 +285,7 @@ def check_consistency(ctx: StageContext) -> CheckResult:
     if plan.drifted:
         notes.append("compared as text (type drift): " + ", ".join(plan.drifted))
     return CheckResult(
-        "data_consistency",
+        CONSISTENCY,
         _status(total == 0),
         total,
         {**per_col, "_pairs": pairs},
@@ -282,13 +297,13 @@ def check_consistency(ctx: StageContext) -> CheckResult:
 def check_latest_batch(ctx: StageContext) -> CheckResult:
     b = ctx.spec.batch_column
     if b not in ctx.left.columns or b not in ctx.right.columns:
-        return CheckResult("count_val_latest_batch", FAIL, None, details=f"{b} column missing in staging or target")
+        return CheckResult(LATEST_BATCH, FAIL, None, details=f"{b} column missing in staging or target")
     row = V.latest_batch_counts(ctx.left, ctx.right, b).first()
     if row["batch_value"] is None:
-        return CheckResult("count_val_latest_batch", FAIL, None, details=f"no {b} value in staging")
+        return CheckResult(LATEST_BATCH, FAIL, None, details=f"no {b} value in staging")
     s, t = int(row["staging_count"]), int(row["target_count"])
     return CheckResult(
-        "count_val_latest_batch",
+        LATEST_BATCH,
         _status(s == t),
         abs(s - t),
         {"staging_count": s, "target_count": t},
@@ -299,7 +314,7 @@ def check_latest_batch(ctx: StageContext) -> CheckResult:
 def check_scd2_count(ctx: StageContext) -> CheckResult:
     s, t = ctx.left_profile.get("_count"), ctx.right_profile.get("_count")
     return CheckResult(
-        "scd_type2_record_count",
+        SCD2_COUNT,
         _status(t >= s),
         max(s - t, 0),
         {"staging_count": s, "target_count": t},
@@ -310,7 +325,7 @@ def check_scd2_count(ctx: StageContext) -> CheckResult:
 def check_active_flag(ctx: StageContext) -> CheckResult:
     spec = ctx.spec
     if not spec.active_flag:
-        return CheckResult("scd_type2_active_flag", FAIL, None, details="no active flag column configured")
+        return CheckResult(ACTIVE_FLAG, FAIL, None, details="no active flag column configured")
     key = list(spec.key)
     if ctx.key_profile is not None and "active_flag" in ctx.key_profile.checks:
         total, samples = ctx.key_profile.get("active_flag")
@@ -318,7 +333,7 @@ def check_active_flag(ctx: StageContext) -> CheckResult:
         viol = V.active_flag_violations(ctx.right, key, spec.active_flag, spec.active_values)
         total, samples = sampled(viol, key, spec.sample_size)
     return CheckResult(
-        "scd_type2_active_flag",
+        ACTIVE_FLAG,
         _status(total == 0),
         total,
         {"invalid_keys": total},
@@ -330,11 +345,11 @@ def check_active_flag(ctx: StageContext) -> CheckResult:
 def check_history(ctx: StageContext) -> CheckResult:
     spec = ctx.spec
     if not spec.active_flag:
-        return CheckResult("scd_type2_history", SUCCESS, 0, details="no active flag column configured")
+        return CheckResult(HISTORY, SUCCESS, 0, details="no active flag column configured")
     inactive = int(ctx.right_profile.get("_inactive"))
     unknown = int(ctx.right_profile.get("_unknown_flag"))
     return CheckResult(
-        "scd_type2_history",
+        HISTORY,
         SUCCESS,
         0,
         {"inactive_count": inactive, "unknown_flag_count": unknown},
@@ -345,15 +360,15 @@ def check_history(ctx: StageContext) -> CheckResult:
 def check_referential(ctx: StageContext) -> CheckResult:
     lk = ctx.spec.lookup
     if lk is None:
-        return CheckResult("referential_integrity", SUCCESS, 0, details="no lookup configured")
+        return CheckResult(REFERENTIAL, SUCCESS, 0, details="no lookup configured")
     if lk.table is None:
-        return CheckResult("referential_integrity", FAIL, None, details=f"lookup table '{lk.name}' not loaded")
+        return CheckResult(REFERENTIAL, FAIL, None, details=f"lookup table '{lk.name}' not loaded")
     if lk.target_column not in ctx.right.columns:
-        return CheckResult("referential_integrity", FAIL, None, details=f"column {lk.target_column} missing in target")
+        return CheckResult(REFERENTIAL, FAIL, None, details=f"column {lk.target_column} missing in target")
     viol = V.orphan_values(ctx.right, lk.target_column, lk.table, lk.lookup_column)
     total, samples = sampled(viol, [lk.target_column], ctx.spec.sample_size, total=F.sum("n_rows"))
     return CheckResult(
-        "referential_integrity",
+        REFERENTIAL,
         _status(total == 0),
         total,
         {"orphan_rows": total},
@@ -367,7 +382,7 @@ def check_rules(ctx: StageContext) -> CheckResult:
     counts = {r.name: int(ctx.right_profile.get(f"_rule:{r.name}")) for r in rules}
     bad = {n: c for n, c in counts.items() if c}
     return CheckResult(
-        "transformation_rules",
+        RULES,
         _status(not bad),
         sum(counts.values()),
         counts,
@@ -437,17 +452,18 @@ def run_check(fn, ctx: StageContext) -> CheckResult:
         return CheckResult(label, ERROR, None, details=msg + " | " + traceback.format_exc(limit=1).splitlines()[-1][:200])
 
 
+# check function → reported name (for the Error row of a check that raised)
 _CHECK_NAMES = {
-    "check_schema": "schemachk",
-    "check_count": "count_val",
-    "check_nulls": "null_val",
-    "check_duplicates": "primary_key_val",
-    "check_completeness": "data_completeness",
-    "check_consistency": "data_consistency",
-    "check_latest_batch": "count_val_latest_batch",
-    "check_scd2_count": "scd_type2_record_count",
-    "check_active_flag": "scd_type2_active_flag",
-    "check_history": "scd_type2_history",
-    "check_referential": "referential_integrity",
-    "check_rules": "transformation_rules",
+    "check_schema": SCHEMA,
+    "check_count": COUNT,
+    "check_nulls": NULLS,
+    "check_duplicates": DUPLICATES,
+    "check_completeness": COMPLETENESS,
+    "check_consistency": CONSISTENCY,
+    "check_latest_batch": LATEST_BATCH,
+    "check_scd2_count": SCD2_COUNT,
+    "check_active_flag": ACTIVE_FLAG,
+    "check_history": HISTORY,
+    "check_referential": REFERENTIAL,
+    "check_rules": RULES,
 }

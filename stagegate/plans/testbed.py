@@ -35,12 +35,25 @@ STAGING_EXPECTED = parse_expected_schema(
 )
 
 TARGET_EXPECTED = parse_expected_schema(
-    "o_orderkey bigint NOT NULL, o_custkey bigint, o_totalprice double, batch_date date NOT NULL, o_orderdate string"
+    [
+        {"name": "o_orderkey", "type": "bigint", "nullable": False},
+        {"name": "o_custkey", "type": "bigint"},
+        {"name": "o_totalprice", "type": "double"},
+        {"name": "batch_date", "type": "date", "nullable": False},
+        {"name": "o_orderdate", "type": "string"},
+    ]
 )
 
 SCD_EXPECTED = parse_expected_schema(
-    "user_id bigint NOT NULL, event_id bigint, event_type string, value double, "
-    "effective_start timestamp_ntz, effective_end timestamp_ntz, is_active string NOT NULL"
+    [
+        {"name": "user_id", "type": "bigint", "nullable": False},
+        {"name": "event_id", "type": "bigint"},
+        {"name": "event_type", "type": "string"},
+        {"name": "value", "type": "double"},
+        {"name": "effective_start", "type": "timestamp_ntz"},
+        {"name": "effective_end", "type": "timestamp_ntz"},
+        {"name": "is_active", "type": "string", "nullable": False},
+    ]
 )
 
 # DuckDB literal of the issues ``compare_schemas(staging.schema, STAGING_EXPECTED)`` must give.

@@ -38,6 +38,16 @@ from ..spec import NON_NEGATIVE_AMOUNT, DatasetSpec, Lookup, Mode, Rule, parse_e
 from .readers import load_layers, read_lookup
 
 
+# Keys of a dataset entry in the file config.
+SOURCE_PATH, STAGING_PATH, TARGET_PATH = "src_file_path", "stg_file_path", "trgt_file_path"
+PRIMARY_KEY = "primary_key"
+NON_NULL_FLAT, NON_NULL_BY_STAGE = "non_nullable_columns", "non_nullable"
+SCD_TYPE, ACTIVE_FLAG = "scd_type", "active_flag_column"
+LOOKUP, LOOKUP_DATASET, LOOKUP_COLUMN, LOOKUP_TARGET = "lookup", "lookup_file", "lookup_column", "target_column"
+# and of a dataset entry in the schema config
+STAGING_SCHEMA, TARGET_SCHEMA = "staging", "target"
+
+
 def _load_json(value: Mapping | str | Path) -> dict:
     if isinstance(value, Mapping):
         return dict(value)
@@ -61,7 +71,7 @@ def dataset_config(name: str, file_config: Mapping | str | Path, schema_config:
     if name not in files:
         raise KeyError(f"dataset {name!r} not in the file config")
     info = files[name]
-    non_null = info.get("non_nullable_columns", info.get("non_nullable", {}))
+    non_null = info.get(NON_NULL_FLAT, info.get(NON_NULL_BY_STAGE, {}))
     sch = schemas.get(name, {})
     rules = (
         tuple(Rule(r["name"], r["violation"], tuple(r.get("requires", ()))) for r in info["rules"])
@@ -70,21 +80,21 @@ def dataset_config(name: str, file_config: Mapping | str | Path, schema_config:
     )
     lookup_path = lookup_fmt = None
     lookup = None
-    if "lookup" in info:
-        lk = info["lookup"]
-        other = files.get(lk["lookup_file"])
+    if LOOKUP in info:
+        lk = info[LOOKUP]
+        other = files.get(lk[LOOKUP_DATASET])
         if other is None:
-            raise KeyError(f"lookup dataset {lk['lookup_file']!r} not in the file config")
-        lookup_path, lookup_fmt = other["trgt_file_path"], other.get("format")
-        lookup = Lookup(None, lk["lookup_column"], lk["target_column"], name=lk["lookup_file"])
+            raise KeyError(f"lookup dataset {lk[LOOKUP_DATASET]!r} not in the file config")
+        lookup_path, lookup_fmt = other[TARGET_PATH], other.get("format")
+        lookup = Lookup(None, lk[LOOKUP_COLUMN], lk[LOOKUP_TARGET], name=lk[LOOKUP_DATASET])
     spec = DatasetSpec(
         name=name,
-        key=tuple(info["primary_key"]),
-        scd_type=info.get("scd_type", "type1"),
+        key=tuple(info[PRIMARY_KEY]),
+        scd_type=info.get(SCD_TYPE, "type1"),
         non_null=non_null,
-        staging_schema=parse_expected_schema(sch["staging"]) if "staging" in sch else None,
-        target_schema=parse_expected_schema(sch["target"]) if "target" in sch else None,
-        active_flag=info.get("active_flag_column"),
+        staging_schema=parse_expected_schema(sch[STAGING_SCHEMA]) if STAGING_SCHEMA in sch else None,
+        target_schema=parse_expected_schema(sch[TARGET_SCHEMA]) if TARGET_SCHEMA in sch else None,
+        active_flag=info.get(ACTIVE_FLAG),
         active_values=tuple(info.get("active_values", ("Y", "TRUE", "1"))),
         inactive_values=tuple(info.get("inactive_values", ("N", "FALSE", "0"))),
         batch_column=info.get("batch_column", "batch_date"),
@@ -93,7 +103,7 @@ def dataset_config(name: str, file_config: Mapping | str | Path, schema_config:
         check_nullable=bool(info.get("check_nullable", True)),
         sample_size=int(info.get("sample_size", 10)),
     )
-    paths = {"source": info.get("src_file_path"), "staging": info.get("stg_file_path"), "target": info.get("trgt_file_path")}
+    paths = {"source": info.get(SOURCE_PATH), "staging": info.get(STAGING_PATH), "target": info.get(TARGET_PATH)}
     return DatasetConfig(spec, paths, info.get("format"), dict(info.get("read_options", {})), lookup_path, lookup_fmt)
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Stage, mode and SCD-type names as used in configs and results.
 class Stage(str, enum.Enum):
     SOURCE_TO_STAGING = "source_to_staging"
     STAGING_TO_TARGET = "staging_to_target"
@@ -109,10 +110,7 @@ def parse_expected_schema(fields: Sequence[Mapping] | T.StructType | str) -> T.S
         text = fields.strip()
         if text.startswith("{"):
             return T.StructType.fromJson(json.loads(text))
-        flat = _parse_flat_ddl(text)
-        if flat is not None:
-            return flat
-        parsed = T._parse_datatype_string(text)
+        parsed = T._parse_datatype_string(text)  # Spark's DDL parser (needs an active session)
         if not isinstance(parsed, T.StructType):
             raise ValueError(f"schema DDL must describe a struct, got {parsed.simpleString()}")
         return parsed
@@ -124,20 +122,6 @@ def parse_expected_schema(fields: Sequence[Mapping] | T.StructType | str) -> T.S
     return T.StructType(out)
 
 
-def _parse_flat_ddl(text: str) -> T.StructType | None:
-    """``name type [NOT NULL], ...`` with simple types, parsed without a session; None otherwise."""
-    fields = []
-    for part in text.split(","):
-        words = part.split()
-        nullable = True
-        if len(words) >= 4 and [w.upper() for w in words[-2:]] == ["NOT", "NULL"]:
-            nullable, words = False, words[:-2]
-        if len(words) != 2 or words[1].lower() not in _SIMPLE_DDL:
-            return None
-        fields.append(T.StructField(words[0].strip("`"), _SIMPLE_DDL[words[1].lower()](), nullable))
-    return T.StructType(fields)
-
-
 @dataclass(frozen=True)
 class Rule:
     """A business rule: rows for which ``violation`` is true break it.

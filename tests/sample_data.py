@@ -124,29 +124,30 @@ SCHEMA_CONFIG = {
 def write_fixture(folder) -> dict:
     """Write the six CSVs into ``folder`` and return a file config pointing at them."""
     files = {
-        "customer_src.csv": CUSTOMER_SOURCE,
-        "customer_staging.csv": CUSTOMER_STAGING,
-        "customer_target.csv": CUSTOMER_TARGET,
-        "orders_source.csv": ORDERS_SOURCE,
-        "orders_staging.csv": ORDERS_STAGING,
-        "orders_target.csv": ORDERS_TARGET,
+        "customers/source.csv": CUSTOMER_SOURCE,
+        "customers/staging.csv": CUSTOMER_STAGING,
+        "customers/target.csv": CUSTOMER_TARGET,
+        "orders/source.csv": ORDERS_SOURCE,
+        "orders/staging.csv": ORDERS_STAGING,
+        "orders/target.csv": ORDERS_TARGET,
     }
     for name, text in files.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
         (folder / name).write_text(text)
     p = lambda n: str(folder / n)
     return {
         "customer_data": {
-            "src_file_path": p("customer_src.csv"),
-            "stg_file_path": p("customer_staging.csv"),
-            "trgt_file_path": p("customer_target.csv"),
+            "src_file_path": p("customers/source.csv"),
+            "stg_file_path": p("customers/staging.csv"),
+            "trgt_file_path": p("customers/target.csv"),
             "primary_key": ["customer_id"],
             "non_nullable_columns": ["customer_id", "batch_date"],
             "scd_type": "type1",
         },
         "orders_data": {
-            "src_file_path": p("orders_source.csv"),
-            "stg_file_path": p("orders_staging.csv"),
-            "trgt_file_path": p("orders_target.csv"),
+            "src_file_path": p("orders/source.csv"),
+            "stg_file_path": p("orders/staging.csv"),
+            "trgt_file_path": p("orders/target.csv"),
             "primary_key": ["order_id"],
             "non_nullable": {
                 "source_to_staging": ["order_id", "customer_id"],

@@ -13,7 +13,7 @@ from stagegate.sources.config import validate_dataset
 def fixture_config(tmp_path_factory):
     folder = tmp_path_factory.mktemp("samples")
     files = write_fixture(folder)
-    fpath, spath = folder / "file_config.json", folder / "schema_config.json"
+    fpath, spath = folder / "datasets.json", folder / "schemas.json"
     fpath.write_text(json.dumps(files))
     spath.write_text(json.dumps(SCHEMA_CONFIG))
     return str(fpath), str(spath)
