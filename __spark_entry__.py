@@ -93,6 +93,19 @@ def q_data_consistency_keys(spark, d):
     return C.inconsistent_keys(_t(spark, d, "orders"), _stg(spark, d), ["o_orderkey"])
 
 
+_LINE_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def q_data_consistency_lineitem(spark, d):
+    li = _t(spark, d, "lineitem")
+    return C.consistency_summary(li, seeded.lineitem_staging(li), _LINE_KEY)
+
+
+def q_data_completeness_lineitem(spark, d):
+    li = _t(spark, d, "lineitem")
+    return V.missing_keys(li, seeded.lineitem_staging(li), _LINE_KEY)
+
+
 def q_count_val_latest_batch(spark, d):
     r = V.latest_batch_counts(_stg(spark, d), _tgt(spark, d))
     return r.select("batch_value", "staging_count", "target_count", _status(F.col("staging_count") == F.col("target_count")))
@@ -171,6 +184,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "data_completeness": q_data_completeness,
         "data_consistency": q_data_consistency,
         "data_consistency_keys": q_data_consistency_keys,
+        "data_consistency_lineitem": q_data_consistency_lineitem,
+        "data_completeness_lineitem": q_data_completeness_lineitem,
         "count_val_latest_batch": q_count_val_latest_batch,
         "scd_type2_record_count": q_scd_type2_record_count,
         "scd_type2_active_flag": q_scd_type2_active_flag,
@@ -227,6 +242,15 @@ scd AS (
               ELSE 'N' END AS is_active
   FROM ev)"""
 
+_LSTG = """
+lstg AS (
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+         CASE WHEN l_partkey % 13 = 1 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+         l_extendedprice, l_discount, l_tax,
+         CASE WHEN l_suppkey % 17 = 2 THEN NULL ELSE l_returnflag END AS l_returnflag,
+         l_linestatus, l_shipdate
+  FROM lineitem WHERE l_orderkey % 31 <> 4)"""
+
 _CHANGES = """
 chg AS (SELECT o_orderkey, o_totalprice FROM stg WHERE o_orderkey % 50 = 7)"""
 
@@ -254,8 +278,19 @@ def oracle_sql() -> dict[str, str]:
         f"ON s.o_orderkey = t.o_orderkey WHERE s.{c} IS DISTINCT FROM t.{c} GROUP BY s.o_orderkey"
         for c in cols
     )
+    lcols = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+             "l_linestatus", "l_shipdate"]
+    lpairs = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(CASE WHEN s.{c} IS DISTINCT FROM t.{c} THEN 1 END) AS mismatches, "
+        f"count(*) AS pairs FROM lineitem s JOIN lstg t ON s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber"
+        for c in lcols
+    )
     return {
         "schemachk": testbed.SCHEMACHK_ORACLE,
+        "data_consistency_lineitem": _with(_LSTG) + lpairs,
+        "data_completeness_lineitem": _with(_LSTG)
+        + """SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem s
+WHERE NOT EXISTS (SELECT 1 FROM lstg t WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)""",
         "count_val": _with(_STG)
         + """SELECT a.source_count, b.target_count,
        CASE WHEN a.source_count = b.target_count THEN 'Success' ELSE 'Fail' END AS status

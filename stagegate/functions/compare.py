@@ -8,10 +8,8 @@
   ``double``;
 * any other difference (type drift): as strings, and the pair is flagged.
 
-``canonical_string`` gives one string per value for the grouped (pair-free)
-path of the consistency check.  For a given type it is injective up to the
-equality used by ``<=>`` (``-0.0`` is folded into ``0.0``; every NaN prints as
-``NaN``), so counting equal strings counts NULL-safe equal values.
+The comparable forms are orderable, so the pair-free consistency path can also
+group and join on them.
 """
 
 from __future__ import annotations
@@ -52,7 +50,7 @@ def orderable(c: Column, dt: T.DataType) -> Column:
 
 
 def canonical_string(c: Column, dt: T.DataType) -> Column:
-    """Injective string form of a value of type ``dt`` (NULL stays NULL)."""
+    """String form of a value of type ``dt`` for comparing across drifted types (NULL stays NULL)."""
     if isinstance(dt, (T.FloatType, T.DoubleType)):
         return _fold_negative_zero(c).cast("string")
     if isinstance(dt, T.MapType):
@@ -69,29 +67,17 @@ class ComparablePair:
     name: str
     left: Column
     right: Column
-    left_string: Column
-    right_string: Column
     drift: bool  # types differ and are not both numeric
 
 
 def comparable_pair(name: str, left: Column, left_type: T.DataType, right: Column, right_type: T.DataType) -> ComparablePair:
     if left_type == right_type:
-        return ComparablePair(
-            name,
-            orderable(left, left_type),
-            orderable(right, right_type),
-            canonical_string(left, left_type),
-            canonical_string(right, right_type),
-            False,
-        )
+        return ComparablePair(name, orderable(left, left_type), orderable(right, right_type), False)
     if isinstance(left_type, _INTEGRAL) and isinstance(right_type, _INTEGRAL):
-        lc, rc = left.cast("bigint"), right.cast("bigint")
-        return ComparablePair(name, lc, rc, lc.cast("string"), rc.cast("string"), False)
+        return ComparablePair(name, left.cast("bigint"), right.cast("bigint"), False)
     if isinstance(left_type, _INTEGRAL + _FRACTIONAL) and isinstance(right_type, _INTEGRAL + _FRACTIONAL):
-        lc, rc = _fold_negative_zero(left), _fold_negative_zero(right)
-        return ComparablePair(name, lc, rc, lc.cast("string"), rc.cast("string"), False)
-    ls, rs = canonical_string(left, left_type), canonical_string(right, right_type)
-    return ComparablePair(name, ls, rs, ls, rs, True)
+        return ComparablePair(name, _fold_negative_zero(left), _fold_negative_zero(right), False)
+    return ComparablePair(name, canonical_string(left, left_type), canonical_string(right, right_type), True)
 
 
 def differs(pair: ComparablePair) -> Column:

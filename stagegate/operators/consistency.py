@@ -101,27 +101,48 @@ def _unique_pairs(kcols, unique_keys, s_rows, o_rows) -> DataFrame:
     return s.join(o, [F.col(f"s.{k}") == F.col(f"o.{k}") for k in kcols])
 
 
-def _encoded(value) -> F.Column:
-    # NULL becomes '' and every value gets a '#' prefix: never NULL, so the join
-    # below is a plain equi-join on the grouping columns and reuses their partitioning
-    return F.coalesce(F.concat(F.lit("#"), value), F.lit(""))
-
-
-def _value_counts(rows: DataFrame, multi_keys: DataFrame, kcols, plan: ConsistencyPlan, side: str) -> DataFrame:
-    """(key, column index, encoded canonical value) → row count, for multi keys only."""
+def _comparable_types(rows: DataFrame, plan: ConsistencyPlan, side: str) -> list[T.DataType]:
+    """Resolved type of each column's comparable form on one side."""
+    exprs = [(p.left if side == "s" else p.right) for p in plan.compared]
+    schema = rows.alias(side).select(*[e.alias(f"_x{i}") for i, e in enumerate(exprs)]).schema
+    return [schema[f"_x{i}"].dataType for i in range(len(exprs))]
+
+
+def _value_counts(rows: DataFrame, multi_keys: DataFrame, kcols, plan: ConsistencyPlan, side: str, types) -> DataFrame:
+    """(key, column index, value) → row count, for the rows of multi keys only.
+
+    Values keep their own type: ``_v`` is a struct with one slot per distinct
+    comparable type, the column's value in its slot and NULL elsewhere.  Spark
+    groups and joins structs field by field with NULL equal to NULL, and
+    normalises -0.0/NaN inside them, which is exactly NULL-safe equality, so no
+    value is rendered as text.  All columns are unpivoted from one projection of
+    the semi-joined rows, so each side is semi-joined and shuffled once (a
+    per-column projection would be pruned into one semi join per column).
+    """
+    distinct = []
+    for t in types:
+        if t not in distinct:
+            distinct.append(t)
     alias_rows = rows.join(multi_keys.select(*kcols), kcols, "left_semi").alias(side)
-    cells = [
-        F.struct(F.lit(i).alias("_ci"), _encoded(p.left_string if side == "s" else p.right_string).alias("_v"))
-        for i, p in enumerate(plan.compared)
-    ]
+    cells = []
+    for i, p in enumerate(plan.compared):
+        e = p.left if side == "s" else p.right
+        slots = [(e if types[i] == t else F.lit(None).cast(t)).alias(f"_s{j}") for j, t in enumerate(distinct)]
+        cells.append(F.struct(F.lit(i).alias("_ci"), F.struct(*slots).alias("_v")))
     long = alias_rows.select(*[F.col(f"{side}.{k}").alias(k) for k in kcols], F.inline(F.array(*cells)))
     return long.groupBy(*kcols, "_ci", "_v").agg(F.count(F.lit(1)).alias(f"_c{side}"))
 
 
 def _multi_matches(kcols, multi_keys, s_rows, o_rows, plan) -> DataFrame:
-    """(key, column index, value) rows present on both sides with the number of equal pairs ``_eq``."""
-    vs = _value_counts(s_rows, multi_keys, kcols, plan, "s")
-    vo = _value_counts(o_rows, multi_keys, kcols, plan, "o")
+    """Rows (key, column index, ``_eq``) whose ``_eq`` sum per (key, column) is the number of NULL-safe equal pairs.
+
+    Each side is reduced to ``(key, column, value) → rows`` (partial aggregation
+    before the shuffle) and the two are joined 1:1 on (key, column, value);
+    ``m_v · n_v`` summed over shared values is the number of equal pairs.
+    """
+    types = _comparable_types(s_rows, plan, "s")
+    vs = _value_counts(s_rows, multi_keys, kcols, plan, "s", types)
+    vo = _value_counts(o_rows, multi_keys, kcols, plan, "o", types)
     return vs.join(vo, kcols + ["_ci", "_v"]).select(*kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
 
 

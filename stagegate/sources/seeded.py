@@ -31,6 +31,9 @@ DUPLICATED_IN_STAGING = (200, 11)
 LOST_IN_TARGET = (100, 1)      # dropped from the last target load only
 ORPHAN_CUSTOMER = (500, 3)     # last load: o_custkey -> -o_custkey - 1
 NEGATIVE_PRICE = (300, 9)      # last load: o_totalprice -> -o_totalprice
+LINE_QTY_DRIFT = (13, 1)       # lineitem staging: l_quantity + 1 (on l_partkey)
+LINE_NULL_FLAG = (17, 2)       # lineitem staging: l_returnflag NULL (on l_suppkey)
+LINE_LOST = (31, 4)            # lineitem staging: rows dropped (on l_orderkey)
 ALL_INACTIVE_USERS = (10, 1)   # scd2: every version flagged 'N'
 TWO_ACTIVE_USERS = (10, 2)     # scd2: last two versions flagged 'Y'
 LOAD_DATES = (dt.date(2025, 12, 15), dt.date(2025, 12, 16), dt.date(2025, 12, 17))
@@ -67,6 +70,27 @@ def staging(orders: DataFrame) -> DataFrame:
     return base.unionByName(base.where(_hit("o_orderkey", DUPLICATED_IN_STAGING)))
 
 
+def lineitem_staging(lineitem: DataFrame) -> DataFrame:
+    """``lineitem`` loaded into staging with lost orders, drifted quantities and NULL return flags.
+
+    Its key (l_orderkey, l_linenumber) repeats in the source, so consistency
+    against it exercises duplicate-key pairs on real data.
+    """
+    return lineitem.where(~_hit("l_orderkey", LINE_LOST)).select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        F.when(_hit("l_partkey", LINE_QTY_DRIFT), F.col("l_quantity") + 1).otherwise(F.col("l_quantity")).alias("l_quantity"),
+        "l_extendedprice",
+        "l_discount",
+        "l_tax",
+        F.when(_hit("l_suppkey", LINE_NULL_FLAG), F.lit(None).cast("string")).otherwise(F.col("l_returnflag")).alias("l_returnflag"),
+        "l_linestatus",
+        "l_shipdate",
+    )
+
+
 def target(orders: DataFrame) -> DataFrame:
     """Three loads of (o_orderkey, o_custkey, o_totalprice) kept as history (type 1)."""
     cols = orders.select("o_orderkey", "o_custkey", "o_totalprice")
