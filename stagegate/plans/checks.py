@@ -326,6 +326,8 @@ def check_active_flag(ctx: StageContext) -> CheckResult:
     spec = ctx.spec
     if not spec.active_flag:
         return CheckResult(ACTIVE_FLAG, FAIL, None, details="no active flag column configured")
+    if spec.active_flag not in ctx.right.columns:
+        return CheckResult(ACTIVE_FLAG, FAIL, None, details=f"active flag column {spec.active_flag} missing in target")
     key = list(spec.key)
     if ctx.key_profile is not None and "active_flag" in ctx.key_profile.checks:
         total, samples = ctx.key_profile.get("active_flag")
@@ -346,6 +348,8 @@ def check_history(ctx: StageContext) -> CheckResult:
     spec = ctx.spec
     if not spec.active_flag:
         return CheckResult(HISTORY, SUCCESS, 0, details="no active flag column configured")
+    if spec.active_flag not in ctx.right.columns:
+        return CheckResult(HISTORY, FAIL, None, details=f"active flag column {spec.active_flag} missing in target")
     inactive = int(ctx.right_profile.get("_inactive"))
     unknown = int(ctx.right_profile.get("_unknown_flag"))
     return CheckResult(

@@ -21,6 +21,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # remove reliable-checkpoint files once the DataFrame that wrote them is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -131,3 +131,21 @@ def test_spec_validation():
         DatasetSpec(name="x", key=("k",), scd_type="type3")
     s = DatasetSpec(name="x", key="k", non_null=["a"])
     assert s.key == ("k",) and s.non_null_for(list(s.non_null)[0]) == ("a",)
+
+
+def test_suite_isolates_errors_and_missing_flag(spark):
+    from stagegate.plans.suites import run_suite
+    from stagegate.spec import DatasetSpec, Rule
+
+    stg = spark.createDataFrame([(1, 5.0), (2, -1.0)], "k int, amount double")
+    tgt = spark.createDataFrame([(1, 5.0), (2, -1.0)], "k int, amount double")
+    spec = DatasetSpec(
+        name="t", key=("k",), scd_type="type2", active_flag="is_active",
+        rules=(Rule("neg", "amount < 0", ("amount",)), Rule("broken", "no_such_function(amount) > 0", ("amount",))),
+    )
+    rows = {r["check"]: r for r in run_suite(spark, spec, "staging_to_target", staging=stg, target=tgt).collect()}
+    assert rows["scd_type2_active_flag"]["status"] == "Fail" and "missing" in rows["scd_type2_active_flag"]["details"]
+    assert rows["scd_type2_history"]["status"] == "Fail"
+    assert rows["transformation_rules"]["status"] == "Error"
+    assert rows["primary_key_val"]["status"] == "Success"
+    assert rows["scd_type2_record_count"]["status"] == "Success"
