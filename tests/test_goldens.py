@@ -129,3 +129,30 @@ def test_command_line(spark, fixture_config, tmp_path):
                  "--dataset", "orders_data", "--mode", "source_to_staging", "--output", str(out)])
     assert code == 1  # the schema check fails on the sample data
     assert spark.read.parquet(str(out)).count() == 6
+
+
+def test_parquet_layers_via_config_format(spark, fixture_config, tmp_path):
+    from stagegate.sources.readers import read_layer
+
+    files = json.loads(open(fixture_config[0]).read())
+    for layer in ("src_file_path", "stg_file_path", "trgt_file_path"):
+        for ds in ("customer_data", "orders_data"):
+            out = str(tmp_path / ds / layer)
+            read_layer(spark, files[ds][layer]).write.parquet(out)
+            files[ds][layer] = out
+        files[ds]["format"] = "parquet"
+    files["customer_data"]["format"] = files["orders_data"]["format"] = "parquet"
+    res = validate_dataset(spark, "orders_data", files, fixture_config[1], mode="both")
+    got = {(r["stage"], r["check"]): r["status"] for r in res.collect()}
+    assert got[("staging_to_target", "referential_integrity")] == "Fail"
+    assert got[("staging_to_target", "scd_type2_active_flag")] == "Fail"
+    assert got[("source_to_staging", "data_consistency")] == "Success"
+
+
+def test_zero_byte_layer_is_empty(spark, fixture_config, tmp_path):
+    empty = tmp_path / "zero.csv"
+    empty.write_text("")
+    files = json.loads(open(fixture_config[0]).read())
+    files["customer_data"]["src_file_path"] = str(empty)
+    res = validate_dataset(spark, "customer_data", files, fixture_config[1], mode="source_to_staging").collect()
+    assert res[0]["check"] == "load" and res[0]["status"] == "Error"
