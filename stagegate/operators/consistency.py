@@ -83,22 +83,67 @@ def _keyed(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFra
     )
 
 
-def _parts(source: DataFrame, other: DataFrame, plan: ConsistencyPlan):
+# A key is "hot" on a side when it holds more than
+#     max(HOT_KEY_MIN_ROWS, total rows of both sides / MAX_HOT_KEYS)
+# rows there.  Fewer than MAX_HOT_KEYS keys can pass that bar, so the hot-key
+# table has a proven size bound and is broadcast; every other key holds at most
+# 1/MAX_HOT_KEYS of the data, so no shuffle partition of the routing joins can
+# receive more than that from a single key.
+HOT_KEY_MIN_ROWS = 100_000
+MAX_HOT_KEYS = 100_000
+
+
+@dataclass
+class _Routing:
+    kcols: list[str]
+    names: list[str]
+    multi_keys: DataFrame  # keys on both sides with more than one row on one of them (+ _m, _n)
+    s_tagged: DataFrame  # rows of keys on both sides, each with its key's (_m, _n)
+    o_tagged: DataFrame
+
+    @staticmethod
+    def unique(df: DataFrame) -> DataFrame:
+        return df.where((F.col("_m") == 1) & (F.col("_n") == 1))
+
+    @staticmethod
+    def multi(df: DataFrame) -> DataFrame:
+        return df.where((F.col("_m") > 1) | (F.col("_n") > 1))
+
+
+def _parts(source: DataFrame, other: DataFrame, plan: ConsistencyPlan, hot_key_rows: int, max_hot_keys: int) -> _Routing:
+    """Tag every row of a key present on both sides with the key's row counts (``_m``, ``_n``).
+
+    Cold rows get their tags from a join with the key-count table (a shuffle on
+    the key, in which no key holds more than 1/``max_hot_keys`` of the rows); hot
+    rows get them from the broadcast hot-key table, without a shuffle.
+    """
     key = plan.key
     kcols = [_KEY.format(i) for i in range(len(key))]
     names = [p.name for p in plan.compared]
-    kc = _key_counts(source, key, "_m").join(_key_counts(other, key, "_n"), kcols)
-    unique_keys = kc.where((F.col("_m") == 1) & (F.col("_n") == 1)).select(*kcols)
-    multi_keys = kc.where((F.col("_m") > 1) | (F.col("_n") > 1))
-    s_rows = _keyed(source, key, names)
-    o_rows = _keyed(other, key, names)
-    return kcols, names, kc, unique_keys, multi_keys, s_rows, o_rows
+    s_kc, o_kc = _key_counts(source, key, "_m"), _key_counts(other, key, "_n")
+    kc = s_kc.join(o_kc, kcols)
+
+    total = s_kc.select(F.sum("_m")).scalar() + o_kc.select(F.sum("_n")).scalar()
+    bar = F.greatest(F.lit(hot_key_rows).cast("double"), total / F.lit(max_hot_keys))
+    hot = (
+        s_kc.where(F.col("_m") > bar).select(*kcols)
+        .unionByName(o_kc.where(F.col("_n") > bar).select(*kcols))
+        .distinct()
+    )
+    hot_counts = kc.join(F.broadcast(hot), kcols, "left_semi")  # at most max_hot_keys rows
+
+    def tagged(rows: DataFrame) -> DataFrame:
+        cold = rows.join(F.broadcast(hot), kcols, "left_anti").join(kc, kcols)
+        return cold.unionByName(rows.join(F.broadcast(hot_counts), kcols))
+
+    s_rows, o_rows = _keyed(source, key, names), _keyed(other, key, names)
+    return _Routing(kcols, names, _Routing.multi(kc), tagged(s_rows), tagged(o_rows))
 
 
-def _unique_pairs(kcols, unique_keys, s_rows, o_rows) -> DataFrame:
-    s = s_rows.join(unique_keys, kcols, "left_semi").alias("s")
-    o = o_rows.join(unique_keys, kcols, "left_semi").alias("o")
-    return s.join(o, [F.col(f"s.{k}") == F.col(f"o.{k}") for k in kcols])
+def _unique_pairs(r: _Routing) -> DataFrame:
+    s = _Routing.unique(r.s_tagged).alias("s")
+    o = _Routing.unique(r.o_tagged).alias("o")
+    return s.join(o, [F.col(f"s.{k}") == F.col(f"o.{k}") for k in r.kcols])
 
 
 def _comparable_types(rows: DataFrame, plan: ConsistencyPlan, side: str) -> list[T.DataType]:
@@ -108,22 +153,22 @@ def _comparable_types(rows: DataFrame, plan: ConsistencyPlan, side: str) -> list
     return [schema[f"_x{i}"].dataType for i in range(len(exprs))]
 
 
-def _value_counts(rows: DataFrame, multi_keys: DataFrame, kcols, plan: ConsistencyPlan, side: str, types) -> DataFrame:
-    """(key, column index, value) → row count, for the rows of multi keys only.
+def _value_counts(rows: DataFrame, kcols, plan: ConsistencyPlan, side: str, types) -> DataFrame:
+    """(key, column index, value) → row count, for the given rows of multi keys.
 
     Values keep their own type: ``_v`` is a struct with one slot per distinct
     comparable type, the column's value in its slot and NULL elsewhere.  Spark
     groups and joins structs field by field with NULL equal to NULL, and
     normalises -0.0/NaN inside them, which is exactly NULL-safe equality, so no
     value is rendered as text.  All columns are unpivoted from one projection of
-    the semi-joined rows, so each side is semi-joined and shuffled once (a
-    per-column projection would be pruned into one semi join per column).
+    the rows, so each side is routed and shuffled once (a per-column projection
+    would be pruned into one routing join per column).
     """
     distinct = []
     for t in types:
         if t not in distinct:
             distinct.append(t)
-    alias_rows = rows.join(multi_keys.select(*kcols), kcols, "left_semi").alias(side)
+    alias_rows = rows.alias(side)
     cells = []
     for i, p in enumerate(plan.compared):
         e = p.left if side == "s" else p.right
@@ -133,20 +178,28 @@ def _value_counts(rows: DataFrame, multi_keys: DataFrame, kcols, plan: Consisten
     return long.groupBy(*kcols, "_ci", "_v").agg(F.count(F.lit(1)).alias(f"_c{side}"))
 
 
-def _multi_matches(kcols, multi_keys, s_rows, o_rows, plan) -> DataFrame:
+def _multi_matches(r: _Routing, plan: ConsistencyPlan) -> DataFrame:
     """Rows (key, column index, ``_eq``) whose ``_eq`` sum per (key, column) is the number of NULL-safe equal pairs.
 
     Each side is reduced to ``(key, column, value) → rows`` (partial aggregation
-    before the shuffle) and the two are joined 1:1 on (key, column, value);
-    ``m_v · n_v`` summed over shared values is the number of equal pairs.
+    before the shuffle, so a hot key collapses per task) and the two are joined
+    1:1 on (key, column, value); ``m_v · n_v`` summed over shared values is the
+    number of equal pairs.
     """
-    types = _comparable_types(s_rows, plan, "s")
-    vs = _value_counts(s_rows, multi_keys, kcols, plan, "s", types)
-    vo = _value_counts(o_rows, multi_keys, kcols, plan, "o", types)
-    return vs.join(vo, kcols + ["_ci", "_v"]).select(*kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
-
-
-def consistency_summary(source: DataFrame, other: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    types = _comparable_types(r.s_tagged, plan, "s")
+    vs = _value_counts(_Routing.multi(r.s_tagged), r.kcols, plan, "s", types)
+    vo = _value_counts(_Routing.multi(r.o_tagged), r.kcols, plan, "o", types)
+    return vs.join(vo, r.kcols + ["_ci", "_v"]).select(*r.kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
+
+
+def consistency_summary(
+    source: DataFrame,
+    other: DataFrame,
+    key: Sequence[str],
+    columns: Sequence[str] | None = None,
+    hot_key_rows: int = HOT_KEY_MIN_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
     """One row per compared column: ``column_name``, ``mismatches``, ``pairs``.
 
     ``pairs`` is the number of joined pairs (equal for every row).  Column order
@@ -159,8 +212,8 @@ def consistency_summary(source: DataFrame, other: DataFrame, key: Sequence[str],
     )
     if not plan.compared:
         return spark.createDataFrame([], schema)
-    kcols, names, kc, unique_keys, multi_keys, s_rows, o_rows = _parts(source, other, plan)
-
+    r = _parts(source, other, plan, hot_key_rows, max_hot_keys)
+    names = r.names
     n = len(names)
 
     def per_column(df: DataFrame, mis: list, pairs) -> DataFrame:
@@ -168,16 +221,16 @@ def consistency_summary(source: DataFrame, other: DataFrame, key: Sequence[str],
         return df.select(F.inline(F.array(*cells)))
 
     # unique keys: one pass over the 1:1 joined rows
-    joined = _unique_pairs(kcols, unique_keys, s_rows, o_rows)
+    joined = _unique_pairs(r)
     u = joined.agg(
         F.count(F.lit(1)).alias("_p"),
         *[F.count_if(differs(p)).alias(f"_d{i}") for i, p in enumerate(plan.compared)],
     )
     unique_part = per_column(u, [F.col(f"_d{i}") for i in range(n)], F.col("_p"))
     # multi keys: every pair counts as a mismatch here, minus the equal pairs below
-    mp = multi_keys.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).alias("_mp"))
+    mp = r.multi_keys.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).alias("_mp"))
     multi_part = per_column(mp, [F.col("_mp")] * n, F.col("_mp"))
-    equal_part = _multi_matches(kcols, multi_keys, s_rows, o_rows, plan).select(
+    equal_part = _multi_matches(r, plan).select(
         "_ci", (-F.col("_eq")).cast("bigint").alias("_mis"), F.lit(0).cast("bigint").alias("_pairs")
     )
     # three independent branches of one plan, then at most 3·n + (equal rows) tiny rows to add up
@@ -195,22 +248,30 @@ def consistency_summary(source: DataFrame, other: DataFrame, key: Sequence[str],
     )
 
 
-def inconsistent_keys(source: DataFrame, other: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+def inconsistent_keys(
+    source: DataFrame,
+    other: DataFrame,
+    key: Sequence[str],
+    columns: Sequence[str] | None = None,
+    hot_key_rows: int = HOT_KEY_MIN_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
     """Row-level diagnostics: ``(*key, column_name, mismatches)`` for every key and column with unequal pairs."""
     plan = plan_consistency(source, other, key, columns)
     if not plan.compared:
         raise ValueError("no shared non-key column to compare")
-    kcols, names, kc, unique_keys, multi_keys, s_rows, o_rows = _parts(source, other, plan)
+    r = _parts(source, other, plan, hot_key_rows, max_hot_keys)
+    kcols, names, multi_keys = r.kcols, r.names, r.multi_keys
     labels = F.array(*[F.lit(n) for n in names])
 
-    joined = _unique_pairs(kcols, unique_keys, s_rows, o_rows)
+    joined = _unique_pairs(r)
     flags = F.array(*[F.when(differs(p), F.lit(i)) for i, p in enumerate(plan.compared)])
     unique_part = joined.select(
         *[F.col(f"s.{k}").alias(k) for k in kcols], F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("_ci")
     ).withColumn("mismatches", F.lit(1).cast("bigint"))
 
     per_col = multi_keys.select(*kcols, (F.col("_m") * F.col("_n")).alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("_ci"))
-    eq = _multi_matches(kcols, multi_keys, s_rows, o_rows, plan).groupBy(*kcols, "_ci").agg(F.sum("_eq").alias("_equal"))
+    eq = _multi_matches(r, plan).groupBy(*kcols, "_ci").agg(F.sum("_eq").alias("_equal"))
     multi_part = (
         per_col.join(eq, kcols + ["_ci"], "left")
         .select(*kcols, "_ci", (F.col("_p") - F.coalesce(F.col("_equal"), F.lit(0))).cast("bigint").alias("mismatches"))

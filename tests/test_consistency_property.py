@@ -21,8 +21,9 @@ def brute(src, stg):
     return out, pairs
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_pair_free_matches_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,hot_rows", [(0, 100_000), (1, 100_000), (2, 100_000), (3, 2), (4, 2), (5, 3)])
+def test_pair_free_matches_brute_force(spark, seed, hot_rows):
+    """hot_rows = 2 or 3 routes every key with more rows than that through the broadcast hot-key path."""
     rnd = random.Random(seed)
     def rows(n):
         out = []
@@ -32,17 +33,37 @@ def test_pair_free_matches_brute_force(spark, seed):
         return out
     src, stg = rows(rnd.randint(0, 30)), rows(rnd.randint(0, 30))
     schema = "k int, a int, b string"
-    got_rows = C.consistency_summary(spark.createDataFrame(src, schema), spark.createDataFrame(stg, schema), ["k"]).collect()
+    got_rows = C.consistency_summary(
+        spark.createDataFrame(src, schema), spark.createDataFrame(stg, schema), ["k"], hot_key_rows=hot_rows
+    ).collect()
     want, pairs = brute(src, stg)
     assert {r["column_name"]: r["mismatches"] for r in got_rows} == want
     assert all(r["pairs"] == pairs for r in got_rows)
-    keyed = C.inconsistent_keys(spark.createDataFrame(src, schema), spark.createDataFrame(stg, schema), ["k"]).collect()
+    keyed = C.inconsistent_keys(
+        spark.createDataFrame(src, schema), spark.createDataFrame(stg, schema), ["k"], hot_key_rows=hot_rows
+    ).collect()
     per_col = {"a": 0, "b": 0}
     for r in keyed:
         per_col[r["column_name"]] += r["mismatches"]
     assert per_col == want
 
 
+def test_hot_key_rows_bypass_the_key_routed_exchange(spark):
+    # with a low bar, key 0 (a third of the rows) is hot: its rows reach the value counts through a
+    # broadcast semi join, and the key-routed joins only see the other keys
+    from stagegate.operators.consistency import _parts, plan_consistency
+
+    src = spark.range(0, 3000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "CAST(id % 7 AS INT) AS a")
+    stg = spark.range(0, 3000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "CAST(id % 5 AS INT) AS a")
+    r = _parts(src, stg, plan_consistency(src, stg, ["k"]), hot_key_rows=100, max_hot_keys=100_000)
+    assert r.s_tagged.where("_k0 = 0").count() == 1000
+    plan = r.s_tagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    got = {x["column_name"]: x["mismatches"] for x in C.consistency_summary(src, stg, ["k"], hot_key_rows=100).collect()}
+    ref = {x["column_name"]: x["mismatches"] for x in C.consistency_summary(src, stg, ["k"]).collect()}
+    assert got == ref
+
+
 def test_hot_key_plan_has_no_pairwise_join(spark):
     # a key with many rows on both sides: the plan never joins rows of that key pairwise
     src = spark.range(0, 2000).selectExpr("0 AS k", "CAST(id % 7 AS INT) AS a", "CAST(id % 3 AS STRING) AS b")
