@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from ..functions.compare import ComparablePair, comparable_pair, differs
 from ..functions.predicates import keys_not_null, qcol
+from . import skew
 
 
 @dataclass(frozen=True)
@@ -83,14 +84,10 @@ def _keyed(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFra
     )
 
 
-# A key is "hot" on a side when it holds more than
-#     max(HOT_KEY_MIN_ROWS, total rows of both sides / MAX_HOT_KEYS)
-# rows there.  Fewer than MAX_HOT_KEYS keys can pass that bar, so the hot-key
-# table has a proven size bound and is broadcast; every other key holds at most
-# 1/MAX_HOT_KEYS of the data, so no shuffle partition of the routing joins can
-# receive more than that from a single key.
-HOT_KEY_MIN_ROWS = 100_000
-MAX_HOT_KEYS = 100_000
+# Rows are routed to the unique/multi paths by a join with the per-key counts;
+# hot keys go through a bounded broadcast table (see ``skew.join_key_stats``).
+HOT_KEY_MIN_ROWS = skew.HOT_KEY_MIN_ROWS
+MAX_HOT_KEYS = skew.MAX_HOT_KEYS
 
 
 @dataclass
@@ -113,31 +110,23 @@ class _Routing:
 def _parts(source: DataFrame, other: DataFrame, plan: ConsistencyPlan, hot_key_rows: int, max_hot_keys: int) -> _Routing:
     """Tag every row of a key present on both sides with the key's row counts (``_m``, ``_n``).
 
-    Cold rows get their tags from a join with the key-count table (a shuffle on
-    the key, in which no key holds more than 1/``max_hot_keys`` of the rows); hot
-    rows get them from the broadcast hot-key table, without a shuffle.
+    The join with the key-count table is ``skew.join_key_stats``: a shuffle join
+    for ordinary keys, a bounded broadcast for keys holding a large share of a
+    side's rows, so no task receives a hot key whole.
     """
     key = plan.key
     kcols = [_KEY.format(i) for i in range(len(key))]
     names = [p.name for p in plan.compared]
     s_kc, o_kc = _key_counts(source, key, "_m"), _key_counts(other, key, "_n")
     kc = s_kc.join(o_kc, kcols)
-
-    total = s_kc.select(F.sum("_m")).scalar() + o_kc.select(F.sum("_n")).scalar()
-    bar = F.greatest(F.lit(hot_key_rows).cast("double"), total / F.lit(max_hot_keys))
-    hot = (
-        s_kc.where(F.col("_m") > bar).select(*kcols)
-        .unionByName(o_kc.where(F.col("_n") > bar).select(*kcols))
-        .distinct()
-    )
-    hot_counts = kc.join(F.broadcast(hot), kcols, "left_semi")  # at most max_hot_keys rows
-
-    def tagged(rows: DataFrame) -> DataFrame:
-        cold = rows.join(F.broadcast(hot), kcols, "left_anti").join(kc, kcols)
-        return cold.unionByName(rows.join(F.broadcast(hot_counts), kcols))
-
     s_rows, o_rows = _keyed(source, key, names), _keyed(other, key, names)
-    return _Routing(kcols, names, _Routing.multi(kc), tagged(s_rows), tagged(o_rows))
+    return _Routing(
+        kcols,
+        names,
+        _Routing.multi(kc),
+        skew.join_key_stats(s_rows, kc, kcols, s_kc, "_m", hot_key_rows, max_hot_keys),
+        skew.join_key_stats(o_rows, kc, kcols, o_kc, "_n", hot_key_rows, max_hot_keys),
+    )
 
 
 def _unique_pairs(r: _Routing) -> DataFrame:

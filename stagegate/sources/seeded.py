@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.history import build_versions, stamp_batch
+from ..operators.skew import join_key_stats
 
 # The seeding rules (modulus, remainder) and load dates.
 PRICE_DRIFT = (50, 7)          # staging o_totalprice + 1
@@ -122,8 +123,10 @@ def scd2(events: DataFrame) -> DataFrame:
         flag_name="is_active",
         next_columns=["event_id"],
     )
-    # the last version per user; the version whose successor is it is the second-to-last
-    last = events.groupBy("user_id").agg(F.max(F.struct("ts", "event_id")).alias("_last"))
+    # the last version per user; the version whose successor is it is the second-to-last.
+    # Joined back with the hot-key-safe join: a user with most of the events is not
+    # shuffled into one task.
+    last = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct("ts", "event_id")).alias("_last"))
     successor_is_last = F.coalesce(
         (F.col("effective_end") == F.col("_last.ts")) & (F.col("next_event_id") == F.col("_last.event_id")),
         F.lit(False),
@@ -133,4 +136,5 @@ def scd2(events: DataFrame) -> DataFrame:
         .when(_hit("user_id", TWO_ACTIVE_USERS) & successor_is_last, F.lit("Y"))
         .otherwise(F.col("is_active"))
     )
-    return versions.join(last, "user_id").withColumn("is_active", flag).drop("_last", "next_event_id")
+    joined = join_key_stats(versions, last, ["user_id"], last, "_n")
+    return joined.withColumn("is_active", flag).drop("_n", "_last", "next_event_id")

@@ -92,3 +92,14 @@ def test_hot_key_is_spread_over_ranges(spark):
     assert max(counts) < 2.5 * (30000 / len(counts))
     hot_ranges = H.ordered_ranges(df, ["k", "t"], 12).where("k = 0").select("_pid").distinct().count()
     assert hot_ranges >= 3
+
+
+def test_join_key_stats_hot_and_cold_agree(spark):
+    from stagegate.operators.skew import join_key_stats
+
+    rows = spark.range(0, 3000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 100 END AS k", "id")
+    stats = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    plain = {(r["id"], r["top"]) for r in rows.join(stats, "k").collect()}
+    for bar in (100_000, 5):  # nothing hot / key 0 and more are hot
+        got = {(r["id"], r["top"]) for r in join_key_stats(rows, stats, ["k"], stats, "n", hot_key_rows=bar).collect()}
+        assert got == plain
