@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.output:
         results.write.mode("append").parquet(args.output)
     total = summary.where("dataset IS NULL").first()
+    results.unpersist()
     return 0 if total is not None and total["failed"] == 0 else 1
 
 

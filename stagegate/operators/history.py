@@ -321,7 +321,10 @@ def merge_versions(
     ``batch_start``; a key with several rows in one batch keeps only its latest.
     For a key whose tracked values differ NULL-safely from its current version,
     or which is new, the current version is closed at the batch start and the
-    batch row becomes the new current version.  Keys absent from the batch, and
+    batch row becomes the new current version.  A change whose batch start is
+    not after the current version's start (a late load) fails the job: it cannot
+    be applied incrementally; rebuild the key's history with ``build_versions``
+    from the kept loads instead.  Keys absent from the batch, and
     keys whose values did not change, are left as they are; closed versions pass
     through untouched.
 
@@ -353,6 +356,12 @@ def merge_versions(
     has_new = F.coalesce(F.col("_new"), F.lit(False))
     closes = has_cur & has_new & ~same
     opens = has_new & (~has_cur | ~same)
+    # a change dated at or before the version it would close is a late (out-of-order)
+    # load: applying it would invert an interval, so the job fails instead
+    late = closes & (F.col("_bstart").cast(types[start_name]) <= qcol(start_name))
+    late_error = F.raise_error(
+        F.concat(F.lit("late load: batch start is not after the current version's start for key "), F.to_json(F.struct(*[qcol(k) for k in key])))
+    )
 
     out_cols = list(history.columns)
     cur_version = F.struct(
@@ -360,7 +369,7 @@ def merge_versions(
             (
                 F.when(closes, F.col("_bstart").cast(types[c])).otherwise(qcol(c))
                 if c == end_name
-                else F.when(closes, F.lit(inactive)).otherwise(qcol(c))
+                else F.when(late, late_error.cast(types[c])).when(closes, F.lit(inactive)).otherwise(qcol(c))
                 if c == flag_name
                 else qcol(c)
             ).alias(c)

@@ -16,7 +16,7 @@ The file layout follows the original framework's two JSON documents:
 
     {"orders_data": {"staging": [{"name": ..., "type": "IntegerType", "nullable": false}, ...], "target": [...]}}
 
-Optional extra keys: ``format``, ``read_options``, ``batch_column``,
+Optional extra keys: ``format``, ``read_options``, ``cache``, ``batch_column``,
 ``active_values``, ``inactive_values``, ``check_nullable``, ``sample_size`` and
 ``rules`` (``[{"name", "violation", "requires"}]``).  When ``rules`` is absent
 the original non-negative ``amount`` rule applies.
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..plans.checks import ERROR, RESULT_SCHEMA
 from ..plans.suites import run_suite
 from ..spec import NON_NEGATIVE_AMOUNT, DatasetSpec, Lookup, Mode, Rule, parse_expected_schema, parse_mode
-from .readers import load_layers, read_lookup
+from .readers import load_layers, persisted, read_lookup
 
 
 # Keys of a dataset entry in the file config.
@@ -63,6 +63,7 @@ class DatasetConfig:
     read_options: dict[str, str]
     lookup_path: str | None
     lookup_fmt: str | None
+    persist: bool = False
 
 
 def dataset_config(name: str, file_config: Mapping | str | Path, schema_config: Mapping | str | Path | None = None) -> DatasetConfig:
@@ -104,7 +105,9 @@ def dataset_config(name: str, file_config: Mapping | str | Path, schema_config:
         sample_size=int(info.get("sample_size", 10)),
     )
     paths = {"source": info.get(SOURCE_PATH), "staging": info.get(STAGING_PATH), "target": info.get(TARGET_PATH)}
-    return DatasetConfig(spec, paths, info.get("format"), dict(info.get("read_options", {})), lookup_path, lookup_fmt)
+    return DatasetConfig(
+        spec, paths, info.get("format"), dict(info.get("read_options", {})), lookup_path, lookup_fmt, bool(info.get("cache", False))
+    )
 
 
 def validate_dataset(
@@ -113,11 +116,16 @@ def validate_dataset(
     file_config: Mapping | str | Path,
     schema_config: Mapping | str | Path | None = None,
     mode: str | Mode = Mode.BOTH,
+    persist: bool = False,
 ) -> DataFrame:
     """Config → load → lookup → suites → result rows.
 
     A load failure gives a single ``load`` row with status ``Error`` and the
     reason; a lookup that cannot be read makes ``referential_integrity`` fail.
+    ``persist`` caches the loaded layers (memory and disk) while the checks run
+    and releases them afterwards: worth it for layers that fit the cluster's
+    storage, since every check reads them; leave it off for very large layers,
+    which the checks read column-pruned anyway.
     """
     mode = parse_mode(mode)
     cfg = dataset_config(name, file_config, schema_config)
@@ -134,4 +142,6 @@ def validate_dataset(
         except Exception:
             table = None
         spec = dataclasses.replace(spec, lookup=dataclasses.replace(spec.lookup, table=table))
-    return run_suite(spark, spec, mode, source=loaded.source, staging=loaded.staging, target=loaded.target)
+    layers = [df for df in (loaded.source, loaded.staging, loaded.target) if df is not None]
+    with persisted(*(layers if persist or cfg.persist else [])):
+        return run_suite(spark, spec, mode, source=loaded.source, staging=loaded.staging, target=loaded.target)

@@ -156,3 +156,12 @@ def test_zero_byte_layer_is_empty(spark, fixture_config, tmp_path):
     files["customer_data"]["src_file_path"] = str(empty)
     res = validate_dataset(spark, "customer_data", files, fixture_config[1], mode="source_to_staging").collect()
     assert res[0]["check"] == "load" and res[0]["status"] == "Error"
+
+
+def test_persisted_layers_give_same_results(spark, fixture_config):
+    cached_before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    a = validate_dataset(spark, "orders_data", *fixture_config, mode="both")
+    b = validate_dataset(spark, "orders_data", *fixture_config, mode="both", persist=True)
+    key = lambda df: sorted((r["stage"], r["check"], r["status"], r["violation_count"]) for r in df.collect())
+    assert key(a) == key(b)
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == cached_before  # released after the checks

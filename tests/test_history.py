@@ -103,3 +103,15 @@ def test_join_key_stats_hot_and_cold_agree(spark):
     for bar in (100_000, 5):  # nothing hot / key 0 and more are hot
         got = {(r["id"], r["top"]) for r in join_key_stats(rows, stats, ["k"], stats, "n", hot_key_rows=bar).collect()}
         assert got == plain
+
+
+def test_merge_rejects_late_changes_but_reapplies_unchanged(spark):
+    import pytest
+
+    d1, d2 = dt.date(2025, 1, 2), dt.date(2025, 1, 1)
+    hist = H.scd2_load(spark.createDataFrame([(1, 10)], "k int, a int"), d1)
+    same = spark.createDataFrame([(1, 10, d2)], "k int, a int, batch_date date")
+    assert H.merge_versions(hist, same, ["k"], ["a"]).count() == 1  # nothing changes: fine
+    late = spark.createDataFrame([(1, 99, d2)], "k int, a int, batch_date date")
+    with pytest.raises(Exception, match="late load"):
+        H.merge_versions(hist, late, ["k"], ["a"]).collect()
