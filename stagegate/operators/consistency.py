@@ -237,6 +237,13 @@ def consistency_summary(
     )
 
 
+def pair_count(source: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row: ``pairs``, the number of (source, other) row pairs with equal keys, from key counts only."""
+    kcols = [_KEY.format(i) for i in range(len(key))]
+    kc = _key_counts(source, key, "_m").join(_key_counts(other, key, "_n"), kcols)
+    return kc.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).cast("bigint").alias("pairs"))
+
+
 def inconsistent_keys(
     source: DataFrame,
     other: DataFrame,

@@ -263,22 +263,43 @@ def check_completeness(ctx: StageContext) -> CheckResult:
 
 
 def check_consistency(ctx: StageContext) -> CheckResult:
+    """Per-column mismatch totals, the pair count and the first mismatching keys, in one action.
+
+    All three come from the same keyed diagnostics (``inconsistent_keys``) and
+    key counts, so Spark reuses their exchanges instead of recomputing the join.
+    """
     key = list(ctx.spec.key)
     plan = C.plan_consistency(ctx.left, ctx.right, key)
-    rows = C.consistency_summary(ctx.left, ctx.right, key).collect()
-    per_col = {r["column_name"]: int(r["mismatches"]) for r in rows}
-    pairs = int(rows[0]["pairs"]) if rows else 0
-    total = sum(per_col.values())
+    names = [p.name for p in plan.compared]
+    per_col = {c: 0 for c in names}
+    pairs = 0
     samples: list[str] = []
-    if total:
-        samples = [
-            r["_s"]
-            for r in C.inconsistent_keys(ctx.left, ctx.right, key)
-            .orderBy(*[qcol(k) for k in key], "column_name")
+    if names:
+        keyed = C.inconsistent_keys(ctx.left, ctx.right, key)
+        pairs_scalar = C.pair_count(ctx.left, ctx.right, key).select("pairs").scalar()
+        totals = keyed.groupBy("column_name").agg(F.sum("mismatches").cast("bigint").alias("_n")).select(
+            F.lit(0).alias("_kind"), "column_name", "_n", F.lit(None).cast("string").alias("_s")
+        )
+        firsts = (
+            keyed.orderBy(*[qcol(k) for k in key], "column_name")
             .limit(ctx.spec.sample_size)
-            .select(F.to_json(F.struct("*")).alias("_s"))
-            .collect()
-        ]
+            .select(
+                F.lit(1).alias("_kind"),
+                F.lit(None).cast("string").alias("column_name"),
+                F.lit(None).cast("bigint").alias("_n"),
+                F.to_json(F.struct(*[qcol(c) for c in keyed.columns])).alias("_s"),
+            )
+        )
+        rows = totals.unionByName(firsts).select("*", pairs_scalar.alias("_pairs")).collect()
+        for r in rows:
+            pairs = int(r["_pairs"] or 0)
+            if r["_kind"] == 0:
+                per_col[r["column_name"]] = int(r["_n"])
+            else:
+                samples.append(r["_s"])
+        if not rows:
+            pairs = int(C.pair_count(ctx.left, ctx.right, key).first()["pairs"])
+    total = sum(per_col.values())
     notes = [f"{c}: {n} mismatches" for c, n in per_col.items() if n]
     if plan.skipped:
         notes.append("not in both layers: " + ", ".join(plan.skipped))

@@ -19,6 +19,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.history import build_versions, stamp_batch
 from ..operators.skew import join_key_stats
@@ -45,8 +46,20 @@ TABLES = (
 )
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One shared test table.  Its schema is inferred once per application and then
+    passed explicitly, which skips Parquet's footer-reading inference job on every read."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    cache_key = (spark.sparkContext.applicationId, path)
+    schema = _SCHEMAS.get(cache_key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[cache_key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _hit(col: str, rule: tuple[int, int]):
