@@ -115,3 +115,31 @@ def test_merge_rejects_late_changes_but_reapplies_unchanged(spark):
     late = spark.createDataFrame([(1, 99, d2)], "k int, a int, batch_date date")
     with pytest.raises(Exception, match="late load"):
         H.merge_versions(hist, late, ["k"], ["a"]).collect()
+
+
+def test_build_versions_random_layouts(spark):
+    import random
+
+    w = Window.partitionBy("k").orderBy("t", "tb")
+    for seed in range(4):
+        rnd = random.Random(seed)
+        n = rnd.randint(50, 400)
+        hot_share = rnd.choice([0.0, 0.3, 0.6])
+        rows = []
+        for i in range(n):
+            k = 7 if rnd.random() < hot_share else rnd.choice([None, 1, 2, 3, 4, 5])
+            rows.append((k, rnd.choice([None, 1, 2, 3, 5, 8]), i))
+        df = spark.createDataFrame(rows, "k int, t int, tb int")
+        got = H.build_versions(df, ["k"], "t", ["tb"], end_name="e", flag_name="f", num_partitions=rnd.randint(1, 9))
+        want = df.select("tb", F.lead("t").over(w).alias("e2"), F.lead("tb").over(w).isNull().alias("last"))
+        bad = got.join(want, "tb").where(~F.col("e").eqNullSafe(F.col("e2")) | ((F.col("f") == "Y") != F.col("last")))
+        assert bad.count() == 0, seed
+        assert got.count() == n
+
+
+def test_latest_per_key_with_map_column(spark):
+    df = spark.createDataFrame(
+        [(1, {"a": 1}, dt.date(2025, 1, 1)), (1, {"b": 2}, dt.date(2025, 1, 2))], "k int, m map<string,int>, batch_date date"
+    )
+    r = H.latest_per_key(df, ["k"]).first()
+    assert r["m"] == {"b": 2}
