@@ -132,6 +132,15 @@ def q_referential_integrity(spark, d):
     return V.orphan_values(_tgt(spark, d), "o_custkey", _t(spark, d, "customer"), "c_custkey")
 
 
+def q_referential_integrity_rows(spark, d):
+    return V.orphan_rows(_tgt(spark, d), "o_custkey", _t(spark, d, "customer"), "c_custkey")
+
+
+def q_transformation_rule_rows(spark, d):
+    rows = V.rule_violation_rows(_tgt(spark, d), testbed.TARGET_RULES)
+    return rows.select("o_orderkey", "o_custkey", "o_totalprice", "batch_date", F.array_join("violated_rules", ",").alias("violated_rules"))
+
+
 def q_transformation_rules(spark, d):
     return V.rule_violation_counts(_tgt(spark, d), testbed.TARGET_RULES)
 
@@ -191,7 +200,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd_type2_active_flag": q_scd_type2_active_flag,
         "scd_type2_history": q_scd_type2_history,
         "referential_integrity": q_referential_integrity,
+        "referential_integrity_rows": q_referential_integrity_rows,
         "transformation_rules": q_transformation_rules,
+        "transformation_rule_rows": q_transformation_rule_rows,
         "scd2_build": q_scd2_build,
         "scd1_append": q_scd1_append,
         "scd1_latest": q_scd1_latest,
@@ -339,6 +350,10 @@ FROM scd""",
         + """SELECT o_custkey, count(*) AS n_rows FROM tgt t
 WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = t.o_custkey)
 GROUP BY o_custkey""",
+        "referential_integrity_rows": _with(_TGT)
+        + """SELECT * FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = t.o_custkey)""",
+        "transformation_rule_rows": _with(_TGT)
+        + "SELECT *, 'non_negative_price' AS violated_rules FROM tgt WHERE o_totalprice < 0",
         "transformation_rules": _with(_TGT)
         + "SELECT 'non_negative_price' AS rule, count(CASE WHEN o_totalprice < 0 THEN 1 END) AS violations FROM tgt",
         "scd2_build": _with(_SCD) + "SELECT * FROM scd",

@@ -25,6 +25,7 @@ from ..functions.predicates import (
     qcol,
 )
 from ..spec import Rule
+from .skew import join_key_stats
 
 
 def _field_types(df: DataFrame) -> dict[str, T.DataType]:
@@ -176,9 +177,20 @@ def orphan_values(
 
 
 def orphan_rows(df: DataFrame, target_column: str, lookup: DataFrame, lookup_column: str) -> DataFrame:
-    """The target rows whose FK has no match (row-level diagnostics)."""
-    keys = lookup.select(qcol(lookup_column).alias("_lookup_key")).distinct()
-    return df.join(keys, qcol(target_column) == F.col("_lookup_key"), "left_anti")
+    """The target rows whose FK has no match (row-level diagnostics).
+
+    The orphan FK values come from ``orphan_values`` (aggregated first), and
+    their rows are fetched with the hot-key-safe join, so an orphan value
+    holding a large share of the rows is joined in place from a bounded
+    broadcast instead of landing whole in one task.  Rows with a NULL FK are
+    orphans too and need no join.
+    """
+    fk = qcol(target_column)
+    orphans = orphan_values(df, target_column, lookup, lookup_column, count_name="_n").where(fk.isNotNull())
+    keyed = df.where(fk.isNotNull()).withColumn("_fk", fk)
+    stats = orphans.select(fk.alias("_fk"), "_n")
+    matched = join_key_stats(keyed, stats, ["_fk"], stats, "_n").drop("_fk", "_n")
+    return matched.unionByName(df.where(fk.isNull()))
 
 
 # ---------------------------------------------------------------- C12

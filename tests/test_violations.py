@@ -148,3 +148,12 @@ def test_suite_isolates_errors_and_missing_flag(spark):
     assert rows["transformation_rules"]["status"] == "Error"
     assert rows["primary_key_val"]["status"] == "Success"
     assert rows["scd_type2_record_count"]["status"] == "Success"
+
+
+def test_orphan_rows_with_hot_orphan_value_and_null_fk(spark):
+    tgt = spark.range(0, 3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 999 WHEN id % 50 = 1 THEN NULL ELSE id % 10 END AS fk")
+    lk = spark.range(0, 10).selectExpr("id AS cid")
+    got = V.orphan_rows(tgt, "fk", lk, "cid")
+    want = tgt.where("fk IS NULL OR fk NOT IN (0,1,2,3,4,5,6,7,8,9)")
+    assert got.count() == want.count() == 1000 + 40
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
