@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.predicates import qcol
 from ..session import ensure_checkpoint_dir
+from .skew import join_key_stats
 
 # ---------------------------------------------------------------- H1
 
@@ -48,14 +49,23 @@ def stamp_batch(df: DataFrame, batch: dt.date | str | Column, column: str = "bat
 # ---------------------------------------------------------------- H2
 
 
-def apply_changes(df: DataFrame, changes: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+def apply_changes(
+    df: DataFrame,
+    changes: DataFrame,
+    key: Sequence[str],
+    columns: Sequence[str] | None = None,
+    skew_safe: bool = False,
+) -> DataFrame:
     """Keyed update: where ``changes`` has a row for a key, its non-key columns replace the old values.
 
     ``changes`` holds the key plus the changed columns, one row per key.  A NULL
     in ``changes`` means "set to NULL" only for keys present; keys absent from
     ``changes`` keep their values.  The join is a left outer join on the key:
     with a small change set it is broadcast by AQE from runtime size, otherwise a
-    sort-merge join whose skewed partitions AQE splits.
+    sort-merge join whose skewed partitions AQE splits.  AQE cannot split when
+    ``changes`` arrives already partitioned by the key (e.g. straight out of an
+    aggregate); ``skew_safe=True`` then counts the rows per key of ``df`` and
+    joins hot keys from a bounded broadcast (``skew.join_key_stats``).
     """
     cols = [c for c in (columns or changes.columns) if c not in key]
     unknown = [c for c in cols if c not in df.columns]
@@ -66,8 +76,14 @@ def apply_changes(df: DataFrame, changes: DataFrame, key: Sequence[str], columns
         F.lit(True).alias("_hit"),
         *[qcol(c).alias(f"_cv{i}") for i, c in enumerate(cols)],
     )
-    cond = [qcol(k) == F.col(f"_ck{i}") for i, k in enumerate(key)]
-    joined = df.join(ch, cond, "left")
+    if skew_safe:
+        kn = [f"_ck{i}" for i in range(len(key))]
+        rows = df.select("*", *[qcol(k).alias(n) for k, n in zip(key, kn)])
+        counts = df.groupBy(*[qcol(k).alias(n) for k, n in zip(key, kn)]).agg(F.count(F.lit(1)).alias("_rows"))
+        joined = join_key_stats(rows, ch, kn, counts, "_rows", how="left")
+    else:
+        cond = [qcol(k) == F.col(f"_ck{i}") for i, k in enumerate(key)]
+        joined = df.join(ch, cond, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     out = []
     for name in df.columns:

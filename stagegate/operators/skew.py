@@ -47,14 +47,19 @@ def join_key_stats(
     count_col: str,
     hot_key_rows: int = HOT_KEY_MIN_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of ``rows`` with ``stats`` (one row per key) on ``key``, safe for hot keys.
+    """Join of ``rows`` with ``stats`` (one row per key) on ``key``, safe for hot keys.
 
     ``counts`` holds the number of ``rows`` per key in ``count_col`` (often
-    ``stats`` itself); it decides which keys are hot.
+    ``stats`` itself); it decides which keys are hot.  ``how`` is ``inner`` or
+    ``left`` (rows without stats kept, stats columns NULL).
     """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
     key = list(key)
     hot = hot_keys(counts, key, count_col, hot_key_rows, max_hot_keys)
-    cold = rows.join(F.broadcast(hot), key, "left_anti").join(stats, key)
+    cold = rows.join(F.broadcast(hot), key, "left_anti").join(stats, key, how)
     hot_stats = stats.join(F.broadcast(hot), key, "left_semi")  # fewer than max_hot_keys rows
-    return cold.unionByName(rows.join(F.broadcast(hot_stats), key))
+    hot_rows = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_stats), key, how)
+    return cold.unionByName(hot_rows)

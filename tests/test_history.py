@@ -143,3 +143,18 @@ def test_latest_per_key_with_map_column(spark):
     )
     r = H.latest_per_key(df, ["k"]).first()
     assert r["m"] == {"b": 2}
+
+
+def test_apply_changes_skew_safe_matches_plain(spark):
+    df = spark.range(0, 3000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 40 END AS k", "id", "CAST(id AS INT) AS a")
+    changes = df.groupBy("k").agg(F.lit(-1).alias("a")).where("k % 2 = 0")  # pre-aggregated: partitioned by k
+    plain = H.apply_changes(df, changes, ["k"]).collect()
+    safe = H.apply_changes(df, changes, ["k"], skew_safe=True)
+    assert sorted(map(tuple, safe.collect())) == sorted(map(tuple, plain))
+    from stagegate.operators import skew
+
+    hot_rows = skew.join_key_stats(
+        df.withColumn("_ck0", F.col("k")), changes.select(F.col("k").alias("_ck0"), F.col("a").alias("new_a")), ["_ck0"],
+        df.groupBy(F.col("k").alias("_ck0")).count(), "count", hot_key_rows=500, how="left",
+    )
+    assert hot_rows.count() == 3000
