@@ -237,6 +237,78 @@ def _next_in_partition(order: list[str], key: list[str], carry_names: list[str])
     return run
 
 
+def _prev_in_partition(order: list[str], key: list[str], tracked: list[str]):
+    """Per-partition function for ``mapInPandas``: is each row a repeat of the previous row?
+
+    Rows arrive sorted by ``order``.  ``_repeat`` is true when the previous row
+    has the same key and NULL-safely equal ``tracked`` values; the partition's
+    first row is marked ``_first`` and left for the boundary fix.
+    """
+    cols = list(dict.fromkeys(key + tracked + order))
+
+    def exact(pdf: pd.DataFrame) -> pd.DataFrame:
+        for c in cols:
+            kind = pdf[c].dtype.kind
+            if kind in "iu":
+                pdf[c] = pdf[c].astype("Int64")
+            elif kind == "b":
+                pdf[c] = pdf[c].astype("boolean")
+        return pdf
+
+    def equal(a: pd.Series, b: pd.Series) -> pd.Series:
+        return (a == b).fillna(False).astype(bool) | (a.isna() & b.isna())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last: pd.DataFrame | None = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pdf = exact(pdf.reset_index(drop=True))
+            prev = pdf[cols].shift(1)
+            if last is not None:
+                prev.iloc[0] = last.iloc[0]
+            repeat = pd.Series(True, index=pdf.index)
+            for c in key + tracked:
+                repeat &= equal(pdf[c], prev[c])
+            first = pd.Series(False, index=pdf.index)
+            if last is None:
+                repeat.iloc[0] = False
+                first.iloc[0] = True
+            out = pdf.copy()
+            out["_repeat"] = repeat.astype(bool)
+            out["_first"] = first
+            last = pdf[cols].iloc[[-1]].reset_index(drop=True)
+            yield out
+
+    return run
+
+
+def _drop_repeats(df: DataFrame, key: list[str], order: list[str], tracked: list[str], num_partitions: int | None) -> DataFrame:
+    """Rows whose tracked values differ from the previous row of the same key (or that start a key).
+
+    Same range layout as ``build_versions``: the previous row is found inside
+    the range; a range's first row compares with the last row of the previous
+    non-empty range, from a table of at most one row per partition (broadcast).
+    """
+    ordered = ordered_ranges(df, order, num_partitions)
+    out_schema = T.StructType(
+        list(ordered.schema.fields)
+        + [T.StructField("_repeat", T.BooleanType(), False), T.StructField("_first", T.BooleanType(), False)]
+    )
+    local = ordered.mapInPandas(_prev_in_partition(order, key, tracked), out_schema)
+    cols = list(dict.fromkeys(key + tracked))
+    tail_struct = F.struct(*[qcol(c).alias(f"_o{i}") for i, c in enumerate(order)], *[qcol(c).alias(f"_t{i}") for i, c in enumerate(cols)])
+    tails = ordered.groupBy("_pid").agg(F.max(tail_struct).alias("_tail"))
+    # each range's predecessor is the previous non-empty range (at most one row per partition)
+    fix = tails.select("_pid", F.lag("_tail").over(Window.orderBy("_pid")).alias("_prev"))
+    joined = local.join(F.broadcast(fix), "_pid", "left")
+    boundary_repeat = F.col("_prev").isNotNull()
+    for i, c in enumerate(cols):
+        boundary_repeat = boundary_repeat & F.col(f"_prev._t{i}").eqNullSafe(qcol(c))
+    repeat = F.when(F.col("_first"), boundary_repeat).otherwise(F.col("_repeat"))
+    return joined.where(~repeat).select(*[qcol(c) for c in df.columns])
+
+
 def ordered_ranges(df: DataFrame, order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
     """``df`` cut into contiguous ranges of ``order``, sorted within each, with the range id ``_pid``.
 
@@ -265,6 +337,7 @@ def build_versions(
     inactive: str = "N",
     next_columns: Sequence[str] = (),
     num_partitions: int | None = None,
+    tracked: Sequence[str] = (),
 ) -> DataFrame:
     """Full type-2 history: each row is a version of its key.
 
@@ -272,10 +345,18 @@ def build_versions(
     next version's start (half-open interval; NULL for the last version) and
     ``flag_name`` is ``active`` for the last version, ``inactive`` otherwise.
     ``next_columns`` (a subset of ``tiebreak``) are also emitted as ``next_<c>``.
+
+    With ``tracked`` columns, a row whose tracked values equal (NULL-safely) those
+    of the previous row of its key is not a new version and is dropped first.
+    Rebuilding from the kept log of loads then gives the same history as
+    applying the loads one by one with ``merge_versions``, and also repairs
+    keys that received a late load.
     """
     key, tiebreak = list(key), list(tiebreak)
     order = key + [start] + tiebreak
     carry = [start] + tiebreak
+    if tracked:
+        df = _drop_repeats(df, key, order, list(tracked), num_partitions)
     ordered = ordered_ranges(df, order, num_partitions)
     fields = list(ordered.schema.fields)
     types = {f.name: f.dataType for f in fields}
