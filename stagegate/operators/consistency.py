@@ -95,8 +95,14 @@ class _Routing:
     kcols: list[str]
     names: list[str]
     multi_keys: DataFrame  # keys on both sides with more than one row on one of them (+ _m, _n)
-    s_tagged: DataFrame  # rows of keys on both sides, each with its key's (_m, _n)
-    o_tagged: DataFrame
+    s_cold: DataFrame  # rows of ordinary keys on both sides, with (_m, _n); hash-partitioned by key
+    o_cold: DataFrame
+    s_hot: DataFrame  # rows of hot keys on both sides, with (_m, _n); never unique keys
+    o_hot: DataFrame
+
+    @property
+    def s_tagged(self) -> DataFrame:
+        return self.s_cold.unionByName(self.s_hot)
 
     @staticmethod
     def unique(df: DataFrame) -> DataFrame:
@@ -119,19 +125,19 @@ def _parts(source: DataFrame, other: DataFrame, plan: ConsistencyPlan, hot_key_r
     names = [p.name for p in plan.compared]
     s_kc, o_kc = _key_counts(source, key, "_m"), _key_counts(other, key, "_n")
     kc = s_kc.join(o_kc, kcols)
+    if hot_key_rows < 1:
+        raise ValueError("hot_key_rows must be at least 1 (a hot key is never a unique key)")
     s_rows, o_rows = _keyed(source, key, names), _keyed(other, key, names)
-    return _Routing(
-        kcols,
-        names,
-        _Routing.multi(kc),
-        skew.join_key_stats(s_rows, kc, kcols, s_kc, "_m", hot_key_rows, max_hot_keys),
-        skew.join_key_stats(o_rows, kc, kcols, o_kc, "_n", hot_key_rows, max_hot_keys),
-    )
+    s_cold, s_hot = skew.join_key_stats_parts(s_rows, kc, kcols, s_kc, "_m", hot_key_rows, max_hot_keys)
+    o_cold, o_hot = skew.join_key_stats_parts(o_rows, kc, kcols, o_kc, "_n", hot_key_rows, max_hot_keys)
+    return _Routing(kcols, names, _Routing.multi(kc), s_cold, o_cold, s_hot, o_hot)
 
 
 def _unique_pairs(r: _Routing) -> DataFrame:
-    s = _Routing.unique(r.s_tagged).alias("s")
-    o = _Routing.unique(r.o_tagged).alias("o")
+    # hot keys have more than one row, so unique keys are all among the cold rows, which
+    # are already partitioned by key: the 1:1 join needs no further exchange
+    s = _Routing.unique(r.s_cold).alias("s")
+    o = _Routing.unique(r.o_cold).alias("o")
     return s.join(o, [F.col(f"s.{k}") == F.col(f"o.{k}") for k in r.kcols])
 
 
@@ -175,9 +181,9 @@ def _multi_matches(r: _Routing, plan: ConsistencyPlan) -> DataFrame:
     1:1 on (key, column, value); ``m_v · n_v`` summed over shared values is the
     number of equal pairs.
     """
-    types = _comparable_types(r.s_tagged, plan, "s")
-    vs = _value_counts(_Routing.multi(r.s_tagged), r.kcols, plan, "s", types)
-    vo = _value_counts(_Routing.multi(r.o_tagged), r.kcols, plan, "o", types)
+    types = _comparable_types(r.s_cold, plan, "s")
+    vs = _value_counts(_Routing.multi(r.s_cold).unionByName(r.s_hot), r.kcols, plan, "s", types)
+    vo = _value_counts(_Routing.multi(r.o_cold).unionByName(r.o_hot), r.kcols, plan, "o", types)
     return vs.join(vo, r.kcols + ["_ci", "_v"]).select(*r.kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
 
 

@@ -55,6 +55,26 @@ def join_key_stats(
     ``stats`` itself); it decides which keys are hot.  ``how`` is ``inner`` or
     ``left`` (rows without stats kept, stats columns NULL).
     """
+    cold, hot = join_key_stats_parts(rows, stats, key, counts, count_col, hot_key_rows, max_hot_keys, how)
+    return cold.unionByName(hot)
+
+
+def join_key_stats_parts(
+    rows: DataFrame,
+    stats: DataFrame,
+    key: Sequence[str],
+    counts: DataFrame,
+    count_col: str,
+    hot_key_rows: int = HOT_KEY_MIN_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+    how: str = "inner",
+) -> tuple[DataFrame, DataFrame]:
+    """``join_key_stats`` as its two parts: (rows of ordinary keys, rows of hot keys).
+
+    The first part comes out of a shuffle join and keeps its hash partitioning
+    on the key; a union with the second would lose it.  Callers that go on
+    joining or grouping by the key can therefore use the parts separately.
+    """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     key = list(key)
@@ -62,4 +82,4 @@ def join_key_stats(
     cold = rows.join(F.broadcast(hot), key, "left_anti").join(stats, key, how)
     hot_stats = stats.join(F.broadcast(hot), key, "left_semi")  # fewer than max_hot_keys rows
     hot_rows = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_stats), key, how)
-    return cold.unionByName(hot_rows)
+    return cold, hot_rows
