@@ -126,8 +126,14 @@ def scd2(events: DataFrame) -> DataFrame:
     start of the next one (NULL for the last).  Users with ``user_id % 10 = 1`` have
     no active version, users with ``% 10 = 2`` have two.
     """
+    # Each event carries its user's last (ts, event_id); the version whose successor is that
+    # last one is the second-to-last.  The per-user table is attached to the plain event scan
+    # with the hot-key-safe join (a user with most of the events is not shuffled into one
+    # task) and then rides through the version build as payload, so the range pass runs once.
+    last = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct("ts", "event_id")).alias("_last"))
+    rows = join_key_stats(events.select("user_id", "event_id", "event_type", "value", "ts"), last, ["user_id"], last, "_n")
     versions = build_versions(
-        events.select("user_id", "event_id", "event_type", "value", "ts"),
+        rows,
         key=["user_id"],
         start="ts",
         tiebreak=["event_id"],
@@ -136,10 +142,6 @@ def scd2(events: DataFrame) -> DataFrame:
         flag_name="is_active",
         next_columns=["event_id"],
     )
-    # the last version per user; the version whose successor is it is the second-to-last.
-    # Joined back with the hot-key-safe join: a user with most of the events is not
-    # shuffled into one task.
-    last = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct("ts", "event_id")).alias("_last"))
     successor_is_last = F.coalesce(
         (F.col("effective_end") == F.col("_last.ts")) & (F.col("next_event_id") == F.col("_last.event_id")),
         F.lit(False),
@@ -149,5 +151,6 @@ def scd2(events: DataFrame) -> DataFrame:
         .when(_hit("user_id", TWO_ACTIVE_USERS) & successor_is_last, F.lit("Y"))
         .otherwise(F.col("is_active"))
     )
-    joined = join_key_stats(versions, last, ["user_id"], last, "_n")
-    return joined.withColumn("is_active", flag).drop("_n", "_last", "next_event_id")
+    return versions.withColumn("is_active", flag).select(
+        "user_id", "event_id", "event_type", "value", "effective_start", "effective_end", "is_active"
+    )
