@@ -77,3 +77,54 @@ def test_hot_key_plan_has_no_pairwise_join(spark):
     eq_b = sum(cs[v] ** 2 for v in cs)
     assert got["a"] == (4_000_000 - eq_a, 4_000_000)
     assert got["b"] == (4_000_000 - eq_b, 4_000_000)
+
+
+def _brute_generic(src, stg, nkey, ncols):
+    """Pairwise reference: keys joined with '=', values compared NULL-safely (NaN == NaN, -0.0 == 0.0)."""
+    import math
+
+    def same(a, b):
+        if a is None or b is None:
+            return a is None and b is None
+        if isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b):
+            return True
+        return a == b
+
+    out, pairs = [0] * ncols, 0
+    for s, t in itertools.product(src, stg):
+        ks, kt = s[:nkey], t[:nkey]
+        if any(x is None for x in ks + kt) or ks != kt:
+            continue
+        pairs += 1
+        for i in range(ncols):
+            if not same(s[nkey + i], t[nkey + i]):
+                out[i] += 1
+    return out, pairs
+
+
+@pytest.mark.parametrize("seed,hot_rows", [(11, 100_000), (12, 2), (13, 100_000)])
+def test_composite_key_floats_dates_maps(spark, seed, hot_rows):
+    import datetime as dt
+
+    rnd = random.Random(seed)
+    floats = [None, 0.0, -0.0, 1.5, float("nan")]
+    dates = [None, dt.date(2025, 1, 1), dt.date(2025, 1, 2)]
+    maps = [None, {"a": 1}, {"a": 1, "b": 2}, {"b": 2, "a": 1}]
+
+    def rows(n):
+        return [
+            (rnd.choice([None, 1, 1, 2]), rnd.choice(["x", "x", "y", None]), rnd.choice(floats), rnd.choice(dates), rnd.choice(maps))
+            for _ in range(n)
+        ]
+
+    src, stg = rows(rnd.randint(5, 25)), rows(rnd.randint(5, 25))
+    schema = "k1 int, k2 string, f double, d date, m map<string,int>"
+    s_df, o_df = spark.createDataFrame(src, schema), spark.createDataFrame(stg, schema)
+    got = {r["column_name"]: (r["mismatches"], r["pairs"]) for r in C.consistency_summary(s_df, o_df, ["k1", "k2"], hot_key_rows=hot_rows).collect()}
+    want, pairs = _brute_generic(src, stg, 2, 3)
+    assert got == {"f": (want[0], pairs), "d": (want[1], pairs), "m": (want[2], pairs)}
+    keyed = C.inconsistent_keys(s_df, o_df, ["k1", "k2"], hot_key_rows=hot_rows).collect()
+    per = {"f": 0, "d": 0, "m": 0}
+    for r in keyed:
+        per[r["column_name"]] += r["mismatches"]
+    assert [per["f"], per["d"], per["m"]] == want

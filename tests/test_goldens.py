@@ -165,3 +165,14 @@ def test_persisted_layers_give_same_results(spark, fixture_config):
     key = lambda df: sorted((r["stage"], r["check"], r["status"], r["violation_count"]) for r in df.collect())
     assert key(a) == key(b)
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == cached_before  # released after the checks
+
+
+def test_rules_from_config(spark, fixture_config):
+    files = json.loads(open(fixture_config[0]).read())
+    files["orders_data"]["rules"] = [
+        {"name": "amount_over_550", "violation": "amount > 550", "requires": ["amount"]},
+        {"name": "needs_missing_column", "violation": "nope > 0", "requires": ["nope"]},
+    ]
+    res = validate_dataset(spark, "orders_data", files, fixture_config[1], mode="staging_to_target")
+    r = {x["check"]: x for x in res.collect()}["transformation_rules"]
+    assert r["status"] == "Fail" and r["metrics"] == {"amount_over_550": 3}  # 600, 600, 620 for order 105
