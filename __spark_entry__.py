@@ -28,6 +28,7 @@ from stagegate.operators import history as H
 from stagegate.operators import schema as S
 from stagegate.operators import violations as V
 from stagegate.plans import testbed
+from stagegate.plans.checks import FAIL, SUCCESS
 from stagegate.sources import seeded
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -58,7 +59,7 @@ def _scd(spark, d):
 
 
 def _status(ok) -> F.Column:
-    return F.when(ok, F.lit("Success")).otherwise(F.lit("Fail")).alias("status")
+    return F.when(ok, F.lit(SUCCESS)).otherwise(F.lit(FAIL)).alias("status")
 
 
 def q_schemachk(spark, d):
