@@ -24,3 +24,23 @@ def test_each_landed_load_is_checked(spark, tmp_path):
     assert got["count_val_latest_batch"] == "Success"
     assert got["null_val"] == "Success"
     assert res.select(F.countDistinct("batch_id")).first()[0] == 1
+
+
+def test_source_to_staging_loads(spark, tmp_path):
+    landing, results, ckpt = tmp_path / "landing", tmp_path / "results", tmp_path / "ckpt"
+    source = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    spark.createDataFrame([(1, "a"), (2, "B")], "k int, v string").coalesce(1).write.parquet(str(landing / "load1"))
+    spark.createDataFrame([(3, "c"), (3, "c")], "k int, v string").coalesce(1).write.parquet(str(landing / "load2"))
+    spec = DatasetSpec(name="s", key=("k",), non_null=("k",), rules=())
+    stream = spark.readStream.schema("k int, v string").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(str(landing))
+    q = check_each_load(stream, spec, "source_to_staging", source, str(results), checkpoint_location=str(ckpt))
+    q.awaitTermination(120)
+    res = spark.read.parquet(str(results))
+    assert res.select("batch_id").distinct().count() == 2
+    by_batch = {}
+    for r in res.collect():
+        by_batch.setdefault(r["batch_id"], {})[r["check"]] = r
+    statuses = sorted(
+        (b["data_consistency"]["violation_count"], b["primary_key_val"]["violation_count"]) for b in by_batch.values()
+    )
+    assert statuses == [(0, 1), (1, 0)]  # load with the duplicate key 3; load with the changed value for key 2
