@@ -32,9 +32,16 @@ def hot_keys(
     count_col: str,
     hot_key_rows: int = HOT_KEY_MIN_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    total=None,
 ) -> DataFrame:
-    """Keys of ``counts`` (one row per key) whose ``count_col`` passes the hot bar; fewer than ``max_hot_keys``."""
-    total = counts.select(F.sum(count_col)).scalar()
+    """Keys of ``counts`` (one row per key) whose ``count_col`` passes the hot bar; fewer than ``max_hot_keys``.
+
+    ``total`` (a scalar Column) may replace the sum of the counts by any larger
+    figure, e.g. the row count of the input, which Spark can compute in parallel
+    with the per-key aggregate instead of after it; the bound still holds.
+    """
+    if total is None:
+        total = counts.select(F.sum(count_col)).scalar()
     bar = F.greatest(F.lit(hot_key_rows).cast("double"), total / F.lit(max_hot_keys))
     return counts.where(F.col(count_col) > bar).select(*key)
 
@@ -78,7 +85,9 @@ def join_key_stats_parts(
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     key = list(key)
-    hot = hot_keys(counts, key, count_col, hot_key_rows, max_hot_keys)
+    # rows (>= the summed counts) is counted by its own scan, side by side with the per-key aggregate
+    total = rows.select(F.count(F.lit(1))).scalar()
+    hot = hot_keys(counts, key, count_col, hot_key_rows, max_hot_keys, total)
     cold = rows.join(F.broadcast(hot), key, "left_anti").join(stats, key, how)
     hot_stats = stats.join(F.broadcast(hot), key, "left_semi")  # fewer than max_hot_keys rows
     hot_rows = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_stats), key, how)
