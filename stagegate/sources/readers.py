@@ -31,10 +31,20 @@ class EmptyLayerError(ValueError):
     pass
 
 
+_COMPRESSION = (".gz", ".bz2", ".zst", ".snappy", ".lz4", ".deflate", ".xz")
+
+
 def infer_format(path: str) -> str:
+    """Reader format from the path: the last known extension, ignoring a compression suffix and
+    trailing globs; directories named like ``orders.parquet/`` count too.  Default Parquet."""
     p = path.lower().rstrip("/")
+    while p.endswith("/*") or p.endswith("*"):
+        p = p[: p.rfind("/")] if "/" in p else ""
+    for suffix in _COMPRESSION:
+        if p.endswith(suffix):
+            p = p[: -len(suffix)]
     for ext, fmt in _EXT.items():
-        if p.endswith(ext) or p.endswith(ext + "/*") or f"{ext}/" in p:
+        if p.endswith(ext) or f"{ext}/" in p:
             return fmt
     return "parquet"
 
