@@ -275,7 +275,7 @@ def check_consistency(ctx: StageContext) -> CheckResult:
     pairs = 0
     samples: list[str] = []
     if names:
-        keyed = C.inconsistent_keys(ctx.left, ctx.right, key)
+        keyed = C.inconsistent_keys(ctx.left, ctx.right, key, hot_key_rows=ctx.spec.hot_key_rows, max_hot_keys=ctx.spec.max_hot_keys)
         pairs_scalar = C.pair_count(ctx.left, ctx.right, key).select("pairs").scalar()
         totals = keyed.groupBy("column_name").agg(F.sum("mismatches").cast("bigint").alias("_n")).select(
             F.lit(0).alias("_kind"), "column_name", "_n", F.lit(None).cast("string").alias("_s")

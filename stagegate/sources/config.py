@@ -17,8 +17,8 @@ The file layout follows the original framework's two JSON documents:
     {"orders_data": {"staging": [{"name": ..., "type": "IntegerType", "nullable": false}, ...], "target": [...]}}
 
 Optional extra keys: ``format``, ``read_options``, ``cache``, ``batch_column``,
-``active_values``, ``inactive_values``, ``check_nullable``, ``sample_size`` and
-``rules`` (``[{"name", "violation", "requires"}]``).  When ``rules`` is absent
+``active_values``, ``inactive_values``, ``check_nullable``, ``sample_size``,
+``hot_key_rows``, ``max_hot_keys`` and ``rules`` (``[{"name", "violation", "requires"}]``).  When ``rules`` is absent
 the original non-negative ``amount`` rule applies.
 """
 
@@ -103,6 +103,8 @@ def dataset_config(name: str, file_config: Mapping | str | Path, schema_config:
         lookup=lookup,
         check_nullable=bool(info.get("check_nullable", True)),
         sample_size=int(info.get("sample_size", 10)),
+        hot_key_rows=int(info.get("hot_key_rows", 100_000)),
+        max_hot_keys=int(info.get("max_hot_keys", 100_000)),
     )
     paths = {"source": info.get(SOURCE_PATH), "staging": info.get(STAGING_PATH), "target": info.get(TARGET_PATH)}
     return DatasetConfig(

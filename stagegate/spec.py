@@ -173,6 +173,10 @@ class DatasetSpec:
     lookup: Lookup | None = None
     check_nullable: bool = True
     sample_size: int = 10
+    # a key with more rows than max(hot_key_rows, rows / max_hot_keys) is routed through a
+    # bounded broadcast instead of a key-partitioned shuffle (see operators/skew.py)
+    hot_key_rows: int = 100_000
+    max_hot_keys: int = 100_000
 
     def __post_init__(self):
         if isinstance(self.key, str):
