@@ -68,16 +68,28 @@ class ComparablePair:
     left: Column
     right: Column
     drift: bool  # types differ and are not both numeric
+    dtype: T.DataType  # type of the comparable forms (both sides)
+
+
+def _orderable_type(dt: T.DataType) -> T.DataType:
+    if isinstance(dt, T.MapType):
+        return T.ArrayType(
+            T.StructType([T.StructField("key", dt.keyType, False), T.StructField("value", dt.valueType, dt.valueContainsNull)]),
+            False,
+        )
+    if _contains_map(dt):
+        return T.StringType()
+    return dt
 
 
 def comparable_pair(name: str, left: Column, left_type: T.DataType, right: Column, right_type: T.DataType) -> ComparablePair:
     if left_type == right_type:
-        return ComparablePair(name, orderable(left, left_type), orderable(right, right_type), False)
+        return ComparablePair(name, orderable(left, left_type), orderable(right, right_type), False, _orderable_type(left_type))
     if isinstance(left_type, _INTEGRAL) and isinstance(right_type, _INTEGRAL):
-        return ComparablePair(name, left.cast("bigint"), right.cast("bigint"), False)
+        return ComparablePair(name, left.cast("bigint"), right.cast("bigint"), False, T.LongType())
     if isinstance(left_type, _INTEGRAL + _FRACTIONAL) and isinstance(right_type, _INTEGRAL + _FRACTIONAL):
-        return ComparablePair(name, _fold_negative_zero(left), _fold_negative_zero(right), False)
-    return ComparablePair(name, canonical_string(left, left_type), canonical_string(right, right_type), True)
+        return ComparablePair(name, _fold_negative_zero(left), _fold_negative_zero(right), False, T.DoubleType())
+    return ComparablePair(name, canonical_string(left, left_type), canonical_string(right, right_type), True, T.StringType())
 
 
 def differs(pair: ComparablePair) -> Column:

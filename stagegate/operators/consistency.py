@@ -141,13 +141,6 @@ def _unique_pairs(r: _Routing) -> DataFrame:
     return s.join(o, [F.col(f"s.{k}") == F.col(f"o.{k}") for k in r.kcols])
 
 
-def _comparable_types(rows: DataFrame, plan: ConsistencyPlan, side: str) -> list[T.DataType]:
-    """Resolved type of each column's comparable form on one side."""
-    exprs = [(p.left if side == "s" else p.right) for p in plan.compared]
-    schema = rows.alias(side).select(*[e.alias(f"_x{i}") for i, e in enumerate(exprs)]).schema
-    return [schema[f"_x{i}"].dataType for i in range(len(exprs))]
-
-
 def _value_counts(rows: DataFrame, kcols, plan: ConsistencyPlan, side: str, types) -> DataFrame:
     """(key, column index, value) → row count, for the given rows of multi keys.
 
@@ -163,11 +156,12 @@ def _value_counts(rows: DataFrame, kcols, plan: ConsistencyPlan, side: str, type
     for t in types:
         if t not in distinct:
             distinct.append(t)
+    nulls = [F.lit(None).cast(t) for t in distinct]  # one NULL literal per slot type, shared by all cells
     alias_rows = rows.alias(side)
     cells = []
     for i, p in enumerate(plan.compared):
         e = p.left if side == "s" else p.right
-        slots = [(e if types[i] == t else F.lit(None).cast(t)).alias(f"_s{j}") for j, t in enumerate(distinct)]
+        slots = [(e if types[i] == t else nulls[j]).alias(f"_s{j}") for j, t in enumerate(distinct)]
         cells.append(F.struct(F.lit(i).alias("_ci"), F.struct(*slots).alias("_v")))
     long = alias_rows.select(*[F.col(f"{side}.{k}").alias(k) for k in kcols], F.inline(F.array(*cells)))
     return long.groupBy(*kcols, "_ci", "_v").agg(F.count(F.lit(1)).alias(f"_c{side}"))
@@ -181,7 +175,7 @@ def _multi_matches(r: _Routing, plan: ConsistencyPlan) -> DataFrame:
     1:1 on (key, column, value); ``m_v · n_v`` summed over shared values is the
     number of equal pairs.
     """
-    types = _comparable_types(r.s_cold, plan, "s")
+    types = [p.dtype for p in plan.compared]  # comparable type of each column, known without analysis
     vs = _value_counts(_Routing.multi(r.s_cold).unionByName(r.s_hot), r.kcols, plan, "s", types)
     vo = _value_counts(_Routing.multi(r.o_cold).unionByName(r.o_hot), r.kcols, plan, "o", types)
     return vs.join(vo, r.kcols + ["_ci", "_v"]).select(*r.kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
