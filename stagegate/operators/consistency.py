@@ -18,6 +18,12 @@ would produce ~N²/9 pairs), so the pairs are never built:
   reduced sides is 1:1 on ``(key, column, value)``.
 
 Both parts are exact, so their sum equals the pairwise count.
+
+Rows are routed to the two parts by a join with the per-key row counts.  That
+join is ``skew.join_key_stats``: a key holding a large share of a side's rows is
+joined from a bounded broadcast instead of the key-partitioned shuffle, and
+only ordinary keys, which are already partitioned by key after the routing
+join, feed the 1:1 join of the unique part.
 """
 
 from __future__ import annotations
