@@ -187,3 +187,11 @@ def test_rebuild_with_tracked_equals_sequential_merges(spark):
         key=lambda t: tuple((x is None, str(x)) for x in t),
     )
     assert norm(rebuilt) == norm(hist)
+
+
+def test_merge_empty_batch_keeps_history(spark):
+    d1 = dt.date(2025, 1, 1)
+    hist = H.scd2_load(spark.createDataFrame([(1, 10), (2, 20)], "k int, a int"), d1)
+    empty = spark.createDataFrame([], "k int, a int, batch_date date")
+    merged = H.merge_versions(hist, empty, ["k"], ["a"])
+    assert sorted(tuple(r) for r in merged.collect()) == sorted(tuple(r) for r in hist.collect())
