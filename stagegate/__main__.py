@@ -28,10 +28,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--dataset", required=True)
     ap.add_argument("--mode", default="both", choices=["source_to_staging", "staging_to_target", "both"])
     ap.add_argument("--output", help="write the result rows here (Parquet, appended)")
+    ap.add_argument("--parallelism", type=int, default=4, help="checks submitted to Spark at once")
+    ap.add_argument("--cache", action="store_true", help="cache the loaded layers while the checks run")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("stagegate").getOrCreate()
-    results = validate_dataset(spark, args.dataset, args.file_config, args.schema_config, args.mode).cache()
+    results = validate_dataset(
+        spark, args.dataset, args.file_config, args.schema_config, args.mode, persist=args.cache, parallelism=args.parallelism
+    ).cache()
     results.select("stage", "seq", "check", "status", "violation_count", "details").orderBy("stage", "seq").show(
         100, truncate=100
     )

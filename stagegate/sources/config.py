@@ -119,6 +119,7 @@ def validate_dataset(
     schema_config: Mapping | str | Path | None = None,
     mode: str | Mode = Mode.BOTH,
     persist: bool = False,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Config → load → lookup → suites → result rows.
 
@@ -127,7 +128,8 @@ def validate_dataset(
     ``persist`` caches the loaded layers (memory and disk) while the checks run
     and releases them afterwards: worth it for layers that fit the cluster's
     storage, since every check reads them; leave it off for very large layers,
-    which the checks read column-pruned anyway.
+    which the checks read column-pruned anyway.  ``parallelism`` is the number of
+    checks submitted to Spark at once.
     """
     mode = parse_mode(mode)
     cfg = dataset_config(name, file_config, schema_config)
@@ -146,4 +148,6 @@ def validate_dataset(
         spec = dataclasses.replace(spec, lookup=dataclasses.replace(spec.lookup, table=table))
     layers = [df for df in (loaded.source, loaded.staging, loaded.target) if df is not None]
     with persisted(*(layers if persist or cfg.persist else [])):
-        return run_suite(spark, spec, mode, source=loaded.source, staging=loaded.staging, target=loaded.target)
+        return run_suite(
+            spark, spec, mode, source=loaded.source, staging=loaded.staging, target=loaded.target, parallelism=parallelism
+        )
