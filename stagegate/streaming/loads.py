@@ -38,7 +38,9 @@ def check_each_load(
     For ``source_to_staging`` the arriving rows are the staging load and
     ``other`` the source; for ``staging_to_target`` they are the staging load and
     ``other`` the target it must have reached.  Result rows (``RESULT_SCHEMA``
-    plus ``batch_id``) are appended to ``results_path``.
+    plus ``batch_id``) are written to ``results_path`` partitioned by ``batch_id``;
+    each micro-batch overwrites only its own partition, so a batch replayed after
+    a failure does not leave duplicates.
     """
     stage = Stage(stage)
     spark = stream.sparkSession
@@ -53,7 +55,14 @@ def check_each_load(
         else:
             res = run_suite(spark, spec, Mode.STAGING_TO_TARGET, staging=batch, target=other)
         res = res.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        res.write.mode("append").format(results_format).save(results_path)
+        # idempotent: a micro-batch that Spark re-runs after a failure replaces its own partition
+        (
+            res.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .format(results_format)
+            .save(results_path)
+        )
         if on_results is not None:
             on_results(res, batch_id)
 

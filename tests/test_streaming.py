@@ -44,3 +44,16 @@ def test_source_to_staging_loads(spark, tmp_path):
         (b["data_consistency"]["violation_count"], b["primary_key_val"]["violation_count"]) for b in by_batch.values()
     )
     assert statuses == [(0, 1), (1, 0)]  # load with the duplicate key 3; load with the changed value for key 2
+
+
+def test_replayed_batch_does_not_duplicate_results(spark, tmp_path):
+    # the same micro-batch id handled twice (as after a failure) leaves one set of rows
+    from stagegate.plans.suites import run_suite
+
+    results = tmp_path / "results"
+    spec = DatasetSpec(name="t", key=("k",), non_null=("k",), rules=())
+    batch = spark.createDataFrame([(1, "a")], "k int, v string")
+    for _ in range(2):
+        res = run_suite(spark, spec, "source_to_staging", source=batch, staging=batch).withColumn("batch_id", F.lit(7).cast("bigint"))
+        res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(str(results))
+    assert spark.read.parquet(str(results)).count() == 6
