@@ -119,7 +119,25 @@ class _Routing:
         return df.where((F.col("_m") > 1) | (F.col("_n") > 1))
 
 
-def _parts(source: DataFrame, other: DataFrame, plan: ConsistencyPlan, hot_key_rows: int, max_hot_keys: int) -> _Routing:
+def key_counts(df: DataFrame, key: Sequence[str], count_name: str) -> DataFrame:
+    """Rows per key (``_k0``, ``_k1``, ... and ``count_name``); NULL keys form their own group.
+
+    Shareable with other key-level checks (duplicates, completeness); the
+    consistency joins use ``=`` and so never match the NULL-key group.
+    """
+    return df.groupBy(*[qcol(k).alias(_KEY.format(i)) for i, k in enumerate(key)]).agg(
+        F.count(F.lit(1)).alias(count_name)
+    )
+
+
+def _parts(
+    source: DataFrame,
+    other: DataFrame,
+    plan: ConsistencyPlan,
+    hot_key_rows: int,
+    max_hot_keys: int,
+    counts: tuple[DataFrame, DataFrame] | None = None,
+) -> _Routing:
     """Tag every row of a key present on both sides with the key's row counts (``_m``, ``_n``).
 
     The join with the key-count table is ``skew.join_key_stats``: a shuffle join
@@ -129,7 +147,7 @@ def _parts(source: DataFrame, other: DataFrame, plan: ConsistencyPlan, hot_key_r
     key = plan.key
     kcols = [_KEY.format(i) for i in range(len(key))]
     names = [p.name for p in plan.compared]
-    s_kc, o_kc = _key_counts(source, key, "_m"), _key_counts(other, key, "_n")
+    s_kc, o_kc = counts if counts is not None else (_key_counts(source, key, "_m"), _key_counts(other, key, "_n"))
     kc = s_kc.join(o_kc, kcols)
     if hot_key_rows < 1:
         raise ValueError("hot_key_rows must be at least 1 (a hot key is never a unique key)")
@@ -243,10 +261,13 @@ def consistency_summary(
     )
 
 
-def pair_count(source: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
+def pair_count(
+    source: DataFrame, other: DataFrame, key: Sequence[str], counts: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """One row: ``pairs``, the number of (source, other) row pairs with equal keys, from key counts only."""
     kcols = [_KEY.format(i) for i in range(len(key))]
-    kc = _key_counts(source, key, "_m").join(_key_counts(other, key, "_n"), kcols)
+    s_kc, o_kc = counts if counts is not None else (_key_counts(source, key, "_m"), _key_counts(other, key, "_n"))
+    kc = s_kc.join(o_kc, kcols)
     return kc.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).cast("bigint").alias("pairs"))
 
 
@@ -257,12 +278,17 @@ def inconsistent_keys(
     columns: Sequence[str] | None = None,
     hot_key_rows: int = HOT_KEY_MIN_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    counts: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """Row-level diagnostics: ``(*key, column_name, mismatches)`` for every key and column with unequal pairs."""
+    """Row-level diagnostics: ``(*key, column_name, mismatches)`` for every key and column with unequal pairs.
+
+    ``counts`` may pass precomputed ``key_counts`` of both sides (``_m`` / ``_n``),
+    e.g. cached and shared with the other key-level checks of a stage.
+    """
     plan = plan_consistency(source, other, key, columns)
     if not plan.compared:
         raise ValueError("no shared non-key column to compare")
-    r = _parts(source, other, plan, hot_key_rows, max_hot_keys)
+    r = _parts(source, other, plan, hot_key_rows, max_hot_keys, counts)
     kcols, names, multi_keys = r.kcols, r.names, r.multi_keys
     labels = F.array(*[F.lit(n) for n in names])
 

@@ -14,6 +14,7 @@ import traceback
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,6 +158,42 @@ class KeyProfile:
             return self._result[name]
 
 
+class StageKeyCounts:
+    """Rows per key of both layers of a stage (NULL keys as their own group), shared by
+    the duplicate-key, completeness and consistency checks and cached while they run,
+    so each layer's keys are shuffled once for the three of them."""
+
+    def __init__(self, left: DataFrame, right: DataFrame, key: Sequence[str]):
+        self.key = list(key)
+        self.kcols = [f"_k{i}" for i in range(len(self.key))]
+        self.left = C.key_counts(left, self.key, "_m")
+        self.right = C.key_counts(right, self.key, "_n")
+
+    def persist(self) -> None:
+        self.left.persist(StorageLevel.MEMORY_AND_DISK)
+        self.right.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def unpersist(self) -> None:
+        self.left.unpersist()
+        self.right.unpersist()
+
+    def named(self, df: DataFrame, count_col: str | None, count_name: str | None = None) -> DataFrame:
+        cols = [F.col(c).alias(k) for c, k in zip(self.kcols, self.key)]
+        if count_col:
+            cols.append(F.col(count_col).alias(count_name or count_col))
+        return df.select(*cols)
+
+    def duplicates(self) -> DataFrame:
+        """Staging keys held by more than one row (as ``duplicate_keys``)."""
+        return self.named(self.right.where(F.col("_n") > 1), "_n", "n_rows")
+
+    def missing(self) -> DataFrame:
+        """Distinct source keys without an equal staging key (as ``missing_keys``)."""
+        present = self.right.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(self.kcols)])
+        cond = [F.col(c) == F.col(f"_r{i}") for i, c in enumerate(self.kcols)]
+        return self.named(self.left.join(present, cond, "left_anti"), None)
+
+
 @dataclass
 class StageContext:
     spec: DatasetSpec
@@ -166,6 +203,7 @@ class StageContext:
     left_profile: TableProfile
     right_profile: TableProfile
     key_profile: KeyProfile | None = None
+    key_counts: StageKeyCounts | None = None
 
 
 def _json_rows(df: DataFrame) -> Column:
@@ -237,6 +275,8 @@ def check_duplicates(ctx: StageContext) -> CheckResult:
     key = list(ctx.spec.key)
     if ctx.key_profile is not None and "duplicates" in ctx.key_profile.checks:
         total, samples = ctx.key_profile.get("duplicates")
+    elif ctx.key_counts is not None:
+        total, samples = sampled(ctx.key_counts.duplicates(), key, ctx.spec.sample_size)
     else:
         total, samples = sampled(V.duplicate_keys(ctx.right, key), key, ctx.spec.sample_size)
     return CheckResult(
@@ -251,7 +291,8 @@ def check_duplicates(ctx: StageContext) -> CheckResult:
 
 def check_completeness(ctx: StageContext) -> CheckResult:
     key = list(ctx.spec.key)
-    total, samples = sampled(V.missing_keys(ctx.left, ctx.right, key), key, ctx.spec.sample_size)
+    missing = ctx.key_counts.missing() if ctx.key_counts is not None else V.missing_keys(ctx.left, ctx.right, key)
+    total, samples = sampled(missing, key, ctx.spec.sample_size)
     return CheckResult(
         COMPLETENESS,
         _status(total == 0),
@@ -275,8 +316,11 @@ def check_consistency(ctx: StageContext) -> CheckResult:
     pairs = 0
     samples: list[str] = []
     if names:
-        keyed = C.inconsistent_keys(ctx.left, ctx.right, key, hot_key_rows=ctx.spec.hot_key_rows, max_hot_keys=ctx.spec.max_hot_keys)
-        pairs_scalar = C.pair_count(ctx.left, ctx.right, key).select("pairs").scalar()
+        counts = (ctx.key_counts.left, ctx.key_counts.right) if ctx.key_counts is not None else None
+        keyed = C.inconsistent_keys(
+            ctx.left, ctx.right, key, hot_key_rows=ctx.spec.hot_key_rows, max_hot_keys=ctx.spec.max_hot_keys, counts=counts
+        )
+        pairs_scalar = C.pair_count(ctx.left, ctx.right, key, counts).select("pairs").scalar()
         totals = keyed.groupBy("column_name").agg(F.sum("mismatches").cast("bigint").alias("_n")).select(
             F.lit(0).alias("_kind"), "column_name", "_n", F.lit(None).cast("string").alias("_s")
         )
@@ -298,7 +342,7 @@ def check_consistency(ctx: StageContext) -> CheckResult:
             else:
                 samples.append(r["_s"])
         if not rows:
-            pairs = int(C.pair_count(ctx.left, ctx.right, key).first()["pairs"])
+            pairs = int(C.pair_count(ctx.left, ctx.right, key, counts).first()["pairs"])
     total = sum(per_col.values())
     notes = [f"{c}: {n} mismatches" for c, n in per_col.items() if n]
     if plan.skipped:
@@ -452,6 +496,11 @@ def plan_profiles(ctx: StageContext, checks) -> None:
     if check_rules in checks:
         for name, e in V.rule_exprs(right, spec.rules).items():
             ctx.right_profile.need(f"_rule:{name}", e)
+    # source→staging: duplicates, completeness and consistency all need rows per key of both layers
+    shared = [c for c in (check_duplicates, check_completeness, check_consistency) if c in checks]
+    keys_present = all(k in ctx.left.columns and k in right.columns for k in spec.key)
+    if ctx.stage is Stage.SOURCE_TO_STAGING and len(shared) > 1 and keys_present:
+        ctx.key_counts = StageKeyCounts(ctx.left, right, spec.key)
     # duplicate keys and active-flag counts both group the target by key: share that shuffle
     flag_ok = check_active_flag in checks and spec.active_flag and spec.active_flag in right.columns
     if check_duplicates in checks and flag_ok and all(k in right.columns for k in spec.key):

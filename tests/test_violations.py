@@ -157,3 +157,18 @@ def test_orphan_rows_with_hot_orphan_value_and_null_fk(spark):
     want = tgt.where("fk IS NULL OR fk NOT IN (0,1,2,3,4,5,6,7,8,9)")
     assert got.count() == want.count() == 1000 + 40
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_source_to_staging_shared_key_counts_match_standalone(spark):
+    from stagegate.operators import consistency as C
+    from stagegate.plans.suites import run_suite
+    from stagegate.spec import DatasetSpec
+
+    src = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (2, "d"), (3, "e"), (3, "f")], "k int, v string")
+    stg = spark.createDataFrame([(1, "a"), (None, "b"), (None, "x"), (3, "e"), (3, "e"), (4, "z")], "k int, v string")
+    spec = DatasetSpec(name="t", key=("k",), rules=())
+    rows = {r["check"]: r for r in run_suite(spark, spec, "source_to_staging", source=src, staging=stg).collect()}
+    assert rows["primary_key_val"]["violation_count"] == V.duplicate_keys(stg, ["k"]).count() == 2  # NULL and 3
+    assert rows["data_completeness"]["violation_count"] == V.missing_keys(src, stg, ["k"]).count() == 2  # NULL and 2
+    summary = {r["column_name"]: r["mismatches"] for r in C.consistency_summary(src, stg, ["k"]).collect()}
+    assert rows["data_consistency"]["metrics"]["v"] == summary["v"] == 2  # key 3: (e,e)(e,e)(f,e)(f,e) → 2 differ
