@@ -168,11 +168,23 @@ class StageKeyCounts:
         self.kcols = [f"_k{i}" for i in range(len(self.key))]
         self.left = C.key_counts(left, self.key, "_m")
         self.right = C.key_counts(right, self.key, "_n")
+        self._totals: tuple[int, int] | None = None
+        self._lock = threading.Lock()
 
     def persist(self) -> None:
         self.left.persist(StorageLevel.MEMORY_AND_DISK)
         self.right.persist(StorageLevel.MEMORY_AND_DISK)
 
+    def row_totals(self) -> tuple[int, int]:
+        """Row counts of both layers, summed from the (cached) key counts: no extra scan."""
+        with self._lock:
+            if self._totals is None:
+                s = self.left.select(F.coalesce(F.sum("_m"), F.lit(0)).alias("t")).scalar()
+                o = self.right.select(F.coalesce(F.sum("_n"), F.lit(0)).alias("t")).scalar()
+                row = self.left.sparkSession.range(1).select(s.alias("s"), o.alias("o")).first()
+                self._totals = (int(row["s"]), int(row["o"]))
+            return self._totals
+
     def unpersist(self) -> None:
         self.left.unpersist()
         self.right.unpersist()
@@ -249,7 +261,10 @@ def check_schema(ctx: StageContext) -> CheckResult:
 
 
 def check_count(ctx: StageContext) -> CheckResult:
-    s, t = ctx.left_profile.get("_count"), ctx.right_profile.get("_count")
+    if ctx.key_counts is not None:
+        s, t = ctx.key_counts.row_totals()
+    else:
+        s, t = ctx.left_profile.get("_count"), ctx.right_profile.get("_count")
     return CheckResult(
         COUNT, _status(s == t), abs(s - t), {"source_count": s, "target_count": t}, details=f"source={s}, target={t}"
     )
@@ -481,7 +496,12 @@ def stage_checks(spec: DatasetSpec, stage: Stage):
 def plan_profiles(ctx: StageContext, checks) -> None:
     """Register the aggregate values the chosen checks read, so each table is scanned once."""
     spec, right = ctx.spec, ctx.right
-    if check_count in checks or check_scd2_count in checks:
+    # source→staging: duplicates, completeness and consistency all need rows per key of both layers
+    shared = [c for c in (check_duplicates, check_completeness, check_consistency) if c in checks]
+    keys_present = all(k in ctx.left.columns and k in right.columns for k in spec.key)
+    if ctx.stage is Stage.SOURCE_TO_STAGING and len(shared) > 1 and keys_present:
+        ctx.key_counts = StageKeyCounts(ctx.left, right, spec.key)
+    if check_scd2_count in checks or (check_count in checks and ctx.key_counts is None):
         ctx.left_profile.need("_count", F.count(F.lit(1)))
         ctx.right_profile.need("_count", F.count(F.lit(1)))
     if check_nulls in checks:
@@ -496,11 +516,6 @@ def plan_profiles(ctx: StageContext, checks) -> None:
     if check_rules in checks:
         for name, e in V.rule_exprs(right, spec.rules).items():
             ctx.right_profile.need(f"_rule:{name}", e)
-    # source→staging: duplicates, completeness and consistency all need rows per key of both layers
-    shared = [c for c in (check_duplicates, check_completeness, check_consistency) if c in checks]
-    keys_present = all(k in ctx.left.columns and k in right.columns for k in spec.key)
-    if ctx.stage is Stage.SOURCE_TO_STAGING and len(shared) > 1 and keys_present:
-        ctx.key_counts = StageKeyCounts(ctx.left, right, spec.key)
     # duplicate keys and active-flag counts both group the target by key: share that shuffle
     flag_ok = check_active_flag in checks and spec.active_flag and spec.active_flag in right.columns
     if check_duplicates in checks and flag_ok and all(k in right.columns for k in spec.key):
