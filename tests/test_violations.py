@@ -172,3 +172,21 @@ def test_source_to_staging_shared_key_counts_match_standalone(spark):
     assert rows["data_completeness"]["violation_count"] == V.missing_keys(src, stg, ["k"]).count() == 2  # NULL and 2
     summary = {r["column_name"]: r["mismatches"] for r in C.consistency_summary(src, stg, ["k"]).collect()}
     assert rows["data_consistency"]["metrics"]["v"] == summary["v"] == 2  # key 3: (e,e)(e,e)(f,e)(f,e) → 2 differ
+
+
+def test_shared_key_counts_composite_key_with_null_parts(spark):
+    from stagegate.operators import consistency as C
+    from stagegate.plans.suites import run_suite
+    from stagegate.spec import DatasetSpec
+
+    src = spark.createDataFrame(
+        [(1, "a", 1), (1, None, 2), (1, None, 3), (2, "b", 4), (2, "b", 5), (3, "c", 6)], "k1 int, k2 string, v int"
+    )
+    stg = spark.createDataFrame([(1, "a", 1), (1, None, 2), (2, "b", 4), (2, "b", 9), (4, "d", 7)], "k1 int, k2 string, v int")
+    spec = DatasetSpec(name="t", key=("k1", "k2"), rules=())
+    rows = {r["check"]: r for r in run_suite(spark, spec, "source_to_staging", source=src, staging=stg).collect()}
+    assert rows["count_val"]["metrics"] == {"source_count": 6, "target_count": 5}
+    assert rows["primary_key_val"]["violation_count"] == V.duplicate_keys(stg, ["k1", "k2"]).count() == 1  # (2, b)
+    assert rows["data_completeness"]["violation_count"] == V.missing_keys(src, stg, ["k1", "k2"]).count() == 2
+    want = {r["column_name"]: r["mismatches"] for r in C.consistency_summary(src, stg, ["k1", "k2"]).collect()}
+    assert rows["data_consistency"]["metrics"]["v"] == want["v"] == 3  # (2,b): 2x2 pairs, one equal
