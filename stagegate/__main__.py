@@ -23,10 +23,12 @@ from .sources.config import validate_dataset
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="stagegate", description=__doc__.splitlines()[0])
-    ap.add_argument("--file-config", required=True)
-    ap.add_argument("--schema-config")
-    ap.add_argument("--dataset", required=True)
-    ap.add_argument("--mode", default="both", choices=["source_to_staging", "staging_to_target", "both"])
+    ap.add_argument("--file-config", required=True, help="JSON file with each dataset's layer paths, key, SCD type, ...")
+    ap.add_argument("--schema-config", help="JSON file with the expected staging/target schema of each dataset")
+    ap.add_argument("--dataset", required=True, help="name of the dataset entry to validate")
+    ap.add_argument(
+        "--mode", default="both", choices=["source_to_staging", "staging_to_target", "both"], help="stages to check"
+    )
     ap.add_argument("--output", help="write the result rows here (Parquet, appended)")
     ap.add_argument("--parallelism", type=int, default=4, help="checks submitted to Spark at once")
     ap.add_argument("--cache", action="store_true", help="cache the loaded layers while the checks run")
