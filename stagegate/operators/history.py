@@ -415,7 +415,9 @@ def merge_versions(
     ``history`` has the key, the tracked columns and the interval/flag columns,
     with at most one active version per key (as ``build_versions`` and this
     function produce).  ``batch`` has the key, the tracked columns and
-    ``batch_start``; a key with several rows in one batch keeps only its latest.
+    ``batch_start``, and may carry other history columns (untracked attributes),
+    which new versions take from it; a key with several rows in one batch keeps
+    only its latest.
     For a key whose tracked values differ NULL-safely from its current version,
     or which is new, the current version is closed at the batch start and the
     batch row becomes the new current version.  A change whose batch start is
@@ -436,11 +438,14 @@ def merge_versions(
     closed = history.where(~flag_is_active | F.col(flag_name).isNull())
     current = history.where(flag_is_active).withColumn("_cur", F.lit(True))
 
+    # other history columns the batch carries (untracked attributes) go into new versions as they are
+    carried = [c for c in history.columns if c in batch.columns and c not in cols + [start_name, end_name, flag_name, batch_start]]
     # one row per key: the latest by batch start (ties broken on the tracked values)
-    batch = latest_per_key(batch.select(*[qcol(c) for c in cols], qcol(batch_start)), key, [batch_start])
+    batch = latest_per_key(batch.select(*[qcol(c) for c in cols + carried], qcol(batch_start)), key, [batch_start])
     b = batch.select(
         *[qcol(k).alias(f"_bk{i}") for i, k in enumerate(key)],
         *[qcol(c).alias(f"_bt{i}") for i, c in enumerate(tracked)],
+        *[qcol(c).alias(f"_bc{i}") for i, c in enumerate(carried)],
         qcol(batch_start).alias("_bstart"),
         F.lit(True).alias("_new"),
     )
@@ -483,7 +488,9 @@ def merge_versions(
             return F.col("_bstart").cast(types[c])
         if c == flag_name:
             return F.lit(active).cast(types[c])
-        return F.lit(None).cast(types[c])  # end date and untracked columns
+        if c in carried:
+            return F.col(f"_bc{carried.index(c)}").cast(types[c])
+        return F.lit(None).cast(types[c])  # end date, and columns the batch does not carry
 
     new_version = F.struct(*[new_value(c).alias(c) for c in out_cols])
     versions = F.array(F.when(has_cur, cur_version), F.when(opens, new_version))

@@ -195,3 +195,11 @@ def test_merge_empty_batch_keeps_history(spark):
     empty = spark.createDataFrame([], "k int, a int, batch_date date")
     merged = H.merge_versions(hist, empty, ["k"], ["a"])
     assert sorted(tuple(r) for r in merged.collect()) == sorted(tuple(r) for r in hist.collect())
+
+
+def test_merge_carries_untracked_columns_from_the_batch(spark):
+    d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
+    hist = H.scd2_load(spark.createDataFrame([(101, 1, 250)], "order_id int, customer_id int, amount int"), d1)
+    batch = spark.createDataFrame([(101, 7, 300, d2)], "order_id int, customer_id int, amount int, batch_date date")
+    rows = {r["amount"]: r["customer_id"] for r in H.merge_versions(hist, batch, ["order_id"], ["amount"]).collect()}
+    assert rows == {250: 1, 300: 7}
