@@ -124,8 +124,10 @@ def latest_batch_counts(staging: DataFrame, target: DataFrame, batch_column: str
     the filter prunes partitions at run time instead of scanning all history.
     """
     b = qcol(batch_column)
-    latest = staging.select(F.max(b)).scalar()
-    stg_n = staging.where(b == latest).select(F.count(F.lit(1))).scalar()
+    # staging is read once: rows per batch (one row per batch), then its max and that batch's count
+    per_batch = staging.groupBy(b.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    latest = per_batch.select(F.max("_b")).scalar()
+    stg_n = per_batch.where(F.col("_b") == latest).select(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint")).scalar()
     tgt_n = target.where(b == latest).select(F.count(F.lit(1))).scalar()
     return staging.sparkSession.range(1).select(
         latest.alias("batch_value"), stg_n.alias("staging_count"), tgt_n.alias("target_count")
