@@ -190,3 +190,17 @@ def test_shared_key_counts_composite_key_with_null_parts(spark):
     assert rows["data_completeness"]["violation_count"] == V.missing_keys(src, stg, ["k1", "k2"]).count() == 2
     want = {r["column_name"]: r["mismatches"] for r in C.consistency_summary(src, stg, ["k1", "k2"]).collect()}
     assert rows["data_consistency"]["metrics"]["v"] == want["v"] == 3  # (2,b): 2x2 pairs, one equal
+
+
+def test_summary_counts_errors_as_failed(spark):
+    from stagegate.plans.checks import RESULT_SCHEMA
+    from stagegate.plans.suites import summarize
+
+    rows = [
+        ("d", "source_to_staging", 1, "a", "Success", 0, {}, [], ""),
+        ("d", "source_to_staging", 2, "b", "Error", None, {}, [], "boom"),
+        ("d", "staging_to_target", 1, "c", "Fail", 3, {}, [], ""),
+    ]
+    out = {(r["dataset"], r["stage"]): (r["total"], r["passed"], r["failed"]) for r in summarize(spark.createDataFrame(rows, RESULT_SCHEMA)).collect()}
+    assert out[("d", "source_to_staging")] == (2, 1, 1)
+    assert out[(None, None)] == (3, 1, 2)
