@@ -31,6 +31,11 @@ from stagegate.plans import testbed
 from stagegate.plans.checks import FAIL, SUCCESS
 from stagegate.sources import seeded
 
+try:  # an optional subpackage: its queries are added only where it is installed
+    from stagegate.llm import queries as extra
+except ImportError:
+    extra = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -199,7 +204,7 @@ def q_suite_summary(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    out = {
         "schemachk": q_schemachk,
         "count_val": q_count_val,
         "null_val": q_null_val,
@@ -229,6 +234,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "suite_results": q_suite_results,
         "suite_summary": q_suite_summary,
     }
+    return out if extra is None else out | extra.queries()
 
 
 # ---------------------------------------------------------------- DuckDB side
@@ -313,7 +319,7 @@ def oracle_sql() -> dict[str, str]:
         f"count(*) AS pairs FROM lineitem s JOIN lstg t ON s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber"
         for c in lcols
     )
-    return {
+    out = {
         "schemachk": testbed.SCHEMACHK_ORACLE,
         "data_consistency_lineitem": _with(_LSTG) + lpairs,
         "data_completeness_lineitem": _with(_LSTG)
@@ -393,3 +399,4 @@ FROM orders o LEFT JOIN chg c ON o.o_orderkey = c.o_orderkey""",
         "suite_results": testbed.suite_oracle(_STG, _TGT, _SCD, _SCD2_STG),
         "suite_summary": testbed.summary_oracle(_STG, _TGT, _SCD, _SCD2_STG),
     }
+    return out if extra is None else out | extra.oracle_sql()
