@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import shards
+from . import minhash, shards
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def _vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_minmax_near_duplicates(spark, d):
+    return minhash.near_duplicates(_t(spark, d, "documents"), percent=85, size=3)
+
+
 def op3_token_shards(spark, d):
     return shards.write_and_read(_t(spark, d, "documents"), _vocabulary("byte_bpe_50k.json"), 2)
 
