@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, shards
+from . import minhash, secrets, shards
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op3_token_shards(spark, d):
     return shards.write_and_read(_t(spark, d, "documents"), _vocabulary("byte_bpe_50k.json"), 2)
 
 
+def op8_secret_scan(spark, d):
+    return secrets.digest(secrets.find_secrets(_t(spark, d, "documents")))
+
+
 def queries() -> dict:
     named = {k: f for k, f in globals().items() if k.startswith("op") and callable(f) and k[2].isdigit()}
     return named
