@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, secrets, shards
+from . import decontaminate, minhash, secrets, shards
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op8_secret_scan(spark, d):
     return secrets.digest(secrets.find_secrets(_t(spark, d, "documents")))
 
 
+def op10_benchmark_passages(spark, d):
+    return decontaminate.matches(_t(spark, d, "documents"), _t(spark, d, "benchmark"))
+
+
 def queries() -> dict:
     named = {k: f for k, f in globals().items() if k.startswith("op") and callable(f) and k[2].isdigit()}
     return named
