@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, secrets, shards
+from . import decontaminate, minhash, packing, secrets, shards
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op3_token_shards(spark, d):
     return shards.write_and_read(_t(spark, d, "documents"), _vocabulary("byte_bpe_50k.json"), 2)
 
 
+def op6_best_fit_packing(spark, d):
+    return packing.pack(_t(spark, d, "documents"), _vocabulary("word_bpe_49k.json"), 0)
+
+
 def op8_secret_scan(spark, d):
     return secrets.digest(secrets.find_secrets(_t(spark, d, "documents")))
 
