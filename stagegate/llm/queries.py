@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, packing, secrets, shards
+from . import decontaminate, minhash, packing, secrets, shards, toxicity
+from .common import crc_mod
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,13 @@ def op3_token_shards(spark, d):
     return shards.write_and_read(_t(spark, d, "documents"), _vocabulary("byte_bpe_50k.json"), 2)
 
 
+def op4_toxicity(spark, d):
+    docs, labels = _t(spark, d, "documents"), _t(spark, d, "labels")
+    lexicon = toxicity.learn(docs, labels.where(crc_mod("doc_id", 5) != 0))
+    out = toxicity.score(docs, lexicon)
+    return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
+
+
 def op6_best_fit_packing(spark, d):
     return packing.pack(_t(spark, d, "documents"), _vocabulary("word_bpe_49k.json"), 0)
 
