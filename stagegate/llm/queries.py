@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, packing, secrets, shards, toxicity
+from . import decontaminate, minhash, packing, secrets, shards, toxicity, warc
 from .common import crc_mod
 
 
@@ -40,6 +40,10 @@ def op4_toxicity(spark, d):
     return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
 
 
+def op5_warc(spark, d):
+    return warc.write_and_read(_t(spark, d, "pages"))
+
+
 def op6_best_fit_packing(spark, d):
     return packing.pack(_t(spark, d, "documents"), _vocabulary("word_bpe_49k.json"), 0)
 
@@ -58,4 +62,12 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        # DuckDB's sha1() takes text and hashes its UTF-8 bytes
+        "op5_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+r AS (SELECT page_id, strlen(h) AS n, sha1(h) AS digest, max(page_id) OVER (PARTITION BY h) AS keep FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> keep THEN keep END AS refers_to
+FROM r""",
+    }
