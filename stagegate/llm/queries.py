@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, packing, secrets, shards, toxicity, warc
+from . import decontaminate, minhash, packing, ppm, secrets, shards, toxicity, warc
 from .common import crc_mod
 
 
@@ -29,6 +29,13 @@ def op1_minmax_near_duplicates(spark, d):
     return minhash.near_duplicates(_t(spark, d, "documents"), percent=85, size=3)
 
 
+def op2_ppm(spark, d):
+    docs = _t(spark, d, "documents")
+    held_out = crc_mod("doc_id", 5) == 1
+    out = ppm.score(docs, docs.where(F.coalesce(~held_out, F.lit(True))))
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_token_shards(spark, d):
     return shards.write_and_read(_t(spark, d, "documents"), _vocabulary("byte_bpe_50k.json"), 2)
 
