@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, packing, ppm, secrets, shards, toxicity, warc
+from . import decontaminate, fertility, minhash, neighbours, packing, ppm, secrets, shards, toxicity, warc
 from .common import crc_mod
 
 
@@ -55,10 +55,21 @@ def op6_best_fit_packing(spark, d):
     return packing.pack(_t(spark, d, "documents"), _vocabulary("word_bpe_49k.json"), 0)
 
 
+def op7_quality_neighbours(spark, d):
+    docs, labels = _t(spark, d, "documents"), _t(spark, d, "labels")
+    space = neighbours.learn(docs, labels.where(crc_mod("doc_id", 3) != 1))
+    out = neighbours.score(docs, space)
+    return out.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_secret_scan(spark, d):
     return secrets.digest(secrets.find_secrets(_t(spark, d, "documents")))
 
 
+def op9_fertility_rules(spark, d):
+    return fertility.rate(_t(spark, d, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
 def op10_benchmark_passages(spark, d):
     return decontaminate.matches(_t(spark, d, "documents"), _t(spark, d, "benchmark"))
 
