@@ -179,3 +179,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: in
     named = hung.join(roots.withColumnRenamed("node", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("component_id"))
     out = sketches.select("doc_id", "n_shingles").join(named, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each component, that of its least id, with all columns; rows without an id stay.
+
+    Of several rows with that id one stays, whichever Spark meets first.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone_id")).distinct()
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    left = docs.join(gone, F.col(id_col) == F.col("_gone_id"), "left_anti")
+    if repeated.isEmpty():
+        return left
+    return left.where(F.col(id_col).isNull()).unionByName(left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,11 @@ from . import decontaminate, fertility, minhash, neighbours, packing, ppm, secre
 from .common import crc_mod
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     """A public vocabulary file; the folder is a parameter (LLM_TOKENIZERS), the installed one by default."""
     folder = os.environ.get("LLM_TOKENIZERS")
     if folder:
@@ -26,57 +27,64 @@ def _vocabulary(name: str) -> str:
 
 
 def op1_minmax_near_duplicates(spark, d):
-    return minhash.near_duplicates(_t(spark, d, "documents"), percent=85, size=3)
+    return minhash.near_duplicates(table(spark, d, "documents"), percent=85, size=3)
 
 
 def op2_ppm(spark, d):
-    docs = _t(spark, d, "documents")
+    docs = table(spark, d, "documents")
     held_out = crc_mod("doc_id", 5) == 1
     out = ppm.score(docs, docs.where(F.coalesce(~held_out, F.lit(True))))
     return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op3_token_shards(spark, d):
-    return shards.write_and_read(_t(spark, d, "documents"), _vocabulary("byte_bpe_50k.json"), 2)
+    return shards.write_and_read(table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"), 2)
 
 
 def op4_toxicity(spark, d):
-    docs, labels = _t(spark, d, "documents"), _t(spark, d, "labels")
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     lexicon = toxicity.learn(docs, labels.where(crc_mod("doc_id", 5) != 0))
     out = toxicity.score(docs, lexicon)
     return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
 
 
 def op5_warc(spark, d):
-    return warc.write_and_read(_t(spark, d, "pages"))
+    return warc.write_and_read(table(spark, d, "pages"))
 
 
 def op6_best_fit_packing(spark, d):
-    return packing.pack(_t(spark, d, "documents"), _vocabulary("word_bpe_49k.json"), 0)
+    return packing.pack(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"), 0)
 
 
 def op7_quality_neighbours(spark, d):
-    docs, labels = _t(spark, d, "documents"), _t(spark, d, "labels")
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     space = neighbours.learn(docs, labels.where(crc_mod("doc_id", 3) != 1))
     out = neighbours.score(docs, space)
     return out.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op8_secret_scan(spark, d):
-    return secrets.digest(secrets.find_secrets(_t(spark, d, "documents")))
+    return secrets.digest(secrets.find_secrets(table(spark, d, "documents")))
 
 
 def op9_fertility_rules(spark, d):
-    return fertility.rate(_t(spark, d, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return fertility.rate(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op10_benchmark_passages(spark, d):
-    return decontaminate.matches(_t(spark, d, "documents"), _t(spark, d, "benchmark"))
+    return decontaminate.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def pipeline(spark, d):
+    import corpus_pipeline  # stands beside the package and imports it
+
+    return corpus_pipeline.run(spark, d)
 
 
 def queries() -> dict:
-    named = {k: f for k, f in globals().items() if k.startswith("op") and callable(f) and k[2].isdigit()}
-    return named
+    """Every operator's query by its name, and the pipeline."""
+    by_number = sorted((int(k[2:].split("_")[0]), k) for k in globals() if re.match(r"op\d+_", k))
+    return {k: globals()[k] for _, k in by_number} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -196,8 +196,8 @@ def _quick(rule: Rule, pattern: str) -> str:
     return pattern
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Spans per document: id and ``spans`` array<struct<kind, rank, start, end>> by start, then rule order.
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Spans per document: id (and, as a struct ``docs``, the columns in ``keep``) and ``spans`` array<struct<kind, rank, start, end>> by start, then rule order.
 
     NULL text is empty and has no spans.  NULL ids and repeated rows come out as
     they went in.  An empty table gives none.  Overlapping spans of different
@@ -209,7 +209,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
     scratch = Scratch(docs.sparkSession, "secrets")
     text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _MARK, _OTHER)
     # a row is known by its id and text, so that repeated ids stay apart
-    texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("row", F.struct(F.col("doc_id"), F.xxhash64("text").alias("h")))
+    more = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("docs")] if keep else []
+    texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *more).withColumn("row", F.struct(F.col("doc_id"), F.xxhash64("text").alias("h")))
     if indexed:
         index = scratch.table(postings(texts, trigrams).select("row.doc_id", "row.h", "gram"))
         index = index.select(F.struct("doc_id", "h").alias("row"), "gram")
@@ -225,7 +226,39 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
         spans = rule_spans(r, F.col("text"))
         spans = F.when(F.array_contains("rules", r.kind), spans).otherwise(none) if r.kind in indexed else spans
         each.append(_named(spans, rank, r.kind))
-    return flagged.select("doc_id", F.array_sort(F.concat(*each)).alias("spans"))
+    return flagged.select("doc_id", *["docs"] * bool(keep), F.array_sort(F.concat(*each)).alias("spans"))
+
+
+def _covers(spans: Column) -> Column:
+    """Spans by start with those that overlap joined: array<struct<start, end, kind>>; the first one's kind counts."""
+    at = "array<struct<start:int,end:int,kind:string>>"
+
+    def step(acc, s):
+        last = F.element_at(acc, -1)
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
+        own = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+        inside = F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(0)) > s["start"]
+        return F.when((F.size(acc) > 0) & inside, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, own)).cast(at)
+
+    return F.aggregate(spans, F.array().cast(at), step)
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with every span found replaced by <KIND>; all rows and columns stay, other texts as they are.
+
+    Spans that overlap are replaced together.  NULL text stays NULL.
+    """
+    found = find_secrets(docs, rules, id_col, text_col, keep=[c for c in docs.columns])
+    spans = _covers(F.col("spans"))
+    # the text between spans and the kinds, one after the other
+    ends = F.concat(F.array(F.lit(0)), F.transform("_cover", lambda s: s["end"]))
+    parts = F.transform(
+        F.arrays_zip(F.col("_cover").alias("s"), F.slice(ends, F.lit(1), F.size("_cover")).alias("at")),
+        lambda x: F.concat(F.substring(F.col(f"docs.`{text_col}`"), x["at"] + 1, x["s"]["start"] - x["at"]), F.lit("<"), F.upper(x["s"]["kind"]), F.lit(">")),
+    )
+    tail = F.substring(F.col(f"docs.`{text_col}`"), F.element_at(ends, -1) + 1, F.lit(2147483647))
+    text = F.when(F.size("_cover") > 0, F.concat(F.array_join(parts, ""), tail)).otherwise(F.col(f"docs.`{text_col}`"))
+    return found.withColumn("_cover", spans).select(*[(text if c == text_col else F.col(f"docs.`{c}`")).alias(c) for c in docs.columns])
 
 
 def digest(found: DataFrame, base: tuple[Rule, ...] = BASE_RULES) -> DataFrame:

@@ -227,3 +227,10 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([lexicon.score(x) for _, _, x in got], pa.float64()), pa.array([n for n, _, _ in got], pa.int64())], ["doc_id", "score", "matches"])
 
     return own.mapInArrow(task, "doc_id long, score double, matches long")
+
+
+def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores under ``threshold``, with all their columns."""
+    told = score(docs, lexicon, id_col, text_col).where(F.col("score") >= threshold)
+    bad = told.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_toxic_id")).distinct()
+    return docs.join(bad, F.col(id_col) == F.col("_toxic_id"), "left_anti")
