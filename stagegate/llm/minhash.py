@@ -8,8 +8,12 @@ band with probability 1 - (1 - 0.85^6)^24 > 0.99998, one at 0.5 with 0.31.
 
 Groups of copies are never expanded into pairs.  Documents with the same shingle
 set become one class; within a band's bucket every class is compared with the
-bucket's least one, and only classes that this leaves in different components
-are compared with each other.
+bucket's least one, its pivot.  Only classes that this leaves in different
+components may still have a link.  They are known by how they differ from the
+pivot O: x and y differ from each other where their differences from O differ,
+so a link between x, which is not linked with O, and y demands that both differ from
+O in the same way in almost half of y's differences or more.  Of each y's differences the
+rarest are so many that one of them must be shared; pairs that share none of these are never made.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import Scratch, WordHashes, ascii_words, mix64
 from .components import connected_components
@@ -91,32 +96,75 @@ def sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(task, _SKETCH)
 
 
-def overlaps(pairs: DataFrame, texts: DataFrame, size: int, scratch: Scratch) -> DataFrame:
-    """Sizes of intersection and union of full sets: columns a, b, common, both.
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, text_a, text_b) by two joins that Spark may split on skew; rows come sorted by a."""
+    rows = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    return rows.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
-    ``pairs`` (a, b) meets ``texts`` (doc_id, text) by two joins that Spark may
-    split on skew; a task keeps the set of the last a it saw.
-    """
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    few = scratch.table(texts.join(wanted, "doc_id", "left_semi"))
-    rows = pairs.join(few.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    rows = rows.join(few.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
+
+def _compare(rows: DataFrame, size: int, of, names: list[str], types: list, ddl: str) -> DataFrame:
+    """``of(set_a, set_b)`` for each row of ``_with_texts``; a task keeps the last a's set."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last, sa = WordHashes(), None, None
         for batch in batches:
-            common, both = [], []
+            got = []
             for ta, tb in zip(batch.column(2), batch.column(3)):
                 ta = ta.as_py()
                 if ta != last:
                     last, sa = ta, shingle_set(ascii_words(ta), size, hashes)
-                sb = shingle_set(ascii_words(tb.as_py()), size, hashes)
-                c = len(np.intersect1d(sa, sb, assume_unique=True))
-                common.append(c)
-                both.append(len(sa) + len(sb) - c)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(both, pa.int64())], ["a", "b", "common", "both"])
+                got.append(of(sa, shingle_set(ascii_words(tb.as_py()), size, hashes)))
+            cols = list(zip(*got)) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(cols, types)]], ["a", "b", *names])
+
+    return rows.mapInArrow(task, f"a long, b long, {ddl}")
+
+
+def overlaps(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Sizes of intersection and union of full sets: columns a, b, common, both."""
+
+    def of(sa: np.ndarray, sb: np.ndarray) -> tuple[int, int]:
+        c = len(np.intersect1d(sa, sb, assume_unique=True))
+        return c, len(sa) + len(sb) - c
+
+    return _compare(_with_texts(pairs, texts), size, of, ["common", "both"], [pa.int64()] * 2, "common long, both long")
+
 
-    return rows.mapInArrow(task, "a long, b long, common long, both long")
+def differences(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Set sizes and the symmetric difference: columns a, b, n_a, n_b, diff array<long>."""
+
+    def of(sa: np.ndarray, sb: np.ndarray) -> tuple[int, int, list]:
+        return len(sa), len(sb), np.setxor1d(sa, sb, assume_unique=True).astype(np.int64).tolist()
+
+    return _compare(_with_texts(pairs, texts), size, of, ["n_a", "n_b", "diff"], [pa.int64(), pa.int64(), pa.list_(pa.int64())], "n_a long, n_b long, diff array<long>")
+
+
+def shared_differences(diffs: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked, by what they share of their differences from one pivot.
+
+    With c = (100 - percent) / (100 + percent), x and y are linked if their symmetric difference is at most c (|x| + |y|).
+    It is |Dx| + |Dy| - 2 |Dx & Dy| for the differences D from the pivot O, and |Dx| > c (|x| + |O|) as x
+    is not linked with O: so more than (|Dy| - c (|y| - |O|)) / 2 of Dy must be shared.
+    """
+    c = (100 - percent) / (100 + percent)
+    rows = diffs.select("a", F.col("b").alias("doc"), "n_a", F.col("n_b").alias("n"), F.size("diff").alias("nd"), F.explode("diff").alias("e"))
+    common = diffs.select("a", F.explode("diff").alias("e")).groupBy("a", "e").agg(F.count("*").alias("df"))
+    # a document's differences, rarest first: as many as it has, in one group
+    order = Window.partitionBy("a", "doc").orderBy("df", "e")
+    rows = rows.join(common, ["a", "e"]).withColumn("pos", F.row_number().over(order) - 1).where("df > 1")
+    rows = rows.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn("root", F.coalesce("root", "doc"))
+    x = rows.where(F.col("nd") > c * (F.col("n") + F.col("n_a"))).alias("x")
+    must = F.floor((F.col("nd") - c * (F.col("n") - F.col("n_a"))) / 2 - 1e-9)
+    y = rows.where(F.col("pos") < F.col("nd") - must).alias("y")
+    met = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.root") != F.col("y.root")) & _sizes_fit(F.col("x.n"), F.col("y.n"), percent))
+    # the first shared one has so many after it in both
+    need = (F.col("x.nd") + F.col("y.nd") - c * (F.col("x.n") + F.col("y.n"))) / 2 - 1e-9
+    met = met.where(F.least(F.col("x.nd") - F.col("x.pos"), F.col("y.nd") - F.col("y.pos")) >= need)
+    return met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+
+
+def _sizes_fit(x, y, percent: int):
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: int = 24, rows: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,34 +194,26 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: in
     buckets = entries.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
     shared = scratch.table(entries.join(buckets.drop("most"), "key"))
 
-    def sizes_fit(x, y):
-        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
-
-    firsts = shared.where("rep = least").select("key", F.col("n").alias("n_least")).distinct()
-    star = shared.where("rep <> least").join(firsts, "key").where(sizes_fit(F.col("n"), F.col("n_least")))
-    star = scratch.table(star.select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct())
-    seen = scratch.table(overlaps(star, own, size, scratch))
+    star = scratch.table(shared.where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct())
+    # the only shuffle of whole texts; the ids wanted grow with the input, so they are not broadcast
+    wanted = star.select(F.col("a").alias("doc_id")).union(star.select(F.col("b").alias("doc_id"))).distinct()
+    texts = scratch.table(own.join(wanted.hint("merge"), "doc_id", "left_semi"))
     link = F.col("common") * 100 >= F.col("both") * percent
+    seen = scratch.table(overlaps(star, texts, size).where(link).select("a", "b"))
+
     hung = scratch.table(sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").join(classes.select("cls", "cls2", "rep"), ["cls", "cls2"]).select("doc_id", "rep"))
     several = hung.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("doc_id")
-    links = seen.where(link).select("a", "b").unionByName(hung.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    links = seen.unionByName(hung.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     roots = connected_components(links, scratch)
 
-    # what stands in one bucket but in different components, and was not compared yet
+    # pivots of buckets with more than one component left
     named = shared.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    open_keys = named.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 < r2").select("key")
-    # a and b both at a known distance from the bucket's least one: by the triangle inequality too unlike if those differ by more
-    apart = seen.groupBy(F.col("a").alias("least"), F.col("b").alias("rep")).agg(F.min(1 - F.col("common") / F.col("both")).alias("d"))
-    rest = named.join(open_keys, "key", "left_semi").where("rep <> least").join(apart, ["least", "rep"], "left")
-    rest = scratch.table(rest.select("key", "rep", "n", "root", "d"))
-    x, y = rest.alias("x"), rest.alias("y")
-    bound = (100 - percent) / 100 + 1e-9
-    near = F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= bound, F.lit(True))
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.root") != F.col("y.root")) & sizes_fit(F.col("x.n"), F.col("y.n")) & near)
-    cross = scratch.table(cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(star, ["a", "b"], "left_anti"))
-    if not cross.isEmpty():
-        links = scratch.table(overlaps(cross, own, size, scratch).where(link).select("a", "b").unionByName(links))
-        roots = connected_components(links, scratch)
+    parted = named.where("rep <> least").groupBy("key", "least").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 < r2")
+    open_ = scratch.table(star.join(parted.select(F.col("least").alias("a")).distinct(), "a", "left_semi"))
+    cross = scratch.table(shared_differences(scratch.table(differences(open_, texts, size)), roots, percent))
+    more = scratch.table(overlaps(cross, texts, size).where(link).select("a", "b"))
+    if not more.isEmpty():
+        roots = connected_components(more.unionByName(links), scratch)
 
     # members of a class hang on its least id
     named = hung.join(roots.withColumnRenamed("node", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("component_id"))
