@@ -38,9 +38,8 @@ def main(argv: list[str] | None = None) -> int:
     results = validate_dataset(
         spark, args.dataset, args.file_config, args.schema_config, args.mode, persist=args.cache, parallelism=args.parallelism
     ).cache()
-    results.select("stage", "seq", "check", "status", "violation_count", "details").orderBy("stage", "seq").show(
-        100, truncate=100
-    )
+    shown = results.select("stage", "seq", "check", "status", "violation_count", "details").orderBy("stage", "seq")
+    shown.show(results.count(), truncate=False)  # a row per check
     summary = summarize(results)
     summary.orderBy("dataset", "stage").show(truncate=False)
     if args.output:

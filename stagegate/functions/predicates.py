@@ -54,7 +54,7 @@ def keys_not_null(key: Sequence[str]) -> Column:
     """All key columns non-NULL (an ``=`` join never matches a NULL key part)."""
     cond = F.lit(True)
     for k in key:
-        cond = cond & F.col(k).isNotNull()
+        cond = cond & qcol(k).isNotNull()
     return cond
 
 
@@ -67,3 +67,16 @@ def qcol(name: str, alias: str | None = None) -> Column:
     """Column reference that treats ``name`` literally, optionally qualified by a DataFrame alias."""
     q = sql_name(name)
     return F.col(f"{alias}.{q}" if alias else q)
+
+
+def free_names(taken: Iterable[str], *stems: str) -> list[str]:
+    """Names like ``stems`` that are not among ``taken`` (compared without case, as Spark resolves them)."""
+    used, out = {t.lower() for t in taken}, []
+    for stem in stems:
+        name, i = stem, 0
+        while name.lower() in used:
+            i += 1
+            name = f"{stem}_{i}"
+        used.add(name.lower())
+        out.append(name)
+    return out

@@ -8,22 +8,19 @@ NULL-safely.  A key held by ``m`` source rows and ``n`` staging rows contributes
 Emitting those pairs is quadratic in a hot key (a key with a third of all rows
 would produce ~N²/9 pairs), so the pairs are never built:
 
-* keys held by exactly one row on each side ("unique keys") are joined 1:1 and
-  compared column by column in one aggregate;
-* for the other keys ("multi keys") each side is reduced to
+* one aggregate by key over both sides gives each key's row counts and one
+  row's values per side; keys held by exactly one row on each side ("unique
+  keys") are compared column by column right there;
+* for the other keys ("multi keys") each side is read once more and reduced to
   ``(key, column, value) → row count``; the number of equal pairs of a column is
   ``Σ_v m_v · n_v`` over the values ``v`` shared by both sides, and the number
   of unequal pairs is ``m · n − Σ_v m_v · n_v``.  The reduction is a partial
   aggregation, so a hot key collapses before the shuffle, and the join of the two
   reduced sides is 1:1 on ``(key, column, value)``.
 
-Both parts are exact, so their sum equals the pairwise count.
-
-Rows are routed to the two parts by a join with the per-key row counts.  That
-join is ``skew.join_key_stats``: a key holding a large share of a side's rows is
-joined from a bounded broadcast instead of the key-partitioned shuffle, and
-only ordinary keys, which are already partitioned by key after the routing
-join, feed the 1:1 join of the unique part.
+Both parts are exact, so their sum equals the pairwise count.  Each side is read
+twice at most; a hot key collapses in the partial aggregate of the first pass, and its
+rows are spread over sub-keys where the second meets the keys' counts.
 """
 
 from __future__ import annotations
@@ -31,11 +28,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.compare import ComparablePair, comparable_pair, differs
+from ..functions.compare import ComparablePair, comparable_pair
 from ..functions.predicates import keys_not_null, qcol
 from . import skew
 
@@ -76,122 +73,85 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _key_counts(df: DataFrame, key: Sequence[str], count_name: str) -> DataFrame:
-    return (
-        df.where(keys_not_null(key))
-        .groupBy(*[qcol(k).alias(_KEY.format(i)) for i, k in enumerate(key)])
-        .agg(F.count(F.lit(1)).alias(count_name))
-    )
+# A multi key with very many rows is spread over sub-keys (see ``skew.salted_stats_join``).
+HOT_KEY_MIN_ROWS = skew.HOT_KEY_MIN_ROWS
+MAX_HOT_KEYS = skew.MAX_HOT_KEYS
+
 
+def key_counts(df: DataFrame, key: Sequence[str], count_name: str) -> DataFrame:
+    """Rows per key (``_k0``, ``_k1``, ... and ``count_name``); NULL keys form their own group.
 
-def _keyed(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    return df.where(keys_not_null(key)).select(
-        *[qcol(k).alias(_KEY.format(i)) for i, k in enumerate(key)], *[qcol(c) for c in columns]
+    Shareable between key-level checks (duplicates, completeness).
+    """
+    return df.groupBy(*[qcol(k).alias(_KEY.format(i)) for i, k in enumerate(key)]).agg(
+        F.count(F.lit(1)).alias(count_name)
     )
 
 
-# Rows are routed to the unique/multi paths by a join with the per-key counts;
-# hot keys go through a bounded broadcast table (see ``skew.join_key_stats``).
-HOT_KEY_MIN_ROWS = skew.HOT_KEY_MIN_ROWS
-MAX_HOT_KEYS = skew.MAX_HOT_KEYS
+def _side(df: DataFrame, plan: ConsistencyPlan, side: str) -> DataFrame:
+    """One side's rows as (key, ``_v`` struct of the comparable forms); no other name leaves the input."""
+    forms = [p.left if side == "s" else p.right for p in plan.compared]
+    return df.where(keys_not_null(plan.key)).alias(side).select(
+        *[qcol(k, side).alias(_KEY.format(i)) for i, k in enumerate(plan.key)],
+        F.struct(*[e.alias(f"c{i}") for i, e in enumerate(forms)]).alias("_v"),
+    )
 
 
-@dataclass
-class _Routing:
-    kcols: list[str]
-    names: list[str]
-    multi_keys: DataFrame  # keys on both sides with more than one row on one of them (+ _m, _n)
-    s_cold: DataFrame  # rows of ordinary keys on both sides, with (_m, _n); hash-partitioned by key
-    o_cold: DataFrame
-    s_hot: DataFrame  # rows of hot keys on both sides, with (_m, _n); never unique keys
-    o_hot: DataFrame
+def _per_key(source: DataFrame, other: DataFrame, plan: ConsistencyPlan) -> DataFrame:
+    """A row per key held by both sides: rows on each (``_m``, ``_n``) and one row's values of each (``_sv``, ``_ov``).
 
-    @property
-    def s_tagged(self) -> DataFrame:
-        return self.s_cold.unionByName(self.s_hot)
+    One pass over the two sides, one shuffle: a hot key collapses in the partial
+    aggregate, so it needs no routing.  For a key with one row on each side
+    ``_sv`` and ``_ov`` are that pair.
+    """
+    kcols = [_KEY.format(i) for i in range(len(plan.key))]
+    both = _side(source, plan, "s").withColumn("_left", F.lit(True)).unionByName(_side(other, plan, "o").withColumn("_left", F.lit(False)))
+    left = F.col("_left")
+    agg = both.groupBy(*kcols).agg(
+        F.count_if(left).alias("_m"),
+        F.count_if(~left).alias("_n"),
+        F.first(F.when(left, F.col("_v")), ignorenulls=True).alias("_sv"),
+        F.first(F.when(~left, F.col("_v")), ignorenulls=True).alias("_ov"),
+    )
+    # the tests on the values are always true here; they keep both structs in every use of the
+    # aggregate, so that all uses are one exchange
+    return agg.where((F.col("_m") > 0) & (F.col("_n") > 0) & F.col("_sv").isNotNull() & F.col("_ov").isNotNull())
 
-    @staticmethod
-    def unique(df: DataFrame) -> DataFrame:
-        return df.where((F.col("_m") == 1) & (F.col("_n") == 1))
 
-    @staticmethod
-    def multi(df: DataFrame) -> DataFrame:
-        return df.where((F.col("_m") > 1) | (F.col("_n") > 1))
+_SINGLE = "_m = 1 AND _n = 1"
 
 
-def key_counts(df: DataFrame, key: Sequence[str], count_name: str) -> DataFrame:
-    """Rows per key (``_k0``, ``_k1``, ... and ``count_name``); NULL keys form their own group.
+def _differs(i: int) -> Column:
+    return ~F.col(f"_sv.c{i}").eqNullSafe(F.col(f"_ov.c{i}"))
 
-    Shareable with other key-level checks (duplicates, completeness); the
-    consistency joins use ``=`` and so never match the NULL-key group.
-    """
-    return df.groupBy(*[qcol(k).alias(_KEY.format(i)) for i, k in enumerate(key)]).agg(
-        F.count(F.lit(1)).alias(count_name)
-    )
 
+def _value_counts(side: DataFrame, multi: DataFrame, count_col: str, plan: ConsistencyPlan, name: str, hot: tuple[int, int]) -> DataFrame:
+    """(key, column index, value) → row count of one side, for the keys in ``multi``.
 
-def _parts(
-    source: DataFrame,
-    other: DataFrame,
-    plan: ConsistencyPlan,
-    hot_key_rows: int,
-    max_hot_keys: int,
-    counts: tuple[DataFrame, DataFrame] | None = None,
-) -> _Routing:
-    """Tag every row of a key present on both sides with the key's row counts (``_m``, ``_n``).
-
-    The join with the key-count table is ``skew.join_key_stats``: a shuffle join
-    for ordinary keys, a bounded broadcast for keys holding a large share of a
-    side's rows, so no task receives a hot key whole.
-    """
-    key = plan.key
-    kcols = [_KEY.format(i) for i in range(len(key))]
-    names = [p.name for p in plan.compared]
-    s_kc, o_kc = counts if counts is not None else (_key_counts(source, key, "_m"), _key_counts(other, key, "_n"))
-    kc = s_kc.join(o_kc, kcols)
-    if hot_key_rows < 1:
-        raise ValueError("hot_key_rows must be at least 1 (a hot key is never a unique key)")
-    s_rows, o_rows = _keyed(source, key, names), _keyed(other, key, names)
-    s_cold, s_hot = skew.join_key_stats_parts(s_rows, kc, kcols, s_kc, "_m", hot_key_rows, max_hot_keys)
-    o_cold, o_hot = skew.join_key_stats_parts(o_rows, kc, kcols, o_kc, "_n", hot_key_rows, max_hot_keys)
-    return _Routing(kcols, names, _Routing.multi(kc), s_cold, o_cold, s_hot, o_hot)
-
-
-def _unique_pairs(r: _Routing) -> DataFrame:
-    # hot keys have more than one row, so unique keys are all among the cold rows, which
-    # are already partitioned by key: the 1:1 join needs no further exchange
-    s = _Routing.unique(r.s_cold).alias("s")
-    o = _Routing.unique(r.o_cold).alias("o")
-    return s.join(o, [F.col(f"s.{k}") == F.col(f"o.{k}") for k in r.kcols])
-
-
-def _value_counts(rows: DataFrame, kcols, plan: ConsistencyPlan, side: str, types) -> DataFrame:
-    """(key, column index, value) → row count, for the given rows of multi keys.
-
-    Values keep their own type: ``_v`` is a struct with one slot per distinct
+    Values keep their own type: ``_w`` is a struct with one slot per distinct
     comparable type, the column's value in its slot and NULL elsewhere.  Spark
     groups and joins structs field by field with NULL equal to NULL, and
     normalises -0.0/NaN inside them, which is exactly NULL-safe equality, so no
-    value is rendered as text.  All columns are unpivoted from one projection of
-    the rows, so each side is routed and shuffled once (a per-column projection
-    would be pruned into one routing join per column).
+    value is rendered as text.  The side is read once more; a hot key's rows
+    are spread before they are reduced.
     """
+    kcols = [_KEY.format(i) for i in range(len(plan.key))]
+    types = [p.dtype for p in plan.compared]  # comparable type of each column, known without analysis
     distinct = []
     for t in types:
         if t not in distinct:
             distinct.append(t)
     nulls = [F.lit(None).cast(t) for t in distinct]  # one NULL literal per slot type, shared by all cells
-    alias_rows = rows.alias(side)
     cells = []
-    for i, p in enumerate(plan.compared):
-        e = p.left if side == "s" else p.right
-        slots = [(e if types[i] == t else nulls[j]).alias(f"_s{j}") for j, t in enumerate(distinct)]
-        cells.append(F.struct(F.lit(i).alias("_ci"), F.struct(*slots).alias("_v")))
-    long = alias_rows.select(*[F.col(f"{side}.{k}").alias(k) for k in kcols], F.inline(F.array(*cells)))
-    return long.groupBy(*kcols, "_ci", "_v").agg(F.count(F.lit(1)).alias(f"_c{side}"))
+    for i, t in enumerate(types):
+        slots = [(F.col(f"_v.c{i}") if t == d else nulls[j]).alias(f"s{j}") for j, d in enumerate(distinct)]
+        cells.append(F.struct(F.lit(i).alias("_ci"), F.struct(*slots).alias("_w")))
+    rows = skew.salted_stats_join(side, multi.select(*kcols, count_col), kcols, count_col, *hot)
+    long = rows.select(*kcols, F.inline(F.array(*cells)))
+    return long.groupBy(*kcols, "_ci", "_w").agg(F.count(F.lit(1)).alias(name))
 
 
-def _multi_matches(r: _Routing, plan: ConsistencyPlan) -> DataFrame:
+def _multi_matches(source: DataFrame, other: DataFrame, per_key: DataFrame, plan: ConsistencyPlan, hot: tuple[int, int]) -> DataFrame:
     """Rows (key, column index, ``_eq``) whose ``_eq`` sum per (key, column) is the number of NULL-safe equal pairs.
 
     Each side is reduced to ``(key, column, value) → rows`` (partial aggregation
@@ -199,115 +159,99 @@ def _multi_matches(r: _Routing, plan: ConsistencyPlan) -> DataFrame:
     1:1 on (key, column, value); ``m_v · n_v`` summed over shared values is the
     number of equal pairs.
     """
-    types = [p.dtype for p in plan.compared]  # comparable type of each column, known without analysis
-    vs = _value_counts(_Routing.multi(r.s_cold).unionByName(r.s_hot), r.kcols, plan, "s", types)
-    vo = _value_counts(_Routing.multi(r.o_cold).unionByName(r.o_hot), r.kcols, plan, "o", types)
-    return vs.join(vo, r.kcols + ["_ci", "_v"]).select(*r.kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
+    if hot[0] < 1:
+        raise ValueError("hot_key_rows must be at least 1")
+    kcols = [_KEY.format(i) for i in range(len(plan.key))]
+    multi = per_key.where(f"NOT ({_SINGLE})")
+    vs = _value_counts(_side(source, plan, "s"), multi, "_m", plan, "_cs", hot)
+    vo = _value_counts(_side(other, plan, "o"), multi, "_n", plan, "_co", hot)
+    return vs.join(vo, kcols + ["_ci", "_w"]).select(*kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
 
 
-def consistency_summary(
+_SUMMARY = T.StructType(
+    [T.StructField("column_name", T.StringType()), T.StructField("mismatches", T.LongType()), T.StructField("pairs", T.LongType())]
+)
+
+
+def consistency_parts(
     source: DataFrame,
     other: DataFrame,
     key: Sequence[str],
     columns: Sequence[str] | None = None,
     hot_key_rows: int = HOT_KEY_MIN_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """One row per compared column: ``column_name``, ``mismatches``, ``pairs``.
-
-    ``pairs`` is the number of joined pairs (equal for every row).  Column order
-    follows the source schema.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """``consistency_summary`` and ``inconsistent_keys`` over the same per-key aggregate."""
     plan = plan_consistency(source, other, key, columns)
-    spark = source.sparkSession
-    schema = T.StructType(
-        [T.StructField("column_name", T.StringType()), T.StructField("mismatches", T.LongType()), T.StructField("pairs", T.LongType())]
-    )
     if not plan.compared:
-        return spark.createDataFrame([], schema)
-    r = _parts(source, other, plan, hot_key_rows, max_hot_keys)
-    names = r.names
-    n = len(names)
-
-    def per_column(df: DataFrame, mis: list, pairs) -> DataFrame:
-        cells = [F.struct(F.lit(i).alias("_ci"), mis[i].cast("bigint").alias("_mis"), pairs.cast("bigint").alias("_pairs")) for i in range(n)]
-        return df.select(F.inline(F.array(*cells)))
-
-    # unique keys: one pass over the 1:1 joined rows
-    joined = _unique_pairs(r)
-    u = joined.agg(
-        F.count(F.lit(1)).alias("_p"),
-        *[F.count_if(differs(p)).alias(f"_d{i}") for i, p in enumerate(plan.compared)],
-    )
-    unique_part = per_column(u, [F.col(f"_d{i}") for i in range(n)], F.col("_p"))
-    # multi keys: every pair counts as a mismatch here, minus the equal pairs below
-    mp = r.multi_keys.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).alias("_mp"))
-    multi_part = per_column(mp, [F.col("_mp")] * n, F.col("_mp"))
-    equal_part = _multi_matches(r, plan).select(
-        "_ci", (-F.col("_eq")).cast("bigint").alias("_mis"), F.lit(0).cast("bigint").alias("_pairs")
+        raise ValueError("no shared non-key column to compare")
+    per_key, hot = _per_key(source, other, plan), (hot_key_rows, max_hot_keys)
+    matches = _multi_matches(source, other, per_key, plan, hot)
+    return _summary(per_key, matches, plan), _keyed(per_key, matches, plan)
+
+
+def _summary(per_key: DataFrame, matches: DataFrame, plan: ConsistencyPlan) -> DataFrame:
+    n = len(plan.compared)
+    pairs = F.col("_m") * F.col("_n")
+    # of a multi key every pair counts as a mismatch here, minus the equal pairs below
+    totals = per_key.agg(
+        F.coalesce(F.sum(pairs), F.lit(0)).alias("_pairs"),
+        F.coalesce(F.sum(F.when(F.expr(_SINGLE), 0).otherwise(pairs)), F.lit(0)).alias("_multi"),
+        *[F.count_if(F.expr(_SINGLE) & _differs(i)).alias(f"_d{i}") for i in range(n)],
     )
-    # three independent branches of one plan, then at most 3·n + (equal rows) tiny rows to add up
-    labels = F.array(*[F.lit(x) for x in names])
+    cells = [F.struct(F.lit(i).alias("_ci"), (F.col(f"_d{i}") + F.col("_multi")).alias("_mis"), F.col("_pairs").alias("_pairs")) for i in range(n)]
+    counted = totals.select(F.inline(F.array(*cells)))
+    equal = matches.select("_ci", (-F.col("_eq")).alias("_mis"), F.lit(0).cast("bigint").alias("_pairs"))
+    labels = F.array(*[F.lit(p.name) for p in plan.compared])
     return (
-        unique_part.unionByName(multi_part)
-        .unionByName(equal_part)
+        counted.unionByName(equal)
         .groupBy("_ci")
-        .agg(F.sum("_mis").cast("bigint").alias("mismatches"), F.sum("_pairs").alias("_psum"))
-        .select(
-            F.element_at(labels, F.col("_ci") + 1).alias("column_name"),
-            "mismatches",
-            F.col("_psum").cast("bigint").alias("pairs"),
-        )
+        .agg(F.sum("_mis").cast("bigint").alias("mismatches"), F.sum("_pairs").cast("bigint").alias("pairs"))
+        .select(F.element_at(labels, F.col("_ci") + 1).alias("column_name"), "mismatches", "pairs")
     )
 
 
-def pair_count(
-    source: DataFrame, other: DataFrame, key: Sequence[str], counts: tuple[DataFrame, DataFrame] | None = None
-) -> DataFrame:
-    """One row: ``pairs``, the number of (source, other) row pairs with equal keys, from key counts only."""
-    kcols = [_KEY.format(i) for i in range(len(key))]
-    s_kc, o_kc = counts if counts is not None else (_key_counts(source, key, "_m"), _key_counts(other, key, "_n"))
-    kc = s_kc.join(o_kc, kcols)
-    return kc.agg(F.coalesce(F.sum(F.col("_m") * F.col("_n")), F.lit(0)).cast("bigint").alias("pairs"))
+def _keyed(per_key: DataFrame, matches: DataFrame, plan: ConsistencyPlan) -> DataFrame:
+    kcols = [_KEY.format(i) for i in range(len(plan.key))]
+    n = len(plan.compared)
+    flags = F.array(*[F.when(_differs(i), F.lit(i)) for i in range(n)])
+    single = per_key.where(_SINGLE).select(*kcols, F.explode(F.array_compact(flags)).alias("_ci")).withColumn("mismatches", F.lit(1).cast("bigint"))
+    multi = per_key.where(f"NOT ({_SINGLE})").select(*kcols, (F.col("_m") * F.col("_n")).alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_ci"))
+    equal = matches.groupBy(*kcols, "_ci").agg(F.sum("_eq").alias("_equal"))
+    left = (F.col("_p") - F.coalesce(F.col("_equal"), F.lit(0))).cast("bigint")
+    multi = multi.join(equal, kcols + ["_ci"], "left").select(*kcols, "_ci", left.alias("mismatches")).where("mismatches > 0")
+    labels = F.array(*[F.lit(p.name) for p in plan.compared])
+    return single.unionByName(multi).select(
+        *[F.col(c).alias(k) for c, k in zip(kcols, plan.key)],
+        F.element_at(labels, F.col("_ci") + 1).alias("column_name"),
+        "mismatches",
+    )
 
 
-def inconsistent_keys(
+def consistency_summary(
     source: DataFrame,
     other: DataFrame,
     key: Sequence[str],
     columns: Sequence[str] | None = None,
     hot_key_rows: int = HOT_KEY_MIN_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
-    counts: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """Row-level diagnostics: ``(*key, column_name, mismatches)`` for every key and column with unequal pairs.
+    """One row per compared column: ``column_name``, ``mismatches``, ``pairs``.
 
-    ``counts`` may pass precomputed ``key_counts`` of both sides (``_m`` / ``_n``),
-    e.g. cached and shared with the other key-level checks of a stage.
+    ``pairs`` is the number of joined pairs (equal for every row).
     """
-    plan = plan_consistency(source, other, key, columns)
-    if not plan.compared:
-        raise ValueError("no shared non-key column to compare")
-    r = _parts(source, other, plan, hot_key_rows, max_hot_keys, counts)
-    kcols, names, multi_keys = r.kcols, r.names, r.multi_keys
-    labels = F.array(*[F.lit(n) for n in names])
-
-    joined = _unique_pairs(r)
-    flags = F.array(*[F.when(differs(p), F.lit(i)) for i, p in enumerate(plan.compared)])
-    unique_part = joined.select(
-        *[F.col(f"s.{k}").alias(k) for k in kcols], F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("_ci")
-    ).withColumn("mismatches", F.lit(1).cast("bigint"))
-
-    per_col = multi_keys.select(*kcols, (F.col("_m") * F.col("_n")).alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("_ci"))
-    eq = _multi_matches(r, plan).groupBy(*kcols, "_ci").agg(F.sum("_eq").alias("_equal"))
-    multi_part = (
-        per_col.join(eq, kcols + ["_ci"], "left")
-        .select(*kcols, "_ci", (F.col("_p") - F.coalesce(F.col("_equal"), F.lit(0))).cast("bigint").alias("mismatches"))
-        .where(F.col("mismatches") > 0)
-    )
-    out = unique_part.unionByName(multi_part)
-    return out.select(
-        *[F.col(_KEY.format(i)).alias(k) for i, k in enumerate(key)],
-        F.element_at(labels, F.col("_ci") + 1).alias("column_name"),
-        "mismatches",
-    )
+    if not plan_consistency(source, other, key, columns).compared:
+        return source.sparkSession.createDataFrame([], _SUMMARY)
+    return consistency_parts(source, other, key, columns, hot_key_rows, max_hot_keys)[0]
+
+
+def inconsistent_keys(
+    source: DataFrame,
+    other: DataFrame,
+    key: Sequence[str],
+    columns: Sequence[str] | None = None,
+    hot_key_rows: int = HOT_KEY_MIN_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """Row-level diagnostics: ``(*key, column_name, mismatches)`` for every key and column with unequal pairs."""
+    return consistency_parts(source, other, key, columns, hot_key_rows, max_hot_keys)[1]

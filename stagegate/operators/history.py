@@ -10,7 +10,8 @@ Scale notes
   (say a third of all rows) into one task, so the rows are range-partitioned on
   (key, start, tiebreak) instead: Spark samples the ordering and cuts even
   ranges, splitting a hot key over many tasks while keeping the global order.
-  Each task finds the next row inside its range (Arrow batches in pandas); the
+  A window over (range, key) finds the next row inside a range, with built-in
+  ``lag``/``lead`` that keep every value as it is; the
   last row of a range takes the first row of the next non-empty range, from a
   table of at most one row per partition, which is broadcast (its size is
   bounded by the partition count, not by the data).  The ranged data are
@@ -21,14 +22,14 @@ Scale notes
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.predicates import qcol
+from ..functions.compare import orderable
+from ..functions.predicates import free_names, qcol
 from ..session import ensure_checkpoint_dir
 from .skew import join_key_stats
 
@@ -71,25 +72,26 @@ def apply_changes(
     unknown = [c for c in cols if c not in df.columns]
     if unknown:
         raise ValueError(f"changes name columns absent from the data: {unknown}")
+    hit_name, rows_name, *helpers = free_names(df.columns, "_hit", "_rows", *[f"_ck{i}" for i in range(len(key))], *[f"_cv{i}" for i in range(len(cols))])
+    kn, cv = helpers[: len(key)], helpers[len(key) :]
     ch = changes.select(
-        *[qcol(k).alias(f"_ck{i}") for i, k in enumerate(key)],
-        F.lit(True).alias("_hit"),
-        *[qcol(c).alias(f"_cv{i}") for i, c in enumerate(cols)],
+        *[qcol(k).alias(n) for k, n in zip(key, kn)],
+        F.lit(True).alias(hit_name),
+        *[qcol(c).alias(n) for c, n in zip(cols, cv)],
     )
     if skew_safe:
-        kn = [f"_ck{i}" for i in range(len(key))]
         rows = df.select("*", *[qcol(k).alias(n) for k, n in zip(key, kn)])
-        counts = df.groupBy(*[qcol(k).alias(n) for k, n in zip(key, kn)]).agg(F.count(F.lit(1)).alias("_rows"))
-        joined = join_key_stats(rows, ch, kn, counts, "_rows", how="left")
+        counts = df.groupBy(*[qcol(k).alias(n) for k, n in zip(key, kn)]).agg(F.count(F.lit(1)).alias(rows_name))
+        joined = join_key_stats(rows, ch, kn, counts, rows_name, how="left")
     else:
-        cond = [qcol(k) == F.col(f"_ck{i}") for i, k in enumerate(key)]
+        cond = [qcol(k) == F.col(n) for k, n in zip(key, kn)]
         joined = df.join(ch, cond, "left")
-    hit = F.coalesce(F.col("_hit"), F.lit(False))
+    hit = F.coalesce(F.col(hit_name), F.lit(False))
     out = []
     for name in df.columns:
         if name in cols:
             i = cols.index(name)
-            out.append(F.when(hit, F.col(f"_cv{i}")).otherwise(qcol(name)).alias(name))
+            out.append(F.when(hit, F.col(cv[i])).otherwise(qcol(name)).alias(name))
         else:
             out.append(qcol(name))
     return joined.select(*out)
@@ -174,9 +176,13 @@ def scd2_load(
     end_name: str = "effective_end_date",
     flag_name: str = "is_active",
     active: str = "Y",
+    skew_safe: bool = False,
 ) -> DataFrame:
-    """One type-2 load: optional keyed changes, then start = batch, end = NULL, flag = active."""
-    out = apply_changes(df, changes, key) if changes is not None else df
+    """One type-2 load: optional keyed changes, then start = batch, end = NULL, flag = active.
+
+    ``skew_safe`` goes to ``apply_changes``.
+    """
+    out = apply_changes(df, changes, key, skew_safe=skew_safe) if changes is not None else df
     start = F.lit(batch) if isinstance(batch, dt.date) else F.to_date(F.lit(batch))
     return out.withColumns({start_name: start, end_name: F.lit(None).cast("date"), flag_name: F.lit(active)})
 
@@ -184,133 +190,8 @@ def scd2_load(
 # ---------------------------------------------------------------- H6 (full rebuild)
 
 
-def _next_in_partition(order: list[str], key: list[str], carry_names: list[str]):
-    """Build the per-partition function for ``mapInPandas``.
-
-    Rows arrive sorted by ``order``; for each row emit the next row's ``carry``
-    values when that row has the same key.  The partition's last row is marked
-    ``_tail`` and left for the boundary fix.
-    """
-    def exact(pdf: pd.DataFrame) -> pd.DataFrame:
-        # integer/boolean columns become nullable dtypes so shifting never goes through float64
-        for c in order:
-            kind = pdf[c].dtype.kind
-            if kind in "iu":
-                pdf[c] = pdf[c].astype("Int64")
-            elif kind == "b":
-                pdf[c] = pdf[c].astype("boolean")
-        return pdf
-
-    def same_key(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-        eq = pd.Series(True, index=a.index)
-        for c in key:
-            x, y = a[c], b[c]
-            eq &= (x == y).fillna(False) | (x.isna() & y.isna())
-        return eq
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending: pd.DataFrame | None = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = exact(pdf.reset_index(drop=True))
-            if pending is not None:
-                pdf = pd.concat([pending, pdf], ignore_index=True)
-            nxt = pdf[order].shift(-1)
-            has = same_key(pdf, nxt)
-            has.iloc[-1] = False
-            out = pdf.copy()
-            for c in carry_names:
-                out[f"_next_{c}"] = nxt[c].where(has, None)
-            out["_has_next"] = has.astype(bool)
-            out["_tail"] = False
-            pending = pdf.iloc[[-1]].reset_index(drop=True)
-            yield out.iloc[:-1]
-        if pending is not None:
-            out = pending.copy()
-            for c in carry_names:
-                out[f"_next_{c}"] = None
-            out["_has_next"] = False
-            out["_tail"] = True
-            yield out
-
-    return run
-
-
-def _prev_in_partition(order: list[str], key: list[str], tracked: list[str]):
-    """Per-partition function for ``mapInPandas``: is each row a repeat of the previous row?
-
-    Rows arrive sorted by ``order``.  ``_repeat`` is true when the previous row
-    has the same key and NULL-safely equal ``tracked`` values; the partition's
-    first row is marked ``_first`` and left for the boundary fix.
-    """
-    cols = list(dict.fromkeys(key + tracked + order))
-
-    def exact(pdf: pd.DataFrame) -> pd.DataFrame:
-        for c in cols:
-            kind = pdf[c].dtype.kind
-            if kind in "iu":
-                pdf[c] = pdf[c].astype("Int64")
-            elif kind == "b":
-                pdf[c] = pdf[c].astype("boolean")
-        return pdf
-
-    def equal(a: pd.Series, b: pd.Series) -> pd.Series:
-        return (a == b).fillna(False).astype(bool) | (a.isna() & b.isna())
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last: pd.DataFrame | None = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = exact(pdf.reset_index(drop=True))
-            prev = pdf[cols].shift(1)
-            if last is not None:
-                prev.iloc[0] = last.iloc[0]
-            repeat = pd.Series(True, index=pdf.index)
-            for c in key + tracked:
-                repeat &= equal(pdf[c], prev[c])
-            first = pd.Series(False, index=pdf.index)
-            if last is None:
-                repeat.iloc[0] = False
-                first.iloc[0] = True
-            out = pdf.copy()
-            out["_repeat"] = repeat.astype(bool)
-            out["_first"] = first
-            last = pdf[cols].iloc[[-1]].reset_index(drop=True)
-            yield out
-
-    return run
-
-
-def _drop_repeats(df: DataFrame, key: list[str], order: list[str], tracked: list[str], num_partitions: int | None) -> DataFrame:
-    """Rows whose tracked values differ from the previous row of the same key (or that start a key).
-
-    Same range layout as ``build_versions``: the previous row is found inside
-    the range; a range's first row compares with the last row of the previous
-    non-empty range, from a table of at most one row per partition (broadcast).
-    """
-    ordered = ordered_ranges(df, order, num_partitions)
-    out_schema = T.StructType(
-        list(ordered.schema.fields)
-        + [T.StructField("_repeat", T.BooleanType(), False), T.StructField("_first", T.BooleanType(), False)]
-    )
-    local = ordered.mapInPandas(_prev_in_partition(order, key, tracked), out_schema)
-    cols = list(dict.fromkeys(key + tracked))
-    tail_struct = F.struct(*[qcol(c).alias(f"_o{i}") for i, c in enumerate(order)], *[qcol(c).alias(f"_t{i}") for i, c in enumerate(cols)])
-    tails = ordered.groupBy("_pid").agg(F.max(tail_struct).alias("_tail"))
-    # each range's predecessor is the previous non-empty range (at most one row per partition)
-    fix = tails.select("_pid", F.lag("_tail").over(Window.orderBy("_pid")).alias("_prev"))
-    joined = local.join(F.broadcast(fix), "_pid", "left")
-    boundary_repeat = F.col("_prev").isNotNull()
-    for i, c in enumerate(cols):
-        boundary_repeat = boundary_repeat & F.col(f"_prev._t{i}").eqNullSafe(qcol(c))
-    repeat = F.when(F.col("_first"), boundary_repeat).otherwise(F.col("_repeat"))
-    return joined.where(~repeat).select(*[qcol(c) for c in df.columns])
-
-
-def ordered_ranges(df: DataFrame, order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """``df`` cut into contiguous ranges of ``order``, sorted within each, with the range id ``_pid``.
+def ordered_ranges(df: DataFrame, order: Sequence[str], num_partitions: int | None = None, pid: str = "_pid") -> DataFrame:
+    """``df`` cut into contiguous ranges of ``order``, sorted within each, with the range id ``pid``.
 
     Without an explicit count AQE sizes the ranges from the shuffle statistics
     (coalescing keeps ranges contiguous, so the order is preserved).  The result
@@ -322,7 +203,20 @@ def ordered_ranges(df: DataFrame, order: Sequence[str], num_partitions: int | No
     ensure_checkpoint_dir(df.sparkSession)
     by_range = [qcol(c) for c in order]
     ranged = df.repartitionByRange(num_partitions, *by_range) if num_partitions else df.repartitionByRange(*by_range)
-    return ranged.sortWithinPartitions(*by_range).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    return ranged.sortWithinPartitions(*by_range).withColumn(pid, F.spark_partition_id()).checkpoint(eager=True)
+
+
+def _fields(columns: Sequence[Column], stem: str) -> Column:
+    """A struct of ``columns`` with fields ``<stem>0``, ``<stem>1``, ..."""
+    return F.struct(*[c.alias(f"{stem}{i}") for i, c in enumerate(columns)])
+
+
+def _all_equal(columns: Sequence[Column], struct: str, stem: str) -> Column:
+    """NULL-safe equality of ``columns`` with the fields of ``struct``."""
+    cond = F.lit(True)
+    for i, c in enumerate(columns):
+        cond = cond & c.eqNullSafe(F.col(f"{struct}.{stem}{i}"))
+    return cond
 
 
 def build_versions(
@@ -345,6 +239,8 @@ def build_versions(
     next version's start (half-open interval; NULL for the last version) and
     ``flag_name`` is ``active`` for the last version, ``inactive`` otherwise.
     ``next_columns`` (a subset of ``tiebreak``) are also emitted as ``next_<c>``.
+    Two versions of a key with the same (start, tiebreak...) have no order: the
+    job fails and names the key.
 
     With ``tracked`` columns, a row whose tracked values equal (NULL-safely) those
     of the previous row of its key is not a new version and is dropped first.
@@ -352,46 +248,49 @@ def build_versions(
     applying the loads one by one with ``merge_versions``, and also repairs
     keys that received a late load.
     """
-    key, tiebreak = list(key), list(tiebreak)
-    order = key + [start] + tiebreak
-    carry = [start] + tiebreak
+    key, tiebreak, tracked = list(key), list(tiebreak), list(tracked)
+    order, carry = key + [start] + tiebreak, [start] + tiebreak
+    types = {f.name: f.dataType for f in df.schema.fields}
+    pid, prev, nxt, edge = free_names(df.columns, "_pid", "_prev", "_next", "_edge")
+    rows = ordered_ranges(df, order, num_partitions, pid)
+    # inside a range, the rows of a key; a hot key has many ranges
+    inside = Window.partitionBy(pid, *[qcol(k) for k in key]).orderBy(*[qcol(c) for c in carry])
+    by_range = Window.orderBy(pid)
+    keys = [qcol(k) for k in key]
+
     if tracked:
-        df = _drop_repeats(df, key, order, list(tracked), num_partitions)
-    ordered = ordered_ranges(df, order, num_partitions)
-    fields = list(ordered.schema.fields)
-    types = {f.name: f.dataType for f in fields}
-    out_schema = T.StructType(
-        fields
-        + [T.StructField(f"_next_{c}", types[c], True) for c in carry]
-        + [T.StructField("_has_next", T.BooleanType(), False), T.StructField("_tail", T.BooleanType(), False)]
-    )
-    local = ordered.mapInPandas(_next_in_partition(order, key, carry), out_schema)
-
-    # first row of every non-empty range: min of the ordering struct
-    heads = ordered.groupBy("_pid").agg(F.min(F.struct(*[qcol(c).alias(f"_h{i}") for i, c in enumerate(order)])).alias("_head"))
-    # the range before each head (by partition id) takes that head as its successor
-    w = Window.orderBy("_pid")
-    fix = heads.select(F.lag("_pid").over(w).alias("_pid"), "_head").where(F.col("_pid").isNotNull())
-
-    joined = local.join(F.broadcast(fix), "_pid", "left")
-    head_same_key = F.lit(True)
-    for i, c in enumerate(key):
-        head_same_key = head_same_key & F.col(f"_head._h{i}").eqNullSafe(qcol(c))
-    crosses = F.col("_tail") & F.col("_head").isNotNull() & head_same_key
-    has_next = F.col("_has_next") | crosses
-    nexts = {
-        c: F.when(crosses, F.col(f"_head._h{len(key) + j}")).otherwise(F.col(f"_next_{c}"))
-        for j, c in enumerate(carry)
-    }
+        state = [orderable(qcol(c), types[c]) for c in tracked]
+        last = F.max_by(F.struct(_fields(keys, "k").alias("k"), _fields(state, "t").alias("t")), _fields([qcol(c) for c in order], "o"))
+        # the last row of the previous non-empty range (at most one row per partition)
+        tails = rows.groupBy(pid).agg(last.alias(edge)).select(pid, F.lag(edge).over(by_range).alias(edge))
+        rows = rows.withColumn(prev, F.lag(_fields(state, "t")).over(inside)).join(F.broadcast(tails), pid, "left")
+        before = F.when(F.col(prev).isNotNull(), F.col(prev)).when(
+            F.col(edge).isNotNull() & _all_equal(keys, f"{edge}.k", "k"), F.col(f"{edge}.t")
+        )
+        rows = rows.withColumn(prev, before)
+        repeat = F.col(prev).isNotNull() & _all_equal(state, prev, "t")
+        rows = rows.where(~repeat).drop(prev, edge)
+
+    # the first row of the next non-empty range
+    heads = rows.groupBy(pid).agg(F.min(_fields([qcol(c) for c in order], "o")).alias(edge))
+    heads = heads.select(F.lag(pid).over(by_range).alias(pid), edge).where(F.col(pid).isNotNull())
+    own = _fields([qcol(c) for c in carry], "c")
+    joined = rows.withColumn(nxt, F.lead(own).over(inside)).join(F.broadcast(heads), pid, "left")
+    from_edge = _fields([F.col(f"{edge}.o{len(key) + i}") for i in range(len(carry))], "c")
+    following = F.when(F.col(nxt).isNotNull(), F.col(nxt)).when(F.col(edge).isNotNull() & _all_equal(keys, edge, "o"), from_edge)
+    joined = joined.withColumn(nxt, following)
+    has_next = F.col(nxt).isNotNull()
+    tie = has_next & _all_equal([qcol(c) for c in carry], nxt, "c")
+    error = F.raise_error(F.concat(F.lit("versions without an order (same start and tiebreak) for key "), F.to_json(F.struct(*keys))))
     start_col = qcol(start).alias(start_name or start)
-    extra = [nexts[c].alias(f"next_{c}") for c in next_columns]
+    flag = F.when(tie, error.cast("string")).when(has_next, F.lit(inactive)).otherwise(F.lit(active))
     return joined.select(
         *[qcol(c) for c in df.columns if c in key],
         *[qcol(c) for c in df.columns if c not in key and c != start],
         start_col,
-        F.when(has_next, nexts[start]).alias(end_name),
-        F.when(has_next, F.lit(inactive)).otherwise(F.lit(active)).alias(flag_name),
-        *extra,
+        F.col(f"{nxt}.c0").alias(end_name),
+        flag.alias(flag_name),
+        *[F.col(f"{nxt}.c{carry.index(c)}").alias(f"next_{c}") for c in next_columns],
     )
 
 
@@ -427,40 +326,47 @@ def merge_versions(
     keys whose values did not change, are left as they are; closed versions pass
     through untouched.
 
-    Only current versions meet the batch, in one full outer join with one row
-    per key on each side: a key with a long history never makes a join
-    partition heavier, and each side is shuffled once.
+    Keys match NULL-safely, as in ``build_versions``.  Only the current versions of
+    the load's keys meet the load, in a full outer join with one row per key on
+    each side; everything else passes through an anti join with the load's keys.
+    Both of the joins that read the history are broadcast by Spark where the load is small.
     """
     key, tracked = list(key), list(tracked)
     cols = key + tracked
     types = {f.name: f.dataType for f in history.schema.fields}
-    flag_is_active = F.col(flag_name) == F.lit(active)
-    closed = history.where(~flag_is_active | F.col(flag_name).isNull())
-    current = history.where(flag_is_active).withColumn("_cur", F.lit(True))
-
     # other history columns the batch carries (untracked attributes) go into new versions as they are
     carried = [c for c in history.columns if c in batch.columns and c not in cols + [start_name, end_name, flag_name, batch_start]]
+    cur, new, bstart, *helpers = free_names(
+        history.columns, "_cur", "_new", "_bstart", *[f"_bk{i}" for i in range(len(key))], *[f"_bt{i}" for i in range(len(tracked))], *[f"_bc{i}" for i in range(len(carried))]
+    )
+    bk, bt, bc = helpers[: len(key)], helpers[len(key) : len(cols)], helpers[len(cols) :]
     # one row per key: the latest by batch start (ties broken on the tracked values)
     batch = latest_per_key(batch.select(*[qcol(c) for c in cols + carried], qcol(batch_start)), key, [batch_start])
     b = batch.select(
-        *[qcol(k).alias(f"_bk{i}") for i, k in enumerate(key)],
-        *[qcol(c).alias(f"_bt{i}") for i, c in enumerate(tracked)],
-        *[qcol(c).alias(f"_bc{i}") for i, c in enumerate(carried)],
-        qcol(batch_start).alias("_bstart"),
-        F.lit(True).alias("_new"),
+        *[qcol(k).alias(n) for k, n in zip(key, bk)],
+        *[qcol(c).alias(n) for c, n in zip(tracked, bt)],
+        *[qcol(c).alias(n) for c, n in zip(carried, bc)],
+        qcol(batch_start).alias(bstart),
+        F.lit(True).alias(new),
     )
-    joined = current.join(b, [qcol(k) == F.col(f"_bk{i}") for i, k in enumerate(key)], "full_outer")
+    same_key = F.lit(True)
+    for k, n in zip(key, bk):
+        same_key = same_key & qcol(k).eqNullSafe(F.col(n))
+    is_current = F.coalesce(qcol(flag_name) == F.lit(active), F.lit(False))
+    touched = history.where(is_current).join(b.select(*bk), same_key, "left_semi").withColumn(cur, F.lit(True))
+    rest = history.where(~is_current).unionByName(history.where(is_current).join(b.select(*bk), same_key, "left_anti"))
+    joined = touched.join(b, same_key, "full_outer")
 
     same = F.lit(True)
     for i, c in enumerate(tracked):
-        same = same & qcol(c).eqNullSafe(F.col(f"_bt{i}"))
-    has_cur = F.coalesce(F.col("_cur"), F.lit(False))
-    has_new = F.coalesce(F.col("_new"), F.lit(False))
+        same = same & orderable(qcol(c), types[c]).eqNullSafe(orderable(F.col(bt[i]).cast(types[c]), types[c]))
+    has_cur = F.coalesce(F.col(cur), F.lit(False))
+    has_new = F.coalesce(F.col(new), F.lit(False))
     closes = has_cur & has_new & ~same
     opens = has_new & (~has_cur | ~same)
     # a change dated at or before the version it would close is a late (out-of-order)
     # load: applying it would invert an interval, so the job fails instead
-    late = closes & (F.col("_bstart").cast(types[start_name]) <= qcol(start_name))
+    late = closes & (F.col(bstart).cast(types[start_name]) <= qcol(start_name))
     late_error = F.raise_error(
         F.concat(F.lit("late load: batch start is not after the current version's start for key "), F.to_json(F.struct(*[qcol(k) for k in key])))
     )
@@ -469,7 +375,7 @@ def merge_versions(
     cur_version = F.struct(
         *[
             (
-                F.when(closes, F.col("_bstart").cast(types[c])).otherwise(qcol(c))
+                F.when(closes, F.col(bstart).cast(types[c])).otherwise(qcol(c))
                 if c == end_name
                 else F.when(late, late_error.cast(types[c])).when(closes, F.lit(inactive)).otherwise(qcol(c))
                 if c == flag_name
@@ -481,18 +387,18 @@ def merge_versions(
 
     def new_value(c: str):
         if c in key:
-            return F.col(f"_bk{key.index(c)}").cast(types[c])
+            return F.col(bk[key.index(c)]).cast(types[c])
         if c in tracked:
-            return F.col(f"_bt{tracked.index(c)}").cast(types[c])
+            return F.col(bt[tracked.index(c)]).cast(types[c])
         if c == start_name:
-            return F.col("_bstart").cast(types[c])
+            return F.col(bstart).cast(types[c])
         if c == flag_name:
             return F.lit(active).cast(types[c])
         if c in carried:
-            return F.col(f"_bc{carried.index(c)}").cast(types[c])
+            return F.col(bc[carried.index(c)]).cast(types[c])
         return F.lit(None).cast(types[c])  # end date, and columns the batch does not carry
 
     new_version = F.struct(*[new_value(c).alias(c) for c in out_cols])
     versions = F.array(F.when(has_cur, cur_version), F.when(opens, new_version))
     merged = joined.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("_v")).select("_v.*")
-    return closed.unionByName(merged)
+    return rest.unionByName(merged)

@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.predicates import free_names, keys_not_null
+
 HOT_KEY_MIN_ROWS = 100_000
 MAX_HOT_KEYS = 100_000
 
@@ -92,3 +94,35 @@ def join_key_stats_parts(
     hot_stats = stats.join(F.broadcast(hot), key, "left_semi")  # fewer than max_hot_keys rows
     hot_rows = rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_stats), key, how)
     return cold, hot_rows
+
+
+def salted_stats_join(
+    rows: DataFrame,
+    stats: DataFrame,
+    key: Sequence[str],
+    count_col: str,
+    hot_key_rows: int = HOT_KEY_MIN_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+    how: str = "inner",
+    salts: int = 64,
+) -> DataFrame:
+    """Join of ``rows`` with ``stats`` (one row per key, ``count_col`` = its rows) that reads ``rows`` once.
+
+    The rows of a hot key (bounded in number, see above; marked by a broadcast)
+    and, for ``left``, rows with a NULL key spread over ``salts`` sub-keys, for
+    which the hot keys' statistics are repeated; all other keys have one.  Where
+    ``stats`` is small Spark broadcasts it and nothing is shuffled.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    key = list(key)
+    salt, hot = free_names([*rows.columns, *stats.columns], "_salt", "_hot")
+    marked = hot_keys(stats, key, count_col, hot_key_rows, max_hot_keys).withColumn(hot, F.lit(True))
+    spread = (F.monotonically_increasing_id() % salts).cast("int")
+    no_key = ~keys_not_null(key)
+    left = rows.join(F.broadcast(marked), key, "left")
+    left = left.withColumn(salt, F.when(F.coalesce(F.col(hot), no_key), spread).otherwise(F.lit(0))).drop(hot)
+    right = stats.join(F.broadcast(marked), key, "left")
+    copies = F.when(F.col(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = right.withColumn(salt, F.explode(copies)).drop(hot)
+    return left.join(right, [*key, salt], how).drop(salt)

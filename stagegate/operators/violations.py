@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.predicates import (
     ACTIVE_FLAG_VALUES,
     INACTIVE_FLAG_VALUES,
+    free_names,
     is_active,
     is_inactive,
     is_null_or_blank,
@@ -25,7 +26,7 @@ from ..functions.predicates import (
     qcol,
 )
 from ..spec import Rule
-from .skew import join_key_stats
+from .skew import salted_stats_join
 
 
 def _field_types(df: DataFrame) -> dict[str, T.DataType]:
@@ -87,7 +88,11 @@ def null_or_blank_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- C4
 
 def duplicate_keys(df: DataFrame, key: Sequence[str], count_name: str = "n_rows") -> DataFrame:
-    """Key groups with more than one row.  NULL key parts group together (two NULL keys are duplicates)."""
+    """Key groups with more than one row.  NULL key parts group together (two NULL keys are duplicates).
+
+    The count's name gets a number if a key column has it.
+    """
+    (count_name,) = free_names(key, count_name)
     return (
         df.groupBy(*[qcol(k) for k in key])
         .agg(F.count(F.lit(1)).alias(count_name))
@@ -181,18 +186,16 @@ def orphan_values(
 def orphan_rows(df: DataFrame, target_column: str, lookup: DataFrame, lookup_column: str) -> DataFrame:
     """The target rows whose FK has no match (row-level diagnostics).
 
-    The orphan FK values come from ``orphan_values`` (aggregated first), and
-    their rows are fetched with the hot-key-safe join, so an orphan value
-    holding a large share of the rows is joined in place from a bounded
-    broadcast instead of landing whole in one task.  Rows with a NULL FK are
-    orphans too and need no join.
+    The orphan FK values come from ``orphan_values`` (aggregated first).  Usually
+    they are few and Spark broadcasts them; otherwise the rows of a value that
+    holds a large share are spread by ``salted_stats_join``.  Rows with a NULL FK are
+    orphans too and come out of the same pass: the target is read twice in all.
     """
-    fk = qcol(target_column)
-    orphans = orphan_values(df, target_column, lookup, lookup_column, count_name="_n").where(fk.isNotNull())
-    keyed = df.where(fk.isNotNull()).withColumn("_fk", fk)
-    stats = orphans.select(fk.alias("_fk"), "_n")
-    matched = join_key_stats(keyed, stats, ["_fk"], stats, "_n").drop("_fk", "_n")
-    return matched.unionByName(df.where(fk.isNull()))
+    fk, n = free_names(df.columns, "_fk", "_n")
+    orphans = orphan_values(df, target_column, lookup, lookup_column, count_name=n)
+    stats = orphans.where(qcol(target_column).isNotNull()).select(qcol(target_column).alias(fk), n)
+    joined = salted_stats_join(df.withColumn(fk, qcol(target_column)), stats, [fk], n, how="left")
+    return joined.where(F.col(n).isNotNull() | F.col(fk).isNull()).select(*[qcol(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------- C12

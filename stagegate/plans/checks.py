@@ -9,6 +9,7 @@ Only counts and at most ``n`` sample rows ever reach the driver.
 
 from __future__ import annotations
 
+import json
 import threading
 import traceback
 from collections.abc import Sequence
@@ -133,23 +134,20 @@ class KeyProfile:
     def _run(self) -> dict[str, tuple[int, list[str]]]:
         kp = self.df.groupBy(*[qcol(k).alias(k) for k in self.key]).agg(*[e.alias(n) for n, e in self.aggs.items()])
         names = list(self.checks)
-        totals = [kp.where(self.checks[c][0]).select(F.count(F.lit(1))).scalar().alias(f"_t{i}") for i, c in enumerate(names)]
-        branches = None
+        # a row with the totals, whatever the samples are, then the samples of each check
+        totals = kp.agg(*[F.count_if(self.checks[c][0]).alias(f"_t{i}") for i, c in enumerate(names)])
+        branches = totals.select(F.lit(-1).alias("_q"), F.to_json(F.struct(*totals.columns)).alias("_s"))
         for i, c in enumerate(names):
             pred, cols = self.checks[c]
-            b = (
+            branches = branches.unionByName(
                 kp.where(pred)
                 .orderBy(*[qcol(k) for k in self.key])
                 .limit(self.n)
-                .select(F.lit(i).alias("_q"), F.to_json(F.struct(*[qcol(x) for x in self.key + cols])).alias("_s"))
+                .select(F.lit(i).alias("_q"), _json(self.key + cols).alias("_s"))
             )
-            branches = b if branches is None else branches.unionByName(b)
-        rows = branches.select("_q", "_s", *totals).collect()
-        out = {c: (0, []) for c in names}
-        if rows:
-            for i, c in enumerate(names):
-                out[c] = (int(rows[0][f"_t{i}"]), [r["_s"] for r in rows if r["_q"] == i])
-        return out
+        rows = branches.collect()
+        count = json.loads(next(r["_s"] for r in rows if r["_q"] == -1))
+        return {c: (int(count[f"_t{i}"]), [r["_s"] for r in rows if r["_q"] == i]) for i, c in enumerate(names)}
 
     def get(self, name: str) -> tuple[int, list[str]]:
         with self._lock:
@@ -218,23 +216,18 @@ class StageContext:
     key_counts: StageKeyCounts | None = None
 
 
-def _json_rows(df: DataFrame) -> Column:
-    return F.to_json(F.struct(*[qcol(c) for c in df.columns]))
+def _json(columns: Sequence[str]) -> Column:
+    """A row's columns as JSON text, NULLs included."""
+    return F.to_json(F.struct(*[qcol(c) for c in columns]), {"ignoreNullFields": "false"})
 
 
 def sampled(viol: DataFrame, order: Sequence[str], n: int, total: Column | None = None) -> tuple[int, list[str]]:
-    """(total, first ``n`` violations in ``order`` as JSON) in one action."""
-    total_expr = (total if total is not None else F.count(F.lit(1))).cast("bigint")
-    scalar = viol.select(F.coalesce(total_expr, F.lit(0).cast("bigint"))).scalar()
-    rows = (
-        viol.orderBy(*[qcol(c) for c in order])
-        .limit(n)
-        .select(_json_rows(viol).alias("_s"), scalar.alias("_total"))
-        .collect()
-    )
-    if not rows:
-        return 0, []
-    return int(rows[0]["_total"]), [r["_s"] for r in rows]
+    """(total, first ``n`` violations in ``order`` as JSON) in one action; the total does not depend on ``n``."""
+    total_expr = F.coalesce((total if total is not None else F.count(F.lit(1))).cast("bigint"), F.lit(0).cast("bigint"))
+    totals = viol.agg(total_expr.alias("_total")).select(F.lit(None).cast("string").alias("_s"), "_total")
+    firsts = viol.orderBy(*[qcol(c) for c in order]).limit(n).select(_json(viol.columns).alias("_s"), F.lit(None).cast("bigint").alias("_total"))
+    rows = totals.unionByName(firsts).collect()
+    return next(int(r["_total"]) for r in rows if r["_total"] is not None), [r["_s"] for r in rows if r["_total"] is None]
 
 
 def _status(ok: bool) -> str:
@@ -321,8 +314,7 @@ def check_completeness(ctx: StageContext) -> CheckResult:
 def check_consistency(ctx: StageContext) -> CheckResult:
     """Per-column mismatch totals, the pair count and the first mismatching keys, in one action.
 
-    All three come from the same keyed diagnostics (``inconsistent_keys``) and
-    key counts, so Spark reuses their exchanges instead of recomputing the join.
+    Totals and samples stand on the same per-key aggregate, whose exchange Spark reuses.
     """
     key = list(ctx.spec.key)
     plan = C.plan_consistency(ctx.left, ctx.right, key)
@@ -331,33 +323,15 @@ def check_consistency(ctx: StageContext) -> CheckResult:
     pairs = 0
     samples: list[str] = []
     if names:
-        counts = (ctx.key_counts.left, ctx.key_counts.right) if ctx.key_counts is not None else None
-        keyed = C.inconsistent_keys(
-            ctx.left, ctx.right, key, hot_key_rows=ctx.spec.hot_key_rows, max_hot_keys=ctx.spec.max_hot_keys, counts=counts
-        )
-        pairs_scalar = C.pair_count(ctx.left, ctx.right, key, counts).select("pairs").scalar()
-        totals = keyed.groupBy("column_name").agg(F.sum("mismatches").cast("bigint").alias("_n")).select(
-            F.lit(0).alias("_kind"), "column_name", "_n", F.lit(None).cast("string").alias("_s")
-        )
-        firsts = (
-            keyed.orderBy(*[qcol(k) for k in key], "column_name")
-            .limit(ctx.spec.sample_size)
-            .select(
-                F.lit(1).alias("_kind"),
-                F.lit(None).cast("string").alias("column_name"),
-                F.lit(None).cast("bigint").alias("_n"),
-                F.to_json(F.struct(*[qcol(c) for c in keyed.columns])).alias("_s"),
-            )
-        )
-        rows = totals.unionByName(firsts).select("*", pairs_scalar.alias("_pairs")).collect()
-        for r in rows:
-            pairs = int(r["_pairs"] or 0)
-            if r["_kind"] == 0:
-                per_col[r["column_name"]] = int(r["_n"])
+        totals, keyed = C.consistency_parts(ctx.left, ctx.right, key, hot_key_rows=ctx.spec.hot_key_rows, max_hot_keys=ctx.spec.max_hot_keys)
+        none = F.lit(None)
+        firsts = keyed.orderBy(*[qcol(k) for k in key], "column_name").limit(ctx.spec.sample_size)
+        firsts = firsts.select(none.cast("string").alias("column_name"), none.cast("bigint").alias("mismatches"), none.cast("bigint").alias("pairs"), _json(keyed.columns).alias("_s"))
+        for r in totals.withColumn("_s", none.cast("string")).unionByName(firsts).collect():
+            if r["_s"] is None:
+                per_col[r["column_name"]], pairs = int(r["mismatches"]), int(r["pairs"])
             else:
                 samples.append(r["_s"])
-        if not rows:
-            pairs = int(C.pair_count(ctx.left, ctx.right, key, counts).first()["pairs"])
     total = sum(per_col.values())
     notes = [f"{c}: {n} mismatches" for c, n in per_col.items() if n]
     if plan.skipped:
@@ -446,7 +420,7 @@ def check_referential(ctx: StageContext) -> CheckResult:
     if lk is None:
         return CheckResult(REFERENTIAL, SUCCESS, 0, details="no lookup configured")
     if lk.table is None:
-        return CheckResult(REFERENTIAL, FAIL, None, details=f"lookup table '{lk.name}' not loaded")
+        return CheckResult(REFERENTIAL, FAIL, None, details=f"lookup table '{lk.name}' not loaded" + (f": {lk.error}" if lk.error else ""))
     if lk.target_column not in ctx.right.columns:
         return CheckResult(REFERENTIAL, FAIL, None, details=f"column {lk.target_column} missing in target")
     viol = V.orphan_values(ctx.right, lk.target_column, lk.table, lk.lookup_column)
@@ -537,8 +511,7 @@ def run_check(fn, ctx: StageContext) -> CheckResult:
         return fn(ctx)
     except Exception as exc:
         label = _CHECK_NAMES.get(name, name)
-        msg = f"{type(exc).__name__}: {exc}".splitlines()[0][:500]
-        return CheckResult(label, ERROR, None, details=msg + " | " + traceback.format_exc(limit=1).splitlines()[-1][:200])
+        return CheckResult(label, ERROR, None, details="".join(traceback.format_exception_only(exc)).strip())
 
 
 # check function → reported name (for the Error row of a check that raised)

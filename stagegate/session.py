@@ -47,17 +47,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a scratch one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...) and is
-    used as is; a cluster session without one is an error.  Only a local-mode
+    A folder that the session already has stays.  On a cluster ``spark.checkpoint.dir``
+    names a shared folder (HDFS/S3/...) and is used as is; a cluster session without one is an error.  Only a local-mode
     session without one (tests) gets a fresh temporary folder.
     """
+    current = spark.sparkContext.getCheckpointDir()
+    if current:  # set before, by the caller or by an earlier build: kept
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(
             "set spark.checkpoint.dir to a shared folder (HDFS/S3/...) before building version history on a cluster"

@@ -64,6 +64,7 @@ class DatasetConfig:
     lookup_path: str | None
     lookup_fmt: str | None
     persist: bool = False
+    lookup_options: dict[str, str] = dataclasses.field(default_factory=dict)
 
 
 def dataset_config(name: str, file_config: Mapping | str | Path, schema_config: Mapping | str | Path | None = None) -> DatasetConfig:
@@ -80,13 +81,14 @@ def dataset_config(name: str, file_config: Mapping | str | Path, schema_config:
         else (NON_NEGATIVE_AMOUNT,)
     )
     lookup_path = lookup_fmt = None
-    lookup = None
+    lookup, lookup_options = None, {}
     if LOOKUP in info:
         lk = info[LOOKUP]
         other = files.get(lk[LOOKUP_DATASET])
         if other is None:
             raise KeyError(f"lookup dataset {lk[LOOKUP_DATASET]!r} not in the file config")
         lookup_path, lookup_fmt = other[TARGET_PATH], other.get("format")
+        lookup_options = dict(other.get("read_options", {}))  # the lookup is a dataset of its own
         lookup = Lookup(None, lk[LOOKUP_COLUMN], lk[LOOKUP_TARGET], name=lk[LOOKUP_DATASET])
     spec = DatasetSpec(
         name=name,
@@ -108,8 +110,9 @@ def dataset_config(name: str, file_config: Mapping | str | Path, schema_config:
     )
     paths = {"source": info.get(SOURCE_PATH), "staging": info.get(STAGING_PATH), "target": info.get(TARGET_PATH)}
     return DatasetConfig(
-        spec, paths, info.get("format"), dict(info.get("read_options", {})), lookup_path, lookup_fmt, bool(info.get("cache", False))
-    )
+        spec, paths, info.get("format"), dict(info.get("read_options", {})), lookup_path, lookup_fmt,
+        bool(info.get("cache", False)), lookup_options,
+    )
 
 
 def validate_dataset(
@@ -139,13 +142,13 @@ def validate_dataset(
         return spark.createDataFrame([row], RESULT_SCHEMA)
     spec = cfg.spec
     if spec.lookup is not None and mode is not Mode.SOURCE_TO_STAGING:
-        table = None
+        table, error = None, ""
         try:
-            table = read_lookup(spark, cfg.lookup_path, spec.lookup.lookup_column, cfg.lookup_fmt, cfg.read_options)
-            table.schema  # resolve now: a missing path or column fails here, not inside the check
-        except Exception:
-            table = None
-        spec = dataclasses.replace(spec, lookup=dataclasses.replace(spec.lookup, table=table))
+            # a missing path or column or an empty file fails here, not inside the check
+            table = read_lookup(spark, cfg.lookup_path, spec.lookup.lookup_column, cfg.lookup_fmt, cfg.lookup_options)
+        except Exception as exc:
+            error = f"{type(exc).__name__}: {(str(exc).splitlines() or [''])[0]}"
+        spec = dataclasses.replace(spec, lookup=dataclasses.replace(spec.lookup, table=table, error=error))
     layers = [df for df in (loaded.source, loaded.staging, loaded.target) if df is not None]
     with persisted(*(layers if persist or cfg.persist else [])):
         return run_suite(

@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions.predicates import qcol
 from ..spec import Mode, parse_mode
 
 _EXT = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet", ".json": "json", ".jsonl": "json", ".orc": "orc"}
@@ -113,13 +114,13 @@ def load_layers(
             df = read_layer(spark, paths[layer], fmt, (schemas or {}).get(layer), options)
             layers[layer] = ensure_not_empty(df, layer) if check_empty else df
     except Exception as exc:
-        return LoadResult(False, {}, f"{type(exc).__name__}: {str(exc).splitlines()[0][:500]}")
+        return LoadResult(False, {}, f"{type(exc).__name__}: {(str(exc).splitlines() or [''])[0]}")
     return LoadResult(True, layers)
 
 
 def read_lookup(spark: SparkSession, path: str, column: str, fmt: str | None = None, options=None) -> DataFrame:
-    """Only the lookup column of the lookup dataset's target layer (column-pruned at the scan)."""
-    return read_layer(spark, path, fmt, None, options).select(column)
+    """Only the lookup column of the lookup dataset's target layer (column-pruned at the scan); an empty one is an error."""
+    return ensure_not_empty(read_layer(spark, path, fmt, None, options).select(qcol(column)), "lookup")
 
 
 @contextlib.contextmanager

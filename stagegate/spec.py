@@ -155,6 +155,7 @@ class Lookup:
     lookup_column: str
     target_column: str
     name: str = "lookup"
+    error: str = ""  # why the table could not be loaded
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,6 @@ a new operator, and all state lives in the stream's checkpoint folder.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.suites import run_suite
-from ..session import ensure_checkpoint_dir
 from ..spec import DatasetSpec, Mode, Stage
 
 
@@ -28,7 +26,7 @@ def check_each_load(
     stage: Stage | str,
     other: DataFrame,
     results_path: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     results_format: str = "parquet",
     available_now: bool = True,
     on_results: Callable[[DataFrame, int], None] | None = None,
@@ -40,12 +38,12 @@ def check_each_load(
     ``other`` the target it must have reached.  Result rows (``RESULT_SCHEMA``
     plus ``batch_id``) are written to ``results_path`` partitioned by ``batch_id``;
     each micro-batch overwrites only its own partition, so a batch replayed after
-    a failure does not leave duplicates.
+    a failure does not leave duplicates.  ``checkpoint_location`` is the stream's own
+    folder: a restart with it goes on with the next ``batch_id``, so earlier results stay.
+    A stream that begins anew, with another folder, needs another ``results_path``.
     """
     stage = Stage(stage)
     spark = stream.sparkSession
-    if checkpoint_location is None:
-        checkpoint_location = os.path.join(ensure_checkpoint_dir(spark), f"stagegate-stream-{spec.name}-{stage.value}")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
