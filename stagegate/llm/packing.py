@@ -119,7 +119,8 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 2048, id
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    cut = ranked(pieces(own, vocabulary, end_id, capacity), "length", ["doc_id", "piece"], scratch)
+    # written first: cutting ranges samples its input, which would encode every text twice
+    cut = ranked(scratch.table(pieces(own, vocabulary, end_id, capacity)), "length", ["doc_id", "piece"], scratch)
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
     flows, _ = rounds(counts, capacity)
     plan = spark.createDataFrame(flows, "length long, lo long, hi long, first long, each long, base long")
