@@ -42,11 +42,16 @@ def window_size(n: int, percent: int, size: int) -> int:
     return w
 
 
-def shingles(text: Column, size: int) -> Column:
-    """array<long>: hashes of the ``size``-word shingles in order; [] with fewer words."""
-    words = F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return _grams(hashes, size)
+def with_shingles(rows: DataFrame, text_col: str, size: int) -> DataFrame:
+    """``rows`` with ``s`` in place of the text: array<long>, hashes of the ``size``-word shingles in order; [] with fewer words.
+
+    Each array leaves through a generator of one row: an expression that is used several times
+    further on would else be worked out anew for each use.
+    """
+    rest = [c for c in rows.columns if c != text_col]
+    words = F.filter(F.split(F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _LOWER), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    hashed = rows.select(*rest, F.explode(F.array(F.transform(words, lambda w: F.xxhash64(w)))).alias("_h"))
+    return hashed.select(*rest, F.explode(F.array(_grams(F.col("_h"), size))).alias("s"))
 
 
 def _grams(hashes: Column, size: int) -> Column:
@@ -56,30 +61,42 @@ def _grams(hashes: Column, size: int) -> Column:
     return F.transform(F.arrays_zip(*parts), lambda t: F.xxhash64(*[t[f"p{k}"] for k in range(size)]))
 
 
-def simhash(hashes: list[Column]) -> Column:
-    """64-bit SimHash of 2^q hashes: bit b is set if more than half of them have it.
+def simhash(hashes: list[str]) -> str:
+    """SQL of the 64-bit SimHash of 2^q hashes: bit b is set if more than half of them have it.
 
     Counts are kept eight to a long, a byte each: the bits b, b + 8, ... of a hash,
     moved to the low bits of the bytes, are added up; (count + w/2 - 1) & w is the vote.
     """
     w = len(hashes)
     ones = 0x0101010101010101
-    add, take = ones * max(w // 2 - 1, 0), ones * w
     out = []
     for b in range(8):
-        counts = reduce(lambda x, y: x + y, [F.shiftrightunsigned(h, b).bitwiseAND(F.lit(ones)) for h in hashes])
-        vote = (counts + F.lit(add)).bitwiseAND(F.lit(take))
+        counts = " + ".join(f"(shiftrightunsigned({h}, {b}) & {ones}L)" for h in hashes)
+        vote = f"(({counts} + {ones * max(w // 2 - 1, 0)}L) & {ones * w}L)"
         shift = w.bit_length() - 1 - b
-        out.append(F.shiftrightunsigned(vote, shift) if shift >= 0 else F.shiftleft(vote, -shift))
-    return reduce(lambda x, y: x.bitwiseOR(y), out)
+        out.append(f"shiftrightunsigned({vote}, {shift})" if shift >= 0 else f"shiftleft({vote}, {-shift})")
+    return "(" + " | ".join(out) + ")"
 
 
-def _windows(rows: DataFrame, keys: list[str], w: int, step: int) -> DataFrame:
-    """(keys, at, fp, w): SimHash of the w shingles from ``at`` on, at every ``step``."""
-    count = F.floor((F.size("s") - w) / step).cast("int") + 1
-    starts = F.when(F.size("s") >= w, F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: F.struct((i * step).alias("at"), F.slice(F.col("s"), i * step + 1, F.lit(w)).alias("h"))))
-    cut = rows.select(*keys, F.explode(starts).alias("x"))
-    return cut.select(*keys, F.col("x.at").alias("at"), simhash([F.coalesce(F.col("x.h")[k], F.lit(0).cast("long")) for k in range(w)]).alias("fp"), F.lit(w).alias("w"))
+def _windows(rows: DataFrame, keys: list[str], sizes: list[int], step: int | None = None) -> DataFrame:
+    """(keys, w, at, fp): SimHash of the w shingles from ``at`` on.
+
+    Without ``step`` consecutive windows of every size in one pass, cut out of tiles of the
+    largest; with it, windows of the one size given at every ``step``.
+    """
+    top = max(sizes)
+    step = step or top
+    least = min(sizes)
+    last = F.greatest(F.floor((F.size("s") - least) / step).cast("int"), F.lit(0))
+    # the tile's hashes leave the generator as columns: they are read many times below
+    at = lambda i, k: F.coalesce(F.try_element_at("s", i * step + (k + 1)), F.lit(0).cast("long")).alias(f"h{k}")
+    tiles = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct((i * step).alias("at"), (F.size("s") - i * step).alias("n"), *[at(i, k) for k in range(top)]))
+    cut = rows.where(F.size("s") >= least).select(*keys, F.inline(tiles))
+    # a column for each fingerprint of a tile, then a row
+    fps = [(w, o) for w in sizes for o in range(0, top if step == top else 1, w)]
+    marked = cut.select(*keys, "at", "n", *[F.expr(simhash([f"h{k}" for k in range(o, o + w)])).alias(f"f{w}_{o}") for w, o in fps])
+    each = [F.struct(F.lit(w).alias("w"), (F.col("at") + o).alias("at"), F.when(F.col("n") >= o + w, F.col(f"f{w}_{o}")).alias("fp")) for w, o in fps]
+    return marked.select(*keys, F.inline(F.array(*each))).where("fp IS NOT NULL")
 
 
 def _blocks(windows: DataFrame, radius: int) -> DataFrame:
@@ -101,7 +118,8 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = 80, size: int = 5,
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).where(F.col(id_col).isNotNull())
-    wanted = items.select(F.col(item_col).alias("item"), shingles(F.col(item_text_col).cast("string"), size).alias("s")).where("item IS NOT NULL AND size(s) > 0")
+    wanted = items.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item IS NOT NULL")
+    wanted = with_shingles(wanted, "text", size).where("size(s) > 0")
     wanted = scratch.table(wanted.distinct().withColumn("n", F.size("s")))
     lengths = [r["n"] for r in wanted.select("n").distinct().collect()]  # bounded by the longest item
     if not lengths:
@@ -110,17 +128,17 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = 80, size: int = 5,
     for n in lengths:
         by_window.setdefault(window_size(n, percent, size), []).append(n)
 
-    index = reduce(DataFrame.unionByName, [_windows(wanted.where(F.col("n").isin(ns)), ["item"], w, 1) for w, ns in by_window.items()])
+    index = reduce(DataFrame.unionByName, [_windows(wanted.where(F.col("n").isin(ns)), ["item"], [w], 1) for w, ns in by_window.items()])
     index = scratch.table(_blocks(index, radius).select("w", "block", "bits", F.col("fp").alias("item_fp"), "item", F.col("at").alias("item_at")))
     if index.count() <= _MOST_BROADCAST:
         index = F.broadcast(index)
-    rows = texts.select("doc", shingles(F.col("text"), size).alias("s"))
-    probes = reduce(DataFrame.unionByName, [_blocks(_windows(rows, ["doc"], w, w), radius) for w in by_window])
+    rows = with_shingles(texts, "text", size)
+    probes = _blocks(_windows(rows, ["doc"], sorted(by_window)), radius)
     close = probes.join(index, ["w", "block", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     found = scratch.table(close.select("doc", "item", (F.col("at") - F.col("item_at")).alias("first")).distinct())
 
     # the item-sized windows that begin within the loss allowed of a place found
-    few = texts.join(found.select("doc").distinct(), "doc", "left_semi").select("doc", shingles(F.col("text"), size).alias("s"))
+    few = with_shingles(texts.join(found.select("doc").distinct(), "doc", "left_semi"), "text", size)
     near = found.join(few, "doc").join(wanted.withColumnRenamed("s", "t"), "item")
     lost = F.floor(F.col("n") * (100 - percent) / (100 + percent)).cast("int")
     begins = F.sequence(F.greatest(F.col("first") - lost, F.lit(0)), F.greatest(F.least(F.col("first") + lost, F.size("s") - 1), F.lit(0)))
