@@ -30,6 +30,7 @@ from stagegate.operators import violations as V
 from stagegate.plans import testbed
 from stagegate.plans.checks import FAIL, SUCCESS
 from stagegate.sources import seeded
+from stagegate.sources.config import validate_dataset
 
 try:  # an optional subpackage: its queries are added only where it is installed
     from stagegate.llm import queries as extra
@@ -166,6 +167,37 @@ def q_scd1_append(spark, d):
     return H.batch_counts(_tgt(spark, d))
 
 
+def q_scd1_append_rows(spark, d):
+    return _tgt(spark, d)
+
+
+def q_data_consistency_decimal(spark, d):
+    # both sides hold more digits than a double: the last cent of a large price must count
+    big = F.lit("90071992547409920000").cast("decimal(22,0)")
+    wide = lambda df, t: df.select("o_orderkey", "o_custkey", (F.col("o_totalprice").cast("decimal(15,2)") + big).cast(t).alias("o_totalprice"))
+    orders = _t(spark, d, "orders")
+    drift = F.when(F.col("o_orderkey") % 50 == 7, F.lit("0.01").cast("decimal(3,2)")).otherwise(F.lit("0").cast("decimal(3,2)"))
+    staged = wide(orders, "decimal(30,2)").withColumn("o_totalprice", (F.col("o_totalprice") + drift).cast("decimal(31,3)"))
+    return C.consistency_summary(wide(orders, "decimal(26,2)"), staged, ["o_orderkey"])
+
+
+def q_config_dataset(spark, d):
+    path = f"{d}/lineitem.parquet"
+    files = {
+        "lines": {
+            "src_file_path": path, "stg_file_path": path, "trgt_file_path": path,
+            "primary_key": ["l_orderkey", "l_linenumber"],
+            "non_nullable_columns": ["l_orderkey", "l_returnflag"],
+            "batch_column": "l_shipdate",
+            "lookup": {"lookup_file": "suppliers", "lookup_column": "s_suppkey", "target_column": "l_partkey"},
+            "rules": [{"name": "small_quantity", "violation": "l_quantity > 45", "requires": ["l_quantity"]}],
+        },
+        "suppliers": {"trgt_file_path": f"{d}/supplier.parquet", "primary_key": ["s_suppkey"]},
+    }
+    res = validate_dataset(spark, "lines", files, mode="both")
+    return res.select("dataset", "stage", "seq", "check", "status", "violation_count")
+
+
 def q_scd1_latest(spark, d):
     return H.latest_per_key(_tgt(spark, d), ["o_orderkey"], ["batch_date"])
 
@@ -226,6 +258,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "transformation_rule_rows": q_transformation_rule_rows,
         "scd2_build": q_scd2_build,
         "scd1_append": q_scd1_append,
+        "scd1_append_rows": q_scd1_append_rows,
+        "data_consistency_decimal": q_data_consistency_decimal,
+        "config_dataset": q_config_dataset,
         "scd1_latest": q_scd1_latest,
         "scd1_apply_changes": q_scd1_apply_changes,
         "scd2_load": q_scd2_load,
@@ -300,6 +335,31 @@ def _sql_consistency_cols():
     return ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
+def _config_oracle() -> str:
+    compared = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    differing = " + ".join(f"count(CASE WHEN s.{c} IS DISTINCT FROM t.{c} THEN 1 END)" for c in compared)
+    duplicates = "(SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))"
+    blank = "(SELECT count(CASE WHEN l_orderkey IS NULL THEN 1 END) + count(CASE WHEN l_returnflag IS NULL OR trim(l_returnflag, ' ') = '' THEN 1 END) FROM lineitem)"
+    checks = [
+        ("source_to_staging", 1, "schemachk", "0"),
+        ("source_to_staging", 2, "count_val", "0"),
+        ("source_to_staging", 3, "null_val", blank),
+        ("source_to_staging", 4, "primary_key_val", duplicates),
+        ("source_to_staging", 5, "data_completeness", "0"),
+        ("source_to_staging", 6, "data_consistency",
+         f"(SELECT {differing} FROM lineitem s JOIN lineitem t ON s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)"),
+        ("staging_to_target", 1, "schemachk", "0"),
+        ("staging_to_target", 2, "count_val_latest_batch", "0"),
+        ("staging_to_target", 3, "null_val", blank),
+        ("staging_to_target", 4, "primary_key_val", duplicates),
+        ("staging_to_target", 5, "referential_integrity",
+         "(SELECT count(*) FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l.l_partkey))"),
+        ("staging_to_target", 6, "transformation_rules", "(SELECT count(*) FROM lineitem WHERE l_quantity > 45)"),
+    ]
+    rows = "\nUNION ALL\n".join(f"SELECT '{s}' AS stage, CAST({i} AS INTEGER) AS seq, '{c}' AS \"check\", CAST({n} AS BIGINT) AS violation_count" for s, i, c, n in checks)
+    return f"SELECT 'lines' AS dataset, stage, seq, \"check\", CASE WHEN violation_count = 0 THEN 'Success' ELSE 'Fail' END AS status, violation_count FROM ({rows})"
+
+
 def oracle_sql() -> dict[str, str]:
     cols = _sql_consistency_cols()
     pairs = "\nUNION ALL\n".join(
@@ -381,6 +441,14 @@ GROUP BY o_custkey""",
         + "SELECT 'non_negative_price' AS rule, count(CASE WHEN o_totalprice < 0 THEN 1 END) AS violations FROM tgt",
         "scd2_build": _with(_SCD) + "SELECT * FROM scd",
         "scd1_append": _with(_TGT) + "SELECT batch_date, count(*) AS n_rows FROM tgt GROUP BY batch_date",
+        "scd1_append_rows": _with(_TGT) + "SELECT * FROM tgt",
+        "data_consistency_decimal": """SELECT 'o_custkey' AS column_name, CAST(0 AS BIGINT) AS mismatches, count(*) AS pairs
+FROM orders s JOIN orders t ON s.o_orderkey = t.o_orderkey
+UNION ALL
+SELECT 'o_totalprice', count(CASE WHEN CAST(s.o_totalprice AS DECIMAL(15,2)) IS DISTINCT FROM
+         CAST(t.o_totalprice AS DECIMAL(15,2)) + CASE WHEN t.o_orderkey % 50 = 7 THEN 0.01 ELSE 0.00 END THEN 1 END), count(*)
+FROM orders s JOIN orders t ON s.o_orderkey = t.o_orderkey""",
+        "config_dataset": _config_oracle(),
         "scd1_latest": _with(_TGT)
         + """SELECT o_orderkey, o_custkey, o_totalprice, batch_date FROM (
   SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY batch_date DESC, o_custkey DESC, o_totalprice DESC) AS rn

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.history import build_versions, stamp_batch
+from ..operators.history import append_batch, build_versions, stamp_batch
 from ..operators.skew import join_key_stats
 
 # The seeding rules (modulus, remainder) and load dates.
@@ -115,7 +115,7 @@ def target(orders: DataFrame) -> DataFrame:
         F.when(_hit("o_orderkey", ORPHAN_CUSTOMER), -F.col("o_custkey") - 1).otherwise(F.col("o_custkey")).alias("o_custkey"),
         F.when(_hit("o_orderkey", NEGATIVE_PRICE), -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
     )
-    return first.unionByName(second).unionByName(stamp_batch(last, LOAD_DATES[2]))
+    return append_batch(append_batch(first, second), stamp_batch(last, LOAD_DATES[2]))
 
 
 def scd2(events: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -203,3 +204,71 @@ def test_merge_carries_untracked_columns_from_the_batch(spark):
     batch = spark.createDataFrame([(101, 7, 300, d2)], "order_id int, customer_id int, amount int, batch_date date")
     rows = {r["amount"]: r["customer_id"] for r in H.merge_versions(hist, batch, ["order_id"], ["amount"]).collect()}
     assert rows == {250: 1, 300: 7}
+
+
+def test_versions_keep_every_value(spark):
+    # big integers beside NULLs, NaN beside NULL and the usual open-end date come out as they went in
+    rows = [
+        (1, dt.datetime(2025, 1, 1), 9007199254740993, float("nan"), dt.datetime(9999, 12, 31)),
+        (1, dt.datetime(2025, 1, 2), 9007199254740992, None, None),
+        (1, dt.datetime(9999, 12, 31), None, float("nan"), dt.datetime(9999, 12, 31)),
+    ]
+    df = spark.createDataFrame(rows, "k int, t timestamp, big bigint, x double, until timestamp")
+    got = {r["t"]: r for r in H.build_versions(df, ["k"], "t", end_name="e", tracked=["big", "x"]).collect()}
+    assert [got[r[1]]["big"] for r in rows] == [9007199254740993, 9007199254740992, None]
+    assert got[rows[0][1]]["x"] != got[rows[0][1]]["x"] and got[rows[1][1]]["x"] is None
+    assert got[rows[1][1]]["e"] == dt.datetime(9999, 12, 31) and got[rows[0][1]]["until"] == dt.datetime(9999, 12, 31)
+
+
+def test_tracked_arrays_and_maps(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, 1, array(1, 2), map('a', 1, 'b', 2)), (1, 2, array(1, 2), map('b', 2, 'a', 1)), "
+        "(1, 3, array(2, 1), map('a', 1, 'b', 2)), (1, 4, array(2, 1), map('a', 1)) AS t(k, t, arr, m)"
+    )
+    got = sorted(r["t"] for r in H.build_versions(df, ["k"], "t", tracked=["arr", "m"]).collect())
+    assert got == [1, 3, 4]  # the second row repeats the first
+
+
+def test_tracked_repeats_over_many_ranges(spark):
+    # one key over 13 ranges, its value changing every 250 rows; whole ranges hold repeats only
+    df = spark.range(0, 2000).selectExpr("CAST(0 AS INT) AS k", "id AS t", "CAST(id DIV 250 AS INT) AS v")
+    got = sorted((r["t"], r["e"], r["is_active"]) for r in H.build_versions(df, ["k"], "t", end_name="e", tracked=["v"], num_partitions=13).collect())
+    assert got == [(i * 250, (i + 1) * 250 if i < 7 else None, "N" if i < 7 else "Y") for i in range(8)]
+
+
+def test_versions_without_an_order_fail(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (2, 5, "c")], "k int, t int, v string")
+    with pytest.raises(Exception, match="without an order"):
+        H.build_versions(df, ["k"], "t").collect()
+    # a repeat of the same values is dropped, not a tie
+    same = spark.createDataFrame([(1, 5, "a"), (1, 5, "a")], "k int, t int, v string")
+    assert H.build_versions(same, ["k"], "t", tracked=["v"]).count() == 1
+
+
+def test_clashing_column_names(spark):
+    df = spark.createDataFrame([(1, 1, 7), (1, 2, 8)], "_pid int, _next int, _tail int")
+    got = {r["_next"]: (r["_tail"], r["effective_end"]) for r in H.build_versions(df, ["_pid"], "_next").collect()}
+    assert got == {1: (7, 2), 2: (8, None)}
+    ch = spark.createDataFrame([(1, 99)], "_pid int, _tail int")
+    for safe in (False, True):
+        assert {r["_tail"] for r in H.apply_changes(df, ch, ["_pid"], skew_safe=safe).collect()} == {99}
+        assert H.scd2_load(df, "2025-01-01", ch, ["_pid"], skew_safe=safe).count() == 2
+
+
+def test_merge_matches_null_keys_and_equals_the_rebuild(spark):
+    import random
+
+    rnd = random.Random(3)
+    days = [dt.date(2025, 1, d) for d in (1, 2, 3, 4)]
+    big = 9007199254740993
+    loads = [[(k, rnd.choice([None, big, big - 1]), rnd.choice([None, float("nan"), 1.0]), d) for k in (None, 1, 2, 3, 4) if rnd.random() < 0.8] for d in days]
+    schema = "k int, v bigint, x double, batch_date date"
+    frames = [spark.createDataFrame(x, schema) for x in loads]
+    hist = H.scd2_load(frames[0].drop("batch_date"), days[0])
+    for f in frames[1:]:
+        hist = H.merge_versions(hist, f, ["k"], ["v", "x"])
+    everything = spark.createDataFrame([r for x in loads for r in x], schema)
+    rebuilt = H.build_versions(everything, ["k"], "batch_date", start_name="effective_start_date", end_name="effective_end_date", tracked=["v", "x"])
+    told = lambda df: sorted(map(str, df.select("k", "v", "x", "effective_start_date", "effective_end_date", "is_active").collect()))
+    assert told(hist) == told(rebuilt)
+    assert hist.where("k IS NULL AND is_active = 'Y'").count() <= 1
