@@ -196,7 +196,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.payloads = options.get("payload", "true").lower() != "false"
-        self.bytes = int(options.get("maxpartitionbytes", 128 << 20))
+        self.bytes = int(options.get("maxpartitionbytes", 32 << 20))
         self.tests: list[tuple] = []
 
     def pushFilters(self, filters):
