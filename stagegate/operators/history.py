@@ -284,6 +284,7 @@ def build_versions(
     error = F.raise_error(F.concat(F.lit("versions without an order (same start and tiebreak) for key "), F.to_json(F.struct(*keys))))
     start_col = qcol(start).alias(start_name or start)
     flag = F.when(tie, error.cast("string")).when(has_next, F.lit(inactive)).otherwise(F.lit(active))
+    flag = F.coalesce(flag, F.lit(active))  # never NULL, and Spark knows it
     return joined.select(
         *[qcol(c) for c in df.columns if c in key],
         *[qcol(c) for c in df.columns if c not in key and c != start],
