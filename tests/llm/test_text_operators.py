@@ -1,0 +1,272 @@
+"""Toxicity, quality, fertility, secrets and benchmark passages against brute force, and their edge cases."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stagegate.llm import decontaminate, fertility, neighbours, secrets, toxicity
+from stagegate.llm.common import WordHashes
+from stagegate.llm.queries import table, vocabulary
+
+DOCS = "doc_id long, text string"
+ODD = [(1, None), (2, ""), (3, " \n\t "), (None, "plain words here"), (5, "same"), (5, "same"), (6, "z " * 20_000), (7, "\x00\x01\x02 é ✓ 漢字")]
+SF = "/root/testdata/sf0.01"
+
+
+# ---------------------------------------------------------------- toxicity
+
+
+def test_folding():
+    assert toxicity.fold("ІDІОТ 1d10t, m​oron! $cum l0$er") == " idiot idiot moron cum loser "
+    assert toxicity.fold("Ｃlown!!") == " clown "
+    assert toxicity.fold(None) == "  "
+
+
+def test_lexicon_matches_words_beginnings_and_exceptions():
+    lex = toxicity.Lexicon({" clown ": 2.0, " idio": 3.0, " idiot ": 4.0}, power=1.0)
+    auto = lex.matcher()
+    n, total, x = lex.measure(auto, toxicity.fold("a Clown, an idiot; idioms and clowns; a clown fish"))
+    assert (n, total) == (3, 2.0 + 4.0 + 3.0)
+    assert x == total / 10
+    assert lex.measure(auto, toxicity.fold("")) == (0, 0.0, 0.0)
+
+
+def test_toxicity_on_held_out_documents(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    lexicon = toxicity.learn(docs, labels.where("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 <> 0"))
+    told = toxicity.score(docs, lexicon).join(labels, "doc_id").where("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0")
+    right = [int(r["score"] >= 0.5) == r["toxic"] for r in told.collect()]
+    assert len(right) > 40 and np.mean(right) >= 0.95
+
+
+def test_toxicity_edge_cases(spark):
+    lex = toxicity.Lexicon({" same ": 9.0}, slope=1.0, bias=-1.0)
+    df = spark.createDataFrame(ODD, DOCS).withColumn("score", F.lit("x"))
+    rows = toxicity.score(df, lex).collect()
+    assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
+    assert sorted(r["doc_id"] for r in rows if r["score"] >= 0.5) == [5, 5]
+    clean = toxicity.keep_clean(df, lex)
+    assert clean.columns == df.columns and clean.count() == len(ODD) - 2
+    nothing = toxicity.learn(df, spark.createDataFrame([(5, 0)], "doc_id long, toxic int"))
+    assert nothing.weights == {} and all(r["score"] < 0.5 for r in toxicity.score(df, nothing).collect())
+    assert toxicity.score(spark.createDataFrame([], DOCS), lex).count() == 0
+
+
+# ---------------------------------------------------------------- quality
+
+
+def test_quality_on_held_out_documents(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    held = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1"
+    space = neighbours.learn(docs, labels.where(f"NOT {held}"))
+    told = neighbours.score(docs, space).join(labels, "doc_id").where(held)
+    right = [int(r["score"] >= 0.5) == r["quality"] for r in told.collect()]
+    assert len(right) > 80 and np.mean(right) >= 0.95
+
+
+def test_votes_match_brute_force():
+    rng = np.random.default_rng(1)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    held, block = unit(rng.normal(size=(200, 8))).astype(np.float32), unit(rng.normal(size=(20, 8))).astype(np.float32)
+    labels = rng.integers(0, 2, 200).astype(float)
+    space = neighbours.Space(np.zeros(1), np.zeros((0, 8)), held, labels, 0.5, k=7, sharpness=4.0)
+    for v, got in zip(block, space.vote(block)):
+        near = sorted(((float(v @ u), y) for u, y in zip(held, labels)), reverse=True)[:7]
+        w = [max(c, 0) ** 4 for c, _ in near]
+        assert got == pytest.approx(sum(a * y for a, (_, y) in zip(w, near)) / sum(w), rel=1e-4)
+    assert neighbours.Space(np.zeros(1), np.zeros((0, 8)), held, labels, 0.3).vote(np.zeros((1, 8), np.float32))[0] == 0.3
+
+
+def test_quality_edge_cases(spark):
+    df = spark.createDataFrame(ODD, DOCS).withColumn("score", F.lit("x"))
+    labels = spark.createDataFrame([(6, 0), (7, 1), (5, 1), (None, 1), (8, None)], "doc_id long, quality int")
+    for space in (neighbours.learn(df, labels), neighbours.learn(df, labels.where("quality = 1")), neighbours.learn(df, labels.limit(0))):
+        rows = neighbours.score(df, space).collect()
+        assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
+    assert {r["score"] for r in rows} == {0.5}
+    assert neighbours.score(spark.createDataFrame([], DOCS), space).count() == 0
+
+
+# ---------------------------------------------------------------- fertility
+
+
+def test_counts_match_brute_force(spark):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(60):
+        lines = [" ".join(rnd.choice("a b c d ee F# g|".split()) for _ in range(rnd.randrange(0, 9))) for _ in range(rnd.randrange(1, 12))]
+        rows.append((i, "\n".join(lines)))
+    rows.append((100, "x y z\x1cw\n\n \n \n"))
+    got = {r["doc_id"]: r for r in fertility.rate(spark.createDataFrame(rows, DOCS), vocabulary("piece_bpe_32k.model"), lang_col=None).collect()}
+    for i, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        seen = Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+        again = {k + j for k in range(len(words) - 2) if seen[tuple(words[k : k + 3])] > 1 for j in range(3)}
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        want = (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(again))
+        r = got[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
+        assert r["base_failed"] == (len(words) < 50 or 100 * len(again) > 50 * len(words))
+        assert not (r["kept"] and r["base_failed"])
+
+
+def test_fertility_rejects_outliers_and_keeps_the_rest(spark):
+    rnd = random.Random(2)
+    plain = "the house and garden of many people who walk along water under morning light".split()
+    rows = [(i, " ".join(rnd.choice(plain) for _ in range(100))) for i in range(80)]
+    rows.append((900, " ".join(chr(0x12000 + rnd.randrange(400)) for _ in range(100))))
+    out = fertility.rate(spark.createDataFrame(rows, DOCS).withColumn("lang", F.lit("en")), vocabulary("piece_bpe_32k.model"))
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert all(got[i]["kept"] for i in range(80))
+    assert not got[900]["kept"] and not got[900]["base_failed"] and got[900]["byte_share"] > 0.5
+
+
+def test_fertility_edge_cases(spark):
+    df = spark.createDataFrame(ODD, DOCS).withColumn("grp", F.lit("x")).withColumn("lang", F.lit(None).cast("string"))
+    rows = fertility.rate(df, vocabulary("piece_bpe_32k.model")).collect()
+    assert len(rows) == len(ODD)
+    assert [r["n_words"] for r in rows if r["doc_id"] in (1, 2, 3)] == [0, 0, 0]
+    assert not any(r["kept"] for r in rows)
+    assert fertility.script_of("привет мир abc") == "cyrillic"
+    assert fertility.rate(spark.createDataFrame([], DOCS), vocabulary("piece_bpe_32k.model"), lang_col=None).count() == 0
+
+
+# ---------------------------------------------------------------- secrets
+
+
+ASSIGN = re.compile(secrets.BASE_RULES[0].pattern, re.I | re.A)
+
+
+def brute_spans(text):
+    out = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return [(k, s, e) for s, _, e, k in sorted(out)]
+
+
+def test_spans_match_brute_force(spark):
+    rnd = random.Random(4)
+    parts = ["token", "Secret: ", "PASSWORD=", "api_key", "apikey = '", "AKIA", "AKIAABCDEFGH1234", "é", "漢", "\x01", " ", ": ", "=", '"', "deadbeef" * 4, "0123abcd", "abc.def/ghi+", "passwd:", "x", "\n"]
+    rows = [(i, "".join(rnd.choice(parts) for _ in range(rnd.randrange(0, 25)))) for i in range(250)]
+    rows += [(900, "token=secret: abcdefghij"), (901, "api_key=aaaaaaaa" * 40)]
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secrets.find_secrets(spark.createDataFrame(rows, DOCS), secrets.BASE_RULES).collect()}
+    for i, text in rows:
+        assert got[i] == brute_spans(text), text
+
+
+def test_trigram_queries():
+    q = secrets.trigram_query("AKIA[A-Z0-9]+")
+    assert q == [{frozenset({"aki", "kia"})}]
+    assert secrets.trigram_query("[0-9a-f]+") == []
+    assert secrets.trigram_query("(ab|cd)ef") == [{frozenset({"abe", "bef"}), frozenset({"cde", "def"})}]
+    assert secrets.trigram_query("abc?") == []  # "ab" has no trigram
+    assert secrets.trigram_query("x(?:foo)+y*bar1") == [{frozenset({"foo"})}, {frozenset({"bar", "ar1"})}]
+
+
+@pytest.mark.parametrize("rule", secrets.BASE_RULES + secrets.MORE_RULES, ids=lambda r: r.kind)
+def test_trigram_queries_miss_no_match(rule):
+    samples = {
+        "assign": "my ApI_Key : 'abcdefgh1'", "access": "AKIAABCDEFGHIJKL12", "hex": "0" * 40, "private_key": "-----BEGIN RSA PRIVATE KEY-----",
+        "git_token": "ghp_" + "a1" * 20, "chat_token": "xoxb-1234567890-abc", "web_key": "AIza" + "b" * 35, "pay_key": "sk_live_" + "c" * 20,
+        "jwt": "eyJhbGciOiJI.eyJzdWIiOiIx.abc_-1", "basic_auth": "https://user:passw0rd@",
+    }
+    text = samples[rule.kind]
+    assert re.search(rule.pattern, text, re.I if rule.any_case else 0)
+    grams = {text.lower()[i : i + 3] for i in range(len(text) - 2)}
+    assert all(any(o <= grams for o in clause) for clause in secrets.trigram_query(rule.pattern))
+
+
+def test_secret_edge_cases_and_redaction(spark):
+    df = spark.createDataFrame([*ODD, (8, "a token = abcdefgh1 b"), (9, "key ghp_" + "a1" * 20 + " and password: " + "f" * 40)], DOCS)
+    df = df.withColumn("spans", F.lit(1)).withColumn("rules", F.lit("r")).withColumn("row", F.lit("w"))
+    found = secrets.find_secrets(df)
+    assert found.count() == df.count()
+    clean = secrets.redact(df)
+    assert clean.columns == df.columns
+    got = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert got[8] == "a <ASSIGN> b" and got[9] == "key <GIT_TOKEN> and <ASSIGN>"
+    assert got[1] is None and got[2] == "" and got[None] == "plain words here" and got[7] == ODD[-1][1]
+    assert secrets.find_secrets(spark.createDataFrame([], DOCS)).count() == 0
+    plan = secrets.digest(found)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# ---------------------------------------------------------------- benchmark passages
+
+
+def brute_matches(docs, items, size=5, percent=80):
+    grams = lambda t: [tuple(w[k : k + size]) for w in [(t or "").encode().lower().split()] for k in range(len(w) - size + 1)]
+    out = {}
+    for d, text in docs:
+        s = grams(text)
+        for i, item in items:
+            t = grams(item)
+            for a in range(len(s) if t else 0):
+                p = s[a : a + len(t)]
+                common = sum((Counter(p) & Counter(t)).values())
+                both = len(t) + len(p) - common
+                if common * 100 >= both * percent and common / both > out.get((d, i), (0, 0))[0]:
+                    out[d, i] = (common / both, a)
+    return out
+
+
+def test_passages_match_brute_force(spark):
+    rnd = random.Random(6)
+    word = lambda: f"w{rnd.randrange(4000)}"
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([5, 6, 8, 11, 14, 18, 25, 33, 48, 66, 90, 130])]
+    items.append((50, "a b c d e a b c d e a b c d e a b c d e"))
+    docs = []
+    for k in range(80):
+        text = [word() for _ in range(rnd.randrange(0, 60))]
+        for _ in range(rnd.randrange(3)):
+            passage = rnd.choice(items)[1].split()
+            for _ in range(rnd.randrange(3)):
+                at = rnd.randrange(len(passage))
+                kind = rnd.randrange(3)
+                passage[at : at + 1] = [[word()], [], [passage[at].upper(), word()]][kind]
+            text[rnd.randrange(len(text) + 1) : 0] = passage
+        docs.append((k, " ".join(text)))
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"]) for r in decontaminate.matches(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute_matches(docs, items)
+    assert got.keys() == want.keys() and len(want) > 25
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+@pytest.mark.parametrize("n", range(1, 400))
+def test_a_similar_passage_holds_a_whole_window(n):
+    # at 0.8 at most n / 9 shingles are lost; e changes inside part the passage into e + 1 runs
+    w = decontaminate.window_size(n, 80, 5)
+    for e in range(n // 9 // 5 + 1):
+        assert -(-(n - n // 9) // (e + 1)) >= 2 * w - 1 or w == 1
+
+
+def test_simhash_bits(spark):
+    rng = random.Random(1)
+    for w in (1, 2, 4, 8, 16):
+        hs = [[rng.getrandbits(64) - (1 << 63) for _ in range(w)] for _ in range(20)]
+        df = spark.createDataFrame(hs, ", ".join(f"h{k} long" for k in range(w)))
+        got = [r[0] for r in df.select(F.expr(decontaminate.simhash([f"h{k}" for k in range(w)])).alias("f")).collect()]
+        for row, f in zip(hs, got):
+            want = sum(1 << b for b in range(64) if 2 * sum((h >> b) & 1 for h in row) > w)
+            assert f % (1 << 64) == want
+
+
+def test_passage_edge_cases(spark):
+    items = spark.createDataFrame([(1, "same same same same same same"), (2, None), (3, "too short"), (None, "a b c d e f g")], "item_id long, text string")
+    df = spark.createDataFrame([*ODD, (10, "x same same same same same same y"), (10, "x same same same same same same y"), (None, "same " * 6)], DOCS)
+    df = df.withColumn("item", F.lit(1)).withColumn("similarity", F.lit("s"))
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.matches(df, items).collect()] == [(10, 1)]
+    clean = decontaminate.clean(df, items)
+    assert clean.columns == df.columns and clean.count() == df.count() - 2
+    assert decontaminate.matches(df, items.limit(0)).count() == 0
+    assert decontaminate.matches(df.limit(0), items).count() == 0
+
+
+def test_word_hashes_survive_forgetting():
+    h = WordHashes(limit=2)
+    a = h.of([b"x", b"y", b"z", b"x"])
+    assert a[0] == a[3] and len(set(a.tolist())) == 3
