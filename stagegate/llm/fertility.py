@@ -3,8 +3,8 @@
 A public vocabulary with byte fallback splits every word of a text.  Three
 measures follow: characters per token, the share of tokens that are bare bytes,
 and the entropy of the tokens used, over the most it could be.  Their quartiles
-over all documents of a language (or, without one, a script) and of like length
-(the same power of two of tokens, on which entropy depends) give its bands; a
+over all documents of a language (or, without one, a script) give its bands, those
+of entropy over its documents of like length (the same power of two of words); a
 document beyond a band, by a stated multiple of the quartiles' distance, is
 rejected.  Plain counts of words, symbols and repetition stand beside them.
 """
@@ -133,10 +133,13 @@ def rate(docs: DataFrame, vocabulary: str, low: tuple[float, float, float] = (8.
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
     rows = scratch.table(measures(own, vocabulary))
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    rows = rows.withColumn("len2", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int"))
-    bands = rows.where(~failed).groupBy("grp", "len2").agg(*[F.percentile_approx(m, [0.25, 0.75], 10_000).alias(f"q_{m}") for m in MEASURES])
-    # a row per language and power of two; Spark broadcasts it by its size
-    met = rows.join(bands, ["grp", "len2"], "left")
+    rows = rows.withColumn("len2", F.floor(F.log2(F.greatest("n_words", F.lit(1)))).cast("int"))
+    quartiles = lambda m: F.percentile_approx(m, [0.25, 0.75], 10_000).alias(f"q_{m}")
+    good = rows.where(~failed)
+    by_language = good.groupBy("grp").agg(quartiles(MEASURES[0]), quartiles(MEASURES[1]))
+    by_length = good.groupBy("grp", "len2").agg(quartiles(MEASURES[2]))
+    # a row per language, and per language and power of two; Spark broadcasts them by their size
+    met = rows.join(by_language, "grp", "left").join(by_length, ["grp", "len2"], "left")
     outside = []
     for m, below, above, floor in zip(MEASURES, low, high, least):
         q1, q3 = F.col(f"q_{m}")[0], F.col(f"q_{m}")[1]
