@@ -229,7 +229,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone_id")).distinct()
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    left = docs.join(gone, F.col(id_col) == F.col("_gone_id"), "left_anti")
+    left = docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
     if repeated.isEmpty():
         return left
     return left.where(F.col(id_col).isNull()).unionByName(left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -229,8 +230,13 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
     return own.mapInArrow(task, "doc_id long, score double, matches long")
 
 
-def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text scores under ``threshold``, with all their columns."""
-    told = score(docs, lexicon, id_col, text_col).where(F.col("score") >= threshold)
-    bad = told.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_toxic_id")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_toxic_id"), "left_anti")
+def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores under ``threshold``, with all their columns; nothing is shuffled."""
+
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        auto = lexicon.matcher()
+        for texts in batches:
+            yield pd.Series([lexicon.score(lexicon.measure(auto, fold(t))[2]) for t in texts], dtype="float64")
+
+    return docs.where(scored(F.col(text_col).cast("string")) < threshold)
