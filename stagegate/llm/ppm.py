@@ -52,7 +52,7 @@ def _coded(bounds: np.ndarray, order: int, n: int) -> np.ndarray:
     return keep
 
 
-def _batches_of(texts: list, size: int = 1 << 22):
+def _batches_of(texts: list, size: int = 1 << 20):
     part, n = [], 0
     for t in texts:
         part.append(t)
@@ -85,6 +85,12 @@ def gram_counts(docs: DataFrame, order: int, text_col: str = "text") -> DataFram
     return docs.select(text_col).mapInArrow(task, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in the smallest type that holds them: the trie is broadcast."""
+    most = x.max(initial=0)
+    return x.astype(np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.float64)
+
+
 class Trie:
     """Counts of symbols in contexts of every order up to ``order``, as sorted arrays."""
 
@@ -98,17 +104,17 @@ class Trie:
             n = np.bincount(at, counts, len(g))
             c, at = np.unique(g >> np.uint64(8), return_inverse=True)
             self.grams.append(g)
-            self.count.append(n)
+            self.count.append(_narrow(n))
             self.contexts.append(c)
-            self.total.append(np.bincount(at, n, len(c)))
-            self.distinct.append(np.bincount(at, minlength=len(c)).astype(float))
+            self.total.append(_narrow(np.bincount(at, n, len(c))))
+            self.distinct.append(_narrow(np.bincount(at, minlength=len(c))))
         # what a context's symbols weigh in the next shorter context: the excluded mass
         self.excluded = [None]
         for k in range(1, order + 1):
             lower = self.grams[k] & np.uint64((1 << 8 * k) - 1)
             mass = self.count[k - 1][np.searchsorted(self.grams[k - 1], lower)]
             at = np.searchsorted(self.contexts[k], self.grams[k] >> np.uint64(8))
-            self.excluded.append(np.bincount(at, mass, len(self.contexts[k])))
+            self.excluded.append(_narrow(np.bincount(at, mass, len(self.contexts[k]))))
 
     @staticmethod
     def _find(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,8 +131,8 @@ class Trie:
             c, known = self._find(self.contexts[k], code >> np.uint64(8))
             if not len(self.contexts[k]):
                 continue
-            mass = np.where(known, self.total[k][c] - ex_mass[left], 0)
-            fresh = np.where(known, self.distinct[k][c] - ex_n[left], 0)
+            mass = np.where(known, self.total[k][c].astype(float) - ex_mass[left], 0)
+            fresh = np.where(known, self.distinct[k][c].astype(float) - ex_n[left], 0)
             open_ = mass > 0.5  # some symbol is not excluded
             g, seen = self._find(self.grams[k], code)
             seen &= open_
@@ -173,7 +179,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n): occurrences of each word (64-bit hash) and of the end (0), by task before the shuffle."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, n_docs = WordHashes(), [], 0
+        hashes, held, n_docs = WordHashes(limit=200_000), [], 0
         for b in batches:
             n_docs += len(b)
             held += [hashes.of(ascii_words(t)) for t in b.column(0).to_pylist()]
@@ -220,7 +226,7 @@ def score(docs: DataFrame, training: DataFrame, order: int = 5, most_grams: int
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        hashes, model, (known, times) = WordHashes(), trie.value, frequent.value
+        hashes, model, (known, times) = WordHashes(limit=200_000), trie.value, frequent.value
         row = TaskContext.get().partitionId() << 40
         for b in batches:
             ids, raw = b.column(0).to_pylist(), b.column(1).to_pylist()
