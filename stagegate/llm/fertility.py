@@ -33,7 +33,7 @@ _WORKER: dict[str, "WordPieces"] = {}
 class WordPieces(dict):
     """word -> its token ids as bytes; forgotten when ``limit`` words are held."""
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 600_000):
         import sentencepiece
 
         super().__init__()
@@ -93,7 +93,7 @@ def measures(docs: DataFrame, vocabulary: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if vocabulary not in _WORKER:
             _WORKER[vocabulary] = WordPieces(vocabulary)
-        held, hashes = _WORKER[vocabulary], WordHashes()
+        held, hashes = _WORKER[vocabulary], WordHashes(limit=200_000)
         for b in batches:
             ids, texts, langs = (c.to_pylist() for c in b.columns)
             for lo in range(0, len(ids), 256):
