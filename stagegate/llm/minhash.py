@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: in
     classes = (
         sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("cls", "cls2")
-        .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("keys").alias("keys"), F.count("*").alias("members"))
     )
     entries = scratch.table(classes.select(F.explode("keys").alias("key"), "rep", "n"))
     buckets = entries.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
@@ -201,7 +201,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: in
     link = F.col("common") * 100 >= F.col("both") * percent
     seen = scratch.table(overlaps(star, texts, size).where(link).select("a", "b"))
 
-    hung = scratch.table(sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").join(classes.select("cls", "cls2", "rep"), ["cls", "cls2"]).select("doc_id", "rep"))
+    # a class of one stands for itself; a larger one meets its members over 16 sub-keys, so that a class of very many spreads
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(16)).cast("int").alias("salt")
+    larger = classes.where("members > 1").select("cls", "cls2", "rep", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
+    hung = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "cls", "cls2", salt)
+    hung = hung.join(larger, ["cls", "cls2", "salt"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
+    hung = scratch.table(hung)
     several = hung.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("doc_id")
     links = seen.unionByName(hung.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     roots = connected_components(links, scratch)
