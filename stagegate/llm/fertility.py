@@ -26,6 +26,8 @@ SYMBOLS = "#*$%&|<>"
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 # first code point of a script's main blocks, in order
 _SCRIPTS = ((0x0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "other"), (0x590, "hebrew"), (0x600, "arabic"), (0x900, "indic"), (0xE00, "other"), (0x3040, "kana"), (0x3400, "han"), (0xAC00, "hangul"), (0xD7B0, "other"))
+# rows of bands that may be broadcast: under 100 bytes each
+_MOST_BROADCAST = 100_000
 MEASURES = ("chars_per_token", "byte_share", "token_entropy")
 _WORKER: dict[str, "WordPieces"] = {}
 
@@ -138,8 +140,11 @@ def rate(docs: DataFrame, vocabulary: str, low: tuple[float, float, float] = (8.
     good = rows.where(~failed)
     by_language = good.groupBy("grp").agg(quartiles(MEASURES[0]), quartiles(MEASURES[1]))
     by_length = good.groupBy("grp", "len2").agg(quartiles(MEASURES[2]))
-    # a row per language, and per language and power of two; Spark broadcasts them by their size
-    met = rows.join(by_language, "grp", "left").join(by_length, ["grp", "len2"], "left")
+    # a row per language, and per language and power of two: broadcast unless there are very many
+    bands = [scratch.table(by_language), scratch.table(by_length)]
+    if bands[1].count() <= _MOST_BROADCAST:
+        bands = [F.broadcast(b) for b in bands]
+    met = rows.join(bands[0], "grp", "left").join(bands[1], ["grp", "len2"], "left")
     outside = []
     for m, below, above, floor in zip(MEASURES, low, high, least):
         q1, q3 = F.col(f"q_{m}")[0], F.col(f"q_{m}")[1]
