@@ -183,6 +183,26 @@ def test_scores_match_brute_force(spark):
             assert got[i]["base_score"] == pytest.approx(base, rel=1e-9)
 
 
+def test_no_string_is_dropped(spark):
+    texts = ["the cat sat on the mat", "the hat", "a cat and a hat", "zebra", "éß漢字 слово", "the the the", "q", "漢 zebra hat слово " * 9]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    for order in (0, 2, 5):
+        want = brute_ppm([t.encode() for t in texts[:5]], order)
+        for most_grams in (1_000, 7, 0):  # all strings broadcast, few, none
+            got = {r["doc_id"]: r["score"] for r in ppm.score(docs, docs.where("doc_id < 5"), order=order, most_grams=most_grams).collect()}
+            assert got == pytest.approx({i: want(t.encode()) for i, t in enumerate(texts)}, rel=1e-9)
+
+
+def test_pieces_of_counts_hold_whole_suffixes(spark):
+    docs = spark.createDataFrame([(i, f"the {i} cat of {i * 7919} hats ß{i}") for i in range(300)], DOCS)
+    counted, trie = ppm.gram_counts(docs, 5), ppm.train(docs, 5)
+    wanted = counted.select("gram").unionByName(spark.range(0, 60_000, 7).select(F.col("id").alias("gram")))
+    low = spark.sparkContext.broadcast(ppm._low(counted, 5))
+    for piece in (1, 50, 1_000_000):
+        got = ppm._logs(wanted.distinct(), counted, low, 5, piece).toArrow()
+        assert got["log"].to_numpy() == pytest.approx(trie.log10_of(got["gram"].to_numpy().astype(np.uint64)), rel=1e-9)
+
+
 def test_probabilities_add_up_to_one(spark):
     trie = ppm.train(spark.createDataFrame([(1, "abracadabra"), (2, "abba")], DOCS), order=2)
     for context in (b"\xff\xff", b"ab", b"zz", b"ra"):
