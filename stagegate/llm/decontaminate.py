@@ -2,7 +2,7 @@
 
 An item is the sequence of its five-word shingles.  Its windows are sized from
 it: so many shingles that any passage with the wanted similarity, wherever its
-words were changed, still holds one whole aligned window (``window_size``).  The
+words were changed or moved, still holds one whole aligned window (``window_size``).  The
 documents are cut into consecutive windows of those sizes, the items have one at
 every offset, so that some pair of windows lines up.  A window's 64-bit SimHash
 is compared by multi-index blocks: with radius r the fingerprint is cut into
@@ -28,30 +28,70 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _MOST_BROADCAST = 2_000_000
 
 
-def window_size(n: int, percent: int, size: int) -> int:
+def window_size(n: int, percent: int, size: int, repeated: tuple[int, ...] = ()) -> int:
     """Shingles in a window for an item of n: the largest power of two w (up to 64) such that a run of 2w - 1 stays unchanged.
 
-    At Jaccard J between multisets of equal size at most n(1 - J) / (1 + J) shingles are lost;
-    a changed word inside costs ``size`` of them and parts the passage once more.
+    Let c shingles of a passage be common with the item and l not.  It has at most n, and counts
+    only if c >= percent / 100 (n + l), so l is at most n(1 - J) / (1 + J).  Where two runs
+    meet that do not follow each other in the item, as after moved, inserted or deleted text,
+    size - 1 shingles are not common, or size - 1 - k if the k words there occur
+    elsewhere in the item as well.  ``repeated`` has, for k from 1 to size - 1, how many
+    k-word strings of the item occur in it more than once.  A shingle ends one run at most.
     """
-    lost = n * (100 - percent) // (100 + percent)
-    run = min(-(-(n - lost) // (e + 1)) for e in range(lost // size + 1))
+    left, breaks, used = n * (100 - percent) // (100 + percent), 0, 0
+    lost = left
+    for k in range(size - 1, 0, -1):
+        have = (repeated[k - 1] if repeated else 0) - used
+        take = max(min(have, left // (size - 1 - k)) if k < size - 1 else have, 0)
+        breaks, used, left = breaks + take, used + take, left - take * (size - 1 - k)
+    breaks += left // max(size - 1, 1)
+    left %= max(size - 1, 1)
+    run = -(-(-(-percent * (n + lost - left) // 100)) // (breaks + 1))
     w = 1
     while w < 64 and 4 * w - 1 <= run:
         w *= 2
     return w
 
 
-def with_shingles(rows: DataFrame, text_col: str, size: int) -> DataFrame:
+def _window_column(percent: int, size: int) -> Column:
+    """``window_size`` of an item from its columns n and repeated."""
+    lost = F.floor(F.col("n") * (100 - percent) / (100 + percent))
+    state = F.struct(lost.alias("left"), F.lit(0).cast("long").alias("breaks"))
+    costs = F.sequence(F.lit(0), F.lit(size - 2)) if size > 1 else F.array().cast("array<int>")
+
+    def step(acc: Column, cost: Column) -> Column:
+        have = F.greatest(F.element_at("repeated", F.lit(size - 1) - cost) - acc["breaks"], F.lit(0).cast("long"))
+        take = F.when(cost == 0, have).otherwise(F.least(have, F.floor(acc["left"] / F.greatest(cost, F.lit(1)))))
+        return F.struct((acc["left"] - take * cost).alias("left"), (acc["breaks"] + take).alias("breaks"))
+
+    def finish(acc: Column) -> Column:
+        breaks, left = acc["breaks"] + F.floor(acc["left"] / max(size - 1, 1)), acc["left"] % max(size - 1, 1)
+        run = F.ceil(F.ceil((F.col("n") + lost - left) * percent / 100) / (breaks + 1))
+        w = F.lit(1)
+        for k in range(1, 7):
+            w = F.when(run >= (1 << k + 1) - 1, F.lit(1 << k)).otherwise(w)
+        return w
+
+    return F.aggregate(costs, state, step, finish)
+
+
+def _repeated(hashes: Column, size: int) -> Column:
+    """For k from 1 to size - 1 a number that the k-word strings found more than once do not exceed: twice those beyond the first of each."""
+    more = [F.size(g) - F.size(F.array_distinct(g)) for g in (_grams(hashes, k) for k in range(1, size))]
+    return F.array(*[(2 * x).cast("long") for x in more])
+
+
+def with_shingles(rows: DataFrame, text_col: str, size: int, repeated: bool = False) -> DataFrame:
     """``rows`` with ``s`` in place of the text: array<long>, hashes of the ``size``-word shingles in order; [] with fewer words.
 
-    Each array leaves through a generator of one row: an expression that is used several times
+    With ``repeated`` also that, see ``_repeated``.  Each array leaves through a generator of one row: an expression that is used several times
     further on would else be worked out anew for each use.
     """
     rest = [c for c in rows.columns if c != text_col]
     words = F.filter(F.split(F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _LOWER), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     hashed = rows.select(*rest, F.explode(F.array(F.transform(words, lambda w: F.xxhash64(w)))).alias("_h"))
-    return hashed.select(*rest, F.explode(F.array(_grams(F.col("_h"), size))).alias("s"))
+    more = [_repeated(F.col("_h"), size).alias("repeated")] if repeated else []
+    return hashed.select(*rest, *more, F.explode(F.array(_grams(F.col("_h"), size))).alias("s"))
 
 
 def _grams(hashes: Column, size: int) -> Column:
@@ -119,30 +159,28 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = 80, size: int = 5,
     scratch = Scratch(spark, "decontaminate")
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).where(F.col(id_col).isNotNull())
     wanted = items.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item IS NOT NULL")
-    wanted = with_shingles(wanted, "text", size).where("size(s) > 0")
-    wanted = scratch.table(wanted.distinct().withColumn("n", F.size("s")))
-    lengths = [r["n"] for r in wanted.select("n").distinct().collect()]  # bounded by the longest item
-    if not lengths:
+    wanted = with_shingles(wanted, "text", size, repeated=True).where("size(s) > 0").distinct().withColumn("n", F.size("s"))
+    wanted = scratch.table(wanted.withColumn("w", _window_column(percent, size)).drop("repeated"))
+    sizes = sorted(r["w"] for r in wanted.select("w").distinct().collect())  # at most seven
+    if not sizes:
         return texts.select(F.col("doc").alias(id_col), F.lit(None).cast(items.schema[item_col].dataType).alias(item_col), F.lit(0.0).alias("similarity"), F.lit(0).alias("start"), F.lit(0).alias("words")).where("false")
-    by_window: dict[int, list[int]] = {}
-    for n in lengths:
-        by_window.setdefault(window_size(n, percent, size), []).append(n)
 
-    index = reduce(DataFrame.unionByName, [_windows(wanted.where(F.col("n").isin(ns)), ["item"], [w], 1) for w, ns in by_window.items()])
-    index = scratch.table(_blocks(index, radius).select("w", "block", "bits", F.col("fp").alias("item_fp"), "item", F.col("at").alias("item_at")))
+    index = reduce(DataFrame.unionByName, [_windows(wanted.where(F.col("w") == w).select("item", F.col("n").alias("item_n"), "s"), ["item", "item_n"], [w], 1) for w in sizes])
+    index = scratch.table(_blocks(index, radius).select("w", "block", "bits", F.col("fp").alias("item_fp"), "item", "item_n").distinct())
     if index.count() <= _MOST_BROADCAST:
         index = F.broadcast(index)
     rows = with_shingles(texts, "text", size)
-    probes = _blocks(_windows(rows, ["doc"], sorted(by_window)), radius)
+    probes = _blocks(_windows(rows, ["doc"], sizes), radius)
     close = probes.join(index, ["w", "block", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-    found = scratch.table(close.select("doc", "item", (F.col("at") - F.col("item_at")).alias("first")).distinct())
+    # moved text may stand anywhere in a passage: all item-sized windows around the place found
+    begins = F.sequence(F.greatest(F.col("at") + F.col("w") - F.col("item_n"), F.lit(0)), F.col("at"))
+    starts = close.select("doc", "item", "at", "w", "item_n").distinct().select("doc", "item", F.explode(begins).alias("start"))
+    found = scratch.table(starts.groupBy("doc", "item").agg(F.collect_set("start").alias("starts")))
 
-    # the item-sized windows that begin within the loss allowed of a place found
     few = with_shingles(texts.join(found.select("doc").distinct(), "doc", "left_semi"), "text", size)
-    near = found.join(few, "doc").join(wanted.withColumnRenamed("s", "t"), "item")
-    lost = F.floor(F.col("n") * (100 - percent) / (100 + percent)).cast("int")
-    begins = F.sequence(F.greatest(F.col("first") - lost, F.lit(0)), F.greatest(F.least(F.col("first") + lost, F.size("s") - 1), F.lit(0)))
-    tried = near.select("doc", "item", "n", "t", F.explode(begins).alias("start"), "s").select("doc", "item", "n", "t", "start", F.slice("s", F.col("start") + 1, F.col("n")).alias("p"))
+    near = found.join(few, "doc").join(wanted.drop("w").withColumnRenamed("s", "t"), "item")
+    tried = near.select("doc", "item", "n", "t", F.explode("starts").alias("start"), "s").where(F.col("start") < F.size("s"))
+    tried = tried.select("doc", "item", "n", "t", "start", F.slice("s", F.col("start") + 1, F.col("n")).alias("p"))
     tried = tried.dropDuplicates(["doc", "item", "start", "p"])
     # weighted Jaccard: the sum of least counts over the sum of greatest counts
     count = lambda a, x: F.size(F.filter(a, lambda y: y == x))

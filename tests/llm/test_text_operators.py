@@ -244,6 +244,39 @@ def test_a_similar_passage_holds_a_whole_window():
             assert -(-(n - n // 9) // (e + 1)) >= 2 * w - 1 or w == 1
 
 
+def test_moved_text_is_found_at_every_alignment(spark):
+    rnd = random.Random(7)
+    items, docs = [], []
+    for n in (36, 40, 44, 72, 100, 130):
+        words = [f"w{n}x{k}" for k in range(n + 4)]
+        items.append((n, " ".join(words)))
+        edits = [words[len(words) // 2 :] + words[: len(words) // 2]]
+        for _ in range(2 if n >= 81 else 0):  # an insertion and a deletion lose nine shingles
+            i, j = rnd.randrange(n // 5, n // 2), rnd.randrange(n // 2, n - 5)
+            edits.append(words[:i] + ["new"] + words[i:j] + words[j + 1 :])
+        for e in edits:
+            for shift in range(0, 64, 1 if n < 50 else 3):
+                docs.append((len(docs), " ".join([f"q{len(docs)}y{k}" for k in range(shift)] + e + ["end"])))
+    # words that come again make breaks cheap: here moved text loses no shingle at its joints
+    a, b, c, d = ([f"{x}{k}" for k in range(9)] for x in "abcd")
+    joint = "one two three four".split()
+    items.append((1, " ".join(a + joint + b + joint + c + joint + d)))
+    docs += [(len(docs) + k, " ".join(["z"] * k + a + joint + c + joint + b + joint + d)) for k in range(32)]
+    found = decontaminate.matches(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute_matches(docs, items)
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"]) for r in found}
+    assert len(want) == len(docs) and got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_window_column_is_window_size(spark):
+    rnd = random.Random(3)
+    rows = [(n, sorted((rnd.choice([0, 0, 2, 4, 10, 40]) for _ in range(4)), reverse=True)) for n in range(1, 300)]
+    df = spark.createDataFrame(rows, "n int, repeated array<long>")
+    got = [r["w"] for r in df.select("n", decontaminate._window_column(80, 5).alias("w")).orderBy("n").collect()]
+    assert got == [decontaminate.window_size(n, 80, 5, tuple(r)) for n, r in rows]
+
+
 def test_simhash_bits(spark):
     rng = random.Random(1)
     for w in (1, 2, 4, 8, 16):
