@@ -8,7 +8,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fertility, minhash, neighbours, packing, ppm, secrets, shards, toxicity, warc
+from . import decontaminate, fertility, minhash, neighbours, packing, ppm, repair, secrets, shards, toxicity, warc
 from .common import crc_mod
 
 
@@ -75,6 +75,26 @@ def op10_benchmark_passages(spark, d):
     return decontaminate.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with the faults that the crc32 of ``conv_id:turn`` plants; a dropped row stays with ``present`` false."""
+    space = F.lit(" ")
+    conv, turn = (F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn"))
+    fault = F.crc32(F.concat(conv, F.lit(":"), turn).cast("binary")) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (fault != 0).alias("present"),
+        F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark, d):
+    return repair.audits(damaged(table(spark, d, "conversations")), present="present")
+
+
 def pipeline(spark, d):
     import corpus_pipeline  # stands beside the package and imports it
 
