@@ -8,7 +8,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fertility, minhash, neighbours, packing, ppm, repair, secrets, shards, toxicity, warc
+from . import decontaminate, fertility, minhash, neighbours, packing, ppm, repair, secrets, shards, toxicity, warc, whiten
 from .common import crc_mod
 
 
@@ -95,6 +95,15 @@ def op11_conversation_repair(spark, d):
     return repair.audits(damaged(table(spark, d, "conversations")), present="present")
 
 
+def op12_whitening(spark, d):
+    out = whiten.whiten(table(spark, d, "embeddings"), components=4)
+    by_component = out.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return by_component.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", F.col("deviation").cast("long").alias("deviation"),
+        F.col("c.whitened").alias("whitened"), F.col("c.explained").alias("explained"), "identity_error",
+    )
+
+
 def pipeline(spark, d):
     import corpus_pipeline  # stands beside the package and imports it
 
