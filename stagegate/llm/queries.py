@@ -8,7 +8,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fertility, minhash, neighbours, packing, ppm, repair, secrets, shards, toxicity, warc, whiten
+from . import decontaminate, fertility, minhash, neighbours, packing, ppm, repair, secrets, shards, toxicity, urlfilter, warc, whiten
 from .common import crc_mod
 
 
@@ -104,6 +104,14 @@ def op12_whitening(spark, d):
     )
 
 
+# the rule list of the URL query: host, path, verdict
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op13_url_filter(spark, d):
+    return urlfilter.judge(table(spark, d, "pages"), urlfilter.rule_table(spark, URL_RULES))
+
+
 def pipeline(spark, d):
     import corpus_pipeline  # stands beside the package and imports it
 
