@@ -8,23 +8,25 @@ NULL-safely.  A key held by ``m`` source rows and ``n`` staging rows contributes
 Emitting those pairs is quadratic in a hot key (a key with a third of all rows
 would produce ~N²/9 pairs), so the pairs are never built:
 
-* one aggregate by key over both sides gives each key's row counts and one
-  row's values per side; keys held by exactly one row on each side ("unique
-  keys") are compared column by column right there;
-* for the other keys ("multi keys") each side is read once more and reduced to
-  ``(key, column, value) → row count``; the number of equal pairs of a column is
-  ``Σ_v m_v · n_v`` over the values ``v`` shared by both sides, and the number
-  of unequal pairs is ``m · n − Σ_v m_v · n_v``.  The reduction is a partial
-  aggregation, so a hot key collapses before the shuffle, and the join of the two
-  reduced sides is 1:1 on ``(key, column, value)``.
-
-Both parts are exact, so their sum equals the pairwise count.  Each side is read
-twice at most; a hot key collapses in the partial aggregate of the first pass, and its
-rows are spread over sub-keys where the second meets the keys' counts.
+* one tagged aggregate by key over both sides (``layerkeys``) gives each key's row
+  counts and the spread of a 128-bit digest of the compared values.  Keys whose digest
+  is constant have no mismatch and are done;
+* only for the other keys are values read.  Keys with one row on each side are
+  joined one to one and compared column by column;
+* for the rest ("multi keys") both sides are reduced to ``(key, column, value) → row counts``;
+  the number of equal pairs of a column is ``Σ_v m_v · n_v`` over its values ``v``,
+  and the number of unequal pairs is ``m · n − Σ_v m_v · n_v``.  The
+  reduction is one aggregate with a map-side part, so a hot key collapses before the shuffle.
+
+The first step runs when the function is called: what it finds decides the plan of the
+rest (which keys are broadcast, which parts are there at all).  With ``exact=True``, and where a
+compared column is an array, a struct or a map, a first aggregate carries the values instead of
+digests; it is lazy and needs no digest, but sorts wide rows.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -34,7 +36,7 @@ from pyspark.sql import types as T
 
 from ..functions.compare import ComparablePair, comparable_pair
 from ..functions.predicates import keys_not_null, qcol
-from . import skew
+from . import layerkeys, skew
 
 
 @dataclass(frozen=True)
@@ -48,7 +50,7 @@ class ConsistencyPlan:
         return tuple(p.name for p in self.compared if p.drift)
 
 
-_KEY = "_k{}"
+_KEY = layerkeys.KEY
 
 
 def plan_consistency(source: DataFrame, other: DataFrame, key: Sequence[str], columns: Sequence[str] | None = None) -> ConsistencyPlan:
@@ -78,16 +80,6 @@ HOT_KEY_MIN_ROWS = skew.HOT_KEY_MIN_ROWS
 MAX_HOT_KEYS = skew.MAX_HOT_KEYS
 
 
-def key_counts(df: DataFrame, key: Sequence[str], count_name: str) -> DataFrame:
-    """Rows per key (``_k0``, ``_k1``, ... and ``count_name``); NULL keys form their own group.
-
-    Shareable between key-level checks (duplicates, completeness).
-    """
-    return df.groupBy(*[qcol(k).alias(_KEY.format(i)) for i, k in enumerate(key)]).agg(
-        F.count(F.lit(1)).alias(count_name)
-    )
-
-
 def _side(df: DataFrame, plan: ConsistencyPlan, side: str) -> DataFrame:
     """One side's rows as (key, ``_v`` struct of the comparable forms); no other name leaves the input."""
     forms = [p.left if side == "s" else p.right for p in plan.compared]
@@ -125,47 +117,57 @@ def _differs(i: int) -> Column:
     return ~F.col(f"_sv.c{i}").eqNullSafe(F.col(f"_ov.c{i}"))
 
 
-def _value_counts(side: DataFrame, multi: DataFrame, count_col: str, plan: ConsistencyPlan, name: str, hot: tuple[int, int]) -> DataFrame:
-    """(key, column index, value) → row count of one side, for the keys in ``multi``.
+def _cells(side: DataFrame, multi: DataFrame, count_col: str, plan: ConsistencyPlan, hot: tuple[int, int] | None, exact: bool, by_key: bool) -> DataFrame:
+    """(key, column index, value) of one side's rows of the keys in ``multi``.
 
-    Values keep their own type: ``_w`` is a struct with one slot per distinct
+    A hot key's rows are spread where they meet it; with ``hot`` None there is no hot key, and the cells keep a
+    partitioning by key (``by_key`` makes one, of the rows, where the keys are broadcast).
+
+    With ``exact`` a value keeps its own type: ``_w`` is a struct with one slot per distinct
     comparable type, the column's value in its slot and NULL elsewhere.  Spark
-    groups and joins structs field by field with NULL equal to NULL, and
-    normalises -0.0/NaN inside them, which is exactly NULL-safe equality, so no
-    value is rendered as text.  The side is read once more; a hot key's rows
-    are spread before they are reduced.
+    groups structs field by field with NULL equal to NULL, and
+    normalises -0.0/NaN inside them, which is exactly NULL-safe equality.  Else ``_w`` is the
+    value's 128-bit digest, two numbers whatever the type.
     """
     kcols = [_KEY.format(i) for i in range(len(plan.key))]
     types = [p.dtype for p in plan.compared]  # comparable type of each column, known without analysis
-    distinct = []
-    for t in types:
-        if t not in distinct:
-            distinct.append(t)
-    nulls = [F.lit(None).cast(t) for t in distinct]  # one NULL literal per slot type, shared by all cells
-    cells = []
-    for i, t in enumerate(types):
-        slots = [(F.col(f"_v.c{i}") if t == d else nulls[j]).alias(f"s{j}") for j, d in enumerate(distinct)]
-        cells.append(F.struct(F.lit(i).alias("_ci"), F.struct(*slots).alias("_w")))
-    rows = skew.salted_stats_join(side, multi.select(*kcols, count_col), kcols, count_col, *hot)
-    long = rows.select(*kcols, F.inline(F.array(*cells)))
-    return long.groupBy(*kcols, "_ci", "_w").agg(F.count(F.lit(1)).alias(name))
-
-
-def _multi_matches(source: DataFrame, other: DataFrame, per_key: DataFrame, plan: ConsistencyPlan, hot: tuple[int, int]) -> DataFrame:
+    values = [F.col(f"_v.c{i}") for i in range(len(types))]
+    if exact:
+        distinct = []
+        for t in types:
+            if t not in distinct:
+                distinct.append(t)
+        nulls = [F.lit(None).cast(t) for t in distinct]  # one NULL literal per slot type, shared by all cells
+        forms = [F.struct(*[(v if t == d else nulls[j]).alias(f"s{j}") for j, d in enumerate(distinct)]) for v, t in zip(values, types)]
+        cells = [F.struct(F.lit(i).alias("_ci"), w.alias("_w")) for i, w in enumerate(forms)]
+    else:
+        cells = [F.struct(F.lit(i).alias("_ci"), *[h.alias(n) for n, h in zip(_HASHES, layerkeys.digests([v]))]) for i, v in enumerate(values)]
+    if hot is None:
+        rows = side.join(multi.select(*kcols), kcols, "left_semi")
+    else:
+        rows = skew.salted_stats_join(side, multi.select(*kcols, count_col), kcols, count_col, *hot)
+    rows = rows.repartition(*kcols) if by_key else rows
+    return rows.select(*kcols, F.inline(F.array(*cells)))
+
+
+_HASHES = ("_w0", "_w1")
+
+
+def _multi_matches(
+    source: DataFrame, other: DataFrame, multi: DataFrame, plan: ConsistencyPlan, hot: tuple[int, int] | None, exact: bool = False, by_key: bool = False
+) -> DataFrame:
     """Rows (key, column index, ``_eq``) whose ``_eq`` sum per (key, column) is the number of NULL-safe equal pairs.
 
-    Each side is reduced to ``(key, column, value) → rows`` (partial aggregation
-    before the shuffle, so a hot key collapses per task) and the two are joined
-    1:1 on (key, column, value); ``m_v · n_v`` summed over shared values is the
-    number of equal pairs.
+    The values of both sides go into one ``(key, column, value) → rows of each side`` aggregate (partial before the
+    shuffle, so a hot key collapses per task; without hot keys rows are dealt by key and need no second shuffle);
+    ``m_v · n_v`` of a value is its number of equal pairs.
     """
-    if hot[0] < 1:
-        raise ValueError("hot_key_rows must be at least 1")
     kcols = [_KEY.format(i) for i in range(len(plan.key))]
-    multi = per_key.where(f"NOT ({_SINGLE})")
-    vs = _value_counts(_side(source, plan, "s"), multi, "_m", plan, "_cs", hot)
-    vo = _value_counts(_side(other, plan, "o"), multi, "_n", plan, "_co", hot)
-    return vs.join(vo, kcols + ["_ci", "_w"]).select(*kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
+    left = _cells(_side(source, plan, "s"), multi, "_m", plan, hot, exact, by_key).withColumn("_left", F.lit(True))
+    right = _cells(_side(other, plan, "o"), multi, "_n", plan, hot, exact, by_key).withColumn("_left", F.lit(False))
+    value = ["_w"] if exact else list(_HASHES)
+    counts = left.unionByName(right).groupBy(*kcols, "_ci", *value).agg(F.count_if("_left").alias("_cs"), F.count_if(~F.col("_left")).alias("_co"))
+    return counts.where("_cs > 0 AND _co > 0").select(*kcols, "_ci", (F.col("_cs") * F.col("_co")).alias("_eq"))
 
 
 _SUMMARY = T.StructType(
@@ -173,6 +175,16 @@ _SUMMARY = T.StructType(
 )
 
 
+def find_differing(source: DataFrame, other: DataFrame, plan: ConsistencyPlan, counters: dict[str, Column] | None = None, only_differing: bool = True) -> layerkeys.KeyFindings:
+    """The tagged aggregate of both sides for the compared columns of ``plan`` (plain types only)."""
+    left, right = [p.left for p in plan.compared], [p.right for p in plan.compared]
+    return layerkeys.find(source, other, plan.key, left, right, counters, only_differing)
+
+
+def has_digest(plan: ConsistencyPlan) -> bool:
+    return bool(plan.compared) and layerkeys.can_digest([p.dtype for p in plan.compared])
+
+
 def consistency_parts(
     source: DataFrame,
     other: DataFrame,
@@ -180,14 +192,92 @@ def consistency_parts(
     columns: Sequence[str] | None = None,
     hot_key_rows: int = HOT_KEY_MIN_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    exact: bool = False,
+    found: layerkeys.KeyFindings | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``consistency_summary`` and ``inconsistent_keys`` over the same per-key aggregate."""
+    """``consistency_summary`` and ``inconsistent_keys`` over the same first aggregate.
+
+    ``found`` is what ``find_differing`` gave for the same sides, if the caller has it already.
+    """
     plan = plan_consistency(source, other, key, columns)
     if not plan.compared:
         raise ValueError("no shared non-key column to compare")
-    per_key, hot = _per_key(source, other, plan), (hot_key_rows, max_hot_keys)
-    matches = _multi_matches(source, other, per_key, plan, hot)
-    return _summary(per_key, matches, plan), _keyed(per_key, matches, plan)
+    hot = (hot_key_rows, max_hot_keys)
+    if hot_key_rows < 1:
+        raise ValueError("hot_key_rows must be at least 1")
+    if exact or not has_digest(plan):
+        per_key = _per_key(source, other, plan)
+        matches = _multi_matches(source, other, per_key.where(f"NOT ({_SINGLE})"), plan, hot, exact=True)
+        return _summary(per_key, matches, plan), _keyed(per_key.where(_SINGLE), per_key.where(f"NOT ({_SINGLE})"), matches, plan)
+    found = found or find_differing(source, other, plan)
+    multi = found.differing(single=False)
+    singles = _single_pairs(source, other, found, plan)
+    matches = _found_matches(source, other, multi, found, plan, *hot)
+    return _digest_summary(singles, matches, found.totals, plan), _keyed(singles, multi, matches, plan)
+
+
+def _single_pairs(source: DataFrame, other: DataFrame, found: layerkeys.KeyFindings, plan: ConsistencyPlan) -> DataFrame:
+    """The two rows' values (``_sv``, ``_ov``) of the keys with one row on each side that differ."""
+    kcols = found.kcols
+    keys = found.differing(single=True).select(*kcols)
+    left = _side(source, plan, "s").join(keys, kcols, "left_semi").withColumnRenamed("_v", "_sv")
+    right = _side(other, plan, "o").join(keys, kcols, "left_semi").withColumnRenamed("_v", "_ov")
+    return left.join(right, kcols)
+
+
+def summary_with_samples(
+    source: DataFrame, other: DataFrame, found: layerkeys.KeyFindings, plan: ConsistencyPlan, n: int, hot_key_rows: int = HOT_KEY_MIN_ROWS, max_hot_keys: int = MAX_HOT_KEYS
+) -> tuple[dict[str, int], list[str]]:
+    """(mismatches by column, the first ``n`` rows of ``inconsistent_keys`` in key and column order as JSON), in one pass over the values.
+
+    Every key that differs has a mismatch, so the samples are among the first ``n`` such keys, which are known before: beside
+    its total each column sums up theirs.
+    """
+    kcols, t = found.kcols, found.totals
+    multi = found.differing(single=False)
+    names = F.to_json(F.struct(*[F.col(c).alias(k) for c, k in zip(kcols, plan.key)]), {"ignoreNullFields": "false"})
+    firsts = found.wrong.where("_differs").orderBy(*kcols).limit(n).select(*kcols, "_m", "_n", names.alias("_json")).collect() if n > 0 else []
+    own = F.array_compact(F.array(*[F.when(_differs(i), F.lit(i)) for i in range(len(plan.compared))]))
+    cells = _single_pairs(source, other, found, plan).select(*kcols, F.explode(own).alias("_ci"), F.lit(1).cast("bigint").alias("_mis"))
+    matches = _found_matches(source, other, multi, found, plan, hot_key_rows, max_hot_keys)
+    if matches is not None:
+        cells = cells.unionByName(matches.select(*kcols, "_ci", (-F.col("_eq")).alias("_mis")))
+
+    def is_key(row) -> Column:
+        cond = F.lit(True)
+        for c in kcols:
+            cond = cond & (F.col(c) == F.lit(row[c]))
+        return cond
+
+    sums = [F.sum(F.when(is_key(r), F.col("_mis"))).alias(f"_f{j}") for j, r in enumerate(firsts)]
+    got = {r["_ci"]: r for r in cells.groupBy("_ci").agg(F.sum("_mis").alias("_mis"), *sums).collect()}
+    totals, samples = {}, []
+    for i, p in enumerate(plan.compared):
+        totals[p.name] = t["multi_pairs"] + int((got[i]["_mis"] if i in got else 0) or 0)
+    for j, r in enumerate(firsts):
+        pairs = 0 if r["_m"] == r["_n"] == 1 else r["_m"] * r["_n"]
+        for i in sorted(range(len(plan.compared)), key=lambda i: plan.compared[i].name):
+            wrong = pairs + int((got[i][f"_f{j}"] if i in got else 0) or 0)
+            if wrong:
+                samples.append(f'{r["_json"][:-1]},"column_name":{json.dumps(plan.compared[i].name, ensure_ascii=False)},"mismatches":{wrong}}}')
+    return totals, samples[:n]
+
+
+def _found_matches(source: DataFrame, other: DataFrame, multi: DataFrame, found: layerkeys.KeyFindings, plan: ConsistencyPlan, hot_key_rows: int, max_hot_keys: int) -> DataFrame | None:
+    """``_multi_matches`` with what the totals say: without keys that have several rows there is none, without a hot one nothing is spread."""
+    t = found.totals
+    any_hot = t["multi_most"] > max(hot_key_rows, t["multi_rows"] / max_hot_keys)
+    by_key = not any_hot and found.small(single=False)
+    return _multi_matches(source, other, multi, plan, (hot_key_rows, max_hot_keys) if any_hot else None, by_key=by_key) if t["multi"] else None
+
+
+def _digest_summary(singles: DataFrame, matches: DataFrame | None, totals: dict[str, int], plan: ConsistencyPlan) -> DataFrame:
+    n = len(plan.compared)
+    # of a multi key that differs every pair counts as a mismatch here, minus the equal pairs below
+    counted = singles.agg(*[F.count_if(_differs(i)).alias(f"_d{i}") for i in range(n)])
+    pairs, multi = (F.lit(totals[t]).cast("bigint") for t in ("pairs", "multi_pairs"))
+    cells = [F.struct(F.lit(i).alias("_ci"), (F.col(f"_d{i}") + multi).alias("_mis"), pairs.alias("_pairs")) for i in range(n)]
+    return _columns(counted.select(F.inline(F.array(*cells))), matches, plan)
 
 
 def _summary(per_key: DataFrame, matches: DataFrame, plan: ConsistencyPlan) -> DataFrame:
@@ -200,28 +290,32 @@ def _summary(per_key: DataFrame, matches: DataFrame, plan: ConsistencyPlan) -> D
         *[F.count_if(F.expr(_SINGLE) & _differs(i)).alias(f"_d{i}") for i in range(n)],
     )
     cells = [F.struct(F.lit(i).alias("_ci"), (F.col(f"_d{i}") + F.col("_multi")).alias("_mis"), F.col("_pairs").alias("_pairs")) for i in range(n)]
-    counted = totals.select(F.inline(F.array(*cells)))
-    equal = matches.select("_ci", (-F.col("_eq")).alias("_mis"), F.lit(0).cast("bigint").alias("_pairs"))
+    return _columns(totals.select(F.inline(F.array(*cells))), matches, plan)
+
+
+def _columns(counted: DataFrame, matches: DataFrame | None, plan: ConsistencyPlan) -> DataFrame:
+    """A row per compared column from (``_ci``, ``_mis``, ``_pairs``), minus the equal pairs of multi keys."""
     labels = F.array(*[F.lit(p.name) for p in plan.compared])
-    return (
-        counted.unionByName(equal)
-        .groupBy("_ci")
-        .agg(F.sum("_mis").cast("bigint").alias("mismatches"), F.sum("_pairs").cast("bigint").alias("pairs"))
-        .select(F.element_at(labels, F.col("_ci") + 1).alias("column_name"), "mismatches", "pairs")
+    if matches is not None:
+        equal = matches.select("_ci", (-F.col("_eq")).alias("_mis"), F.lit(0).cast("bigint").alias("_pairs"))
+        counted = counted.unionByName(equal).groupBy("_ci").agg(F.sum("_mis").alias("_mis"), F.sum("_pairs").alias("_pairs"))
+    return counted.select(
+        F.element_at(labels, F.col("_ci") + 1).alias("column_name"), F.col("_mis").cast("bigint").alias("mismatches"), F.col("_pairs").cast("bigint").alias("pairs")
     )
 
 
-def _keyed(per_key: DataFrame, matches: DataFrame, plan: ConsistencyPlan) -> DataFrame:
+def _keyed(singles: DataFrame, multi: DataFrame, matches: DataFrame | None, plan: ConsistencyPlan) -> DataFrame:
     kcols = [_KEY.format(i) for i in range(len(plan.key))]
     n = len(plan.compared)
     flags = F.array(*[F.when(_differs(i), F.lit(i)) for i in range(n)])
-    single = per_key.where(_SINGLE).select(*kcols, F.explode(F.array_compact(flags)).alias("_ci")).withColumn("mismatches", F.lit(1).cast("bigint"))
-    multi = per_key.where(f"NOT ({_SINGLE})").select(*kcols, (F.col("_m") * F.col("_n")).alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_ci"))
-    equal = matches.groupBy(*kcols, "_ci").agg(F.sum("_eq").alias("_equal"))
-    left = (F.col("_p") - F.coalesce(F.col("_equal"), F.lit(0))).cast("bigint")
-    multi = multi.join(equal, kcols + ["_ci"], "left").select(*kcols, "_ci", left.alias("mismatches")).where("mismatches > 0")
+    found = singles.select(*kcols, F.explode(F.array_compact(flags)).alias("_ci")).withColumn("mismatches", F.lit(1).cast("bigint"))
     labels = F.array(*[F.lit(p.name) for p in plan.compared])
-    return single.unionByName(multi).select(
+    if matches is not None:
+        multi = multi.select(*kcols, (F.col("_m") * F.col("_n")).alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_ci"))
+        equal = matches.groupBy(*kcols, "_ci").agg(F.sum("_eq").alias("_equal"))
+        left = (F.col("_p") - F.coalesce(F.col("_equal"), F.lit(0))).cast("bigint")
+        found = found.unionByName(multi.join(equal, kcols + ["_ci"], "left").select(*kcols, "_ci", left.alias("mismatches")).where("mismatches > 0"))
+    return found.select(
         *[F.col(c).alias(k) for c, k in zip(kcols, plan.key)],
         F.element_at(labels, F.col("_ci") + 1).alias("column_name"),
         "mismatches",
@@ -235,6 +329,7 @@ def consistency_summary(
     columns: Sequence[str] | None = None,
     hot_key_rows: int = HOT_KEY_MIN_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    exact: bool = False,
 ) -> DataFrame:
     """One row per compared column: ``column_name``, ``mismatches``, ``pairs``.
 
@@ -242,7 +337,7 @@ def consistency_summary(
     """
     if not plan_consistency(source, other, key, columns).compared:
         return source.sparkSession.createDataFrame([], _SUMMARY)
-    return consistency_parts(source, other, key, columns, hot_key_rows, max_hot_keys)[0]
+    return consistency_parts(source, other, key, columns, hot_key_rows, max_hot_keys, exact)[0]
 
 
 def inconsistent_keys(
@@ -252,6 +347,7 @@ def inconsistent_keys(
     columns: Sequence[str] | None = None,
     hot_key_rows: int = HOT_KEY_MIN_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    exact: bool = False,
 ) -> DataFrame:
     """Row-level diagnostics: ``(*key, column_name, mismatches)`` for every key and column with unequal pairs."""
-    return consistency_parts(source, other, key, columns, hot_key_rows, max_hot_keys)[1]
+    return consistency_parts(source, other, key, columns, hot_key_rows, max_hot_keys, exact)[1]

@@ -15,15 +15,15 @@ import traceback
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.predicates import is_active as _is_active
 from ..functions.predicates import is_inactive as _is_inactive
-from ..functions.predicates import qcol
+from ..functions.predicates import is_null_or_blank, qcol
 from ..operators import consistency as C
+from ..operators import layerkeys
 from ..operators import violations as V
 from ..operators.schema import compare_schemas
 from ..spec import DatasetSpec, ScdType, Stage
@@ -156,52 +156,51 @@ class KeyProfile:
             return self._result[name]
 
 
-class StageKeyCounts:
-    """Rows per key of both layers of a stage (NULL keys as their own group), shared by
-    the duplicate-key, completeness and consistency checks and cached while they run,
-    so each layer's keys are shuffled once for the three of them."""
+class StageKeys:
+    """What one tagged aggregate over both layers of a stage finds (``layerkeys``): the row counts, NULL counts,
+    duplicate keys, missing keys and differing keys that the source→staging checks report.
 
-    def __init__(self, left: DataFrame, right: DataFrame, key: Sequence[str]):
-        self.key = list(key)
-        self.kcols = [f"_k{i}" for i in range(len(self.key))]
-        self.left = C.key_counts(left, self.key, "_m")
-        self.right = C.key_counts(right, self.key, "_n")
-        self._totals: tuple[int, int] | None = None
+    It runs when a check first needs it, once; if it fails, the checks fall back on their own plans, so that
+    only those that really cannot be evaluated report ``Error``.
+    """
+
+    def __init__(self, ctx: StageContext, compare: bool, null_columns: Sequence[str]):
+        self.left, self.right, self.key = ctx.left, ctx.right, list(ctx.spec.key)
+        types = {f.name: f.dataType for f in self.right.schema.fields}
+        self.counters = {c: is_null_or_blank(qcol(c), types[c]) for c in null_columns if c in types}
+        self.plan = C.plan_consistency(self.left, self.right, self.key) if compare else None
+        self._found: layerkeys.KeyFindings | None = None
+        self._failed = False
         self._lock = threading.Lock()
 
-    def persist(self) -> None:
-        self.left.persist(StorageLevel.MEMORY_AND_DISK)
-        self.right.persist(StorageLevel.MEMORY_AND_DISK)
+    @staticmethod
+    def usable(left: DataFrame, right: DataFrame, key: Sequence[str]) -> bool:
+        """Keys of both layers are there and equal as they are (no cast between number and text)."""
+        if not all(k in left.columns and k in right.columns for k in key):
+            return False
+        kinds = [(left.schema[k].dataType, right.schema[k].dataType) for k in key]
+        return all(a == b or (isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType)) for a, b in kinds)
+
+    @property
+    def compares(self) -> bool:
+        return self.plan is not None and C.has_digest(self.plan)
 
-    def row_totals(self) -> tuple[int, int]:
-        """Row counts of both layers, summed from the (cached) key counts: no extra scan."""
+    def found(self) -> layerkeys.KeyFindings | None:
+        """The findings, or None where the aggregate failed."""
         with self._lock:
-            if self._totals is None:
-                s = self.left.select(F.coalesce(F.sum("_m"), F.lit(0)).alias("t")).scalar()
-                o = self.right.select(F.coalesce(F.sum("_n"), F.lit(0)).alias("t")).scalar()
-                row = self.left.sparkSession.range(1).select(s.alias("s"), o.alias("o")).first()
-                self._totals = (int(row["s"]), int(row["o"]))
-            return self._totals
-
-    def unpersist(self) -> None:
-        self.left.unpersist()
-        self.right.unpersist()
-
-    def named(self, df: DataFrame, count_col: str | None, count_name: str | None = None) -> DataFrame:
-        cols = [F.col(c).alias(k) for c, k in zip(self.kcols, self.key)]
-        if count_col:
-            cols.append(F.col(count_col).alias(count_name or count_col))
-        return df.select(*cols)
-
-    def duplicates(self) -> DataFrame:
-        """Staging keys held by more than one row (as ``duplicate_keys``)."""
-        return self.named(self.right.where(F.col("_n") > 1), "_n", "n_rows")
-
-    def missing(self) -> DataFrame:
-        """Distinct source keys without an equal staging key (as ``missing_keys``)."""
-        present = self.right.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(self.kcols)])
-        cond = [F.col(c) == F.col(f"_r{i}") for i, c in enumerate(self.kcols)]
-        return self.named(self.left.join(present, cond, "left_anti"), None)
+            if self._found is None and not self._failed:
+                try:
+                    if self.compares:
+                        self._found = C.find_differing(self.left, self.right, self.plan, self.counters, only_differing=False)
+                    else:
+                        self._found = layerkeys.find(self.left, self.right, self.key, counters=self.counters)
+                except Exception:
+                    self._failed = True
+            return self._found
+
+
+def _found(ctx: StageContext) -> layerkeys.KeyFindings | None:
+    return ctx.stage_keys.found() if ctx.stage_keys is not None else None
 
 
 @dataclass
@@ -213,7 +212,7 @@ class StageContext:
     left_profile: TableProfile
     right_profile: TableProfile
     key_profile: KeyProfile | None = None
-    key_counts: StageKeyCounts | None = None
+    stage_keys: StageKeys | None = None
 
 
 def _json(columns: Sequence[str]) -> Column:
@@ -230,6 +229,13 @@ def sampled(viol: DataFrame, order: Sequence[str], n: int, total: Column | None
     return next(int(r["_total"]) for r in rows if r["_total"] is not None), [r["_s"] for r in rows if r["_total"] is None]
 
 
+def _firsts(viol: DataFrame, order: Sequence[str], n: int, total: int) -> list[str]:
+    """The first ``n`` violations in ``order`` as JSON; no job where there is none."""
+    if not total or n < 1:
+        return []
+    return [r["_s"] for r in viol.orderBy(*[qcol(c) for c in order]).limit(n).select(_json(viol.columns).alias("_s")).collect()]
+
+
 def _status(ok: bool) -> str:
     return SUCCESS if ok else FAIL
 
@@ -254,8 +260,11 @@ def check_schema(ctx: StageContext) -> CheckResult:
 
 
 def check_count(ctx: StageContext) -> CheckResult:
-    if ctx.key_counts is not None:
-        s, t = ctx.key_counts.row_totals()
+    found = _found(ctx)
+    if found is not None:
+        s, t = found.totals["left_rows"], found.totals["right_rows"]
+    elif ctx.stage_keys is not None:
+        s, t = V.row_counts(ctx.left, ctx.right).first()
     else:
         s, t = ctx.left_profile.get("_count"), ctx.right_profile.get("_count")
     return CheckResult(
@@ -267,7 +276,13 @@ def check_nulls(ctx: StageContext) -> CheckResult:
     cols = ctx.spec.non_null_for(ctx.stage)
     present = set(ctx.right.columns)
     missing = [c for c in cols if c not in present]
-    counts = {c: int(ctx.right_profile.get(f"_null:{c}")) for c in cols if c in present}
+    found = _found(ctx)
+    if found is not None:
+        counts = {c: found.totals[f"counter:{c}"] for c in cols if c in present}
+    elif ctx.stage_keys is not None:
+        counts = {r["column_name"]: r["null_count"] for r in V.null_or_blank_counts(ctx.right, [c for c in cols if c in present]).collect()}
+    else:
+        counts = {c: int(ctx.right_profile.get(f"_null:{c}")) for c in cols if c in present}
     bad = {c: n for c, n in counts.items() if n > 0}
     parts = [f"{c}: {n}" for c, n in bad.items()] + [f"{c}: missing column" for c in missing]
     return CheckResult(
@@ -283,8 +298,9 @@ def check_duplicates(ctx: StageContext) -> CheckResult:
     key = list(ctx.spec.key)
     if ctx.key_profile is not None and "duplicates" in ctx.key_profile.checks:
         total, samples = ctx.key_profile.get("duplicates")
-    elif ctx.key_counts is not None:
-        total, samples = sampled(ctx.key_counts.duplicates(), key, ctx.spec.sample_size)
+    elif (found := _found(ctx)) is not None:
+        total = found.totals["duplicates"]
+        samples = _firsts(found.duplicates(), key, ctx.spec.sample_size, total)
     else:
         total, samples = sampled(V.duplicate_keys(ctx.right, key), key, ctx.spec.sample_size)
     return CheckResult(
@@ -299,8 +315,11 @@ def check_duplicates(ctx: StageContext) -> CheckResult:
 
 def check_completeness(ctx: StageContext) -> CheckResult:
     key = list(ctx.spec.key)
-    missing = ctx.key_counts.missing() if ctx.key_counts is not None else V.missing_keys(ctx.left, ctx.right, key)
-    total, samples = sampled(missing, key, ctx.spec.sample_size)
+    if (found := _found(ctx)) is not None:
+        total = found.totals["missing"]
+        samples = _firsts(found.missing(), key, ctx.spec.sample_size, total)
+    else:
+        total, samples = sampled(V.missing_keys(ctx.left, ctx.right, key), key, ctx.spec.sample_size)
     return CheckResult(
         COMPLETENESS,
         _status(total == 0),
@@ -314,7 +333,7 @@ def check_completeness(ctx: StageContext) -> CheckResult:
 def check_consistency(ctx: StageContext) -> CheckResult:
     """Per-column mismatch totals, the pair count and the first mismatching keys, in one action.
 
-    Totals and samples stand on the same per-key aggregate, whose exchange Spark reuses.
+    Where the stage's tagged aggregate has found no key whose rows differ, there is nothing to read.
     """
     key = list(ctx.spec.key)
     plan = C.plan_consistency(ctx.left, ctx.right, key)
@@ -322,8 +341,14 @@ def check_consistency(ctx: StageContext) -> CheckResult:
     per_col = {c: 0 for c in names}
     pairs = 0
     samples: list[str] = []
-    if names:
-        totals, keyed = C.consistency_parts(ctx.left, ctx.right, key, hot_key_rows=ctx.spec.hot_key_rows, max_hot_keys=ctx.spec.max_hot_keys)
+    found = _found(ctx) if ctx.stage_keys is not None and ctx.stage_keys.compares else None
+    hot = {"hot_key_rows": ctx.spec.hot_key_rows, "max_hot_keys": ctx.spec.max_hot_keys}
+    if found is not None:
+        pairs = found.totals["pairs"]
+        if found.totals["single"] + found.totals["multi"]:
+            per_col, samples = C.summary_with_samples(ctx.left, ctx.right, found, plan, ctx.spec.sample_size, **hot)
+    elif names:
+        totals, keyed = C.consistency_parts(ctx.left, ctx.right, key, **hot)
         none = F.lit(None)
         firsts = keyed.orderBy(*[qcol(k) for k in key], "column_name").limit(ctx.spec.sample_size)
         firsts = firsts.select(none.cast("string").alias("column_name"), none.cast("bigint").alias("mismatches"), none.cast("bigint").alias("pairs"), _json(keyed.columns).alias("_s"))
@@ -470,15 +495,14 @@ def stage_checks(spec: DatasetSpec, stage: Stage):
 def plan_profiles(ctx: StageContext, checks) -> None:
     """Register the aggregate values the chosen checks read, so each table is scanned once."""
     spec, right = ctx.spec, ctx.right
-    # source→staging: duplicates, completeness and consistency all need rows per key of both layers
+    # source→staging: counts, NULLs, duplicates, completeness and consistency come out of one aggregate by key
     shared = [c for c in (check_duplicates, check_completeness, check_consistency) if c in checks]
-    keys_present = all(k in ctx.left.columns and k in right.columns for k in spec.key)
-    if ctx.stage is Stage.SOURCE_TO_STAGING and len(shared) > 1 and keys_present:
-        ctx.key_counts = StageKeyCounts(ctx.left, right, spec.key)
-    if check_scd2_count in checks or (check_count in checks and ctx.key_counts is None):
+    if ctx.stage is Stage.SOURCE_TO_STAGING and len(shared) > 1 and StageKeys.usable(ctx.left, right, spec.key):
+        ctx.stage_keys = StageKeys(ctx, check_consistency in checks, spec.non_null_for(ctx.stage) if check_nulls in checks else ())
+    if check_scd2_count in checks or (check_count in checks and ctx.stage_keys is None):
         ctx.left_profile.need("_count", F.count(F.lit(1)))
         ctx.right_profile.need("_count", F.count(F.lit(1)))
-    if check_nulls in checks:
+    if check_nulls in checks and ctx.stage_keys is None:
         for c, e in V.null_or_blank_exprs(right, spec.non_null_for(ctx.stage)).items():
             ctx.right_profile.need(f"_null:{c}", e)
     if check_history in checks and spec.active_flag and spec.active_flag in right.columns:

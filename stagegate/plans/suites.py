@@ -42,18 +42,17 @@ def _run_all(planned: list[tuple[StageContext, list]], parallelism: int) -> list
     by side.  Shared per-table aggregates are computed once (the first check
     that needs one runs it, the others wait for its value).
     """
-    shared = [ctx.key_counts for ctx, _ in planned if ctx.key_counts is not None]
-    for kc in shared:  # per-key counts read by several checks: cached while they run
-        kc.persist()
-    try:
-        if parallelism <= 1:
-            return [[run_check(fn, ctx) for fn in checks] for ctx, checks in planned]
-        with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="stagegate-check") as pool:
-            futures = [[pool.submit(run_check, fn, ctx) for fn in checks] for ctx, checks in planned]
-            return [[f.result() for f in fs] for fs in futures]
-    finally:
-        for kc in shared:
-            kc.unpersist()
+    if parallelism <= 1:
+        return [[run_check(fn, ctx) for fn in checks] for ctx, checks in planned]
+    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="stagegate-check") as pool:
+        # a stage's aggregate by key goes first, and the checks that wait for it last
+        for ctx, _ in planned:
+            if ctx.stage_keys is not None:
+                pool.submit(ctx.stage_keys.found)
+        futures: list[list] = [[] for _ in planned]
+        for i, (ctx, checks) in sorted(enumerate(planned), key=lambda p: p[1][0].stage_keys is not None):
+            futures[i] = [pool.submit(run_check, fn, ctx) for fn in checks]
+        return [[f.result() for f in fs] for fs in futures]
 
 
 def run_stage(
