@@ -235,6 +235,27 @@ def q_suite_summary(spark, d):
     return summarize(testbed.suite_results(spark, d))
 
 
+def q_scd2_late_loads(spark, d):
+    return testbed.orders_scd2_late(_tgt(spark, d))
+
+
+def q_scd1_append_twice(spark, d):
+    return testbed.written_target(spark, _tgt(spark, d))
+
+
+def q_count_val_latest_partition(spark, d):
+    r = V.latest_batch_counts(_stg(spark, d), testbed.written_target(spark, _tgt(spark, d)))
+    return r.select("batch_value", "staging_count", "target_count", _status(F.col("staging_count") == F.col("target_count")))
+
+
+def q_config_layers(spark, d):
+    return testbed.config_layers(spark, d).select("dataset", "stage", "check", "status", "violation_count")
+
+
+def q_load_guards(spark, d):
+    return testbed.load_guards(spark, d)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {
         "schemachk": q_schemachk,
@@ -268,6 +289,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_rebuild": q_scd2_rebuild,
         "suite_results": q_suite_results,
         "suite_summary": q_suite_summary,
+        "scd2_late_loads": q_scd2_late_loads,
+        "scd1_append_twice": q_scd1_append_twice,
+        "count_val_latest_partition": q_count_val_latest_partition,
+        "config_layers": q_config_layers,
+        "load_guards": q_load_guards,
     }
     return out if extra is None else out | extra.queries()
 
@@ -466,5 +492,10 @@ FROM orders o LEFT JOIN chg c ON o.o_orderkey = c.o_orderkey""",
         "scd2_rebuild": _with(_TGT) + testbed.SCD2_MERGE_ORACLE,
         "suite_results": testbed.suite_oracle(_STG, _TGT, _SCD, _SCD2_STG),
         "suite_summary": testbed.summary_oracle(_STG, _TGT, _SCD, _SCD2_STG),
+        "scd2_late_loads": _with(_TGT) + testbed.SCD2_MERGE_ORACLE,
+        "scd1_append_twice": _with(_TGT) + "SELECT * FROM tgt",
+        "config_layers": testbed.config_layers_oracle(_STG, _TGT),
+        "load_guards": testbed.LOAD_GUARDS_ORACLE,
     }
+    out["count_val_latest_partition"] = out["count_val_latest_batch"]
     return out if extra is None else out | extra.oracle_sql()

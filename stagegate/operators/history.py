@@ -403,3 +403,118 @@ def merge_versions(
     versions = F.array(F.when(has_cur, cur_version), F.when(opens, new_version))
     merged = joined.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("_v")).select("_v.*")
     return rest.unionByName(merged)
+
+
+# ---------------------------------------------------------------- H6 (loads in any order)
+
+
+def insert_load(
+    history: DataFrame,
+    batch: DataFrame,
+    key: Sequence[str],
+    tracked: Sequence[str],
+    batch_start: str = "batch_date",
+    start_name: str = "effective_start_date",
+    end_name: str = "effective_end_date",
+    flag_name: str = "is_active",
+    active: str = "Y",
+    inactive: str = "N",
+    confirmed_name: str | None = "confirmed_dates",
+) -> DataFrame:
+    """Apply one load to a type-2 history, on time or late: only the neighbours of its place in each key change.
+
+    For each key of the load, ``at`` is its batch start.  The version whose interval holds ``at`` is cut
+    there if its tracked values differ (NULL-safely), the load's row becomes a version up to the next statement
+    about the key, and a neighbour after it that says the same is joined with it.  Versions of
+    other keys, and all but at most two versions of a key, pass through.
+
+    ``confirmed_name`` is an array column with the dates at which later loads repeated a version.  With it loads in
+    any order give the history that ``build_versions(..., tracked=tracked)`` gives over all of them (a late
+    row may stand between two loads that said the same).  Without it (None) such repeats are not
+    remembered, and a late row then holds up to the next version.
+
+    A key with several rows in the batch keeps its latest; a load that contradicts another of the same
+    date for a key fails the job (``raise_error``), for the two have no order; one that repeats it changes nothing.  Keys
+    match NULL-safely.  New versions take the other history columns that the batch carries; one that takes over from
+    a version after it has that version's closing date.  The rows of a key with very many versions are spread where they
+    meet the load, and the changed versions leave by (key, start), which is unique.
+    """
+    key, tracked = list(key), list(tracked)
+    types = {f.name: f.dataType for f in history.schema.fields}
+    special = [start_name, end_name, flag_name] + ([confirmed_name] if confirmed_name else [])
+    payload = [c for c in history.columns if c not in key + special]
+    carried = [c for c in payload if c in batch.columns and c not in tracked]
+    start_type = types[start_name]
+    latest = latest_per_key(batch.select(*[qcol(c) for c in key + tracked + carried], qcol(batch_start).cast(start_type).alias("_at")), key, ["_at"])
+
+    def packed(cols: Sequence[str], given: Sequence[str]) -> Column:
+        return F.struct(*[(qcol(c).cast(types[c]) if c in given else F.lit(None).cast(types[c])).alias(f"p{i}") for i, c in enumerate(cols)])
+
+    whole_key = F.struct(*[qcol(k).cast(types[k]).alias(f"k{i}") for i, k in enumerate(key)])  # NULL parts equal NULL parts
+    load = latest.select(whole_key.alias("_key"), "_at", packed(payload, tracked + carried).alias("_new"))
+    none = F.array().cast(T.ArrayType(start_type))
+    confirmed = F.coalesce(F.array_sort(qcol(confirmed_name)), none) if confirmed_name else none
+    version = F.struct(
+        qcol(start_name).alias("start"), qcol(end_name).cast(start_type).alias("stop"), packed(payload, payload).alias("p"), confirmed.alias("seen")
+    )
+    rows = history.select(whole_key.alias("_key"), version.alias("_v"))
+
+    # the version that holds the load's date and the next one, for each key of the load
+    counts = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).join(load.select("_key"), "_key", "left_semi")
+    met = join_key_stats(rows, load.select("_key", "_at"), ["_key"], counts, "_n")
+    before = F.col("_v.start") <= F.col("_at")
+    order = F.col("_v.start")
+    near = met.groupBy("_key").agg(F.max_by(F.when(before, F.col("_v")), F.when(before, order)).alias("_b"), F.min_by(F.when(~before, F.col("_v")), F.when(~before, order)).alias("_a"))
+    place = load.join(near, "_key", "left")
+    ensure_checkpoint_dir(history.sparkSession)
+    place = place.checkpoint()  # a row per key of the load; read for what leaves and for what comes
+
+    def same(a: str, b: str) -> Column:
+        cond = F.lit(True)
+        for c in tracked:
+            i = payload.index(c)
+            cond = cond & orderable(F.col(f"{a}.p{i}"), types[c]).eqNullSafe(orderable(F.col(f"{b}.p{i}"), types[c]))
+        return cond
+
+    at = F.col("_at")
+    has_b, has_a = F.col("_b").isNotNull(), F.col("_a").isNotNull()
+    repeats = has_b & same("_b.p", "_new")
+    named = (F.col("_b.start") == at) | F.array_contains("_b.seen", at)  # the date has a statement already
+    clash = F.raise_error(F.concat(F.lit("two loads of one date disagree for key "), F.to_json("_key")))
+    earlier = F.filter("_b.seen", lambda d: d < at)
+    later = F.filter("_b.seen", lambda d: d > at)
+    goes_on = has_b & (F.size(later) > 0)  # the cut version is stated again after the load
+    joins = ~goes_on & has_a & same("_a.p", "_new")
+    of = lambda start, stop, p, seen: F.struct(start.alias("start"), stop.alias("stop"), p.alias("p"), seen.alias("seen"))
+    b, a = F.col("_b"), F.col("_a")
+    # unchanged values: only the date is noted
+    noted = F.when(named, b["seen"]).otherwise(F.array_sort(F.concat(b["seen"], F.array(at))))
+    unchanged = F.array(of(b["start"], b["stop"], b["p"], noted if confirmed_name else none))
+    cut = F.when(has_b, of(b["start"], at, b["p"], earlier))
+    until = F.when(goes_on, F.get(later, F.lit(0))).when(joins, a["stop"]).otherwise(F.coalesce(b["stop"], a["start"]))
+    new_seen = F.when(joins, F.concat(F.array(a["start"]), a["seen"])).otherwise(none) if confirmed_name else none
+    new = of(at, until, F.col("_new"), new_seen)
+    again = F.when(goes_on, of(F.get(later, F.lit(0)), b["stop"], b["p"], F.slice(later, F.lit(2), F.greatest(F.size(later) - 1, F.lit(0)))))
+    after = F.when(has_a & ~joins, a)
+    changed = F.array_compact(F.array(cut, new, again, after))
+    result = F.when(repeats, F.array_compact(F.array(unchanged[0], F.when(has_a, a)))).when(has_b & named, F.array(clash.cast(rows.schema["_v"].dataType))).otherwise(changed)
+    came = place.select("_key", F.explode(result).alias("_v"))
+    left = place.select("_key", F.explode(F.array_compact(F.array(F.col("_b.start"), F.col("_a.start")))).alias("_s"))
+    rest = history.withColumns({"_key": whole_key, "_s": qcol(start_name)}).join(left, ["_key", "_s"], "left_anti")
+
+    out = []
+    for c in history.columns:
+        if c in key:
+            e = F.col(f"_key.k{key.index(c)}")
+        elif c == start_name:
+            e = F.col("_v.start")
+        elif c == end_name:
+            e = F.col("_v.stop").cast(types[c])
+        elif c == flag_name:
+            e = F.when(F.col("_v.stop").isNull(), F.lit(active)).otherwise(F.lit(inactive)).cast(types[c])
+        elif c == confirmed_name:
+            e = F.col("_v.seen")
+        else:
+            e = F.col(f"_v.p.p{payload.index(c)}")
+        out.append(e.alias(c))
+    return rest.select(*[qcol(c) for c in history.columns]).unionByName(came.select(*out))

@@ -168,7 +168,9 @@ class StageKeys:
         self.left, self.right, self.key = ctx.left, ctx.right, list(ctx.spec.key)
         types = {f.name: f.dataType for f in self.right.schema.fields}
         self.counters = {c: is_null_or_blank(qcol(c), types[c]) for c in null_columns if c in types}
-        self.plan = C.plan_consistency(self.left, self.right, self.key) if compare else None
+        if ctx.spec.unparsable_column in types:
+            self.counters[_UNPARSABLE] = qcol(ctx.spec.unparsable_column).isNotNull()
+        self.plan = C.plan_consistency(self.left, self.right, self.key, compared_columns(ctx)) if compare else None
         self._found: layerkeys.KeyFindings | None = None
         self._failed = False
         self._lock = threading.Lock()
@@ -240,20 +242,38 @@ def _status(ok: bool) -> str:
     return SUCCESS if ok else FAIL
 
 
+# name of the count of rows that do not parse
+_UNPARSABLE = "_unparsable"
+
+
+def compared_columns(ctx: StageContext) -> list[str] | None:
+    """The columns that consistency compares: all, but for the text of rows that do not parse."""
+    c = ctx.spec.unparsable_column
+    return [x for x in ctx.left.columns if x != c] if c in ctx.left.columns else None
+
+
 # ---------------------------------------------------------------- checks
 
 
 def check_schema(ctx: StageContext) -> CheckResult:
+    """Issues of the schema; for a layer read as declared also the rows that do not parse."""
     expected = ctx.spec.expected_schema_for(ctx.stage)
     if expected is None:
         return CheckResult(SCHEMA, SUCCESS, 0, details="no expected schema declared")
-    issues = compare_schemas(ctx.right.schema, expected, ctx.spec.check_nullable)
+    own = T.StructType([f for f in ctx.right.schema.fields if f.name != ctx.spec.unparsable_column])
+    issues = compare_schemas(own, expected, ctx.spec.check_nullable)
     msgs = [i.message() for i in issues]
+    metrics, bad = {"issues": len(issues)}, 0
+    if ctx.spec.unparsable_column in ctx.right.columns:
+        found = _found(ctx)
+        bad = int(found.totals[f"counter:{_UNPARSABLE}"] if found is not None else ctx.right_profile.get(_UNPARSABLE))
+        metrics["unparsable_rows"] = bad
+        msgs += [f"{bad} row(s) do not parse as declared"] if bad else []
     return CheckResult(
         SCHEMA,
-        _status(not issues),
-        len(issues),
-        {"issues": len(issues)},
+        _status(not msgs),
+        len(issues) + bad,
+        metrics,
         msgs[: ctx.spec.sample_size],
         "; ".join(msgs) if msgs else "schema is valid",
     )
@@ -336,7 +356,7 @@ def check_consistency(ctx: StageContext) -> CheckResult:
     Where the stage's tagged aggregate has found no key whose rows differ, there is nothing to read.
     """
     key = list(ctx.spec.key)
-    plan = C.plan_consistency(ctx.left, ctx.right, key)
+    plan = C.plan_consistency(ctx.left, ctx.right, key, compared_columns(ctx))
     names = [p.name for p in plan.compared]
     per_col = {c: 0 for c in names}
     pairs = 0
@@ -348,7 +368,7 @@ def check_consistency(ctx: StageContext) -> CheckResult:
         if found.totals["single"] + found.totals["multi"]:
             per_col, samples = C.summary_with_samples(ctx.left, ctx.right, found, plan, ctx.spec.sample_size, **hot)
     elif names:
-        totals, keyed = C.consistency_parts(ctx.left, ctx.right, key, **hot)
+        totals, keyed = C.consistency_parts(ctx.left, ctx.right, key, compared_columns(ctx), **hot)
         none = F.lit(None)
         firsts = keyed.orderBy(*[qcol(k) for k in key], "column_name").limit(ctx.spec.sample_size)
         firsts = firsts.select(none.cast("string").alias("column_name"), none.cast("bigint").alias("mismatches"), none.cast("bigint").alias("pairs"), _json(keyed.columns).alias("_s"))
@@ -505,6 +525,8 @@ def plan_profiles(ctx: StageContext, checks) -> None:
     if check_nulls in checks and ctx.stage_keys is None:
         for c, e in V.null_or_blank_exprs(right, spec.non_null_for(ctx.stage)).items():
             ctx.right_profile.need(f"_null:{c}", e)
+    if check_schema in checks and spec.unparsable_column in right.columns:
+        ctx.right_profile.need(_UNPARSABLE, F.count_if(qcol(spec.unparsable_column).isNotNull()))
     if check_history in checks and spec.active_flag and spec.active_flag in right.columns:
         f = qcol(spec.active_flag)
         ctx.right_profile.need("_inactive", F.count_if(_is_inactive(f, spec.inactive_values)))

@@ -17,8 +17,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.history import merge_versions, scd2_load
-from ..sources import seeded
+from ..operators.history import insert_load, merge_versions, scd2_load
+from ..session import shared_folder
+from ..sources import seeded, sinks
+from ..sources.config import validate_dataset
 from ..sources.readers import persisted
 from ..spec import DatasetSpec, Lookup, Mode, Rule, ScdType, Stage, parse_expected_schema
 from .suites import run_suite
@@ -120,6 +122,99 @@ def orders_scd2_incremental(target: DataFrame) -> DataFrame:
     return history
 
 
+# the order in which the late-load query gets the loads
+LATE_ORDER = (seeded.LOAD_DATES[0], seeded.LOAD_DATES[2], seeded.LOAD_DATES[1])
+
+
+def orders_scd2_late(target: DataFrame) -> DataFrame:
+    """The three ``target`` loads applied out of order: the same history as in order."""
+    cols = ["o_orderkey", "o_custkey", "o_totalprice"]
+    load = lambda d: target.where(F.col("batch_date") == F.lit(d)).select(*cols, "batch_date")
+    none = F.array().cast("array<date>")
+    history = scd2_load(load(LATE_ORDER[0]).drop("batch_date"), LATE_ORDER[0]).withColumn("confirmed_dates", none)
+    for d in LATE_ORDER[1:]:
+        history = insert_load(history, load(d), ["o_orderkey"], ["o_custkey", "o_totalprice"])
+    return history.drop("confirmed_dates")
+
+
+def written_target(spark: SparkSession, target: DataFrame) -> DataFrame:
+    """``target`` written load by load into a table partitioned by batch, the last load twice, and read back."""
+    path = f"{shared_folder(spark, 'target')}/orders"
+    for d in (*seeded.LOAD_DATES, seeded.LOAD_DATES[-1]):
+        sinks.write_load(target.where(F.col("batch_date") == F.lit(d)), path)
+    return sinks.read_batches(spark, path, target)
+
+
+# every so many orders the staging CSV holds a price that is no number
+UNPARSABLE_PRICE = (60, 1)
+
+CSV_SCHEMA = [
+    {"name": "o_orderkey", "type": "bigint"},
+    {"name": "o_custkey", "type": "bigint"},
+    {"name": "o_orderstatus", "type": "StringType"},
+    {"name": "o_totalprice", "type": "double"},
+    {"name": "o_orderdate", "type": "timestamp_ntz"},
+    {"name": "o_orderpriority", "type": "StringType"},
+    {"name": "batch_date", "type": "date"},
+]
+
+
+def orders_files(spark: SparkSession, sf_dir: str) -> dict:
+    """File config of ``orders`` over three unlike layers: the given table, a staging CSV and a target partitioned by batch."""
+    orders = seeded.table(spark, sf_dir, "orders")
+    staging, target = seeded.staging(orders), seeded.target(orders)
+    folder = shared_folder(spark, "layers")
+    m, r = UNPARSABLE_PRICE
+    text = F.when(F.col("o_orderkey") % m == r, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    staging.withColumn("o_totalprice", text).write.options(header="true", **keep).csv(f"{folder}/staging.csv")
+    sinks.write_load(target, f"{folder}/target.parquet")
+    return {
+        "orders": {
+            "src_file_path": f"{sf_dir}/orders.parquet",
+            "stg_file_path": f"{folder}/staging.csv",
+            "trgt_file_path": f"{folder}/target.parquet",
+            "read_schema": "declared",
+            "primary_key": ["o_orderkey"],
+            "non_nullable": {"source_to_staging": ["o_orderkey", "o_orderpriority"], "staging_to_target": ["o_orderkey", "o_custkey"]},
+            "lookup": {"lookup_file": "customer", "lookup_column": "c_custkey", "target_column": "o_custkey"},
+            "rules": [{"name": "non_negative_price", "violation": "o_totalprice < 0", "requires": ["o_totalprice"]}],
+        },
+        "customer": {"trgt_file_path": f"{sf_dir}/customer.parquet", "primary_key": ["c_custkey"]},
+    }
+
+
+def config_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result rows of the dataset driver over those layers; the staging CSV is read as declared."""
+    return validate_dataset(spark, "orders", orders_files(spark, sf_dir), {"orders": {"staging": CSV_SCHEMA}})
+
+
+def load_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the dataset driver reports for a good load, an empty layer, a missing file and a layer without a path.
+
+    A row per result: dataset, stage, check, status, the kind of error, and the rows counted.
+    """
+    path = f"{sf_dir}/orders.parquet"
+    folder = shared_folder(spark, "guards")
+    seeded.table(spark, sf_dir, "orders").where("o_orderkey IS NULL").write.parquet(f"{folder}/empty.parquet")
+    entry = lambda staging: {"src_file_path": path, "stg_file_path": staging, "primary_key": ["o_orderkey"]}
+    files = {"good": entry(path), "empty": entry(f"{folder}/empty.parquet"), "gone": entry(f"{folder}/gone.parquet"), "unnamed": entry(None)}
+    results = [validate_dataset(spark, name, files, mode=Mode.SOURCE_TO_STAGING) for name in files]
+    rows = results[0]
+    for r in results[1:]:
+        rows = rows.unionByName(r)
+    error = F.when(F.col("status") == "Error", F.regexp_extract("details", "^([A-Za-z]+):", 1))
+    return rows.select("dataset", "stage", "check", "status", error.alias("error"), F.try_element_at("metrics", F.lit("target_count")).alias("n_rows"))
+
+
+LOAD_GUARDS_ORACLE = """SELECT 'good' AS dataset, 'source_to_staging' AS stage, c AS "check", 'Success' AS status, CAST(NULL AS VARCHAR) AS error,
+       CASE WHEN c = 'count_val' THEN (SELECT count(*) FROM orders) END AS n_rows
+FROM (VALUES ('schemachk'), ('count_val'), ('null_val'), ('primary_key_val'), ('data_completeness'), ('data_consistency')) AS t(c)
+UNION ALL
+SELECT d, 'load', 'load', 'Error', e, NULL
+FROM (VALUES ('empty', 'EmptyLayerError'), ('gone', 'AnalysisException'), ('unnamed', 'ValueError')) AS t(d, e)"""
+
+
 def _merge_step(prev: str, load: str, name: str) -> str:
     return f"""
 c_{name} AS (
@@ -167,6 +262,20 @@ def suite_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SCHEMA_ISSUES = {"orders_s2s": 6, "orders_s2t": 2, "events_s2t": 1}
 
 
+def config_layers_oracle(stg: str, tgt: str) -> str:
+    """The orders rows over a staging layer whose unparsable prices are NULL."""
+    m, r = UNPARSABLE_PRICE
+    columns = "o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority, batch_date"
+    damaged = f"csv AS (SELECT {columns}, CASE WHEN o_orderkey % {m} = {r} THEN NULL ELSE o_totalprice END AS o_totalprice FROM stg)"
+    rows = [x.replace("FROM stg", "FROM csv").replace("JOIN stg", "JOIN csv") for x in _suite_union(stg, tgt, "", "").split("\nUNION ALL\n") if "'orders' AS dataset" in x]
+    schema = [
+        f"SELECT 'orders' AS dataset, 'source_to_staging' AS stage, 'schemachk' AS \"check\", CASE WHEN n = 0 THEN 'Success' ELSE 'Fail' END AS status, CAST(n AS BIGINT) AS violation_count"
+        f" FROM (SELECT count(*) AS n FROM stg WHERE o_orderkey % {m} = {r})",
+        "SELECT 'orders', 'staging_to_target', 'schemachk', 'Success', CAST(0 AS BIGINT)",
+    ]
+    return "WITH " + ",".join([stg, tgt, damaged]) + "\n" + "\nUNION ALL\n".join(schema + [x for x in rows if "'schemachk'" not in x])
+
+
 def _suite_union(stg: str, tgt: str, scd: str, scd2_stg: str) -> str:
     def row(ds, stage, check, status_ok, n):
         return (

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +66,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="stagegate-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder path below the session's checkpoint folder, which driver and executors share.
+
+    It is removed when the driver's JVM ends: results that read it are lazy, so it must outlive the call that wrote it.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)  # only what exists can be marked
+    fs.deleteOnExit(path)
+    return folder

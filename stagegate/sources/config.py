@@ -16,7 +16,9 @@ The file layout follows the original framework's two JSON documents:
 
     {"orders_data": {"staging": [{"name": ..., "type": "IntegerType", "nullable": false}, ...], "target": [...]}}
 
-Optional extra keys: ``format``, ``read_options``, ``cache``, ``batch_column``,
+Optional extra keys: ``format``, ``read_options``, ``read_schema`` (``"declared"``: CSV layers are read with the
+schema that the schema config declares for them, ``source`` included, instead of an inferred one, and rows that do not
+parse count as violations of ``schemachk``), ``cache``, ``batch_column``,
 ``active_values``, ``inactive_values``, ``check_nullable``, ``sample_size``,
 ``hot_key_rows``, ``max_hot_keys`` and ``rules`` (``[{"name", "violation", "requires"}]``).  When ``rules`` is absent
 the original non-negative ``amount`` rule applies.
@@ -31,11 +33,12 @@ from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..plans.checks import ERROR, RESULT_SCHEMA
 from ..plans.suites import run_suite
 from ..spec import NON_NEGATIVE_AMOUNT, DatasetSpec, Lookup, Mode, Rule, parse_expected_schema, parse_mode
-from .readers import load_layers, persisted, read_lookup
+from .readers import UNPARSABLE, load_layers, persisted, read_lookup
 
 
 # Keys of a dataset entry in the file config.
@@ -46,6 +49,8 @@ SCD_TYPE, ACTIVE_FLAG = "scd_type", "active_flag_column"
 LOOKUP, LOOKUP_DATASET, LOOKUP_COLUMN, LOOKUP_TARGET = "lookup", "lookup_file", "lookup_column", "target_column"
 # and of a dataset entry in the schema config
 STAGING_SCHEMA, TARGET_SCHEMA = "staging", "target"
+# ours: how CSV layers get their types
+READ_SCHEMA = "read_schema"
 
 
 def _load_json(value: Mapping | str | Path) -> dict:
@@ -65,6 +70,7 @@ class DatasetConfig:
     lookup_fmt: str | None
     persist: bool = False
     lookup_options: dict[str, str] = dataclasses.field(default_factory=dict)
+    declared: dict[str, T.StructType] | None = None
 
 
 def dataset_config(name: str, file_config: Mapping | str | Path, schema_config: Mapping | str | Path | None = None) -> DatasetConfig:
@@ -75,6 +81,10 @@ def dataset_config(name: str, file_config: Mapping | str | Path, schema_config:
     info = files[name]
     non_null = info.get(NON_NULL_FLAT, info.get(NON_NULL_BY_STAGE, {}))
     sch = schemas.get(name, {})
+    declares = info.get(READ_SCHEMA, "inferred")
+    if declares not in ("inferred", "declared"):
+        raise ValueError(f"{READ_SCHEMA} must be 'inferred' or 'declared', not {declares!r}")
+    declares = declares == "declared"
     rules = (
         tuple(Rule(r["name"], r["violation"], tuple(r.get("requires", ()))) for r in info["rules"])
         if "rules" in info
@@ -107,11 +117,13 @@ def dataset_config(name: str, file_config: Mapping | str | Path, schema_config:
         sample_size=int(info.get("sample_size", 10)),
         hot_key_rows=int(info.get("hot_key_rows", 100_000)),
         max_hot_keys=int(info.get("max_hot_keys", 100_000)),
+        unparsable_column=UNPARSABLE if declares else None,
     )
     paths = {"source": info.get(SOURCE_PATH), "staging": info.get(STAGING_PATH), "target": info.get(TARGET_PATH)}
     return DatasetConfig(
         spec, paths, info.get("format"), dict(info.get("read_options", {})), lookup_path, lookup_fmt,
         bool(info.get("cache", False)), lookup_options,
+        {layer: parse_expected_schema(sch[layer]) for layer in ("source", STAGING_SCHEMA, TARGET_SCHEMA) if layer in sch} if declares else None,
     )
 
 
@@ -136,7 +148,7 @@ def validate_dataset(
     """
     mode = parse_mode(mode)
     cfg = dataset_config(name, file_config, schema_config)
-    loaded = load_layers(spark, cfg.paths, mode, cfg.fmt, options=cfg.read_options)
+    loaded = load_layers(spark, cfg.paths, mode, cfg.fmt, options=cfg.read_options, declared=cfg.declared)
     if not loaded.ok:
         row = (name, "load", 0, "load", ERROR, None, {}, [], loaded.error)
         return spark.createDataFrame([row], RESULT_SCHEMA)
@@ -147,7 +159,7 @@ def validate_dataset(
             # a missing path or column or an empty file fails here, not inside the check
             table = read_lookup(spark, cfg.lookup_path, spec.lookup.lookup_column, cfg.lookup_fmt, cfg.lookup_options)
         except Exception as exc:
-            error = f"{type(exc).__name__}: {(str(exc).splitlines() or [''])[0]}"
+            error = f"{type(exc).__name__}: {exc}"
         spec = dataclasses.replace(spec, lookup=dataclasses.replace(spec.lookup, table=table, error=error))
     layers = [df for df in (loaded.source, loaded.staging, loaded.target) if df is not None]
     with persisted(*(layers if persist or cfg.persist else [])):

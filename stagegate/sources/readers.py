@@ -5,7 +5,8 @@
   ``hdfs://``/``s3a://`` URIs, directories and globs all work; a missing path
   surfaces as Spark's own ``PATH_NOT_FOUND`` error.
 * CSV is read with a header; the schema is inferred only when none is given
-  (inference costs an extra pass over the file).
+  (inference costs an extra pass over the file).  ``read_declared`` applies a declared schema by column
+  name: no pass for inference, and rows that do not parse are kept, with their text in a column of its own.
 * An empty layer is an error, detected with ``DataFrame.isEmpty`` (a ``limit 1``
   job in the JVM; header-only and zero-byte files are both empty).
 * ``load_layers`` reads the layers a mode needs (staging once for ``both``) and
@@ -20,6 +21,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.predicates import qcol
@@ -70,6 +72,32 @@ def read_layer(
     return reader.options(**opts).load(path)
 
 
+# the column that holds the text of a CSV row that does not parse as declared
+UNPARSABLE = "_unparsable_record"
+
+
+def read_declared(spark: SparkSession, path: str, declared: T.StructType, options: Mapping[str, str] | None = None) -> DataFrame:
+    """CSV rows read with the declared types, in the order of the file's header.
+
+    Only the header is looked at beforehand.  A column that is not declared is text; a declared one that the
+    file lacks is absent, as ``schemachk`` reports.  A row with a value that does not fit its type, or with too few or too many values, is
+    kept: the values that do not parse are NULL and ``UNPARSABLE`` holds the row's text (NULL for other rows).
+    Files of one layer whose headers differ are an error.
+    """
+    opts = {"header": "true", **(options or {})}
+    header = spark.read.options(**opts).csv(path).columns
+    if UNPARSABLE in header:
+        raise ValueError(f"a column is named {UNPARSABLE}")
+    types = {f.name: f.dataType for f in declared.fields}
+    fields = [T.StructField(c, types.get(c, T.StringType())) for c in header]
+    schema = T.StructType([*fields, T.StructField(UNPARSABLE, T.StringType())])
+    opts |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNPARSABLE, "enforceSchema": "false"}
+    rows = spark.read.schema(schema).options(**opts).csv(path)
+    # Spark parses the columns that a query reads: nothing of each is appended, so that all are read with this one
+    nothing = F.substring(F.concat_ws("", *[qcol(c).cast("string") for c in header]), 1, 0)
+    return rows.select(*[qcol(c) for c in header], F.concat(F.col(UNPARSABLE), nothing).alias(UNPARSABLE))
+
+
 def ensure_not_empty(df: DataFrame, name: str) -> DataFrame:
     if df.isEmpty():
         raise EmptyLayerError(f"{name} layer is empty")
@@ -103,18 +131,26 @@ def load_layers(
     schemas: Mapping[str, T.StructType | str] | None = None,
     options: Mapping[str, str] | None = None,
     check_empty: bool = True,
+    declared: Mapping[str, T.StructType | None] | None = None,
 ) -> LoadResult:
-    """Read the layers ``mode`` needs from ``paths`` (keys ``source``/``staging``/``target``)."""
+    """Read the layers ``mode`` needs from ``paths`` (keys ``source``/``staging``/``target``).
+
+    A CSV layer with a schema in ``declared`` is read by ``read_declared``.
+    """
     mode = parse_mode(mode)
     layers: dict[str, DataFrame] = {}
     try:
         for layer in mode.layers:
             if layer not in paths or not paths[layer]:
                 raise ValueError(f"no path configured for the {layer} layer")
-            df = read_layer(spark, paths[layer], fmt, (schemas or {}).get(layer), options)
+            wanted = (declared or {}).get(layer)
+            if wanted is not None and (fmt or infer_format(paths[layer])) == "csv":
+                df = read_declared(spark, paths[layer], wanted, options)
+            else:
+                df = read_layer(spark, paths[layer], fmt, (schemas or {}).get(layer), options)
             layers[layer] = ensure_not_empty(df, layer) if check_empty else df
     except Exception as exc:
-        return LoadResult(False, {}, f"{type(exc).__name__}: {(str(exc).splitlines() or [''])[0]}")
+        return LoadResult(False, {}, f"{type(exc).__name__}: {exc}")
     return LoadResult(True, layers)
 
 

@@ -178,6 +178,8 @@ class DatasetSpec:
     # bounded broadcast instead of a key-partitioned shuffle (see operators/skew.py)
     hot_key_rows: int = 100_000
     max_hot_keys: int = 100_000
+    # column of CSV layers with the text of rows that do not parse as declared (see sources/readers.py); not data
+    unparsable_column: str | None = None
 
     def __post_init__(self):
         if isinstance(self.key, str):
