@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..functions.predicates import free_names
+from ..session import shared_folder as _shared_folder
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one in ``spark.checkpoint.dir``, which driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    """A new folder below the one in ``spark.checkpoint.dir``, which driver and executors share; it goes with the driver's JVM."""
+    return _shared_folder(spark, f"llm-{name}")
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
@@ -25,7 +23,7 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 
 class Scratch:
-    """Tables of one operator run, kept in the shared folder until ``close``."""
+    """Tables of one operator run, kept in the shared folder until ``close`` or the end of the driver's JVM."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, shared_folder(spark, name), 0
@@ -75,3 +73,22 @@ class WordHashes(dict):
 def ascii_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, as UTF-8."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def row_keys(docs: DataFrame, id_col: str, scratch: Scratch) -> tuple[DataFrame, str]:
+    """``docs`` with a column of long keys, one a row, and that column's name.
+
+    It is the id where each row has one of its own (and then nothing is added or written).  Else rows without an id and
+    rows that share one get numbers above all ids, in a table written for it, so that each row counts for itself.
+    """
+    ident = F.col(f"`{id_col}`").cast("long")
+    shared = docs.where(ident.isNotNull()).groupBy(ident.alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id")
+    shared = scratch.table(shared)
+    if shared.isEmpty() and docs.where(ident.isNull()).isEmpty():
+        return docs, id_col
+    (key,) = free_names(docs.columns, "_row")
+    top = docs.select(F.coalesce(F.max(ident), F.lit(0))).first()[0]
+    rows = docs.withColumn(key, F.monotonically_increasing_id() + F.lit(top + 1))
+    # both sides are written tables, so that Spark can split a shared id that very many rows have
+    rows = scratch.table(rows).join(shared, ident == F.col("_id"), "left")
+    return scratch.table(rows.withColumn(key, F.when(ident.isNotNull() & F.col("_id").isNull(), ident).otherwise(F.col(key))).drop("_id")), key

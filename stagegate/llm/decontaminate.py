@@ -17,10 +17,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, row_keys
 
 # A-Z and their lower case
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -172,25 +172,48 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = 80, size: int = 5,
     rows = with_shingles(texts, "text", size)
     probes = _blocks(_windows(rows, ["doc"], sizes), radius)
     close = probes.join(index, ["w", "block", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-    # moved text may stand anywhere in a passage: all item-sized windows around the place found
-    begins = F.sequence(F.greatest(F.col("at") + F.col("w") - F.col("item_n"), F.lit(0)), F.col("at"))
-    starts = close.select("doc", "item", "at", "w", "item_n").distinct().select("doc", "item", F.explode(begins).alias("start"))
-    found = scratch.table(starts.groupBy("doc", "item").agg(F.collect_set("start").alias("starts")))
-
-    few = with_shingles(texts.join(found.select("doc").distinct(), "doc", "left_semi"), "text", size)
-    near = found.join(few, "doc").join(wanted.drop("w").withColumnRenamed("s", "t"), "item")
-    tried = near.select("doc", "item", "n", "t", F.explode("starts").alias("start"), "s").where(F.col("start") < F.size("s"))
-    tried = tried.select("doc", "item", "n", "t", "start", F.slice("s", F.col("start") + 1, F.col("n")).alias("p"))
-    tried = tried.dropDuplicates(["doc", "item", "start", "p"])
-    # weighted Jaccard: the sum of least counts over the sum of greatest counts
-    count = lambda a, x: F.size(F.filter(a, lambda y: y == x))
-    common = F.aggregate(F.array_intersect("t", "p"), F.lit(0), lambda acc, x: acc + F.least(count(F.col("t"), x), count(F.col("p"), x)))
-    scored = tried.withColumn("common", common).withColumn("both", F.size("t") + F.size("p") - F.col("common")).where(F.col("common") * 100 >= F.col("both") * percent)
-    best = scored.groupBy("doc", "item").agg(F.max(F.struct((F.col("common") / F.col("both")).alias("similarity"), (-F.col("start")).alias("s"), (F.size("p") + size - 1).alias("words"))).alias("b"))
+    pairs = scratch.table(close.select("doc", "item").distinct())
+    best = _best_passages(texts, wanted.drop("w"), pairs, percent, size, scratch)
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.similarity", (-F.col("b.s")).alias("start"), "b.words")
 
 
+def _best_passages(texts: DataFrame, wanted: DataFrame, pairs: DataFrame, percent: int, size: int, scratch: Scratch) -> DataFrame:
+    """(doc, item, b: similarity, -start, words) of the best window of the item's size in the whole text, for ``pairs`` that have one.
+
+    A window's weighted Jaccard is the sum of least counts over the sum of greatest ones.  As the window slides, an occurrence of a
+    shingle that the item holds c times counts from where it enters until it leaves, but not while c
+    earlier ones are in the window.  So it adds one at one start and takes it away at another, and the running sum of
+    these steps is the count at every start: a text costs its length, however long the item.
+    """
+    few = with_shingles(texts.join(pairs.select("doc").distinct(), "doc", "left_semi"), "text", size)
+    # rows that share an id are texts of their own; equal rows fall together in the sets of places
+    words = few.select("doc", F.xxhash64("s").alias("text"), F.size("s").alias("size"), F.posexplode("s").alias("pos", "x"))
+    counts = wanted.select("item", F.xxhash64("s").alias("version"), "n", F.explode("s").alias("x"))
+    counts = scratch.table(counts.groupBy("item", "version", "n", "x").agg(F.count(F.lit(1)).cast("int").alias("c")))
+    window = ["doc", "text", "size", "item", "version", "n"]
+    places = words.join(pairs.join(counts, "item"), ["doc", "x"]).groupBy(*window, "x", "c").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+
+    def steps(p: Column, i: Column) -> Column:
+        enters = F.greatest(p - F.col("n") + 1, F.coalesce(F.get("at", i - F.col("c")) + 1, F.lit(0)), F.lit(0))
+        return F.array(F.struct(enters.alias("start"), F.lit(1).alias("d")), F.struct((p + 1).alias("start"), F.lit(-1).alias("d")))
+
+    moves = places.select(*window, F.inline(F.flatten(F.transform("at", steps)))).groupBy(*window, "start").agg(F.sum("d").alias("d"))
+    order = Window.partitionBy(*window).orderBy("start")
+    held = moves.select(*window, "start", F.sum("d").over(order).alias("common"), F.lead("start").over(order).alias("next"))
+    # the count holds up to the next step; where the text ends inside the window, it is shortest at the last start
+    last = F.least(F.coalesce("next", "size"), F.col("size")) - 1
+    starts = F.when((last > F.col("start")) & (last > F.col("size") - F.col("n")), F.array("start", last)).otherwise(F.array("start"))
+    tried = held.where("common > 0 AND start < size").withColumn("start", F.explode(starts))
+    tried = tried.withColumn("length", F.least("n", F.col("size") - F.col("start"))).withColumn("both", F.col("n") + F.col("length") - F.col("common"))
+    scored = tried.where(F.col("common") * 100 >= F.col("both") * percent)
+    one = F.struct((F.col("common") / F.col("both")).alias("similarity"), (-F.col("start")).alias("s"), (F.col("length") + size - 1).alias("words"))
+    return scored.groupBy("doc", "item").agg(F.max(one).alias("b"))
+
+
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a passage of an item; all columns, rows without an id stay."""
-    id_col = options.get("id_col", "doc_id")
-    return docs.join(matches(docs, items, **options).select(id_col).distinct(), id_col, "left_anti").select(docs.columns)
+    """``docs`` without the rows that hold a passage of an item; all columns.  A row without an id is examined like any other."""
+    id_col = options.pop("id_col", "doc_id")
+    keyed, key = row_keys(docs, id_col, Scratch(docs.sparkSession, "clean"))
+    held = matches(keyed, items, id_col=key, **options).select(F.col(f"`{key}`").alias("_held")).distinct()
+    left = keyed.join(held, keyed[key] == held["_held"], "left_anti")
+    return left if key == id_col else left.drop(key)

@@ -18,6 +18,7 @@ rarest are so many that one of them must be shared; pairs that share none of the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, WordHashes, ascii_words, mix64
+from .common import Scratch, WordHashes, ascii_words, mix64, row_keys
 from .components import connected_components
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
@@ -167,7 +168,12 @@ def _sizes_fit(x, y, percent: int):
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: int = 24, rows: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bands_for(percent: int, rows: int, miss: float = 1.4e-5) -> int:
+    """Bands of ``rows`` values so that a pair at the threshold shares none with a probability of at most ``miss`` (24 at 85, 37 at 80, for 6 rows)."""
+    return math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows)) if percent < 100 else 1
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: int | None = None, rows: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document with its near-duplicate component: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked if 100 * |A & B| >= percent * |A | B| for their sets
@@ -180,6 +186,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: in
     one document with the links of each.  An empty table gives none.
     """
     spark = docs.sparkSession
+    bands = bands or bands_for(percent, rows)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scratch = Scratch(spark, "minhash")
     sketches = scratch.table(sketch(own, size, bands, rows))
@@ -227,14 +234,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: in
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of each component, that of its least id, with all columns; rows without an id stay.
+    """One row of each component, that of its least id, with all columns.
 
-    Of several rows with that id one stays, whichever Spark meets first.
+    Each row is a document of its own: rows without an id, and rows that share one, come after all others, so a
+    copy without an id goes and the text that it copies stays; of copies without ids one stays.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone_id")).distinct()
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    left = docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
-    if repeated.isEmpty():
-        return left
-    return left.where(F.col(id_col).isNull()).unionByName(left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    keyed, key = row_keys(docs, id_col, Scratch(docs.sparkSession, "keep"))
+    found = near_duplicates(keyed, id_col=key, text_col=text_col, **options)
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone_id"))
+    left = keyed.join(gone, keyed[key] == gone["_gone_id"], "left_anti")
+    return left if key == id_col else left.drop(key)

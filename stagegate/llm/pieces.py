@@ -2,7 +2,8 @@
 
 A text is cut where the tokenizer's own pre-tokenisation cuts it in any context,
 so the ids of the pieces, joined, are the ids of the text.  The library encodes
-each new piece once per worker; texts that cannot be cut safely are encoded whole.
+each new piece once per worker; texts that cannot be cut safely, and those that hold the string of
+an added token (which the library gives one id wherever it stands), are encoded whole.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) if added else "(?!)")
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.limit, self.known = limit, {"": b""}
         # byte-level BPE keeps white space; the word vocabulary drops it
@@ -45,12 +47,13 @@ class PieceEncoder:
     def _learn(self, pieces: set[str]) -> None:
         """Ids of new pieces: a word and the marks after it apart, new words some thousands a call."""
         known, ending = self.known, []
-        for p in pieces:
+        whole = {p for p in pieces if self.added.search(p)}
+        for p in pieces - whole:
             core = p.rstrip(_MARKS)
-            if core != p and core.strip(" ").isalpha():
+            if core != p and core.removeprefix(" ").isalpha():
                 ending.append((p, core, p[len(core) :]))
         wanted = pieces.difference([p for p, _, _ in ending]).union(x for _, *two in ending for x in two if x not in known)
-        plain = [p for p in wanted if _PLAIN.fullmatch(p)]
+        plain = [p for p in wanted - whole if _PLAIN.fullmatch(p)]
         for lo in range(0, len(plain), 4096):
             part = plain[lo : lo + 4096]
             ids = np.array(self._ids(self.between.join(part)), self.dtype)
@@ -68,6 +71,8 @@ class PieceEncoder:
             known[p] = known[core] + known[marks]
 
     def _cut(self, text: str) -> list[str]:
+        if self.added.search(text):
+            return [text]
         if self.drops_space:
             return text.replace("\n", " ").split(" ")
         if any(x in text for x in _ODD):

@@ -48,7 +48,8 @@ BASE_RULES = (
 )
 # Further public formats of credentials
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    # up to the END line, over nothing but base64, headers and white space; without one the key's lines as far as they go
+    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[A-Za-z0-9+/=:,\x5C\x20\x09-\x0D-]*?-----END (?:[A-Z]+ )*PRIVATE KEY-----|[\x20\x09]*[A-Za-z0-9+/=\x5C\x0A\x0D]*)"),
     Rule("git_token", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_key", r"AIza[A-Za-z0-9_-]{35}"),

@@ -116,11 +116,11 @@ class Lexicon:
 
 
 def entries(folded: str, least: int = 4, most: int = 8) -> set[str]:
-    """Possible entries of a text: its words and their beginnings of ``least`` to ``most`` letters."""
+    """Possible entries of a text: its words, however short, and their beginnings of ``least`` to ``most`` letters."""
     out = set()
     for w in set(folded.split()):
+        out.add(f" {w} ")
         if len(w) >= least:
-            out.add(f" {w} ")
             out.update(f" {w[:n]}" for n in range(least, min(most, len(w)) + 1))
     return out
 
@@ -140,15 +140,16 @@ def _counted(docs: DataFrame, label: str, only: set[str] | None) -> DataFrame:
     return docs.select(label).mapInArrow(task, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, least_documents: int = 5, most_entries: int = 2_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, least_documents: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Lexicon:
     """Weigh a lexicon on at most ``most_labelled`` labelled documents, half of them toxic where there are so many.
 
     The documents are those whose hashed ids are least.  Entries need ``least_documents`` toxic
-    documents and log odds of 2; at most ``most_entries`` are kept, the heaviest first.
+    documents and log odds of 2; all of them count.  The driver holds the entries of ``least_documents`` toxic ones, which the
+    bound on labelled documents bounds.  Of several labels of an id the greater counts.
     Without a toxic and another document nothing is learned: every score is then below 0.5.
     """
     half = most_labelled // 2
-    marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)").dropDuplicates(["doc_id"])
+    marked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
     pick = lambda y: marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(half)
     sample = pick(0).unionByName(pick(1))  # bounded, so it may be broadcast
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("text", "y").persist()
@@ -157,7 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, least
         if not sizes.get(0) or not sizes.get(1):
             return Lexicon({}, slope=1.0, bias=-1.0)
         toxic = _counted(rows.where("y = 1"), "text", None).where(F.col("n") >= least_documents)
-        toxic = {r["entry"]: r["n"] for r in toxic.orderBy(F.desc("n"), "entry").limit(50 * most_entries).collect()}
+        toxic = {r["entry"]: r["n"] for r in toxic.collect()}
         other = {r["entry"]: r["n"] for r in _counted(rows.where("y = 0"), "text", set(toxic)).collect()}
         odds = {}
         for e, n in toxic.items():
@@ -168,8 +169,7 @@ def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, least
             word = e.rstrip(" ")
             if not any(word[:n] in kept and kept[word[:n]] >= odds[e] - 0.5 for n in range(5, len(word) + 1)):
                 kept[e] = odds[e]
-        heaviest = sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:most_entries]
-        return _fit(rows, Lexicon(dict(heaviest)))
+        return _fit(rows, Lexicon(kept))
     finally:
         rows.unpersist()
 

@@ -2,16 +2,19 @@
 
 import gzip
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from stagegate.llm import ppm, shards, warc
 from stagegate.llm.pieces import PieceEncoder, slices
@@ -32,6 +35,8 @@ def test_elias_fano_round_trip(values):
     back, end = shards.EliasFano.from_bytes(raw)
     assert end == len(raw) and back.decode().tolist() == values
     assert [back.select(i) for i in range(0, len(values), 7)] == values[::7]
+    for lo in range(0, len(values), 5):
+        assert back.select_range(lo, min(len(values), lo + 300)).tolist() == values[lo : lo + 300]
 
 
 def test_elias_fano_is_small():
@@ -41,15 +46,36 @@ def test_elias_fano_is_small():
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_give_the_ids_of_whole_texts(name):
-    enc = PieceEncoder(vocabulary(name), limit=50)
+    enc, fresh = PieceEncoder(vocabulary(name), limit=50), Tokenizer.from_file(vocabulary(name))
     texts = ["a\n b", "a \nb  c   d", "  x", "x  ", "\n\nfoo\n", "foo's 'll don't 's", "naïve x  y", "\x1ca \x1c b", "A\tb\t\tc", "<|endoftext|> hi", "\x00 a b",
              "é é ́a", "ΑΣ ΑΣ. x", "", "the,the. (the) the.,\n!!", "a b c", "don't. 'tis!", "x\x01y \x01 z"]
     for _ in range(2):
         for t, got in zip(texts, enc.encode(texts)):
-            assert np.frombuffer(got, enc.dtype).tolist() == enc.tok.encode(t, add_special_tokens=False).ids, repr(t)
+            assert np.frombuffer(got, enc.dtype).tolist() == fresh.encode(t, add_special_tokens=False).ids, repr(t)
     assert [x for lo, hi in slices(texts, 10) for x in texts[lo:hi]] == texts
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_texts_with_added_tokens_get_the_library_ids(name):
+    enc, fresh = PieceEncoder(vocabulary(name)), Tokenizer.from_file(vocabulary(name))
+    rng = random.Random(3)
+    bits = ["a", "the", " ", "  ", "\n", ".", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|end", "oftext|>", "é", ",", "don't", "\t", "x" * 250]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    for lo in range(0, len(texts), 500):
+        for t, got in zip(texts[lo : lo + 500], enc.encode(texts[lo : lo + 500])):
+            assert np.frombuffer(got, enc.dtype).tolist() == fresh.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 64, 1000])
+def test_ids_read_in_slices(monkeypatch, size):
+    monkeypatch.setattr(shards, "_SLICE", size)
+    rng = np.random.default_rng(size)
+    ids = rng.integers(0, 50_000, 500).astype("<u2")
+    stops = np.unique(np.append(rng.integers(11, 500, 40), [500]))
+    want = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(np.append(10, stops[:-1]), stops)]
+    assert shards._crcs(pa.BufferReader(ids.tobytes()), 2, 10, stops) == want
+
+
 def test_shards_round_trip(spark, tmp_path):
     path, folder = vocabulary("byte_bpe_50k.json"), f"file://{tmp_path}/out"
     tok = PieceEncoder(path).tok
@@ -57,7 +83,8 @@ def test_shards_round_trip(spark, tmp_path):
     made = shards.write(df, folder, path, 2, shards=3)
     (tmp_path / "out" / "shard-lost.ids").write_bytes(b"left by a lost task")
     rows = sorted(shards.read(spark, folder, made).collect(), key=lambda r: r["start"])
-    want = sorted(((i, t or "") for i, t in ODD if i is not None), key=lambda x: x[0])
+    # those without an id come first
+    want = sorted(((i, t or "") for i, t in ODD), key=lambda x: (x[0] is not None, x[0] or 0))
     assert [r["doc_id"] for r in rows] == [i for i, _ in want]
     at = 0
     told = []
@@ -68,8 +95,13 @@ def test_shards_round_trip(spark, tmp_path):
     for i, t in want:
         ids = np.array(tok.encode(t, add_special_tokens=False).ids + [2], "<u4")
         assert (i, len(ids), zlib.crc32(ids.tobytes())) in told
-    part = made.orderBy("shard").first()
+    part = made.orderBy("task", "shard").first()
     assert shards.document_ids(folder, part["name"], part["width"], 0).tolist() == tok.encode(want[0][1], add_special_tokens=False).ids + [2]
+    # shards and blocks of few documents give the same rows
+    small = shards.write(df, folder, path, 2, shards=2, most_ids=5, most_docs=2)
+    assert small.count() > made.count() and small.agg(F.max("docs")).first()[0] <= 2
+    again = shards.read(spark, folder, small, block=3).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, rows), key=str)
     none = shards.write(spark.createDataFrame([], DOCS), folder, path, 2)
     assert none.count() == 0 and shards.read(spark, folder, none).count() == 0
 

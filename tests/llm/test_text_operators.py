@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stagegate.llm import decontaminate, fertility, neighbours, secrets, toxicity
+from stagegate.llm import decontaminate, fertility, minhash, neighbours, secrets, toxicity
 from stagegate.llm.common import WordHashes
 from stagegate.llm.queries import table, vocabulary
 
@@ -294,7 +294,11 @@ def test_passage_edge_cases(spark):
     df = df.withColumn("item", F.lit(1)).withColumn("similarity", F.lit("s"))
     assert [(r["doc_id"], r["item_id"]) for r in decontaminate.matches(df, items).collect()] == [(10, 1)]
     clean = decontaminate.clean(df, items)
-    assert clean.columns == df.columns and clean.count() == df.count() - 2
+    # the row without an id holds the passage as well
+    assert clean.columns == df.columns and clean.count() == df.count() - 3
+    assert clean.where("doc_id IS NULL").count() == df.where("doc_id IS NULL").count() - 1
+    dotted = df.withColumnRenamed("similarity", "m.n")
+    assert decontaminate.clean(dotted, items).columns == dotted.columns
     assert decontaminate.matches(df, items.limit(0)).count() == 0
     assert decontaminate.matches(df.limit(0), items).count() == 0
 
@@ -303,3 +307,67 @@ def test_word_hashes_survive_forgetting():
     h = WordHashes(limit=2)
     a = h.of([b"x", b"y", b"z", b"x"])
     assert a[0] == a[3] and len(set(a.tolist())) == 3
+
+
+def test_private_keys_leave_nothing(spark):
+    body = "MIIEpAIBAAKCAQEA7b+/x9\n" * 40
+    texts = {
+        1: f"see -----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0A1B\n\n{body}Zz09==\n-----END RSA PRIVATE KEY----- end.",
+        2: f"-----BEGIN PRIVATE KEY-----\n{body}",
+        3: "-----BEGIN PRIVATE KEY----- " + body.replace("\n", " ") + "-----END PRIVATE KEY-----",
+        4: "key: -----BEGIN EC PRIVATE KEY-----\\nMHcCAQEE\\nabc=\\n-----END EC PRIVATE KEY-----\\n",
+        5: "The line -----BEGIN PRIVATE KEY----- starts a key. Nothing follows, and this text stays.",
+    }
+    got = {r.doc_id: r.text for r in secrets.redact(spark.createDataFrame(list(texts.items()), DOCS)).collect()}
+    assert got[1] == "see <PRIVATE_KEY> end." and got[2] == "<PRIVATE_KEY>" and got[3] == "<PRIVATE_KEY>" and got[4] == "key: <PRIVATE_KEY>\\n"
+    assert got[5].endswith(" a key. Nothing follows, and this text stays.")
+
+
+def test_short_words_enter_the_lexicon(spark):
+    docs = spark.createDataFrame([(i, f"word{i} plain text " + ("xk 漢" if i % 2 else "ok 字")) for i in range(80)], DOCS)
+    lexicon = toxicity.learn(docs, docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic"))
+    assert {" xk ", " 漢 "} <= set(lexicon.weights)
+    scores = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame([(1, "an xk here"), (2, "an ok here")], DOCS), lexicon).collect()}
+    assert scores[1] >= 0.5 > scores[2]
+
+
+def test_copies_and_passages_without_an_id_go(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, "intro " + passage), (None, "intro " + passage), (None, "alone " + " ".join(f"a{i}" for i in range(30)))]
+    rows += [(2, " ".join(f"b{i}" for i in range(30))), (2, " ".join(f"c{i}" for i in range(30))), (None, rows[2][1]), (3, "short"), (3, "short"), (None, None), (None, None)]
+    df = spark.createDataFrame(rows, DOCS).withColumn("_row", F.lit("x"))
+    kept = sorted(map(str, (r.text for r in minhash.keep_one(df).collect())))
+    assert kept == sorted(["None", "None", "intro " + passage, rows[2][1], rows[3][1], rows[4][1], "short"])
+    assert [r.doc_id for r in minhash.keep_one(df).where(F.col("text").startswith("intro")).collect()] == [1]
+    items = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    clean = decontaminate.clean(df, items)
+    assert clean.columns == df.columns and clean.count() == len(rows) - 2
+
+
+def test_long_items_and_every_start(spark):
+    """The best window of the whole text, against brute force over all starts; repeated words, long items, cut passages."""
+    rng = random.Random(4)
+    word = lambda: rng.choice("abcdefgh") * rng.randint(1, 2)
+    items = [(i, " ".join([word() for _ in range(n)] + [f"u{i}x{k}" for k in range(n)])) for i, n in enumerate([12, 40, 200])]
+    docs = []
+    for i in range(30):
+        t = items[i % 3][1].split()
+        for _ in range(rng.randint(0, len(t) // 40)):
+            t[rng.randrange(len(t))] = "changed"
+        t = t[: len(t) - rng.choice([0, 0, 3])]
+        docs.append((i, " ".join([word() for _ in range(rng.randint(0, 60))] + t + [word() for _ in range(rng.choice([0, 30]))] + (t if i % 5 == 0 else []))))
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.matches(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    shingled = lambda t: [tuple(t[k : k + 5]) for k in range(len(t) - 4)]
+    for i, text in docs:
+        s = shingled(text.split())
+        for item, wanted in items:
+            t = shingled(wanted.split())
+            best = (0.0, 0)
+            for start in range(len(s)):
+                a, b = Counter(s[start : start + len(t)]), Counter(t)
+                common = sum((a & b).values())
+                best = max(best, (common / sum((a | b).values()), -start))
+            if best[0] >= 0.8:
+                r = got.pop((i, item))
+                assert (r.similarity, r.start) == (pytest.approx(best[0]), -best[1])
+    assert not got
