@@ -150,6 +150,10 @@ def q_referential_integrity_rows(spark, d):
     return V.orphan_rows(_tgt(spark, d), "o_custkey", _t(spark, d, "customer"), "c_custkey")
 
 
+def q_referential_integrity_filtered(spark, d):
+    return V.orphan_values_filtered(_tgt(spark, d), "o_custkey", _t(spark, d, "customer"), "c_custkey", expected=1_000_000)
+
+
 def q_transformation_rule_rows(spark, d):
     rows = V.rule_violation_rows(_tgt(spark, d), testbed.TARGET_RULES)
     return rows.select("o_orderkey", "o_custkey", "o_totalprice", "batch_date", F.array_join("violated_rules", ",").alias("violated_rules"))
@@ -289,6 +293,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_rebuild": q_scd2_rebuild,
         "suite_results": q_suite_results,
         "suite_summary": q_suite_summary,
+        "referential_integrity_filtered": q_referential_integrity_filtered,
         "scd2_late_loads": q_scd2_late_loads,
         "scd1_append_twice": q_scd1_append_twice,
         "count_val_latest_partition": q_count_val_latest_partition,
@@ -497,5 +502,6 @@ FROM orders o LEFT JOIN chg c ON o.o_orderkey = c.o_orderkey""",
         "config_layers": testbed.config_layers_oracle(_STG, _TGT),
         "load_guards": testbed.LOAD_GUARDS_ORACLE,
     }
+    out["referential_integrity_filtered"] = out["referential_integrity"]
     out["count_val_latest_partition"] = out["count_val_latest_batch"]
     return out if extra is None else out | extra.oracle_sql()

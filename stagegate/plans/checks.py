@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.predicates import is_active as _is_active
 from ..functions.predicates import is_inactive as _is_inactive
-from ..functions.predicates import is_null_or_blank, qcol
+from ..functions.predicates import free_names, is_null_or_blank, qcol
 from ..operators import consistency as C
 from ..operators import layerkeys
 from ..operators import violations as V
@@ -81,6 +81,7 @@ class TableProfile:
     def __init__(self, df: DataFrame):
         self.df = df
         self.exprs: dict[str, Column] = {}
+        self.by_key: KeyProfile | None = None  # an aggregate by key that runs anyway and carries the counts
         self._values: dict | None = None
         self._fused_error: BaseException | None = None
         self._lock = threading.Lock()
@@ -95,6 +96,12 @@ class TableProfile:
             if not self.exprs:
                 self._values = {}
                 return
+            try:
+                if self.by_key is not None:
+                    self._values = self.by_key.counts(self.exprs)
+                    return
+            except Exception:  # the scan below tells which of them fails
+                pass
             try:
                 row = self.df.agg(*[e.alias(f"_p{i}") for i, e in enumerate(self.exprs.values())]).first()
                 self._values = {n: row[f"_p{i}"] for i, n in enumerate(self.exprs)}
@@ -117,25 +124,52 @@ class KeyProfile:
     predicate over that per-key table.  One action returns, for every check,
     the number of keys breaking it and the first ``n`` of them in key order:
     the branches are scalar subqueries and ordered limits over the same grouped
-    plan, so Spark reuses its exchange and the table is shuffled once.
+    plan, so Spark reuses its exchange and the table is shuffled once.  ``carry`` adds counts of the whole
+    table to that action, as sums of the keys' counts: exact also when a task runs twice, which
+    metrics observed on the way would not be.
     """
 
     def __init__(self, df: DataFrame, key: Sequence[str], n: int):
         self.df, self.key, self.n = df, list(key), n
         self.aggs: dict[str, Column] = {}
         self.checks: dict[str, tuple[Column, list[str]]] = {}
+        self.carried: dict[str, Column] = {}
         self._result: dict[str, tuple[int, list[str]]] | None = None
+        self._counts: dict[str, int] = {}
         self._lock = threading.Lock()
 
+    def carry(self, exprs: dict[str, Column]) -> None:
+        self.carried = exprs
+
+    def counts(self, exprs: dict[str, Column]) -> dict[str, int]:
+        """Values of the carried counts; the action runs if it has not."""
+        with self._lock:
+            self._ensure()
+            return {n: self._counts[n] for n in exprs}
+
+    def _ensure(self) -> None:
+        if self._result is not None:
+            return
+        try:
+            self._result = self._run()
+        except Exception:
+            if not self.carried:
+                raise
+            self.carried = {}  # one of the counts may be what fails: the keys go without them
+            self._result = self._run()
+
     def need(self, name: str, aggs: dict[str, Column], predicate: Column, sample_columns: Sequence[str]) -> None:
         self.aggs.update(aggs)
         self.checks[name] = (predicate, list(sample_columns))
 
     def _run(self) -> dict[str, tuple[int, list[str]]]:
-        kp = self.df.groupBy(*[qcol(k).alias(k) for k in self.key]).agg(*[e.alias(n) for n, e in self.aggs.items()])
+        kp = self.df.groupBy(*[qcol(k).alias(k) for k in self.key]).agg(
+            *[e.alias(n) for n, e in self.aggs.items()], *[e.alias(f"_x{i}") for i, e in enumerate(self.carried.values())]
+        )
         names = list(self.checks)
         # a row with the totals, whatever the samples are, then the samples of each check
-        totals = kp.agg(*[F.count_if(self.checks[c][0]).alias(f"_t{i}") for i, c in enumerate(names)])
+        sums = [F.coalesce(F.sum(f"_x{i}"), F.lit(0)).alias(f"_x{i}") for i in range(len(self.carried))]
+        totals = kp.agg(*[F.count_if(self.checks[c][0]).alias(f"_t{i}") for i, c in enumerate(names)], *sums)
         branches = totals.select(F.lit(-1).alias("_q"), F.to_json(F.struct(*totals.columns)).alias("_s"))
         for i, c in enumerate(names):
             pred, cols = self.checks[c]
@@ -147,12 +181,12 @@ class KeyProfile:
             )
         rows = branches.collect()
         count = json.loads(next(r["_s"] for r in rows if r["_q"] == -1))
+        self._counts = {n: int(count[f"_x{i}"]) for i, n in enumerate(self.carried)}
         return {c: (int(count[f"_t{i}"]), [r["_s"] for r in rows if r["_q"] == i]) for i, c in enumerate(names)}
 
     def get(self, name: str) -> tuple[int, list[str]]:
         with self._lock:
-            if self._result is None:
-                self._result = self._run()
+            self._ensure()
             return self._result[name]
 
 
@@ -536,17 +570,17 @@ def plan_profiles(ctx: StageContext, checks) -> None:
     if check_rules in checks:
         for name, e in V.rule_exprs(right, spec.rules).items():
             ctx.right_profile.need(f"_rule:{name}", e)
-    # duplicate keys and active-flag counts both group the target by key: share that shuffle
-    flag_ok = check_active_flag in checks and spec.active_flag and spec.active_flag in right.columns
-    if check_duplicates in checks and flag_ok and all(k in right.columns for k in spec.key):
+    # duplicate keys and active-flag counts both group the target by key: share that shuffle, and let it
+    # carry the target's counts (rows, NULLs, flags, rules), so that no job counts them on its own
+    if ctx.stage_keys is None and check_duplicates in checks and all(k in right.columns for k in spec.key):
+        n_rows, active = free_names(spec.key, "n_rows", "active_count")
         kp = KeyProfile(right, spec.key, spec.sample_size)
-        kp.need("duplicates", {"n_rows": F.count(F.lit(1))}, F.col("n_rows") > 1, ["n_rows"])
-        kp.need(
-            "active_flag",
-            {"active_count": F.count_if(_is_active(qcol(spec.active_flag), spec.active_values))},
-            F.col("active_count") != 1,
-            ["active_count"],
-        )
+        kp.need("duplicates", {n_rows: F.count(F.lit(1))}, F.col(n_rows) > 1, [n_rows])
+        if check_active_flag in checks and spec.active_flag and spec.active_flag in right.columns:
+            kp.need("active_flag", {active: F.count_if(_is_active(qcol(spec.active_flag), spec.active_values))}, F.col(active) != 1, [active])
+        if ctx.right_profile.by_key is None:
+            kp.carry(ctx.right_profile.exprs)
+            ctx.right_profile.by_key = kp
         ctx.key_profile = kp
 
 
