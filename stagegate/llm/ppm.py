@@ -97,7 +97,8 @@ def gram_counts(docs: DataFrame, order: int, text_col: str = "text") -> DataFram
         yield merged()
 
     counted = docs.select(text_col).mapInArrow(task, "gram long, n long").withColumn("suffix", _suffix(order))
-    return counted.repartition("suffix").groupBy("suffix", "gram").agg(F.sum("n").alias("n"))
+    # by string, not by suffix: a suffix of very many rows is summed in many tasks, and then has at most 2^24 strings
+    return counted.groupBy("suffix", "gram").agg(F.sum("n").alias("n"))
 
 
 def _shared(order: int) -> int:

@@ -147,19 +147,38 @@ def _digest_hex(value: str | None) -> str | None:
     """``sha1:BASE32`` as bare lower-case hex; other forms as they are."""
     if value and value.lower().startswith("sha1:"):
         x = value[5:]
-        return base64.b32decode(x.upper()).hex() if len(x) == 32 else x.lower()
+        if len(x) != 32:
+            return x.lower()
+        try:
+            return base64.b32decode(x.upper()).hex()
+        except ValueError:  # not base 32 after all
+            return value
     return value
 
 
+def _length(value: str | None) -> int | None:
+    """A length that a header states, None if it is no number."""
+    return int(value) if value is not None and value.isascii() and value.isdigit() else None
+
+
 def records(stream: Stream, wanted, payloads: bool) -> Iterator[dict]:
-    """The records whose header columns satisfy ``wanted``."""
+    """The records whose header columns satisfy ``wanted``.
+
+    A record whose Content-Length is no number has NULL ``payload_length`` and ``payload``; reading goes on with
+    the next line that begins a record.  A digest that cannot be decoded stays as it is, and a record that the file's
+    end cuts off has what is there of its payload.
+    """
     while (line := stream.line()) is not None:
         if not line.startswith(b"WARC/"):
             continue
         head = _fields(stream.line)
-        length = int(head.get("content-length", "0"))
+        length = _length(head.get("content-length", "0"))
         row = {c: head.get(h) for c, h in _HEADER.items()}
         row["payload_digest"] = _digest_hex(row["payload_digest"])
+        if length is None:
+            if wanted(row):
+                yield row | {"payload_length": None, "headers": list(head.items()), "http_headers": None, "payload": None}
+            continue
         if not wanted(row):
             stream.skip(length)
             continue
@@ -186,7 +205,7 @@ def records(stream: Stream, wanted, payloads: bool) -> Iterator[dict]:
         else:
             stream.skip(length)
             body = None
-        row["payload_length"] = int(http["content-length"]) if http and "content-length" in http else length if http is None else None
+        row["payload_length"] = _length(http.get("content-length")) if http is not None else length
         row["headers"], row["http_headers"] = list(head.items()), list(http.items()) if http is not None else None
         row["payload"] = body if row["record_type"] != "revisit" else None
         yield row

@@ -296,3 +296,20 @@ def test_scratch_folder_is_the_configured_one(spark):
     assert fs.get_file_info(path).type == pafs.FileType.Directory
     drop_folder(spark, folder)
     assert fs.get_file_info(path).type == pafs.FileType.NotFound
+
+
+def test_malformed_records_do_not_stop_the_reader(spark, tmp_path):
+    good = b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Target-URI: u%d\r\nContent-Length: 4\r\n\r\nbody\r\n\r\n"
+    bad = [
+        b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Target-URI: letters\r\nContent-Length: abc\r\n\r\nsome body\r\n\r\n",
+        b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Target-URI: minus\r\nContent-Length: -5\r\n\r\n\r\n\r\n",
+        b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Target-URI: digest\r\nWARC-Payload-Digest: sha1:" + b"1" * 32 + b"\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n",
+        b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: http\r\nContent-Type: application/http\r\nContent-Length: 42\r\n\r\nHTTP/1.1 200 OK\r\nContent-Length: x\r\n\r\nhello\r\n\r\n",
+    ]
+    (tmp_path / "a.warc").write_bytes(b"".join(x for i, b in enumerate(bad) for x in (good % i, b)) + good % 9 + b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Target-URI: cut\r\nContent-Length: 99\r\n\r\nonly")
+    warc.register(spark)
+    got = {r.target_uri: r for r in spark.read.format("warc").load(f"file://{tmp_path}").collect()}
+    assert {f"u{i}" for i in (0, 1, 2, 3, 9)} <= set(got) and all(got[f"u{i}"].payload == b"body" for i in (0, 1, 2, 3, 9))
+    assert got["letters"].payload is None and got["letters"].payload_length is None and got["minus"].payload is None
+    assert got["digest"].payload_digest == "sha1:" + "1" * 32 and got["digest"].payload == b"hi"
+    assert got["http"].payload_length is None and got["cut"].payload == b"only"
