@@ -68,15 +68,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+# the folder of this application's tables below each checkpoint folder
+_ROOTS: dict[tuple[str, str], str] = {}
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder path below the session's checkpoint folder, which driver and executors share.
+    """A new path below the session's checkpoint folder, which driver and executors share; nothing is there yet.
 
-    It is removed when the driver's JVM ends: results that read it are lazy, so it must outlive the call that wrote it.
+    All of an application's paths lie in one folder, which goes when the driver's JVM ends: results that
+    read them are lazy, so they must outlive the call that wrote them.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    folder = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(path)  # only what exists can be marked
-    fs.deleteOnExit(path)
-    return folder
+    base = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _ROOTS:
+        root = f"{base}/stagegate-{uuid.uuid4().hex}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)  # only what exists can be marked
+        fs.deleteOnExit(path)
+        _ROOTS[key] = root
+    return f"{_ROOTS[key]}/{name}-{uuid.uuid4().hex}"

@@ -51,3 +51,12 @@ def test_local_mode_gets_a_scratch_folder(tmp_path, monkeypatch):
 def test_existing_context_folder_is_kept():
     s = _Session(None, "yarn", current="hdfs://already/set")
     assert ensure_checkpoint_dir(s) == "hdfs://already/set" and s.sparkContext.set_to is None
+
+
+def test_shared_folder_is_new_and_below_one_root(spark):
+    from stagegate.session import shared_folder
+
+    a, b = shared_folder(spark, "t"), shared_folder(spark, "t")
+    assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
+    spark.range(2).write.parquet(a)
+    assert spark.read.parquet(a).count() == 2
