@@ -124,6 +124,40 @@ def queries() -> dict:
     return {k: globals()[k] for _, k in by_number} | {"pipeline": pipeline}
 
 
+def _url_oracle() -> str:
+    """The URL query in DuckDB: rules by comparing each, classes by reaching from every linked URL."""
+    u = urlfilter
+    text = lambda x: "'" + x.replace("'", "''") + "'"
+    take = lambda c, pattern, g=1: f"regexp_extract({c}, {text(pattern)}, {g})"
+    host = lambda c: f"translate({take(c, u._HOST)}, '{u._UPPER}', '{u._LOWER}')"
+    node = lambda c: f"CASE WHEN {host(c)} <> '' THEN {host(c)} || substr({take(c, u._REST)}, length({host(c)}) + 1) END"
+    attribute = lambda name: " || ".join(take("tag", u._attribute(name), g) for g in (1, 2, 3))
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    fits = "(x.host = r.h OR ends_with(x.host, '.' || r.h)) AND starts_with(x.path, r.p)"
+    best = "arg_max(r.h || r.p, length(r.h || r.p) * 1000 + length(r.h)) AS rule, arg_max(r.v, length(r.h || r.p) * 1000 + length(r.h)) AS ruled"
+    return f"""WITH RECURSIVE r(h, p, v) AS (VALUES {rules}),
+pages_cut AS (SELECT page_id, html, {host("coalesce(url, '')")} AS host, {take("coalesce(url, '')", u._PATH)} AS path, {node("coalesce(url, '')")} AS node FROM pages),
+tags AS (SELECT host, path, node, unnest(regexp_extract_all(regexp_replace(html, {text(u._HIDDEN)}, ' ', 'g'), {text(u._TAGS)})) AS tag
+  FROM pages_cut WHERE regexp_matches(html, '(?i)canonical|refresh')),
+found AS (SELECT host, path, node, CASE WHEN lower(left(tag, 5)) = '<link' AND regexp_matches(tag, {text(u._CANONICAL)}) THEN {attribute("href")}
+    WHEN lower(left(tag, 5)) = '<meta' AND regexp_matches(tag, {text(u._REFRESH)}) THEN {take("(" + attribute("content") + ")", u._TARGET)} END AS target FROM tags),
+targets AS (SELECT host, path, node, replace(trim(regexp_replace(target, '[\t\r\n\f]', '', 'g'), ' '), '&amp;', '&') AS t FROM found WHERE target IS NOT NULL),
+resolved AS (SELECT node AS a, CASE WHEN regexp_matches(t, '{u._SCHEME}') THEN CASE WHEN contains(t, '://') THEN t END
+    WHEN starts_with(t, '//') THEN 'http:' || t WHEN t = '' OR starts_with(t, '#') THEN NULL WHEN starts_with(t, '/') THEN 'http://' || host || t
+    WHEN starts_with(t, '?') THEN 'http://' || host || path || t
+    ELSE 'http://' || host || CASE WHEN regexp_extract(path, '(?s)^(.*/)', 1) = '' THEN '/' ELSE regexp_extract(path, '(?s)^(.*/)', 1) END || t END AS url FROM targets),
+links AS (SELECT DISTINCT a, {node("url")} AS b FROM resolved WHERE url IS NOT NULL),
+edges AS (SELECT a, b FROM links WHERE a <> b UNION SELECT b, a FROM links WHERE a <> b),
+reach(a, b) AS (SELECT a, a FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+nodes AS (SELECT DISTINCT a AS node, regexp_extract(a, '(?s)^([^/?]*)', 1) AS host, regexp_extract(a, '(?s)^[^/?]*([^?]*)', 1) AS path FROM edges),
+ruled_nodes AS (SELECT x.node, {best} FROM nodes x JOIN r ON {fits} GROUP BY x.node),
+classes AS (SELECT reach.a AS node, bool_or(n.ruled = 'block') AND NOT bool_or(n.ruled = 'allow') AS blocked FROM reach JOIN ruled_nodes n ON reach.b = n.node GROUP BY reach.a),
+cut AS (SELECT DISTINCT host, path FROM pages_cut),
+ruled AS (SELECT x.host, x.path, {best} FROM cut x JOIN r ON {fits} GROUP BY x.host, x.path)
+SELECT p.page_id, p.host, p.path, q.rule, coalesce(q.ruled, CASE WHEN c.blocked THEN 'block' END, 'allow') AS verdict
+FROM pages_cut p LEFT JOIN ruled q ON p.host = q.host AND p.path = q.path LEFT JOIN classes c ON p.node = c.node"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         # DuckDB's sha1() takes text and hashes its UTF-8 bytes
@@ -133,4 +167,5 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
        CASE WHEN n >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND page_id <> keep THEN keep END AS refers_to
 FROM r""",
+        "op13_url_filter": _url_oracle(),
     }

@@ -287,6 +287,24 @@ def test_pipeline_stages(spark, tmp_path):
     assert prev.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
 
 
+def test_pipeline_on_odd_rows_and_empty_tables(spark, tmp_path):
+    """NULL ids and texts, repeated rows and ids, extra columns, no labels or items: every row is judged, none crashes."""
+    import corpus_pipeline as P
+
+    passage = " ".join(f"p{i}" for i in range(40))
+    own = lambda c: " ".join(f"{c}{i}" for i in range(30))
+    rows = [(1, own("a")), (None, own("a")), (None, own("b")), (2, passage), (None, "x " + passage), (3, own("c")), (3, own("c")), (4, own("d")), (4, own("e")), (None, None), (5, ""), (6, "<|endoftext|> " + own("f"))]
+    frame = lambda r: spark.createDataFrame(r, DOCS).withColumn("lang", F.lit(None).cast("string")).withColumn("m.n", F.lit(1)).withColumn("row", F.lit("r"))
+    for name, docs, items in (("odd", rows, [(1, passage)]), ("empty", [], [])):
+        d = tmp_path / name
+        frame(docs).write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        out = P.run(spark, str(d)).where("piece = 0")
+        got = sorted((r.doc_id for r in out.collect()), key=lambda i: (i is not None, i))
+        assert got == ([None, None, 1, 3, 4, 4, 5, 6] if docs else [])
+
+
 def test_scratch_folder_is_the_configured_one(spark):
     from stagegate.llm.common import drop_folder, shared_folder
 

@@ -3,6 +3,7 @@
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,7 +63,7 @@ def some_url(rng):
     return rng.choice(["http", "https"]) + "://" + host + path + rng.choice(["", "", "?a=1", "#top", "?b#c", "?u=http://org/"])
 
 
-def test_pages_with_links(spark):
+def test_pages_with_links(spark, tmp_path):
     rng = random.Random(1)
     pages, links = [], []
     for i in range(400):
@@ -84,6 +85,11 @@ def test_pages_with_links(spark):
     rules = urlfilter.rule_table(spark, queries.URL_RULES)
     assert {w[4] for w in want if w[3] is None} == {"allow", "block"}  # the links decide something
     assert rows(urlfilter.judge(df, rules)) == want
+    # and so does the SQL
+    df.coalesce(1).write.parquet(f"{tmp_path}/pages")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages/*.parquet')")
+    assert sorted(con.execute(queries.oracle_sql()["op13_url_filter"]).fetchall(), key=str) == want
     # the route of long rule lists and spread keys
     assert rows(urlfilter.judge(df, rules, broadcast_rules=0)) == want
 
