@@ -190,6 +190,9 @@ def _best_passages(texts: DataFrame, wanted: DataFrame, pairs: DataFrame, percen
     words = few.select("doc", F.xxhash64("s").alias("text"), F.size("s").alias("size"), F.posexplode("s").alias("pos", "x"))
     counts = wanted.select("item", F.xxhash64("s").alias("version"), "n", F.explode("s").alias("x"))
     counts = scratch.table(counts.groupBy("item", "version", "n", "x").agg(F.count(F.lit(1)).cast("int").alias("c")))
+    # shingles of no item leave in the scan, where the items' are few enough to be broadcast
+    if counts.count() <= _MOST_BROADCAST:
+        words = words.join(F.broadcast(counts.select("x").distinct()), "x", "left_semi")
     window = ["doc", "text", "size", "item", "version", "n"]
     places = words.join(pairs.join(counts, "item"), ["doc", "x"]).groupBy(*window, "x", "c").agg(F.sort_array(F.collect_set("pos")).alias("at"))
 
