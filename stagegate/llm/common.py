@@ -78,17 +78,20 @@ def ascii_words(text: str | None) -> list[bytes]:
 def row_keys(docs: DataFrame, id_col: str, scratch: Scratch) -> tuple[DataFrame, str]:
     """``docs`` with a column of long keys, one a row, and that column's name.
 
-    It is the id where each row has one of its own (and then nothing is added or written).  Else rows without an id and
-    rows that share one get numbers above all ids, in a table written for it, so that each row counts for itself.
+    It is the id where each row has one of its own (and then nothing is added or written).  Else rows that share an id
+    get numbers above all ids, and rows without one numbers above those, in a table written for it: each row counts for itself.
     """
     ident = F.col(f"`{id_col}`").cast("long")
-    shared = docs.where(ident.isNotNull()).groupBy(ident.alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id")
+    key, same = free_names(docs.columns, "_row", "_shared_id")
+    shared = docs.where(ident.isNotNull()).groupBy(ident.alias(same)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(same)
     shared = scratch.table(shared)
     if shared.isEmpty() and docs.where(ident.isNull()).isEmpty():
         return docs, id_col
-    (key,) = free_names(docs.columns, "_row")
     top = docs.select(F.coalesce(F.max(ident), F.lit(0))).first()[0]
     rows = docs.withColumn(key, F.monotonically_increasing_id() + F.lit(top + 1))
     # both sides are written tables, so that Spark can split a shared id that very many rows have
-    rows = scratch.table(rows).join(shared, ident == F.col("_id"), "left")
-    return scratch.table(rows.withColumn(key, F.when(ident.isNotNull() & F.col("_id").isNull(), ident).otherwise(F.col(key))).drop("_id")), key
+    rows = scratch.table(rows)
+    last = rows.select(F.max(key)).first()[0]
+    number = F.when(ident.isNull(), F.col(key) + F.lit(last - top)).when(F.col(same).isNull(), ident).otherwise(F.col(key))
+    rows = rows.join(shared, ident == F.col(same), "left")
+    return scratch.table(rows.withColumn(key, number).drop(same)), key

@@ -236,8 +236,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, bands: in
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each component, that of its least id, with all columns.
 
-    Each row is a document of its own: rows without an id, and rows that share one, come after all others, so a
-    copy without an id goes and the text that it copies stays; of copies without ids one stays.
+    Each row is a document of its own; rows that share an id come after those with one of their own, rows
+    without an id last, so a copy without an id goes and the text that it copies stays; of copies without ids one stays.
     """
     keyed, key = row_keys(docs, id_col, Scratch(docs.sparkSession, "keep"))
     found = near_duplicates(keyed, id_col=key, text_col=text_col, **options)
