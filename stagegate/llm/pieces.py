@@ -32,7 +32,7 @@ class PieceEncoder:
 
         self.tok = Tokenizer.from_file(path)
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)) if added else "(?!)")
+        self.added = [t for t in added if t]
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         self.limit, self.known = limit, {"": b""}
         # byte-level BPE keeps white space; the word vocabulary drops it
@@ -47,7 +47,7 @@ class PieceEncoder:
     def _learn(self, pieces: set[str]) -> None:
         """Ids of new pieces: a word and the marks after it apart, new words some thousands a call."""
         known, ending = self.known, []
-        whole = {p for p in pieces if self.added.search(p)}
+        whole = {p for p in pieces if self._added_in(p)}
         for p in pieces - whole:
             core = p.rstrip(_MARKS)
             if core != p and core.removeprefix(" ").isalpha():
@@ -70,8 +70,11 @@ class PieceEncoder:
         for p, core, marks in ending:
             known[p] = known[core] + known[marks]
 
+    def _added_in(self, text: str) -> bool:
+        return any(t in text for t in self.added)
+
     def _cut(self, text: str) -> list[str]:
-        if self.added.search(text):
+        if self._added_in(text):
             return [text]
         if self.drops_space:
             return text.replace("\n", " ").split(" ")

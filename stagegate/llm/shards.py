@@ -135,15 +135,14 @@ class _Writer:
         self.ends: list[int] = []
         self.without_id = self.total = 0
 
-    def add(self, doc_id: int | None, ids: bytes, end: bytes) -> None:
-        self.out.write(ids)
-        self.out.write(end)
-        self.total += len(ids) // self.width + 1
-        self.ends.append(self.total)
-        if doc_id is None:
-            self.without_id += 1
-        else:
-            self.doc_ids.append(doc_id)
+    def add(self, doc_ids: list[int | None], coded: list[bytes], end: bytes) -> None:
+        self.out.write(end.join(coded) + end)
+        ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) // self.width + 1) + self.total
+        self.total = int(ends[-1])
+        self.ends += ends.tolist()
+        known = [i for i in doc_ids if i is not None]
+        self.without_id += len(doc_ids) - len(known)
+        self.doc_ids += known
 
     def close(self) -> tuple:
         self.out.close()
@@ -164,7 +163,7 @@ def write(
     first.  Rows that share an id are
     neighbours, each with its own boundary, by a hash of their texts; even very many of them are cut into ranges.  An empty table gives no shard.
     The text is shuffled once, into ``shards`` ranges (the session's shuffle partitions); a range is as many files as
-    ``most_ids`` and ``most_docs`` a file make it.
+    ``most_ids`` (and the rest of a slice of texts) and ``most_docs`` a file make it.
     """
     spark = docs.sparkSession
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -181,12 +180,15 @@ def write(
             for b in batches:
                 ids, texts = (c.to_pylist() for c in b.columns)
                 for lo, hi in slices(texts):
-                    for doc_id, coded in zip(ids[lo:hi], enc.encode(texts[lo:hi])):
+                    own, coded = ids[lo:hi], enc.encode(texts[lo:hi])
+                    while own:
                         if shard is not None and (shard.total >= most_ids or len(shard.ends) >= most_docs):
                             made.append(shard.close())
                             shard = None
                         shard = shard or _Writer(folder, width)
-                        shard.add(doc_id, coded, end)
+                        fit = most_docs - len(shard.ends)
+                        shard.add(own[:fit], coded[:fit], end)
+                        own, coded = own[fit:], coded[fit:]
             if shard is not None:
                 made.append(shard.close())
                 shard = None
