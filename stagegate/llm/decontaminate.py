@@ -8,9 +8,9 @@ every offset, so that some pair of windows lines up.  A window's 64-bit SimHash
 is compared by multi-index blocks: with radius r the fingerprint is cut into
 r + 1 blocks, and two fingerprints within r agree on one of them.
 
-Candidates are verified exactly: the document's item-sized windows around the
-place found are compared with the item by weighted Jaccard similarity, a
-shingle's weight being how often it occurs.
+Candidates are verified exactly: every item-sized window of the document is
+compared with the item by weighted Jaccard similarity, a shingle's weight being
+how often it occurs, as a running sum over the shingles that enter and leave.
 """
 
 from __future__ import annotations
