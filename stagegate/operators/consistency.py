@@ -217,12 +217,17 @@ def consistency_parts(
 
 
 def _single_pairs(source: DataFrame, other: DataFrame, found: layerkeys.KeyFindings, plan: ConsistencyPlan) -> DataFrame:
-    """The two rows' values (``_sv``, ``_ov``) of the keys with one row on each side that differ."""
+    """The two rows' values (``_sv``, ``_ov``) of the keys with one row on each side that differ.
+
+    The sides meet in an aggregate: a join would carry one side's filters over to the other, whose rows would then be
+    shuffled here and once more, without them, for the multi keys.
+    """
     kcols = found.kcols
     keys = found.differing(single=True).select(*kcols)
-    left = _side(source, plan, "s").join(keys, kcols, "left_semi").withColumnRenamed("_v", "_sv")
-    right = _side(other, plan, "o").join(keys, kcols, "left_semi").withColumnRenamed("_v", "_ov")
-    return left.join(right, kcols)
+    left = _side(source, plan, "s").join(keys, kcols, "left_semi").withColumn("_left", F.lit(True))
+    right = _side(other, plan, "o").join(keys, kcols, "left_semi").withColumn("_left", F.lit(False))
+    value = lambda side: F.first(F.when(side, F.col("_v")), ignorenulls=True)
+    return left.unionByName(right).groupBy(*kcols).agg(value(F.col("_left")).alias("_sv"), value(~F.col("_left")).alias("_ov"))
 
 
 def summary_with_samples(

@@ -127,7 +127,8 @@ def find(
     """Run the tagged aggregate: one pass over each layer, one shuffle, one small checkpoint."""
     counters, kcols = counters or {}, [KEY.format(i) for i in range(len(key))]
     per_key = tagged(left, right, key, left_values, right_values, list(counters.values()))
-    both = F.expr("_m > 0 AND _n > 0") & _whole(kcols)
+    # tests of the key are tied to a count: alone, Spark would move them below the aggregate in one of its two uses, and run it twice
+    both = F.when(_whole(kcols), F.least("_m", "_n")).otherwise(F.col("_m") - F.col("_m")) > 0
     differs = both & ~F.col("_same")
     per_key = per_key.withColumn("_differs", differs)
     pairs, one = F.col("_m") * F.col("_n"), F.expr("_m = 1 AND _n = 1")

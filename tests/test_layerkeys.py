@@ -75,3 +75,25 @@ def test_stage_without_cache_and_with_failing_aggregate(spark, monkeypatch):
     monkeypatch.setattr(C, "has_digest", lambda plan: False)
     alone = run_stage(spec, Stage.SOURCE_TO_STAGING, left, right)
     assert shared == alone
+
+
+def test_rows_are_shuffled_once_for_all_uses(spark, monkeypatch, tmp_path):
+    """One exchange of the tagged aggregate for totals and keys, one of each side's rows for single and multi keys."""
+    spark.range(0, 3000).selectExpr("id % 2000 AS k", "id AS v", "id % 5 AS w").write.parquet(f"{tmp_path}/rows")
+    left = spark.read.parquet(f"{tmp_path}/rows")
+    right = left.where("k % 31 <> 4").selectExpr("k", "IF(v % 13 = 1, v + 1, v) AS v", "w")
+    kept, checkpoint = [], type(left).checkpoint
+    monkeypatch.setattr(type(left), "checkpoint", lambda df, *a, **b: (kept.append(df), checkpoint(df, *a, **b))[1])
+    monkeypatch.setattr(layerkeys, "BROADCAST_BYTES", -1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        summary = C.consistency_summary(left, right, ["k"])
+        got = sorted(map(tuple, summary.collect()))
+        kept[0].collect()
+        final = [df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0] for df in (kept[0], summary)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "ReusedExchange" in final[0]
+    assert final[1].count("ReusedExchange") == 2  # the rows of each side
+    assert got == sorted(map(tuple, C.consistency_summary(left, right, ["k"], exact=True).collect()))
