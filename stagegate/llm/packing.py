@@ -34,17 +34,18 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for b in batches:
-            doc_ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo, hi in slices(texts):
-                cols: list[list] = [[], [], [], [], []]
-                for doc_id, raw in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi])):
-                    ids = np.append(np.frombuffer(raw, enc.dtype), end_id).astype("<u4")
-                    for k, at in enumerate(range(0, len(ids), capacity)):
-                        part = ids[at : at + capacity]
-                        for c, v in zip(cols, (doc_id, k, at, len(part), zlib.crc32(part.tobytes()))):
-                            c.append(v)
-                types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            for rows in (b.slice(at, 512) for at in range(0, b.num_rows, 512)):
+                doc_ids, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
+                for lo, hi in slices(texts):
+                    cols: list[list] = [[], [], [], [], []]
+                    for doc_id, raw in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi])):
+                        ids = np.append(np.frombuffer(raw, enc.dtype), end_id).astype("<u4")
+                        for k, at in enumerate(range(0, len(ids), capacity)):
+                            part = ids[at : at + capacity]
+                            for c, v in zip(cols, (doc_id, k, at, len(part), zlib.crc32(part.tobytes()))):
+                                c.append(v)
+                    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.mapInArrow(task, _PIECE)
 

@@ -21,20 +21,38 @@ _MARKS = ".,;:!?#*$%&|<>()"
 _CACHES: dict[str, "PieceEncoder"] = {}
 
 
+class _Known(dict):
+    """piece -> ids, for at most about ``limit`` pieces: once half of them are new, those not met since the last time go."""
+
+    def __init__(self, limit: int):
+        super().__init__({"": b""})
+        self.limit, self.before = limit, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.before.pop(piece)
+        return ids
+
+    def age(self) -> None:
+        if len(self) > self.limit // 2:
+            self.before = dict(self)
+            self.clear()
+            self[""] = b""
+
+
 class PieceEncoder:
     """ids of texts as little-endian arrays (2 bytes an id where the vocabulary allows).
 
-    ``limit`` bounds the pieces remembered in a worker; when it is reached they are forgotten.
+    ``limit`` bounds the pieces remembered in a worker; those met lately stay.
     """
 
-    def __init__(self, path: str, limit: int = 1_500_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.added = [t for t in added if t]
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.limit, self.known = limit, {"": b""}
+        self.known = _Known(limit)
         # byte-level BPE keeps white space; the word vocabulary drops it
         self.drops_space = not self._ids(" \n")
         # a string that is one id of its own between two pieces
@@ -52,7 +70,7 @@ class PieceEncoder:
             core = p.rstrip(_MARKS)
             if core != p and core.removeprefix(" ").isalpha():
                 ending.append((p, core, p[len(core) :]))
-        wanted = pieces.difference([p for p, _, _ in ending]).union(x for _, *two in ending for x in two if x not in known)
+        wanted = pieces.difference([p for p, _, _ in ending]).union(x for _, *two in ending for x in two if x not in known and x not in known.before)
         plain = [p for p in wanted - whole if _PLAIN.fullmatch(p)]
         for lo in range(0, len(plain), 4096):
             part = plain[lo : lo + 4096]
@@ -84,8 +102,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (None: empty) as the bytes of an array of ``self.dtype``."""
-        if len(self.known) > self.limit:
-            self.known = {"": b""}
+        self.known.age()
         out = []
         for text in texts:
             pieces = self._cut(text or "")
@@ -94,7 +111,7 @@ class PieceEncoder:
             except KeyError:
                 out.append(pieces)
         late = [i for i, x in enumerate(out) if type(x) is list]
-        new = set().union(*(out[i] for i in late)).difference(self.known)
+        new = set().union(*(out[i] for i in late)).difference(self.known, self.known.before)
         self._learn(new)
         for i in late:
             out[i] = b"".join(map(self.known.__getitem__, out[i]))
