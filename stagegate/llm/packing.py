@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import Scratch
 from .pieces import encoder, slices
 
+# rows of a batch that become Python strings at once
+_PART = 128
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -34,7 +36,8 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for b in batches:
-            for rows in (b.slice(at, 512) for at in range(0, b.num_rows, 512)):
+            # a batch is Python strings a part at a time: beside a worker's cache these are most of its memory
+            for rows in (b.slice(at, _PART) for at in range(0, b.num_rows, _PART)):
                 doc_ids, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
                 for lo, hi in slices(texts):
                     cols: list[list] = [[], [], [], [], []]
@@ -46,6 +49,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
                                 c.append(v)
                     types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            b = rows = None  # not held while the next batch is read
 
     return docs.mapInArrow(task, _PIECE)
 

@@ -152,3 +152,28 @@ def test_pack_edge_cases(spark):
         assert end <= 16
     assert len(by) == 4
     assert packing.pack(spark.createDataFrame([], DOCS), path, 0).count() == 0
+
+
+def test_packing_turns_a_part_of_a_batch_into_strings(monkeypatch):
+    """Pieces of a large batch come in its order and equal those of small batches; the encoder gets a part at a time."""
+    import pyarrow as pa
+
+    from stagegate.llm import packing
+    from stagegate.llm.queries import vocabulary
+
+    class Docs:
+        def mapInArrow(self, task, ddl):
+            return task
+
+    sizes = []
+    enc = packing.encoder(vocabulary("word_bpe_49k.json"))
+    encode = enc.encode
+    monkeypatch.setattr(enc, "encode", lambda texts: (sizes.append(len(texts)), encode(texts))[1])
+    texts = [None if i % 50 == 7 else f"text {i} " * (i % 40) for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    task = packing.pieces(Docs(), vocabulary("word_bpe_49k.json"), 0, 16)
+    rows = lambda batches: [r for b in task(iter(batches)) for r in b.to_pylist()]
+    whole = rows([batch])
+    assert max(sizes) < 1000
+    assert whole == rows([batch.slice(i, 1) for i in range(1000)])
+    assert [r["doc_id"] for r in whole if r["piece"] == 0] == list(range(1000))
