@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import Scratch
 from .pieces import encoder, slices
 
-# rows of a batch that become Python strings at once
-_PART = 128
+# rows of a batch that become Python strings at once, and their bytes where that is fewer
+_PART, _PART_BYTES = 512, 1 << 21
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -37,9 +37,10 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
         enc = encoder(vocabulary)
         for b in batches:
             # a batch is Python strings a part at a time: beside a worker's cache these are most of its memory
-            for rows in (b.slice(at, _PART) for at in range(0, b.num_rows, _PART)):
+            step = max(1, min(_PART, _PART_BYTES * b.num_rows // max(1, b.nbytes)))
+            for rows in (b.slice(at, step) for at in range(0, b.num_rows, step)):
                 doc_ids, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
-                for lo, hi in slices(texts):
+                for lo, hi in slices(texts, _PART_BYTES):
                     cols: list[list] = [[], [], [], [], []]
                     for doc_id, raw in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi])):
                         ids = np.append(np.frombuffer(raw, enc.dtype), end_id).astype("<u4")

@@ -4,13 +4,20 @@ A text is cut where the tokenizer's own pre-tokenisation cuts it in any context,
 so the ids of the pieces, joined, are the ids of the text.  The library encodes
 each new piece once per worker; texts that cannot be cut safely, and those that hold the string of
 an added token (which the library gives one id wherever it stands), are encoded whole.
+
+Texts of a vocabulary that drops white space and lower-cases are cut many at a time, as bytes: Arrow finds
+the distinct pieces, and each of them is looked up once.  Words of plain letters, which such a vocabulary's
+normaliser and pre-tokeniser leave as they are, go to the library's model without them.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from unicodedata import normalize
 
 import numpy as np
+import pyarrow as pa
 
 # white space beyond single blanks and line ends: how a run of it splits depends on what follows
 _ODD = ["  ", " \n", "\n ", "\n\n", "\x00", *map(chr, [9, 11, 12, 13, 28, 29, 30, 31, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])]
@@ -18,6 +25,14 @@ _ODD = ["  ", " \n", "\n ", "\n\n", "\x00", *map(chr, [9, 11, 12, 13, 28, 29, 30
 _PLAIN = re.compile(r" ?[^\s\x01]+")
 # ASCII marks that end a word; the pre-tokenisers part them from the letters before them
 _MARKS = ".,;:!?#*$%&|<>()"
+# what byte-wise cutting knows of a vocabulary: its normaliser, and how it parts words
+_LOWERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# small letters below the combining marks; each is one in every version of Unicode since 5.0
+_LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\u024f]+")
+# classes of bytes: 1 between words, 2 a mark, 0 others
+_CLASSES = bytes(1 if c in b" \n" else 2 if chr(c) in _MARKS else 0 for c in range(256))
+_COMBINING = 0xCC  # the least first byte of a character that can join the one before it
 _CACHES: dict[str, "PieceEncoder"] = {}
 
 
@@ -40,17 +55,40 @@ class PieceEncoder:
         # a string that is one id of its own between two pieces
         self.between = " \x01 " if self.drops_space else "\n"
         self.mark = self._ids(self.between)[0]
+        spec = json.loads(self.tok.to_str())
+        parts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.by_bytes = (spec["normalizer"] or {}).get("normalizers") == _LOWERS and parts[0].get("pattern") == {"Regex": _PARTS}
+        self.by_bytes &= [x.get("type") for x in parts] == ["Split", "ByteLevel"] and not parts[1]["add_prefix_space"]
+        if self.by_bytes:
+            spell = self.tok.pre_tokenizer.pre_tokenize_str
+            self.spelling = {c: spell(chr(c))[0][0] for c in range(0x80, 0x250) if _LETTERS.fullmatch(chr(c))}
 
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
+    def _learn_words(self, pieces: set[str]) -> set[str]:
+        """Ids of new words of plain letters; the pieces that are none are left."""
+        words = [(p, low) for p in pieces if _LETTERS.fullmatch(low := p.lower())]
+        tokenize, spelling = self.tok.model.tokenize, self.spelling
+        for lo in range(0, len(words), 4096):
+            part, ids, ends = words[lo : lo + 4096], [], []
+            for _, low in part:
+                ids += [t.id for t in tokenize(low if low.isascii() else low.translate(spelling))]
+                ends.append(len(ids))
+            raw, size, start = np.array(ids, self.dtype).tobytes(), self.dtype.itemsize, 0
+            for (p, _), end in zip(part, ends):
+                self.known[p] = raw[start : end * size]
+                start = end * size
+        return pieces.difference([p for p, _ in words])
+
     def _learn(self, pieces: set[str]) -> None:
         """Ids of new pieces: a word and the marks after it apart, new words some thousands a call."""
         known, ending = self.known, []
         whole = {p for p in pieces if self._added_in(p)}
         for p in pieces - whole:
             core = p.rstrip(_MARKS)
-            if core != p and core.removeprefix(" ").isalpha():
+            # as the normaliser may make it: it can end in a mark of its own, which goes with those after it
+            if core != p and normalize("NFC", core.removeprefix(" ")).lower().isalpha():
                 ending.append((p, core, p[len(core) :]))
         wanted = pieces.difference([p for p, _, _ in ending]).union(x for _, *two in ending for x in two if x not in known)
         plain = [p for p in wanted - whole if _PLAIN.fullmatch(p)]
@@ -86,6 +124,8 @@ class PieceEncoder:
         """The ids of each text (None: empty) as the bytes of an array of ``self.dtype``."""
         if len(self.known) > self.limit:
             self.known = {"": b""}
+        if self.by_bytes and texts:
+            return self._encode_bytes([(t or "").encode() for t in texts])
         out = []
         for text in texts:
             pieces = self._cut(text or "")
@@ -103,6 +143,49 @@ class PieceEncoder:
                 del self.known[p]
         return out
 
+    def _encode_bytes(self, texts: list[bytes]) -> list[bytes]:
+        """``encode`` where white space parts words and goes: cut at it, and between a letter and the mark after it."""
+        raw, whole = b"\n".join(texts), {}
+        added = [a.lower().encode() for a in self.added]
+        if any(a in raw.lower() for a in added):
+            whole = {i: np.array(self._ids(t.decode()), self.dtype).tobytes() for i, t in enumerate(texts) if any(a in t.lower() for a in added)}
+            raw = b"\n".join([b"" if i in whole else t for i, t in enumerate(texts)])
+        raw = self._lowered(raw)
+        kinds, at = np.frombuffer(raw.translate(_CLASSES), np.uint8), np.frombuffer(raw, np.uint8)
+        gaps, marks = np.flatnonzero(kinds == 1), np.flatnonzero(kinds == 2)
+        last, first = at[marks - 1], at[marks - 2]  # of a text's first bytes these are any others: no harm in a cut there
+        odd = (first == 0xC3) & ((last == 0x97) | (last == 0xB7)) | (first == 0xC4) & (last == 0xB0)  # two signs; a letter that lower-cases to two characters
+        letter = (last >= 97) & (last <= 122) | (first >= 0xC3) & (first <= 0xC8) & ~odd
+        cuts = np.concatenate([gaps, marks[letter & (marks > 1)]])
+        cuts.sort()
+        is_gap = kinds[cuts] == 1
+        ends = np.append(cuts - (np.cumsum(is_gap) - is_gap), len(raw) - len(gaps))
+        pieces = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(raw.translate(None, b" \n"))])
+        coded = pieces.dictionary_encode()
+        own = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = set(own).difference(self.known)
+        self._learn(self._learn_words(new))
+        ids = pa.array(list(map(self.known.__getitem__, own)), pa.binary()).take(coded.indices)
+        for p in new:
+            if len(p) > 200:
+                del self.known[p]
+        # a text's last piece ends where the text does
+        sizes = np.array([0 if i in whole else len(t) for i, t in enumerate(texts)])
+        stops = np.searchsorted(cuts, np.cumsum(sizes + 1) - 1) + 1
+        _, places, data = ids.buffers()
+        stops = np.append(0, np.frombuffer(places, np.int32)[stops]).tolist()
+        data = memoryview(data) if data else b""
+        return [whole[i] if i in whole else bytes(data[stops[i] : stops[i + 1]]) for i in range(len(texts))]
+
+    def _lowered(self, raw: bytes) -> bytes:
+        """``raw`` with A-Z lower-cased but where a combining mark may follow: composed letters can lower-case otherwise."""
+        b = np.frombuffer(raw, np.uint8)
+        if not len(b) or b.max() < _COMBINING:
+            return raw.lower()
+        upper = (b >= 65) & (b <= 90)
+        upper[:-1] &= b[1:] < _COMBINING
+        return (b + (upper.view(np.uint8) << 5)).tobytes()
+
 
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder for a vocabulary file; kept between the tasks of a worker."""

@@ -66,6 +66,44 @@ def test_texts_with_added_tokens_get_the_library_ids(name):
             assert np.frombuffer(got, enc.dtype).tolist() == fresh.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_cut_at_marks_give_the_library_ids(name):
+    """Marks after letters, letters that the normaliser takes apart or composes, white space of all kinds, many texts a call."""
+    enc, fresh = PieceEncoder(vocabulary(name), limit=5000), Tokenizer.from_file(vocabulary(name))
+    rng = random.Random(5)
+    bits = ["Word,", "of", "wörd.", "ÉTÉ;", "İ,", "İ", "\u212a", "\u1e9ea", "J\u030c", "J\u030c,", "\u0958,", "=\u0338", "x,\u0338", "Ab\u0301,", "”.", "“Wo”,", "IT'S,", "'s", "2,000",
+            "a×,", "÷.", "ΟΔΟΣ,", "漢字,", "한국", "ª,", "ŉ,", "\u01c4,", "a\u0345,", "ab.)", "(b)", ",", "\x00", "\x01", "\t", "\xa0", "<|ENDOFTEXT|>", "<|endoftext|>\u0301", "X" * 300]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", " ", "\n"]) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    texts += [rng.choice(bits) for _ in range(100)] + [",", ", ", "a,", " a", None]
+    for lo in range(0, len(texts), 250):
+        for t, got in zip(texts[lo : lo + 250], enc.encode(texts[lo : lo + 250])):
+            assert np.frombuffer(got, enc.dtype).tolist() == fresh.encode(t or "", add_special_tokens=False).ids, repr(t)
+
+
+def test_words_of_letters_skip_the_normaliser(monkeypatch):
+    """They go to the model as they are, once for all their marks and whatever case A-Z have."""
+    enc = PieceEncoder(vocabulary("word_bpe_49k.json"))
+    asked = []
+    ids = enc._ids
+    monkeypatch.setattr(enc, "_ids", lambda text: (asked.append(text), ids(text))[1])
+    texts = [f"{w}, {w.upper()}.\n{w.title()} {w};" for w in ("".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(2000))]
+    texts += ["élève, Größe. çà"]
+    got = enc.encode(texts)
+    assert sum(map(len, asked)) < 50  # the marks only
+    assert len(enc.known) < 2020
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in got] == [enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_plain_letters_are_what_the_normaliser_makes_of_them():
+    from stagegate.llm.pieces import _LETTERS
+
+    tok = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    letters = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x110000)]) if _LETTERS.fullmatch(c.lower())]
+    assert len(letters) > 400
+    assert [tok.normalizer.normalize_str(c) for c in letters] == [c.lower() for c in letters]
+    assert len(tok.pre_tokenizer.pre_tokenize_str("".join(c.lower() for c in letters))) == 1
+
+
 @pytest.mark.parametrize("size", [1, 2, 7, 64, 1000])
 def test_ids_read_in_slices(monkeypatch, size):
     monkeypatch.setattr(shards, "_SLICE", size)
