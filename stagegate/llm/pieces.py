@@ -5,9 +5,9 @@ so the ids of the pieces, joined, are the ids of the text.  The library encodes
 each new piece once per worker; texts that cannot be cut safely, and those that hold the string of
 an added token (which the library gives one id wherever it stands), are encoded whole.
 
-Texts of a vocabulary that drops white space and lower-cases are cut many at a time, as bytes: Arrow finds
-the distinct pieces, and each of them is looked up once.  Words of plain letters, which such a vocabulary's
-normaliser and pre-tokeniser leave as they are, go to the library's model without them.
+Texts are cut many at a time, as bytes: Arrow finds the distinct pieces, and each of them is looked up once.
+Words of plain letters, which the normaliser and pre-tokeniser leave as they are but for case, go to the
+library's model without them.  Vocabularies other than the two kinds known here take the library's whole way.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ _LOWERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "c
 _PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # small letters below the combining marks; each is one in every version of Unicode since 5.0
 _LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\u024f]+")
+# those and capital ones, after the blank that byte-level vocabularies keep before a word
+_WORD = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
 # classes of bytes: 1 between words, 2 a mark, 0 others
 _CLASSES = bytes(1 if c in b" \n" else 2 if chr(c) in _MARKS else 0 for c in range(256))
 _COMBINING = 0xCC  # the least first byte of a character that can join the one before it
@@ -44,6 +46,7 @@ class PieceEncoder:
 
     def __init__(self, path: str, limit: int = 1_500_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tok = Tokenizer.from_file(path)
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
@@ -57,23 +60,29 @@ class PieceEncoder:
         self.mark = self._ids(self.between)[0]
         spec = json.loads(self.tok.to_str())
         parts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
-        self.by_bytes = (spec["normalizer"] or {}).get("normalizers") == _LOWERS and parts[0].get("pattern") == {"Regex": _PARTS}
-        self.by_bytes &= [x.get("type") for x in parts] == ["Split", "ByteLevel"] and not parts[1]["add_prefix_space"]
-        if self.by_bytes:
-            spell = self.tok.pre_tokenizer.pre_tokenize_str
-            self.spelling = {c: spell(chr(c))[0][0] for c in range(0x80, 0x250) if _LETTERS.fullmatch(chr(c))}
+        lowers = (spec["normalizer"] or {}).get("normalizers") == _LOWERS and parts[0].get("pattern") == {"Regex": _PARTS}
+        lowers = lowers and [x.get("type") for x in parts] == ["Split", "ByteLevel"] and not parts[1]["add_prefix_space"]
+        plain = dict(spec["pre_tokenizer"] or {}, trim_offsets=True) == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.by_bytes = self.drops_space and lowers or not self.drops_space and spec["normalizer"] is None and plain
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.blank = spell(" ")[0][0]
+        self.spelling = {c: spell(chr(c))[0][0] for c in range(0x80, 0x250) if _WORD.fullmatch(chr(c))}
 
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
     def _learn_words(self, pieces: set[str]) -> set[str]:
         """Ids of new words of plain letters; the pieces that are none are left."""
-        words = [(p, low) for p in pieces if _LETTERS.fullmatch(low := p.lower())]
+        if self.drops_space:
+            words = [(p, low) for p in pieces if _LETTERS.fullmatch(low := p.lower())]
+        else:
+            words = [(p, p) for p in pieces if _WORD.fullmatch(p)]
         tokenize, spelling = self.tok.model.tokenize, self.spelling
         for lo in range(0, len(words), 4096):
             part, ids, ends = words[lo : lo + 4096], [], []
-            for _, low in part:
-                ids += [t.id for t in tokenize(low if low.isascii() else low.translate(spelling))]
+            for _, word in part:
+                spelled = word if word.isascii() else word.translate(spelling)
+                ids += [t.id for t in tokenize(spelled.replace(" ", self.blank))]
                 ends.append(len(ids))
             raw, size, start = np.array(ids, self.dtype).tobytes(), self.dtype.itemsize, 0
             for (p, _), end in zip(part, ends):
@@ -144,23 +153,33 @@ class PieceEncoder:
         return out
 
     def _encode_bytes(self, texts: list[bytes]) -> list[bytes]:
-        """``encode`` where white space parts words and goes: cut at it, and between a letter and the mark after it."""
-        raw, whole = b"\n".join(texts), {}
-        added = [a.lower().encode() for a in self.added]
-        if any(a in raw.lower() for a in added):
-            whole = {i: np.array(self._ids(t.decode()), self.dtype).tobytes() for i, t in enumerate(texts) if any(a in t.lower() for a in added)}
-            raw = b"\n".join([b"" if i in whole else t for i, t in enumerate(texts)])
-        raw = self._lowered(raw)
+        """``encode`` by bytes: cut at blanks and line ends (which go, or a blank stays before its word), and between a letter and the mark after it."""
+        join, whole = b"\n" if self.drops_space else b"", {}
+        raw = join.join(texts)
+        # a vocabulary that lower-cases could see an added token where the text has none
+        fold = bytes.lower if self.drops_space else bytes
+        odd = [fold(x.encode()) for x in (self.added if self.drops_space else self.added + _ODD)]
+        if any(x in fold(raw) for x in odd):
+            found = {t for t in texts if any(x in fold(t) for x in odd)}
+            found = {t: np.array(self._ids(t.decode()), self.dtype).tobytes() for t in found}
+            whole = {i: found[t] for i, t in enumerate(texts) if t in found}
+            texts = [b"" if i in whole else t for i, t in enumerate(texts)]
+            raw = join.join(texts)
+        raw = self._lowered(raw) if self.drops_space else raw
         kinds, at = np.frombuffer(raw.translate(_CLASSES), np.uint8), np.frombuffer(raw, np.uint8)
         gaps, marks = np.flatnonzero(kinds == 1), np.flatnonzero(kinds == 2)
         last, first = at[marks - 1], at[marks - 2]  # of a text's first bytes these are any others: no harm in a cut there
-        odd = (first == 0xC3) & ((last == 0x97) | (last == 0xB7)) | (first == 0xC4) & (last == 0xB0)  # two signs; a letter that lower-cases to two characters
-        letter = (last >= 97) & (last <= 122) | (first >= 0xC3) & (first <= 0xC8) & ~odd
-        cuts = np.concatenate([gaps, marks[letter & (marks > 1)]])
-        cuts.sort()
-        is_gap = kinds[cuts] == 1
-        ends = np.append(cuts - (np.cumsum(is_gap) - is_gap), len(raw) - len(gaps))
-        pieces = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(raw.translate(None, b" \n"))])
+        sign = (first == 0xC3) & ((last == 0x97) | (last == 0xB7)) | (first == 0xC4) & (last == 0xB0)  # two signs; a letter that lower-cases to two characters
+        letter = ((last | 32) >= 97) & ((last | 32) <= 122) | (first >= 0xC3) & (first <= 0xC8) & ~sign
+        cuts, stops = [gaps, marks[letter & (marks > 1)]], np.cumsum([len(t) + len(join) for t in texts]) - len(join)
+        if self.drops_space:
+            cuts = np.sort(np.concatenate(cuts))
+            is_gap = kinds[cuts] == 1
+            ends = np.append(cuts - (np.cumsum(is_gap) - is_gap), len(raw) - len(gaps))
+            raw = raw.translate(None, b" \n")
+        else:
+            cuts = ends = np.unique(np.concatenate([*cuts, gaps[at[gaps] == 10] + 1, stops]))
+        pieces = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(raw)])
         coded = pieces.dictionary_encode()
         own = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         new = set(own).difference(self.known)
@@ -170,8 +189,7 @@ class PieceEncoder:
             if len(p) > 200:
                 del self.known[p]
         # a text's last piece ends where the text does
-        sizes = np.array([0 if i in whole else len(t) for i, t in enumerate(texts)])
-        stops = np.searchsorted(cuts, np.cumsum(sizes + 1) - 1) + 1
+        stops = np.searchsorted(cuts, stops) + 1
         _, places, data = ids.buffers()
         stops = np.append(0, np.frombuffer(places, np.int32)[stops]).tolist()
         data = memoryview(data) if data else b""
