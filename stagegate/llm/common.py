@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +54,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def release_memory() -> None:
+    """Give the free memory that a worker's allocators keep back to the system."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
+def released(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``task``, after which the worker keeps no free memory: it idles beside later stages, and other tasks run in it."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        release_memory()
+
+    return run
+
+
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered for the words of a task; emptied when it holds ``limit`` words."""
 

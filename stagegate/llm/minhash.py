@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, WordHashes, ascii_words, mix64, row_keys
+from .common import Scratch, WordHashes, ascii_words, mix64, released, row_keys
 from .components import connected_components
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
@@ -78,7 +78,7 @@ def sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """Per document (columns doc_id, text): set size, 128-bit hash of the set and its band keys."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign, hashes = Signer(bands, rows), WordHashes()
+        sign, hashes = Signer(bands, rows), WordHashes(limit=200_000)
         w = np.arange(1, 3, dtype=np.uint64) * _ODD[3]
         for b in batches:
             n, cls, keys = [], [], []
@@ -94,7 +94,7 @@ def sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(two[:, 0].copy()), pa.array(two[:, 1].copy()), lists], ["doc_id", "n_shingles", "cls", "cls2", "keys"])
 
-    return docs.mapInArrow(task, _SKETCH)
+    return docs.mapInArrow(released(task), _SKETCH)
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def _compare(rows: DataFrame, size: int, of, names: list[str], types: list, ddl:
     """``of(set_a, set_b)`` for each row of ``_with_texts``; a task keeps the last a's set."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last, sa = WordHashes(), None, None
+        hashes, last, sa = WordHashes(limit=200_000), None, None
         for batch in batches:
             got = []
             for ta, tb in zip(batch.column(2), batch.column(3)):
@@ -118,7 +118,7 @@ def _compare(rows: DataFrame, size: int, of, names: list[str], types: list, ddl:
             cols = list(zip(*got)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(cols, types)]], ["a", "b", *names])
 
-    return rows.mapInArrow(task, f"a long, b long, {ddl}")
+    return rows.mapInArrow(released(task), f"a long, b long, {ddl}")
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:

@@ -19,14 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, release_memory, released
 from .pieces import encoder, slices
 
 # rows of a batch that become Python strings at once, and their bytes where that is fewer
 _PART, _PART_BYTES = 512, 1 << 21
+# after so many pieces of text a task begins to remember them anew
+_KNOWN = 300_000
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -41,6 +43,8 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
             for rows in (b.slice(at, step) for at in range(0, b.num_rows, step)):
                 doc_ids, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
                 for lo, hi in slices(texts, _PART_BYTES):
+                    if len(enc.known) > _KNOWN:
+                        enc.forget()
                     cols: list[list] = [[], [], [], [], []]
                     for doc_id, raw in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi])):
                         ids = np.append(np.frombuffer(raw, enc.dtype), end_id).astype("<u4")
@@ -50,9 +54,11 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> Data
                                 c.append(v)
                     types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                    release_memory()
             b = rows = None  # not held while the next batch is read
+        enc.forget()  # the worker may stay for as long as the stages after this one
 
-    return docs.mapInArrow(task, _PIECE)
+    return docs.mapInArrow(released(task), _PIECE)
 
 
 def rounds(counts: dict[int, int], capacity: int) -> tuple[list[tuple], int]:
@@ -97,6 +103,12 @@ def rounds(counts: dict[int, int], capacity: int) -> tuple[list[tuple], int]:
     return flows, opened
 
 
+def _longs(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small local table; from Arrow, since from tuples Spark would start Python workers of their own for it, which stay."""
+    columns = list(zip(*rows)) or [()] * len(names)
+    return spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names))
+
+
 def ranked(df: DataFrame, size: str, order: list[str], scratch: Scratch) -> DataFrame:
     """``df`` with ``rank``: a row's place among those of equal ``size``, counted over range-sorted partitions.
 
@@ -111,7 +123,7 @@ def ranked(df: DataFrame, size: str, order: list[str], scratch: Scratch) -> Data
     for r in counts:
         base.append((r["_part"], r[size], before.get(r[size], 0) - r["_first"]))
         before[r[size]] = before.get(r[size], 0) + r["_n"]
-    shift = df.sparkSession.createDataFrame(base, f"_part long, {size} long, _shift long")
+    shift = _longs(df.sparkSession, base, ["_part", size, "_shift"])
     return at.withColumn("_part", part).join(F.broadcast(shift), ["_part", size]).withColumn("rank", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")
 
 
@@ -129,7 +141,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 2048, id
     cut = ranked(scratch.table(pieces(own, vocabulary, end_id, capacity)), "length", ["doc_id", "piece"], scratch)
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most ``capacity`` rows
     flows, _ = rounds(counts, capacity)
-    plan = spark.createDataFrame(flows, "length long, lo long, hi long, first long, each long, base long")
+    plan = _longs(spark, flows, ["length", "lo", "hi", "first", "each", "base"])
     placed = cut.join(F.broadcast(plan), "length").where("rank >= lo AND rank < hi")
     return placed.select(
         "doc_id", "piece", "start", "length", "ids_crc32",

@@ -68,6 +68,10 @@ class PieceEncoder:
         self.blank = spell(" ")[0][0]
         self.spelling = {c: spell(chr(c))[0][0] for c in range(0x80, 0x250) if _WORD.fullmatch(chr(c))}
 
+    def forget(self) -> None:
+        """Forget all pieces."""
+        self.known = {"": b""}
+
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
@@ -132,7 +136,7 @@ class PieceEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (None: empty) as the bytes of an array of ``self.dtype``."""
         if len(self.known) > self.limit:
-            self.known = {"": b""}
+            self.forget()
         if self.by_bytes and texts:
             return self._encode_bytes([(t or "").encode() for t in texts])
         out = []

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_memory, released
+
 # Characters that look like a Latin letter (Cyrillic, Greek, digits and signs)
 LOOKALIKES = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "һ": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "н": "h",
@@ -132,12 +134,12 @@ def _counted(docs: DataFrame, label: str, only: set[str] | None) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for b in batches:
-            for text in b.column(0).to_pylist():
-                found = entries(fold(text))
+            for text in b.column(0):
+                found = entries(fold(text.as_py()))
                 seen.update(found if held is None else found & held.value)
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["entry", "n"])
 
-    return docs.select(label).mapInArrow(task, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+    return docs.select(label).mapInArrow(released(task), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, least_documents: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Lexicon:
@@ -180,10 +182,10 @@ def _fit(rows: DataFrame, lexicon: Lexicon) -> Lexicon:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = lexicon.matcher()
         for b in batches:
-            got = [(lexicon.measure(auto, f := fold(t))[1], f.count(" ") - 1) for t in b.column(0).to_pylist()]
+            got = [(lexicon.measure(auto, f := fold(t))[1], f.count(" ") - 1) for t in (x.as_py() for x in b.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.float64()), pa.array([n for _, n in got], pa.int64()), b.column(1)], ["x", "n", "y"])
 
-    got = rows.select("text", "y").mapInArrow(task, "x double, n long, y int").collect()  # numbers of the bounded sample
+    got = rows.select("text", "y").mapInArrow(released(task), "x double, n long, y int").collect()  # numbers of the bounded sample
     got.sort()
     x, n, y = (np.array([r[i] for r in got], float) for i in range(3))
     best = None
@@ -227,7 +229,7 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
             got = [lexicon.measure(auto, fold(t.as_py())) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([lexicon.score(x) for _, _, x in got], pa.float64()), pa.array([n for n, _, _ in got], pa.int64())], ["doc_id", "score", "matches"])
 
-    return own.mapInArrow(task, "doc_id long, score double, matches long")
+    return own.mapInArrow(released(task), "doc_id long, score double, matches long")
 
 
 def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -238,5 +240,8 @@ def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, text_c
         auto = lexicon.matcher()
         for texts in batches:
             yield pd.Series([lexicon.score(lexicon.measure(auto, fold(t))[2]) for t in texts], dtype="float64")
+            texts = None  # not held while the next batch is read
+        del auto
+        release_memory()
 
     return docs.where(scored(F.col(text_col).cast("string")) < threshold)

@@ -177,3 +177,52 @@ def test_packing_turns_a_part_of_a_batch_into_strings(monkeypatch):
     assert max(sizes) < 1000
     assert whole == rows([batch.slice(i, 1) for i in range(1000)])
     assert [r["doc_id"] for r in whole if r["piece"] == 0] == list(range(1000))
+
+
+def test_a_packing_task_leaves_no_pieces_in_its_worker(monkeypatch):
+    """A worker stays beside later stages: a task holds a bounded number of pieces and forgets them at its end; the ids are the same."""
+    import pyarrow as pa
+
+    from stagegate.llm import packing
+    from stagegate.llm.queries import vocabulary
+
+    class Docs:
+        def mapInArrow(self, task, ddl):
+            return task
+
+    path = vocabulary("word_bpe_49k.json")
+    enc = packing.encoder(path)
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + j % 26)}{'xyz'[j % 3]}" for j in range(i % 60)) for i in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1500), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    rows = lambda: [r for b in packing.pieces(Docs(), path, 0, 16)(iter([batch])) for r in b.to_pylist()]
+    whole = rows()
+    assert enc.known == {"": b""}
+    before, encode = [], enc.encode
+    monkeypatch.setattr(enc, "encode", lambda texts: (before.append(len(enc.known)), encode(texts))[1])
+    monkeypatch.setattr(packing, "_KNOWN", 100)
+    assert rows() == whole
+    assert len(before) > 1 and max(before) <= 100
+
+
+def test_free_memory_leaves_the_worker_after_a_task(monkeypatch):
+    """Both after the last batch and where there was none, and not between batches."""
+    from stagegate.llm import common
+
+    calls = []
+    monkeypatch.setattr(common, "release_memory", lambda: calls.append(1))
+    left = []
+    for x in common.released(lambda batches: (b + 1 for b in batches))(iter([1, 2])):
+        left.append((x, len(calls)))
+    assert left == [(2, 0), (3, 0)] and len(calls) == 1
+    assert list(common.released(lambda batches: batches)(iter([]))) == [] and len(calls) == 2
+
+
+def test_packing_plans_need_no_python_workers(spark):
+    """The small tables of ranks and flows come from Arrow: Spark holds them itself, with no Python RDD below."""
+    from stagegate.llm import packing
+
+    got = packing._longs(spark, [(1, -2), (3, 1 << 40)], ["length", "_shift"])
+    assert [tuple(r) for r in got.collect()] == [(1, -2), (3, 1 << 40)] and got.dtypes == [("length", "bigint"), ("_shift", "bigint")]
+    assert "PythonRDD" not in got._jdf.queryExecution().toRdd().toDebugString()
+    none = packing._longs(spark, [], ["length"])
+    assert none.count() == 0 and none.dtypes == [("length", "bigint")]
